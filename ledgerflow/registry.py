@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans import catalogue
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, catalogue.Query]:
+    return dict(catalogue.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(catalogue.SQL)
