@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def numeric_f1(pred: Column, gold: Column) -> Column:
@@ -59,11 +60,11 @@ def grits_con(pred: list, gold: list) -> float:
     return 2 * common / sum(cells)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def teds_column(pred: pd.Series, gold: pd.Series) -> pd.Series:
     return pd.Series([teds(a, b) for a, b in zip(pred, gold, strict=True)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def grits_column(pred: pd.Series, gold: pd.Series) -> pd.Series:
     return pd.Series([grits_con(a, b) for a, b in zip(pred, gold, strict=True)])

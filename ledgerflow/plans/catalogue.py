@@ -32,14 +32,14 @@ def query(sql: str) -> Callable[[Query], Query]:
 
 @query("""
 SELECT s.company_id, s.security_id, s.market, s.symbol, s.security_type, p.currency, p.trade_date, p.source, p.ord, p.close AS close_local,
-  round(CASE WHEN p.currency = 'USD' THEN p.close ELSE p.close * fx.rate END, 4) AS close_usd
+  CASE WHEN p.currency = 'USD' THEN p.close ELSE p.close * fx.rate END AS close_usd
 FROM securities s JOIN prices p USING (security_id)
 JOIN (SELECT security_id, max(trade_date) AS trade_date FROM prices GROUP BY 1) m ON m.security_id = p.security_id AND m.trade_date = p.trade_date
 ASOF LEFT JOIN fx_rates fx ON fx.base_ccy = p.currency AND fx.rate_date <= p.trade_date
 """)
 def latest_price_usd(spark, d):
     out = views.latest_price(standin(spark, d, "securities"), standin(spark, d, "prices"), standin(spark, d, "fx_rates"))
-    return out.select("company_id", "security_id", "market", "symbol", "security_type", "currency", "trade_date", "source", "ord", "close_local", F.round("close_usd", 4).alias("close_usd"))
+    return out.select("company_id", "security_id", "market", "symbol", "security_type", "currency", "trade_date", "source", "ord", "close_local", "close_usd")
 
 
 @query("""SELECT security_id, trade_date, count(*) AS n FROM prices p WHERE trade_date = (SELECT max(trade_date) FROM prices q WHERE q.security_id = p.security_id) GROUP BY 1, 2 HAVING count(*) > 1""")
@@ -62,23 +62,23 @@ _FX_ALL = "SELECT rate_date, base_ccy, quote_ccy, rate_type, rate, source FROM f
 @query(f"""
 WITH fx AS ({_FX_ALL}), k AS (SELECT *, CASE WHEN statement_type IN ('IS', 'CF') THEN 'avg' ELSE 'spot' END AS t, coalesce(period_end, printf('%04d-12-31', fiscal_year)) AS at FROM financials)
 SELECT k.company_id, k.fiscal_year, k.fiscal_period, k.fs_scope, k.statement_type, k.account, k.value AS value_local, k.currency, k.period_end,
-  round(CASE WHEN k.currency = 'USD' THEN k.value ELSE k.value * fx.rate END, 3) AS value_usd
+  CASE WHEN k.currency = 'USD' THEN k.value ELSE k.value * fx.rate END AS value_usd
 FROM k ASOF LEFT JOIN fx ON fx.base_ccy = k.currency AND fx.rate_type = k.t AND fx.rate_date <= k.at
 """)
 def financials_usd(spark, d):
     fx = standin(spark, d, "fx_rates")
     both = fx.unionByName(fx.withColumns({"rate_type": F.lit("avg"), "rate": F.round(F.col("rate") * 0.9, 6)}))
-    return views.financials_usd(standin(spark, d, "financials"), both).select("company_id", "fiscal_year", "fiscal_period", "fs_scope", "statement_type", "account", F.col("value").alias("value_local"), "currency", "period_end", F.round("value_usd", 3).alias("value_usd"))
+    return views.financials_usd(standin(spark, d, "financials"), both).select("company_id", "fiscal_year", "fiscal_period", "fs_scope", "statement_type", "account", F.col("value").alias("value_local"), "currency", "period_end", "value_usd")
 
 
 @query("""
 WITH p AS (SELECT DISTINCT currency AS base_ccy, fiscal_period, coalesce(period_end, printf('%04d-12-31', fiscal_year)) AS period_end FROM financials WHERE currency IS NOT NULL AND currency <> 'USD'),
 w AS (SELECT base_ccy, period_end, min(CAST(CAST(period_end AS DATE) - CAST(CASE fiscal_period WHEN 'FY' THEN 365 WHEN 'H1' THEN 183 ELSE 92 END AS INT) AS VARCHAR)) AS start FROM p GROUP BY 1, 2)
-SELECT w.period_end AS rate_date, w.base_ccy, 'USD' AS quote_ccy, 'avg' AS rate_type, round(avg(fx.rate), 4) AS rate
+SELECT w.period_end AS rate_date, w.base_ccy, 'USD' AS quote_ccy, 'avg' AS rate_type, round(avg(fx.rate) + 1e-9, 4) AS rate
 FROM w JOIN fx_rates fx ON fx.base_ccy = w.base_ccy AND fx.rate_date BETWEEN w.start AND w.period_end GROUP BY 1, 2
 """)
 def fx_period_average(spark, d):
-    return views.period_average_fx(standin(spark, d, "financials"), standin(spark, d, "fx_rates")).withColumn("rate", F.round("rate", 4))
+    return views.period_average_fx(standin(spark, d, "financials"), standin(spark, d, "fx_rates")).withColumn("rate", F.round(F.col("rate") + 1e-9, 4))
 
 
 @query("SELECT DISTINCT currency FROM (SELECT currency FROM prices UNION SELECT currency FROM financials UNION SELECT currency FROM securities) WHERE currency IS NOT NULL AND currency <> 'USD'")

@@ -11,6 +11,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Leading bytes in hex and the format they mark.
 MAGIC = {"255044462D": "pdf", "504B0304": "zip", "504B0506": "zip", "504B0708": "zip", "D0CF11E0A1B11AE1": "ole", "1F8B": "gzip", "252150532D": "ps", "25215053": "ps"}
@@ -80,6 +81,6 @@ def _archive(content: bytes, kind: str, depth: int) -> str | None:
     return "\n".join(parts).strip() or None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def document_text(content: pd.Series) -> pd.Series:
     return content.map(lambda x: None if x is None else text_of(bytes(x)))
