@@ -13,21 +13,24 @@ from ledgerflow.llm.near_join import near_components
 from ledgerflow.llm.quality_classifier import THRESHOLD, with_quality
 from ledgerflow.llm.queries import table, tokenizer_file
 from ledgerflow.llm.sentencepieces import encode
-from ledgerflow.llm.shared import attach, saved
+from ledgerflow.llm.shared import attach, folded, saved, unfolded
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    scored = with_quality(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col("quality_score") >= THRESHOLD).select(docs.columns)
+    own = ["doc_id", "text", "source"]
+    scored = with_quality(folded(docs, own), table(spark, sf_dir, "labels"))
+    return unfolded(scored.where(F.col("quality_score") >= THRESHOLD), docs.columns, own)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share, and with n_chars of what is left; what keeps no text goes."""
-    rows = with_bitmaps(docs)
+    own = ["doc_id", "text", "n_chars"]
+    rows = with_bitmaps(folded(docs, own))
     text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(kept_text())
     out = rows.withColumn("text", text).where("n_dropped is null or text <> ''")
-    return out.withColumn("n_chars", F.when(F.col("n_dropped").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
+    out = out.withColumn("n_chars", F.when(F.col("n_dropped").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return unfolded(out, docs.columns, own)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +43,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    return with_leaks(docs, table(spark, sf_dir, "benchmark")).where("item_ids is null").select(docs.columns)
+    own = ["doc_id", "text"]
+    clean = with_leaks(folded(docs, own), table(spark, sf_dir, "benchmark")).where("item_ids is null")
+    return unfolded(clean, docs.columns, own)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

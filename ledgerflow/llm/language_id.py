@@ -101,7 +101,7 @@ def fit(samples: dict[str, list[str]], max_states: int = MAX_STATES) -> ContextT
         bits[:, :, j] = -np.log2(np.maximum(np.concatenate([p3, p4]), 1e-9))
     # an unknown byte stands for each byte the sample lacks
     bits[:, 0, :] += np.float32(np.log2(max(257 - n, 1)))
-    return ContextTrees(langs, symbol, state, np.ascontiguousarray(bits.reshape(-1, len(langs))))
+    return ContextTrees(langs, symbol, state, np.ascontiguousarray(bits.reshape(bits.shape[0] * n, len(langs))))
 
 
 def code_lengths(trees: ContextTrees, raw: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -27,7 +27,7 @@ GAP = 2
 _BREAK = re.compile(r"(?<=[.!?;:])\s+|\n+")
 _DROP = re.compile(r"[^a-z0-9+]+")
 #: A text without any of these has no known sentence; each known sentence has one.
-ANCHORS = ("licen", "permission", "rights reserved", "copyright", "warrant", "liab", "redistribut", "spdx", "public domain", "without any")
+ANCHORS = ("licen", "released under", "permission", "rights reserved", "copyright", "warrant", "liab", "redistribut", "spdx", "public domain", "without any")
 
 #: Known sentences, fixed values: public licence notices as their stewards word them.
 SENTENCES = {

@@ -109,11 +109,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Logistic:
     sample = rows.where(rank <= SAMPLE_ROWS / max(rows.count(), 1)).limit(2 * SAMPLE_ROWS)
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "quality").mapInArrow(_statistics, "quality double, x array<double>").limit(4 * SAMPLE_ROWS).toArrow()
     y = found.column("quality").to_numpy()
-    x = np.array(found.column("x").to_pylist(), float).reshape(len(y), -1)
     if len(np.unique(y > 0.5)) < 2:
         width = features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
         p = np.clip(y.mean(), 1e-5, 1 - 1e-5) if len(y) else 1 - 1e-5
         return Logistic(np.zeros(width), np.ones(width), np.r_[np.log(p / (1 - p)), np.zeros(width)])
+    x = np.array(found.column("x").to_pylist(), float)
     order = np.lexsort([*x.T, y])
     return fit_logistic(x[order], y[order])
 

@@ -54,6 +54,16 @@ def attach(left: DataFrame, right: DataFrame, on: list[str], how: str, row_bytes
     return left.join(F.broadcast(right) if right.count() * row_bytes <= BROADCAST_BYTES else right.hint("shuffle_hash"), on, how)
 
 
+def folded(docs: DataFrame, own: list[str]) -> DataFrame:
+    """``own`` columns and all others in one struct, so that no name of theirs meets one an operator adds."""
+    return docs.select(*own, F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c not in own)).alias("_rest"))
+
+
+def unfolded(df: DataFrame, columns: list[str], own: list[str]) -> DataFrame:
+    """The columns that ``folded`` put away, in their order."""
+    return df.select(*((F.col(c) if c in own else F.col("_rest")[c]).alias(c) for c in columns))
+
+
 def row_key(text: str = "text") -> Column:
     """Tells rows apart that repeat a doc_id with another text."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
