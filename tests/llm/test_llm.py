@@ -227,7 +227,8 @@ def test_sentencepieces(docs, rows, none):
 
 def test_sampling_without_replacement():
     lattice = sentencepieces.Lattice(tokenizer_file("piece_bpe_32k.model"))
-    lattice.pieces = {k: None if v is None else (v[0], 0.3) for k, v in lattice.pieces.items()}
+    lattice.pieces = {k: (v[0], 0.3) for k, v in lattice.pieces.items()}
+    lattice.weigh()
     units = sentencepieces.unit_states(lattice, "th an")
     chance, first, second, n = {}, collections.Counter(), collections.Counter(), 4000
     for i in range(n):
