@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import Spans, attach, mixed, records, saved, slices, small_batches, texts, windows, words
+from .shared import Spans, attach, mixed, records, saved, slices, small_batches, texts, tidy, windows, words
 
 SIZE, PERCENT = 5, 80
 MAX_NEED = 4
@@ -100,7 +100,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shingle_counts(docs: DataFrame, size: int) -> np.ndarray:
     """Counts over all documents of shingles by the first bits of their hashes: 4 MB at any size of the input."""
-    parts = docs.select("text").mapInArrow(lambda b: _sketch(b, size), "block int, counts binary")
+    parts = docs.select("text").mapInArrow(lambda b: tidy(_sketch(b, size)), "block int, counts binary")
     found = parts.repartition(1 << (SKETCH_BITS - BLOCK_BITS), "block").mapInArrow(_summed, "block int, counts binary").collect()
     counts = np.zeros((1 << (SKETCH_BITS - BLOCK_BITS), 1 << BLOCK_BITS), np.uint32)
     for r in found:
@@ -198,9 +198,9 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
         bits[at : at + len(r["bits"])] = r["bits"]
     wanted = spark.sparkContext.broadcast(bytes(bits))
     near = docs.select("doc_id", "text", (slot(F.col("doc_id")) - 1).alias("slot"))
-    sets = saved(near.mapInArrow(lambda b: _some_sets(b, wanted, size), "doc_id long, own binary"), "sets")
+    sets = saved(near.mapInArrow(lambda b: tidy(_some_sets(b, wanted, size)), "doc_id long, own binary"), "sets")
     both = pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("own").alias("own_x")), "x").join(sets.select(F.col("doc_id").alias("y"), F.col("own").alias("own_y")), "y")
-    return saved(both.select("x", "y", "own_x", "own_y").mapInArrow(lambda b: _overlaps(b, percent), "x long, y long").distinct(), "links")
+    return saved(both.select("x", "y", "own_x", "own_y").mapInArrow(lambda b: tidy(_overlaps(b, percent)), "x long, y long").distinct(), "links")
 
 
 # -- the join -----------------------------------------------------------------------------
@@ -224,7 +224,7 @@ def near_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     small_batches(spark)
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = spark.sparkContext.broadcast(shingle_counts(rows, size))
-    heads = saved(rows.mapInArrow(lambda b: _prefixes(b, counts, size, percent), "doc_id long, n long, need int, s1 long, s2 long, prefix array<long>"), "prefixes")
+    heads = saved(rows.mapInArrow(lambda b: tidy(_prefixes(b, counts, size, percent)), "doc_id long, n long, need int, s1 long, s2 long, prefix array<long>"), "prefixes")
     sized = heads.select("doc_id", "n", "s1", "s2")
     classes = saved(sized.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
     members = saved(sized.join(classes, ["n", "s1", "s2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")

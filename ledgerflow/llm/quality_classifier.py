@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .quality_rules import base_counts
-from .shared import BLANKS, Spans, attach, per_row, records, repeated, saved, slices, small_batches, texts, words
+from .shared import BLANKS, Spans, attach, per_row, records, repeated, saved, slices, small_batches, texts, tidy, words
 
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.5
@@ -131,7 +131,7 @@ def scored(docs: DataFrame, model: Broadcast, site: str) -> DataFrame:
     keyed = docs.withColumns({"_host": host_of(F.col(site)), "_path": path_of(F.col(site)), "_text": F.col("text").cast("string")})
     schema = T.StructType([*(f for f in keyed.schema if f.name != "_text"), T.StructField("_p", T.DoubleType())])
     arrow = pa.schema([pa.field(f.name, pa.null()) for f in schema])
-    return keyed.mapInArrow(lambda batches: _scored(batches, model, arrow), schema)
+    return keyed.mapInArrow(lambda batches: tidy(_scored(batches, model, arrow)), schema)
 
 
 def _weight(squares: Column, mean: Column, n: Column, n2: Column, groups: Column) -> Column:

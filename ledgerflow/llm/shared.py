@@ -5,6 +5,8 @@ scanning of Arrow text columns.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -80,6 +82,16 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; then a worker gives freed pages back to the system, as it waits for its next task."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def records(**columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
@@ -129,13 +141,17 @@ BLANKS[[ord(c) for c in BLANK]] = True
 
 
 def _power(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            x = np.full(n, np.uint64(base & _MASK))
-            x[0] = 1
-            _powers[k] = np.cumprod(x, dtype=np.uint64)
-    return _powers
+    """Powers of the base and of its inverse, modulo 2**64; those of a slice are kept, more for one long text are not."""
+    if len(_powers[0]) >= n:
+        return _powers
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(n, np.uint64(base & _MASK))
+        x[0] = 1
+        out.append(np.cumprod(x, dtype=np.uint64, out=x))
+    if n <= SLICE_BYTES + 1:
+        _powers[:] = out
+    return out
 
 
 class Spans:
