@@ -38,6 +38,8 @@ SIZE, PERCENT = 5, 80
 MAX_NEED = 4
 SKETCH_BITS, BLOCK_BITS = 20, 14
 FILTER_BITS = 23
+#: Pairs of whole sets in a batch: both sets of a pair can be large.
+PAIR_ROWS = 64
 
 
 # -- shingles --------------------------------------------------------------------
@@ -199,8 +201,11 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     wanted = spark.sparkContext.broadcast(bytes(bits))
     near = docs.select("doc_id", "text", (slot(F.col("doc_id")) - 1).alias("slot"))
     sets = saved(near.mapInArrow(lambda b: tidy(_some_sets(b, wanted, size)), "doc_id long, own binary"), "sets")
+    small_batches(spark, PAIR_ROWS)
     both = pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("own").alias("own_x")), "x").join(sets.select(F.col("doc_id").alias("y"), F.col("own").alias("own_y")), "y")
-    return saved(both.select("x", "y", "own_x", "own_y").mapInArrow(lambda b: tidy(_overlaps(b, percent)), "x long, y long").distinct(), "links")
+    links = saved(both.select("x", "y", "own_x", "own_y").mapInArrow(lambda b: tidy(_overlaps(b, percent)), "x long, y long").distinct(), "links")
+    small_batches(spark)
+    return links
 
 
 # -- the join -----------------------------------------------------------------------------
