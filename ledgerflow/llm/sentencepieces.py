@@ -16,8 +16,9 @@ a row's result does not depend on its place.
 
 Pieces never cross a space, so a unit is a space with the word after it. The
 suffixes of units are the states of an automaton that each worker keeps, up to
-MAX_STATES; sampling walks it for all units of a batch at once. Units longer
-than UNIT_CHARS are cut there. Null texts count as empty; an empty text has one
+MAX_STATES; sampling walks it for all units of a batch at once. Words longer
+than UNIT_CHARS are cut where no piece spans the cut, so no edge is lost; what is
+still longer gets states of its own. Null texts count as empty; an empty text has one
 segmentation of no pieces. Fewer than k segmentations exist for some short
 texts: then all are returned. Repeated rows of one doc_id and text are equal.
 """
@@ -99,14 +100,15 @@ class Lattice:
         self.reset()
 
     def weigh(self) -> None:
-        """A hash table of the pieces by a polynomial of their code points: ids and weights by slot."""
-        self.floor = (len(self.pieces) + SHIFT) ** -ALPHA
+        """A hash table of the pieces by a polynomial of their code points: ids and log weights by slot."""
+        self.floor = -ALPHA * math.log(len(self.pieces) + SHIFT)
+        self.starts = {p[:2] for p in self.pieces if len(p) > 1}
         keys = [0] * len(self.pieces)
         for i, p in enumerate(self.pieces):
             for c in p:
                 keys[i] = (keys[i] * _BASE + ord(c) + 1) & _MASK
         key = np.array(keys, np.uint64)
-        self.slot_key, self.slot_id, self.slot_weight = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.int32), np.zeros(1 << _SLOTS)
+        self.slot_key, self.slot_id, self.slot_log = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.int32), np.zeros(1 << _SLOTS)
         at = (mixed(key) >> np.uint64(64 - _SLOTS)).astype(np.int64)
         self.probes = 1
         for slot, x, (piece, weight) in zip(at.tolist(), keys, self.pieces.values(), strict=True):
@@ -115,24 +117,24 @@ class Lattice:
                 n += 1
             self.probes = max(self.probes, n + 1)
             cell = (slot + n) % (1 << _SLOTS)
-            self.slot_key[cell], self.slot_id[cell], self.slot_weight[cell] = x, piece, weight
+            self.slot_key[cell], self.slot_id[cell], self.slot_log[cell] = x, piece, math.log(weight)
 
     def reset(self) -> None:
         self.suffixes = {"": 0}  # states of words' suffixes; those with the space before a word are in ``units``
         self.n_states = 1
-        self.fresh = array("i"), array("i")  # first character and rest of the states that have no edges yet
-        # upto, piece, next by edge; begin, mass, first, rest, chars by state
+        self.fresh = array("i"), array("i"), array("i")  # first character, rest and chars of the states that have no edges yet
+        # upto, piece, next by edge; begin, log mass, first, rest, chars by state
         self.arrays = [np.zeros(1 << 12, t) for t in (np.float64, np.int32, np.int32, np.int64, np.float64, np.int32, np.int32, np.int32)]
-        self.arrays[4][0] = 1.0
         self.filled = [0, 0, 0, 2, 1, 1, 1, 1]
         self.extra: list[tuple[int, ...]] = []
         self.extra_of: dict[str, int] = {}
         self.units = Units(self)
         self.several: list[list[int]] = []
 
-    def state(self, first: str, rest: int) -> int:
+    def state(self, first: str, rest: int, chars: int) -> int:
         self.fresh[0].append(ord(first))
         self.fresh[1].append(rest)
+        self.fresh[2].append(chars)
         self.n_states += 1
         return self.n_states - 1
 
@@ -142,9 +144,31 @@ class Lattice:
         while (state := known.get(unit[i:])) is None:
             i += 1
         for j in range(i - 1, -1, -1):
-            state = known[unit[j:]] = self.state(unit[j], state)
+            state = known[unit[j:]] = self.state(unit[j], state, len(unit) - j)
         return state
 
+    def chain(self, unit: str) -> int:
+        """The state of a long unit, whose suffixes are not kept."""
+        state = 0
+        for n, char in enumerate(reversed(unit), 1):
+            state = self.state(char, state, n)
+        return state
+
+    def parts(self, line: str) -> Iterator[str]:
+        """``line`` cut wherever no piece spans the cut."""
+        begin = reach = 0
+        for i in range(len(line)):
+            if i and reach <= i:
+                yield line[begin:i]
+                begin = i
+            if line[i : i + 2] in self.starts:
+                for end in range(min(len(line), i + self.longest), max(reach, i + 1), -1):
+                    if line[i:end] in self.pieces:
+                        reach = end
+                        break
+        if line:
+            yield line[begin:]
+
     def _put(self, k: int, new: np.ndarray) -> None:
         end = self.filled[k] + len(new)
         if end > len(self.arrays[k]):
@@ -163,48 +187,40 @@ class Lattice:
         return self.extra_of[char]
 
     def word(self, word: str) -> int:
-        """The state of a word with the space before it, or -1 - i for the i-th of ``several``: cut at line breaks and UNIT_CHARS."""
+        """The state of a word with the space before it, or -1 - i for the i-th of ``several``: cut at line breaks and, if long, into ``parts``."""
         if len(word) < UNIT_CHARS and "\n" not in word:
-            return self.state(SPACE, self.add(word))
+            return self.state(SPACE, self.add(word), len(word) + 1)
         states: list[int] = []
         for k, line in enumerate((SPACE + word).split("\n")):
             if k:
                 states.append(self.add("\n"))
-            states += [self.add(line[i : i + UNIT_CHARS]) for i in range(0, len(line), UNIT_CHARS)]
+            if len(line) <= UNIT_CHARS:
+                states += [self.add(line)] if line else []
+            else:
+                states += [self.add(x) if len(x) <= UNIT_CHARS else self.chain(x) for x in self.parts(line)]
         self.several.append(states)
         return -len(self.several)
 
     def tables(self) -> tuple[np.ndarray, ...]:
         """upto (in shares of the state's mass), piece, next and begin, with the edges of all states added so far."""
-        first, rest = (np.array(x, np.int32) for x in self.fresh)
+        first, rest, chars = (np.array(x, np.int32) for x in self.fresh)
         for x in self.fresh:
             del x[:]
         for lo in range(0, len(first), 1 << 14):
-            self._edges(first[lo : lo + (1 << 14)], rest[lo : lo + (1 << 14)])
+            self._edges(first[lo : lo + (1 << 14)], rest[lo : lo + (1 << 14)], chars[lo : lo + (1 << 14)])
         return tuple(self.arrays[:4])
 
-    def _edges(self, first: np.ndarray, rest: np.ndarray) -> None:
-        """Edges and masses of new states; a state's rest always comes before it."""
+    def _edges(self, first: np.ndarray, rest: np.ndarray, depth: np.ndarray) -> None:
+        """Edges and log masses of new states; a state's rest always comes before it."""
         n, known = len(first), self.filled[4]
         self._put(5, first)
         self._put(6, rest)
-        self._put(7, np.zeros(n, np.int32))
+        self._put(7, depth)
         self._put(4, np.zeros(n))
-        mass, firsts, rests, chars = self.arrays[4:]
+        mass, firsts, rests = self.arrays[4:7]
         own = np.arange(known, known + n)
-        # lengths, by following rests until known ones
-        todo = own
-        depth = np.zeros(n, np.int32)
-        at = rest.astype(np.int64)
-        while len(todo):
-            depth[todo - known] += 1
-            open_ = at >= known
-            done = todo[~open_]
-            depth[done - known] += chars[at[~open_]]
-            todo, at = todo[open_], rests[at[open_]].astype(np.int64)
-        chars[own] = depth
         width = self.longest
-        to, ids, weight = np.zeros((n, width), np.int32), np.zeros((n, width), np.int32), np.zeros((n, width))
+        to, ids, weight = np.zeros((n, width), np.int32), np.zeros((n, width), np.int32), np.full((n, width), -np.inf)
         key, at, live = np.zeros(n, np.uint64), own.copy(), np.arange(n)
         for j in range(width):
             key = key * np.uint64(_BASE) + firsts[at].astype(np.uint64) + np.uint64(1)
@@ -215,7 +231,7 @@ class Lattice:
             for _ in range(self.probes):
                 hit = self.slot_key[slot] == key[miss]
                 ids[live[miss[hit]], j] = self.slot_id[slot[hit]]
-                weight[live[miss[hit]], j] = self.slot_weight[slot[hit]]
+                weight[live[miss[hit]], j] = self.slot_log[slot[hit]]
                 more = ~hit & (self.slot_key[slot] != 0)
                 miss, slot = miss[more], (slot[more] + 1) % (1 << _SLOTS)
                 if not len(miss):
@@ -224,19 +240,19 @@ class Lattice:
             live, key, at = live[keep], key[keep], at[keep]
             if not len(live):
                 break
-        for i in np.flatnonzero(weight[:, 0] == 0).tolist():  # characters without a piece
+        for i in np.flatnonzero(np.isneginf(weight[:, 0])).tolist():  # characters without a piece
             char = chr(int(first[i]))
             raw = char.encode("utf-8", "surrogatepass")
-            ids[i, 0], weight[i, 0] = self._bytes(char, raw), self.floor ** len(raw)
-        for length in np.unique(depth).tolist():
-            here = np.flatnonzero(depth == length)
-            w = weight[here] * mass[to[here]]
-            weight[here] = w
-            mass[known + here] = np.maximum(w.sum(1), 1e-280)
-        used = weight[:, ::-1] > 0  # long pieces first: they are the likely ones
-        used[~used.any(1), -1] = True
+            ids[i, 0], weight[i, 0] = self._bytes(char, raw), self.floor * len(raw)
+        used = weight[:, ::-1] > -np.inf  # long pieces first: they are the likely ones
+        order = np.argsort(depth, kind="stable")
+        for here in np.split(order, np.flatnonzero(np.diff(depth[order])) + 1):
+            w = weight[here] + mass[to[here]]
+            top = w.max(1)
+            weight[here] = w = np.exp(w - top[:, None])
+            mass[known + here] = top + np.log(w.sum(1))
         upto = np.cumsum(weight[:, ::-1], 1)
-        upto /= np.maximum(upto[:, -1:], 1e-300)
+        upto /= upto[:, -1:]
         row, column = np.nonzero(used)
         share = upto[row, column]
         degree = used.sum(1)
@@ -251,7 +267,7 @@ class Lattice:
         """A path sampled from each state: pieces in order, how many each state got, log-probability of each."""
         upto, piece, to, begin = self.tables()
         n = len(states)
-        now, who, chance, steps = states.copy(), np.arange(n), np.ones(n), np.zeros(n, np.int64)
+        now, who, chance, logs, steps = states.copy(), np.arange(n), np.ones(n), np.zeros(n), np.zeros(n, np.int64)
         found: list[tuple[np.ndarray, np.ndarray]] = []
         step = 0
         while True:
@@ -272,32 +288,39 @@ class Lattice:
             found.append((who, piece[edge]))
             now = to[edge]
             step += 1
+            if step % 16 == 0:  # before the product of so many shares could vanish
+                logs[who] += np.log(chance[who])
+                chance[who] = 1.0
         first = np.concatenate([[0], np.cumsum(steps)])
         ids = np.empty(first[-1], np.int32)
         for k, (who, got) in enumerate(found):
             ids[first[who] + k] = got
-        return ids, steps, np.log(np.maximum(chance, 1e-300))
+        return ids, steps, logs + np.log(chance)
 
-    def chance(self, state: int, path: list[int]) -> float:
-        """Probability of a path of pieces from a state."""
+    def tails(self, state: int, path: list[int]) -> list[float]:
+        """Probability of each tail of a path of pieces from a state."""
         upto, piece, to, begin = self.tables()
-        p = 1.0
+        shares = []
         for x in path:
             for e in range(begin[state], begin[state + 1]):
                 if piece[e] == x:
-                    p *= upto[e] - (upto[e - 1] if e > begin[state] else 0.0)
+                    shares.append(float(upto[e] - (upto[e - 1] if e > begin[state] else 0.0)))
                     state = to[e]
                     break
-        return p
+        out = [1.0]
+        for p in reversed(shares):
+            out.append(out[-1] * p)
+        return out[::-1]
 
     def other(self, state: int, banned: list[list[int]], key: np.ndarray) -> tuple[list[int] | None, float, float]:
         """A path from a state sampled from all but the banned ones, its log-probability, and the mass it was drawn from."""
         upto, piece, to, begin = self.tables()
         ids, log_p, mass, step = [], 0.0, None, 0
+        held = [(b, self.tails(state, b)) for b in banned]
         while state > 0:
             edges = range(begin[state], begin[state + 1])
             own = [upto[e] - (upto[e - 1] if e > edges[0] else 0.0) for e in edges]
-            rest = [max(0.0, p * (1.0 - sum(self.chance(to[e], b[1:]) for b in banned if b and b[0] == piece[e]))) for e, p in zip(edges, own, strict=True)]
+            rest = [max(0.0, p * (1.0 - sum(t[step + 1] for b, t in held if b[step] == piece[e]))) for e, p in zip(edges, own, strict=True)]
             rest = [x if x > 1e-12 * p else 0.0 for x, p in zip(rest, own, strict=True)]
             total = sum(rest)
             mass = total if mass is None else mass
@@ -310,7 +333,7 @@ class Lattice:
             while rest[k] == 0.0:
                 k -= 1
             e = edges[k]
-            banned = [b[1:] for b in banned if b and b[0] == piece[e]]
+            held = [x for x in held if x[0][step] == piece[e]]
             ids.append(int(piece[e]))
             log_p += math.log(own[k])
             state = int(to[e])

@@ -244,6 +244,57 @@ def test_sampling_without_replacement():
         assert abs(first[k] / n - p) < 0.03 and abs(second[k] / n - two) < 0.03
 
 
+def lattice_edges(lattice, text):
+    """Edges of a text's lattice as the automaton has them, and as all occurrences of pieces."""
+    units, at, got = sentencepieces.unit_states(lattice, text), 0, set()
+    _, piece, to, begin = lattice.tables()
+    chars = lattice.arrays[7]
+    for unit in units.tolist():
+        todo, seen = [unit], set()
+        while todo:
+            state = todo.pop()
+            if state and state not in seen:
+                seen.add(state)
+                i = at + int(chars[unit] - chars[state])
+                for e in range(begin[state], begin[state + 1]):
+                    got.add((i, i + int(chars[state] - chars[to[e]]), int(piece[e])))
+                    todo.append(int(to[e]))
+        at += int(chars[unit])
+    whole = sentencepieces.SPACE + text.replace(" ", sentencepieces.SPACE)
+    assert at == len(whole)
+    want = {(i, j, lattice.pieces[whole[i:j]][0]) for i in range(at) for j in range(i + 1, min(at, i + lattice.longest) + 1) if whole[i:j] in lattice.pieces}
+    return got, want | {(i, i + 1, lattice._bytes(c, c.encode())) for i, c in enumerate(whole) if c not in lattice.pieces}
+
+
+LONG = ["mail bob_und.34@mail7.example.com now", "https://www.example.com/a/very/long/path/withmanywords/index.html?query=thequickbrownfox", "x" * 40 + "incomprehensibilities" * 4 + "\n" + "donaudampfschifffahrtsgesellschaftskapitän", "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所で", "\U0001f600\u0e01" * 30 + " ab"]
+
+
+def test_no_edge_of_a_long_word_is_lost():
+    lattice = sentencepieces.Lattice(tokenizer_file("piece_bpe_32k.model"))
+    for text in LONG:
+        got, want = lattice_edges(lattice, text)
+        assert got == want
+
+
+def test_probabilities_of_long_words():
+    lattice = sentencepieces.Lattice(tokenizer_file("piece_bpe_32k.model"))
+    for text in (*LONG, "thequickbrownfox" * 50):
+        whole = sentencepieces.SPACE + text.replace(" ", sentencepieces.SPACE)
+        mass, paths = [0.0] * (len(whole) + 1), [1] * (len(whole) + 1)
+        log = {v[0]: math.log(v[1]) for v in lattice.pieces.values()} | {lattice._bytes(c, c.encode()): lattice.floor * len(c.encode()) for c in whole if c not in lattice.pieces}
+        edges = collections.defaultdict(list)
+        for i, j, x in lattice_edges(lattice, text)[1]:
+            edges[i].append((j, log[x]))
+        for i in range(len(whole) - 1, -1, -1):
+            mass[i] = np.logaddexp.reduce([w + mass[j] for j, w in edges[i]])
+            paths[i] = sum(paths[j] for j, _ in edges[i])
+        found, kappa = sentencepieces.sample_paths(lattice, sentencepieces.unit_states(lattice, text), 99, 3)
+        assert len({tuple(f[0].tolist()) for f in found}) == len(found) == min(3, paths[0])
+        assert [f[2] for f in found] == sorted((f[2] for f in found), reverse=True) and found[-1][2] >= kappa
+        for ids, log_p, _ in found:
+            assert math.isclose(log_p, sum(log[x] for x in ids.tolist()) - mass[0], abs_tol=1e-6)
+
+
 def test_license_scan(spark, docs, none):
     mit = " ".join(license_scan.SENTENCES[k][0] for k in ("mit-grant", "mit-notice", "mit-warranty", "mit-liability"))
     cases = [(1, f"Some text.\n{mit}\nMore.", ["MIT"]), (2, "Intro\nLicensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]), (3, "This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]), (4, "Released under the MIT License. Licensed under the Apache License, Version 2.0.\nAll rights reserved.", ["MIT", "Apache-2.0"]), (5, "my driving license", []), (6, None, [])]
