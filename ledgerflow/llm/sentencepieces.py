@@ -14,8 +14,8 @@ segmentation's inclusion log-probability is log(1 - exp(-exp(log_p - kappa))).
 All randomness is a counter-based hash of seed, row key, path, unit and step, so
 a row's result does not depend on its place.
 
-Pieces never cross a space, so a unit is a space with the word after it. The
-suffixes of units are the states of an automaton that each worker keeps, up to
+No piece goes on with a space after another character, so a unit is a run of
+spaces with the word after it; runs of spaces are pieces too. The suffixes of units are the states of an automaton that each worker keeps, up to
 MAX_STATES; sampling walks it for all units of a batch at once. Words longer
 than UNIT_CHARS are cut where no piece spans the cut, so no edge is lost; what is
 still longer gets states of its own. Null texts count as empty; an empty text has one
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import gc
 import math
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -42,6 +43,7 @@ K, SEED, ALPHA, SHIFT = 2, 17, 2.0, 10.0
 UNIT_CHARS, MAX_STATES, BATCH_CHARS = 24, 400_000, 400_000
 _BASE, _SLOTS = 0x9E6C63D0876A9A47, 18
 SPACE = "▁"
+SPACES_WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _GOLD, _SLOT, _PATH, _MASK = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, (1 << 64) - 1
 
 
@@ -481,6 +483,8 @@ def lattice_of(path: str) -> Lattice:
 
 def unit_states(lattice: Lattice, text: str) -> np.ndarray:
     parts = text.split(" ")
+    if "" in parts or SPACE in text:
+        parts = [x[1:] for x in SPACES_WORD.findall(SPACE + text.replace(" ", SPACE))]
     got = np.fromiter(map(lattice.units.__getitem__, parts), np.int64, len(parts))
     if lattice.several:
         size = np.ones(len(got), np.int64)

@@ -276,6 +276,20 @@ def test_no_edge_of_a_long_word_is_lost():
         assert got == want
 
 
+INDENTED = ["def f(x):\n    if x:\n        return  x\n", "    four", "  ", "a  b   c", "trailing    ", "name" + " " * 30 + "value" + " " * 15 + "|", "a▁b ▁ c▁", " "]
+
+
+def test_runs_of_spaces_are_pieces(spark):
+    path = tokenizer_file("piece_bpe_32k.model")
+    lattice = sentencepieces.Lattice(path)
+    for text in INDENTED:
+        got, want = lattice_edges(lattice, text)
+        assert got == want
+    runs = {v[0] for k, v in lattice.pieces.items() if len(k) > 1 and set(k) == {sentencepieces.SPACE}}
+    out = sentencepieces.encode(spark.createDataFrame([(i, INDENTED[i % 6]) for i in range(60)], "doc_id long, text string"), path).collect()
+    assert len(runs) == 14 and all(r["round_trip"] for r in out) and all(runs & set(r["ids"]) for r in out if r["rank"] == 0 and r["doc_id"] % 6 in (2, 5))
+
+
 def test_probabilities_of_long_words():
     lattice = sentencepieces.Lattice(tokenizer_file("piece_bpe_32k.model"))
     for text in (*LONG, "thequickbrownfox" * 50):
