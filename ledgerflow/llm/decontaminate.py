@@ -4,8 +4,10 @@ A fixed mask over SPAN tokens ignores some positions, so a substituted token
 under an ignored position does not hide a match. Every window of the benchmark
 and of the documents is hashed under each mask; equal hashes are hits. Around a
 hit the item's tokens are laid over the document on the hit's diagonal and the
-equal tokens counted, so substitutions are tolerated; all diagonals of a
-document and item together must cover ``min_cover`` of the item.
+equal tokens counted, so substitutions are tolerated. An item leaked if all
+diagonals of a document and item together cover ``min_cover`` of the item, or if
+one has a stretch of STRETCH tokens of which at most STRETCH_LESS are replaced,
+however long the item.
 
 Tokens are the lower-cased runs of letters and digits. Items shorter than SPAN
 are searched as contiguous windows of their own length; items without tokens
@@ -27,6 +29,7 @@ from .shared import BROADCAST_BYTES, attach, row_key, saved
 MASKS = ("1110101101", "1101101011", "1011011101")
 SPAN = len(MASKS[0])
 MIN_COVER = 0.5
+STRETCH, STRETCH_LESS = 13, 2
 SEED_BYTES = 64
 
 
@@ -49,8 +52,13 @@ def seeded(rows: DataFrame, short: list[int], least: int) -> DataFrame:
     return placed.select("*", F.explode(window_keys("h", "at", short)).alias("key")).where("key is not null")
 
 
+def dense(equal: Column, tokens: int, least: int) -> Column:
+    """Whether some run of ``tokens`` positions has at least ``least`` of the ascending positions in ``equal``."""
+    return F.exists(F.sequence(F.lit(0), F.size(equal)), lambda i: F.coalesce(F.get(equal, i + (least - 1)) - F.get(equal, i) < tokens, F.lit(False)))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:
-    """doc_key, row_key, item_id and the share of the item's tokens found, for each leaked item."""
+    """doc_key, row_key, item_id and the share of the item's tokens found, for each leaked item; a long stretch counts whatever that share."""
     items = benchmark.where("item_id is not null").select("item_id", token_hashes().alias("h")).where(F.size("h") > 0).distinct()
     items = saved(items.withColumn("item_row", F.xxhash64("item_id", "h")), "benchmark-items")
     short = sorted(r[0] for r in items.where(F.size("h") < SPAN).select(F.size("h")).distinct().collect())
@@ -73,8 +81,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
         found.append(on_item.select("doc_key", "row_key", "item_row", "item_id", F.size("item_h").alias("n"), shift.alias("shift"), equal.alias("equal")))
     hits = reduce(DataFrame.unionByName, found)
     diagonals = hits.groupBy("doc_key", "row_key", "item_row", "shift").agg(F.first("item_id").alias("item_id"), F.first("n").alias("n"), F.first("equal").alias("equal"))
-    cover = diagonals.groupBy("doc_key", "row_key", "item_row").agg(F.first("item_id").alias("item_id"), (F.size(F.array_distinct(F.flatten(F.collect_list("equal")))) / F.first("n")).alias("cover"))
-    return cover.where(F.col("cover") >= min_cover).drop("item_row")
+    stretch = F.bool_or(dense(F.col("equal"), STRETCH, STRETCH - STRETCH_LESS)).alias("stretch")
+    cover = diagonals.groupBy("doc_key", "row_key", "item_row").agg(F.first("item_id").alias("item_id"), (F.size(F.array_distinct(F.flatten(F.collect_list("equal")))) / F.first("n")).alias("cover"), stretch)
+    return cover.where((F.col("cover") >= min_cover) | F.col("stretch")).drop("item_row", "stretch")
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:

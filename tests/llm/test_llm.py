@@ -164,6 +164,19 @@ def test_decontaminate(spark, docs, none):
     assert decontaminate.decontaminate(none, bench).count() == 0
 
 
+def test_excerpts_of_long_items_are_leaks(spark):
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    item, long = ([r.choice(words) for _ in range(n)] for n in (59, 2000))
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(long))], "item_id long, text string")
+    filler = lambda: " ".join(r.choice(words) for _ in range(60))
+    swapped = long[700:713]
+    swapped[4] = swapped[8] = "other"
+    cases = [(1, item[7:36], [0]), (2, long[100:1000], [1]), (3, long[50:63], [1]), (4, swapped, [1]), (5, item[20:29], []), (6, [], [])]
+    got = decontaminate.decontaminate(spark.createDataFrame([(i, f"{filler()} {' '.join(w)} {filler()}") for i, w, _ in cases], "doc_id long, text string"), bench)
+    assert pairs(got, "doc_id", "item_ids") == [(i, x) for i, _, x in cases]
+
+
 def test_language(spark, docs, none):
     out = language_id.language_id(docs)
     assert out.count() == docs.count()
