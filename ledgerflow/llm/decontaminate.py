@@ -1,19 +1,25 @@
 """Benchmark decontamination by spaced seeds, in DataFrame operations only.
 
-A fixed mask over SPAN tokens ignores some positions, so a substituted token
+A mask over up to seven tokens ignores some positions, so a substituted token
 under an ignored position does not hide a match. Every window of the benchmark
 and of the documents is hashed under each mask; equal hashes are hits. Around a
 hit the item's tokens are laid over the document on the hit's diagonal and the
-equal tokens counted, so substitutions are tolerated. An item leaked if all
-diagonals of a document and item together cover ``min_cover`` of the item, or if
-one has a stretch of STRETCH tokens of which at most STRETCH_LESS are replaced,
-however long the item.
-
-Tokens are the lower-cased runs of letters and digits. Items shorter than SPAN
-are searched as contiguous windows of their own length; items without tokens
-match nothing. Null and empty texts are never contaminated. Rows that repeat a
-doc_id, or have none, are judged each by their own text. The benchmark's seeds
-are broadcast in blocks of at most BROADCAST_BYTES, one pass over the documents each.
+equal tokens counted, so substitutions are tolerated. An item leaked if one
+diagonal covers ``min_cover`` of it; or if all diagonals with DENSE_LEAST equal
+tokens of DENSE in a row cover that much together; or if one has a stretch of
+STRETCH tokens of which at most STRETCH_LESS are replaced, however long the item.
+
+With ``min_cover`` of a half the masks miss nothing of this: they are all choices
+of three of six successive tokens, and a row of tokens of which at least half are
+equal has such three, unless it is shorter than five or is the one pattern
+11000011, for which there is a mask of span seven. Of the hits that a run of
+equal tokens gives, those after its start are passed over.
+
+Tokens are the lower-cased runs of letters and digits. An overlap has three equal
+tokens at least; items of one or two must occur whole, items without tokens match
+nothing. Null and empty texts are never contaminated. Rows that repeat a doc_id,
+or have none, are judged each by their own text. The benchmark's seeds are
+broadcast in blocks of at most BROADCAST_BYTES, one pass over the documents each.
 """
 
 from __future__ import annotations
@@ -25,12 +31,13 @@ from pyspark.sql import functions as F
 
 from .shared import BROADCAST_BYTES, attach, row_key, saved
 
-#: Positions that count, of windows of ten tokens.
-MASKS = ("1110101101", "1101101011", "1011011101")
-SPAN = len(MASKS[0])
+#: Positions that count: any three of six in a row, and the ends of 11000011.
+MASKS = (*("".join("1" if i in (0, a, b) else "0" for i in range(b + 1)) for b in range(2, 6) for a in range(1, b)), "1100001")
+WEIGHT = 3
+DENSE, DENSE_LEAST = 10, 7
 MIN_COVER = 0.5
 STRETCH, STRETCH_LESS = 13, 2
-SEED_BYTES = 64
+SEED_BYTES, TOKEN_BYTES = 64, 32
 
 
 def token_hashes(text: str = "text") -> Column:
@@ -40,15 +47,17 @@ def token_hashes(text: str = "text") -> Column:
 
 def window_keys(h: str, at: str, short: list[int]) -> Column:
     """One hash per mask of the window that starts at ``at``, and one per short length."""
-    taken = [(k, [i for i, c in enumerate(m) if c == "1"], SPAN) for k, m in enumerate(MASKS)] + [(100 + n, list(range(n)), n) for n in short]
+    taken = [(k, [i for i, c in enumerate(m) if c == "1"], len(m)) for k, m in enumerate(MASKS)] + [(100 + n, list(range(n)), n) for n in short]
     fits = lambda n: F.col(at) + n <= F.size(h)
     keys = [F.when(fits(n), F.xxhash64(F.lit(k), *(F.get(F.col(h), F.col(at) + i) for i in own))) for k, own, n in taken]
     return F.array(*keys)
 
 
-def seeded(rows: DataFrame, short: list[int], least: int) -> DataFrame:
-    """A row for each window and mask: the columns of ``rows``, position ``at`` and ``key``."""
-    placed = rows.where(F.size("h") >= least).select("*", F.explode(F.sequence(F.lit(0), F.size("h") - least)).alias("at"))
+def seeded(rows: DataFrame, short: list[int], tokens: DataFrame | None = None) -> DataFrame:
+    """A row for each window and mask: the columns of ``rows``, position ``at`` and ``key``; only windows that start with one of ``tokens``."""
+    placed = rows.where(F.size("h") > 0).select("*", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at"))
+    if tokens is not None:
+        placed = placed.withColumn("token", F.get("h", F.col("at"))).join(F.broadcast(tokens), "token", "left_semi").drop("token")
     return placed.select("*", F.explode(window_keys("h", "at", short)).alias("key")).where("key is not null")
 
 
@@ -61,29 +70,35 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
     """doc_key, row_key, item_id and the share of the item's tokens found, for each leaked item; a long stretch counts whatever that share."""
     items = benchmark.where("item_id is not null").select("item_id", token_hashes().alias("h")).where(F.size("h") > 0).distinct()
     items = saved(items.withColumn("item_row", F.xxhash64("item_id", "h")), "benchmark-items")
-    short = sorted(r[0] for r in items.where(F.size("h") < SPAN).select(F.size("h")).distinct().collect())
-    seeds = seeded(items.select("item_row", "h"), [], SPAN)
-    if short:
-        whole = items.where(F.size("h") < SPAN).select("item_row", "h", F.lit(0).alias("at"))
-        own = F.element_at(F.map_from_arrays(F.array(*map(F.lit, short)), F.slice(window_keys("h", "at", short), len(MASKS) + 1, len(short))), F.size("h"))
-        seeds = seeds.unionByName(whole.withColumn("key", own))
+    short = sorted(r[0] for r in items.where(F.size("h") < WEIGHT).select(F.size("h")).distinct().collect())
+    seeds = seeded(items.where(F.size("h") >= WEIGHT).select("item_row", "h"), [])
+    for n in short:
+        own = items.where(F.size("h") == n).select("item_row", "h", F.lit(0).alias("at"))
+        seeds = seeds.unionByName(own.withColumn("key", F.element_at(window_keys("h", "at", [n]), -1)))
     seeds = saved(seeds.select("key", "item_row", F.col("at").alias("item_at")).distinct(), "benchmark-seeds")
     blocks = max(1, -(-seeds.count() * SEED_BYTES // BROADCAST_BYTES))
+    tokens = saved(items.select(F.explode("h").alias("token")).distinct(), "benchmark-tokens")
+    few = tokens if tokens.count() * TOKEN_BYTES <= BROADCAST_BYTES else None
     rows = docs.select(F.coalesce("doc_id", F.lit(-(1 << 62))).alias("doc_key"), row_key().alias("row_key"), token_hashes().alias("h"))
-    windows = seeded(rows, short, min([SPAN, *short]))
+    windows = seeded(rows, short, few)
     found = []
     for b in range(blocks):
         mine = (F.pmod("item_row", F.lit(blocks)) == b) if blocks > 1 else F.lit(True)
         hits = windows.join(F.broadcast(seeds.where(mine)), "key")
         on_item = hits.join(F.broadcast(items.where(mine).select("item_row", "item_id", F.col("h").alias("item_h"))), "item_row")
+        goes_on = (F.col("at") > 0) & (F.col("item_at") > 0) & (F.get("h", F.col("at") - 1) == F.get("item_h", F.col("item_at") - 1))
+        on_item = on_item.where(~F.coalesce(goes_on, F.lit(False)))
         shift = F.col("at") - F.col("item_at")
         equal = F.filter(F.sequence(F.lit(0), F.size("item_h") - 1), lambda t: (t + F.col("at") >= F.col("item_at")) & F.coalesce(F.get(F.col("h"), t + F.col("at") - F.col("item_at")) == F.get(F.col("item_h"), t), F.lit(False)))
         found.append(on_item.select("doc_key", "row_key", "item_row", "item_id", F.size("item_h").alias("n"), shift.alias("shift"), equal.alias("equal")))
     hits = reduce(DataFrame.unionByName, found)
-    diagonals = hits.groupBy("doc_key", "row_key", "item_row", "shift").agg(F.first("item_id").alias("item_id"), F.first("n").alias("n"), F.first("equal").alias("equal"))
-    stretch = F.bool_or(dense(F.col("equal"), STRETCH, STRETCH - STRETCH_LESS)).alias("stretch")
-    cover = diagonals.groupBy("doc_key", "row_key", "item_row").agg(F.first("item_id").alias("item_id"), (F.size(F.array_distinct(F.flatten(F.collect_list("equal")))) / F.first("n")).alias("cover"), stretch)
-    return cover.where((F.col("cover") >= min_cover) | F.col("stretch")).drop("item_row", "stretch")
+    own = F.size("equal") / F.col("n")
+    alone = (own >= min_cover) | dense(F.col("equal"), STRETCH, STRETCH - STRETCH_LESS)
+    hits = hits.withColumns({"own": own, "alone": alone, "dense": dense(F.col("equal"), DENSE, DENSE_LEAST)}).where("alone or dense")
+    diagonals = hits.groupBy("doc_key", "row_key", "item_row", "shift").agg(*(F.first(c).alias(c) for c in ("item_id", "n", "equal", "own", "alone", "dense")))
+    together = F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("dense"), F.col("equal")))))) / F.first("n")
+    cover = diagonals.groupBy("doc_key", "row_key", "item_row").agg(F.first("item_id").alias("item_id"), F.greatest(together, F.max("own")).alias("cover"), F.bool_or("alone").alias("alone"))
+    return cover.where((F.col("cover") >= min_cover) | F.col("alone")).drop("item_row", "alone")
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:

@@ -177,6 +177,32 @@ def test_excerpts_of_long_items_are_leaks(spark):
     assert pairs(got, "doc_id", "item_ids") == [(i, x) for i, _, x in cases]
 
 
+def test_masks_hit_whatever_is_half_equal():
+    masks = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
+    hit = lambda x: any(all(x[i + p] for p in m) for m in masks for i in range(len(x) - m[-1]))
+    for n in range(3, 17):  # every pattern of equal (1) and replaced (0) tokens; a longer row that is half equal has a half of such lengths that is
+        for bits in range(1 << n):
+            if bits.bit_count() >= max(3, n / 2):
+                assert hit([bits >> i & 1 for i in range(n)]), (n, bits)
+
+
+def test_substituted_items_are_found(spark):
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(3000)]
+    items, cases = [], []
+    for n in (4, 5, 6, 8, 9, 10, 15, 17, 27, 59):
+        for k in (n // 4, n // 2, -4, -3, -2):
+            w = [r.choice(words) for _ in range(n)]
+            items.append(" ".join(w))
+            gone = r.sample(range(n), k) if k >= 0 else range(-k - 1, n, -k)
+            if n - len(gone) >= 3:
+                cases.append((len(items) - 1, " ".join("other" if i in gone else x for i, x in enumerate(w))))
+    filler = lambda: " ".join(r.choice(words) for _ in range(40))
+    docs = spark.createDataFrame([(i, f"{filler()} {t} {filler()}") for i, t in cases], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert [(d, i) for d, i in pairs(decontaminate.decontaminate(docs, bench), "doc_id", "item_ids") if d not in i] == []
+
+
 def test_language(spark, docs, none):
     out = language_id.language_id(docs)
     assert out.count() == docs.count()
