@@ -2,7 +2,8 @@
 
 A mask over up to seven tokens ignores some positions, so a substituted token
 under an ignored position does not hide a match. Every window of the benchmark
-and of the documents is hashed under each mask; equal hashes are hits. Around a
+and of the documents is hashed under each mask; equal hashes are hits. A mask's first two places go first:
+only windows whose pair of tokens some benchmark window has are hashed whole. Around a
 hit the item's tokens are laid over the document on the hit's diagonal and the
 equal tokens counted, so substitutions are tolerated. An item leaked if one
 diagonal covers ``min_cover`` of it; or if all diagonals with DENSE_LEAST equal
@@ -18,7 +19,9 @@ equal tokens gives, those after its start are passed over.
 Tokens are the lower-cased runs of letters and digits. An overlap has three equal
 tokens at least; items of one or two must occur whole, items without tokens match
 nothing. Null and empty texts are never contaminated. Rows that repeat a doc_id,
-or have none, are judged each by their own text. The benchmark's seeds are
+or have none, are judged each by their own text; equal rows alike, ties of items
+are all reported. Empty tables give no leaks; columns of ``docs`` other than
+doc_id and text pass through ``with_leaks`` (the pipeline folds them away first). The benchmark's seeds are
 broadcast in blocks of at most BROADCAST_BYTES, one pass over the documents each.
 """
 
@@ -37,7 +40,9 @@ WEIGHT = 3
 DENSE, DENSE_LEAST = 10, 7
 MIN_COVER = 0.5
 STRETCH, STRETCH_LESS = 13, 2
-SEED_BYTES, TOKEN_BYTES = 64, 32
+SEED_BYTES, PAIR_BYTES = 64, 32
+#: What tells documents apart; a null id is a flag, as any number may be an id.
+KEYS = ["no_id", "doc_key", "row_key"]
 
 
 def token_hashes(text: str = "text") -> Column:
@@ -45,20 +50,39 @@ def token_hashes(text: str = "text") -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def window_keys(h: str, at: str, short: list[int]) -> Column:
-    """One hash per mask of the window that starts at ``at``, and one per short length."""
-    taken = [(k, [i for i, c in enumerate(m) if c == "1"], len(m)) for k, m in enumerate(MASKS)] + [(100 + n, list(range(n)), n) for n in short]
-    fits = lambda n: F.col(at) + n <= F.size(h)
-    keys = [F.when(fits(n), F.xxhash64(F.lit(k), *(F.get(F.col(h), F.col(at) + i) for i in own))) for k, own, n in taken]
-    return F.array(*keys)
+def _places() -> dict[int, list[int]]:
+    """The third places of the masks by their second place; the first place is 0."""
+    out: dict[int, list[int]] = {}
+    for m in MASKS:
+        _, a, b = (i for i, c in enumerate(m) if c == "1")
+        out.setdefault(a, []).append(b)
+    return out
 
 
-def seeded(rows: DataFrame, short: list[int], tokens: DataFrame | None = None) -> DataFrame:
-    """A row for each window and mask: the columns of ``rows``, position ``at`` and ``key``; only windows that start with one of ``tokens``."""
-    placed = rows.where(F.size("h") > 0).select("*", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at"))
-    if tokens is not None:
-        placed = placed.withColumn("token", F.get("h", F.col("at"))).join(F.broadcast(tokens), "token", "left_semi").drop("token")
-    return placed.select("*", F.explode(window_keys("h", "at", short)).alias("key")).where("key is not null")
+def _exploded(rows: DataFrame, name: str, choices: list[Column]) -> DataFrame:
+    """A row for each choice that is not null."""
+    return rows.select("*", F.explode(F.array(*choices)).alias(name)).where(F.col(name).isNotNull())
+
+
+def paired(rows: DataFrame) -> DataFrame:
+    """A row for each position ``at`` of ``h`` and second place: ``t``, the place ``a`` and the hash ``pair`` of both tokens."""
+    placed = rows.select("*", F.posexplode("h").alias("at", "t"))
+    pair = lambda a: F.when(F.col("at") + a < F.size("h"), F.struct(F.lit(a).alias("a"), F.xxhash64(F.lit(a), "t", F.get("h", F.col("at") + a)).alias("pair")))
+    return _exploded(placed, "p", [pair(a) for a in _places()]).select("*", "p.*").drop("p")
+
+
+def tripled(rows: DataFrame) -> DataFrame:
+    """``paired`` rows by third place: ``key`` is the hash under one mask."""
+    places = _places()
+    third = lambda b: F.when(F.col("a").isin(*(a for a in places if b in places[a])) & (F.col("at") + b < F.size("h")), F.xxhash64(F.lit(b), "pair", F.get("h", F.col("at") + b)))
+    return _exploded(rows, "key", [third(b) for b in sorted({b for x in places.values() for b in x})]).drop("pair", "a", "t")
+
+
+def whole_keys(rows: DataFrame, short: list[int]) -> DataFrame:
+    """A row for each run of so few tokens as whole short items have."""
+    placed = rows.select("*", F.posexplode("h").alias("at", "t"))
+    run = lambda n: F.when(F.col("at") + n <= F.size("h"), F.xxhash64(F.lit(-n), *(F.get("h", F.col("at") + i) for i in range(n))))
+    return _exploded(placed, "key", [run(n) for n in short]).drop("t")
 
 
 def dense(equal: Column, tokens: int, least: int) -> Column:
@@ -67,20 +91,25 @@ def dense(equal: Column, tokens: int, least: int) -> Column:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:
-    """doc_key, row_key, item_id and the share of the item's tokens found, for each leaked item; a long stretch counts whatever that share."""
+    """The keys of ``docs``, item_id and the share of the item's tokens found, for each leaked item; a long stretch counts whatever that share."""
     items = benchmark.where("item_id is not null").select("item_id", token_hashes().alias("h")).where(F.size("h") > 0).distinct()
     items = saved(items.withColumn("item_row", F.xxhash64("item_id", "h")), "benchmark-items")
+    long = paired(items.where(F.size("h") >= WEIGHT).select("item_row", "h"))
+    seeds = tripled(long).select("key", "item_row", F.col("at").alias("item_at"))
     short = sorted(r[0] for r in items.where(F.size("h") < WEIGHT).select(F.size("h")).distinct().collect())
-    seeds = seeded(items.where(F.size("h") >= WEIGHT).select("item_row", "h"), [])
     for n in short:
-        own = items.where(F.size("h") == n).select("item_row", "h", F.lit(0).alias("at"))
-        seeds = seeds.unionByName(own.withColumn("key", F.element_at(window_keys("h", "at", [n]), -1)))
-    seeds = saved(seeds.select("key", "item_row", F.col("at").alias("item_at")).distinct(), "benchmark-seeds")
+        own = whole_keys(items.where(F.size("h") == n).select("item_row", "h"), [n])
+        seeds = seeds.unionByName(own.select("key", "item_row", F.col("at").alias("item_at")))
+    seeds = saved(seeds.distinct(), "benchmark-seeds")
     blocks = max(1, -(-seeds.count() * SEED_BYTES // BROADCAST_BYTES))
-    tokens = saved(items.select(F.explode("h").alias("token")).distinct(), "benchmark-tokens")
-    few = tokens if tokens.count() * TOKEN_BYTES <= BROADCAST_BYTES else None
-    rows = docs.select(F.coalesce("doc_id", F.lit(-(1 << 62))).alias("doc_key"), row_key().alias("row_key"), token_hashes().alias("h"))
-    windows = seeded(rows, short, few)
+    pairs = saved(long.select("pair").distinct(), "benchmark-pairs")
+    rows = docs.select(*KEYS, token_hashes().alias("h"))
+    begun = paired(rows)
+    if pairs.count() * PAIR_BYTES <= BROADCAST_BYTES:
+        begun = begun.join(F.broadcast(pairs), "pair", "left_semi")
+    windows = tripled(begun)
+    if short:
+        windows = windows.unionByName(whole_keys(rows, short))
     found = []
     for b in range(blocks):
         mine = (F.pmod("item_row", F.lit(blocks)) == b) if blocks > 1 else F.lit(True)
@@ -90,23 +119,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
         on_item = on_item.where(~F.coalesce(goes_on, F.lit(False)))
         shift = F.col("at") - F.col("item_at")
         equal = F.filter(F.sequence(F.lit(0), F.size("item_h") - 1), lambda t: (t + F.col("at") >= F.col("item_at")) & F.coalesce(F.get(F.col("h"), t + F.col("at") - F.col("item_at")) == F.get(F.col("item_h"), t), F.lit(False)))
-        found.append(on_item.select("doc_key", "row_key", "item_row", "item_id", F.size("item_h").alias("n"), shift.alias("shift"), equal.alias("equal")))
+        # the generator is a barrier: the tokens are compared once a hit, not once a use of the result
+        found.append(on_item.select(*KEYS, "item_row", "item_id", F.size("item_h").alias("n"), shift.alias("shift"), F.explode(F.array(equal)).alias("equal")))
     hits = reduce(DataFrame.unionByName, found)
     own = F.size("equal") / F.col("n")
     alone = (own >= min_cover) | dense(F.col("equal"), STRETCH, STRETCH - STRETCH_LESS)
     hits = hits.withColumns({"own": own, "alone": alone, "dense": dense(F.col("equal"), DENSE, DENSE_LEAST)}).where("alone or dense")
-    diagonals = hits.groupBy("doc_key", "row_key", "item_row", "shift").agg(*(F.first(c).alias(c) for c in ("item_id", "n", "equal", "own", "alone", "dense")))
+    diagonals = hits.groupBy(*KEYS, "item_row", "shift").agg(*(F.first(c).alias(c) for c in ("item_id", "n", "equal", "own", "alone", "dense")))
     together = F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("dense"), F.col("equal")))))) / F.first("n")
-    cover = diagonals.groupBy("doc_key", "row_key", "item_row").agg(F.first("item_id").alias("item_id"), F.greatest(together, F.max("own")).alias("cover"), F.bool_or("alone").alias("alone"))
+    cover = diagonals.groupBy(*KEYS, "item_row").agg(F.first("item_id").alias("item_id"), F.greatest(together, F.max("own")).alias("cover"), F.bool_or("alone").alias("alone"))
     return cover.where((F.col("cover") >= min_cover) | F.col("alone")).drop("item_row", "alone")
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:
     """All rows of ``docs`` with item_ids and cover, null where nothing leaked."""
-    leaks = find_leaks(docs, benchmark, min_cover)
-    by_row = saved(leaks.groupBy("doc_key", "row_key").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("cover").alias("cover")), "leaks")
-    keyed = docs.withColumns({"doc_key": F.coalesce("doc_id", F.lit(-(1 << 62))), "row_key": row_key()})
-    return attach(keyed, by_row, ["doc_key", "row_key"], "left", 96)
+    keyed = docs.withColumns({"no_id": F.col("doc_id").isNull(), "doc_key": F.coalesce("doc_id", F.lit(0)).cast("long"), "row_key": row_key()})
+    leaks = find_leaks(keyed, benchmark, min_cover)
+    by_row = saved(leaks.groupBy(*KEYS).agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("cover").alias("cover")), "leaks")
+    return attach(keyed, by_row, KEYS, "left", 96)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:

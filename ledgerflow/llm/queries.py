@@ -35,7 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": lambda s, d: language_id(table(s, d, "documents")),
     "op5_quality_rules": lambda s, d: quality_rules(table(s, d, "documents")),
     "op6_ngram_jaccard_join": lambda s, d: near_join(table(s, d, "documents")),
-    "op7_sentencepiece": lambda s, d: encode(table(s, d, "documents"), tokenizer_file("piece_bpe_32k.model"), with_ids=False),
+    "op7_sentencepiece": lambda s, d: encode(table(s, d, "documents"), tokenizer_file("piece_bpe_32k.model")),
     "op8_token_counts": lambda s, d: token_counts(table(s, d, "documents"), tokenizer_file("byte_bpe_50k.json")),
     "op9_license_scan": lambda s, d: license_scan(table(s, d, "documents")),
     "op10_benchmark_decontamination": lambda s, d: decontaminate(table(s, d, "documents"), table(s, d, "benchmark")),

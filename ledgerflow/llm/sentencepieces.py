@@ -15,8 +15,8 @@ All randomness is a counter-based hash of seed, row key, path, unit and step, so
 a row's result does not depend on its place.
 
 No piece goes on with a space after another character, so a unit is a run of
-spaces with the word after it; runs of spaces are pieces too. The suffixes of units are the states of an automaton that each worker keeps, up to
-MAX_STATES; sampling walks it for all units of a batch at once. Words longer
+spaces with the word after it; runs of spaces are pieces too. The suffixes of
+units are the states of an automaton that each worker keeps, up to MAX_STATES; sampling walks it for all units of a batch at once. Words longer
 than UNIT_CHARS are cut where no piece spans the cut, so no edge is lost; what is
 still longer gets states of its own. Null texts count as empty; an empty text has one
 segmentation of no pieces. Fewer than k segmentations exist for some short
@@ -28,8 +28,7 @@ from __future__ import annotations
 import gc
 import math
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 from .shared import mixed, slices, small_batches, tidy
 
 K, SEED, ALPHA, SHIFT = 2, 17, 2.0, 10.0
-UNIT_CHARS, MAX_STATES, BATCH_CHARS = 24, 400_000, 400_000
+UNIT_CHARS, MAX_STATES, BATCH_CHARS = 24, 800_000, 400_000
 _BASE, _SLOTS = 0x9E6C63D0876A9A47, 18
 SPACE = "▁"
 SPACES_WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -77,25 +76,10 @@ def byte_ids(path: str) -> list[int]:
     return [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
 
 
-class Units(dict):
-    """States of words by word; what is several units is not kept."""
-
-    def __init__(self, lattice: Lattice):
-        super().__init__()
-        self.of = lattice.word
-
-    def __missing__(self, word: str) -> int:
-        got = self.of(word)
-        if got >= 0:
-            self[word] = got
-        return got
-
-
 class Lattice:
     """The automaton of unit suffixes: state 0 is the end; edges of a state lie together."""
 
     def __init__(self, path: str):
-        self.units: Units
         self.pieces, self.bytes, self.longest = vocabulary(path)
         self.of_byte = byte_ids(path)
         self.weigh()
@@ -122,38 +106,78 @@ class Lattice:
             self.slot_key[cell], self.slot_id[cell], self.slot_log[cell] = x, piece, math.log(weight)
 
     def reset(self) -> None:
-        self.suffixes = {"": 0}  # states of words' suffixes; those with the space before a word are in ``units``
+        self.units: dict[str, int] = {}  # states of words with the space before them
         self.n_states = 1
-        self.fresh = array("i"), array("i"), array("i")  # first character, rest and chars of the states that have no edges yet
+        self.table_key, self.table_state = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)  # states by hash of their suffix
+        self.stored = 0
+        self.fresh: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # first character, rest and chars of the states that have no edges yet
         # upto, piece, next by edge; begin, log mass, first, rest, chars by state
         self.arrays = [np.zeros(1 << 12, t) for t in (np.float64, np.int32, np.int32, np.int64, np.float64, np.int32, np.int32, np.int32)]
         self.filled = [0, 0, 0, 2, 1, 1, 1, 1]
         self.extra: list[tuple[int, ...]] = []
         self.extra_of: dict[str, int] = {}
-        self.units = Units(self)
-        self.several: list[list[int]] = []
-
-    def state(self, first: str, rest: int, chars: int) -> int:
-        self.fresh[0].append(ord(first))
-        self.fresh[1].append(rest)
-        self.fresh[2].append(chars)
-        self.n_states += 1
-        return self.n_states - 1
-
-    def add(self, unit: str) -> int:
-        """The state of a unit; suffixes of it beyond the longest known one become states, the shortest first."""
-        known, i = self.suffixes, 0
-        while (state := known.get(unit[i:])) is None:
-            i += 1
-        for j in range(i - 1, -1, -1):
-            state = known[unit[j:]] = self.state(unit[j], state, len(unit) - j)
-        return state
 
-    def chain(self, unit: str) -> int:
-        """The state of a long unit, whose suffixes are not kept."""
-        state = 0
-        for n, char in enumerate(reversed(unit), 1):
-            state = self.state(char, state, n)
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(65 - len(self.table_key).bit_length())).astype(np.int64)
+
+    def _known(self, keys: np.ndarray) -> np.ndarray:
+        """The stored states of the keys, -1 where there is none."""
+        out, at, todo = np.full(len(keys), -1, np.int64), self._slot(keys), np.arange(len(keys))
+        while len(todo):
+            have = self.table_key[at]
+            hit = have == keys[todo]
+            out[todo[hit]] = self.table_state[at[hit]]
+            more = ~hit & (have != 0)
+            todo, at = todo[more], (at[more] + 1) & (len(self.table_key) - 1)
+        return out
+
+    def _store(self, keys: np.ndarray, states: np.ndarray) -> None:
+        """Store distinct keys that are not there yet."""
+        self.stored += len(keys)
+        if 2 * self.stored > len(self.table_key):
+            full = self.table_key != 0
+            keys, states = np.concatenate([self.table_key[full], keys]), np.concatenate([self.table_state[full], states])
+            size = 1 << int(4 * self.stored).bit_length()
+            self.table_key, self.table_state = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+        at, todo = self._slot(keys), np.arange(len(keys))
+        while len(todo):
+            free = self.table_key[at] == 0
+            self.table_key[at[free]] = keys[todo[free]]  # of several for one slot the last stays
+            own = self.table_key[at] == keys[todo]
+            self.table_state[at[own]] = states[todo[own]]
+            todo, at = todo[~own], (at[~own] + 1) & (len(self.table_key) - 1)
+
+    def states_of(self, units: list[str]) -> np.ndarray:
+        """The states of units; suffixes that are new become states, the shortest first. Long units share none."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        end = np.cumsum(size)
+        state, key = np.zeros(len(units), np.int64), np.zeros(len(units), np.uint64)
+        for i in np.flatnonzero(size > UNIT_CHARS).tolist():
+            n = int(size[i])
+            ids = np.arange(self.n_states, self.n_states + n)
+            self.fresh.append((chars[end[i] - n : end[i]][::-1].astype(np.int32), np.r_[0, ids[:-1]].astype(np.int32), np.arange(1, n + 1, dtype=np.int32)))
+            self.n_states += n
+            state[i] = ids[-1]
+        live = np.flatnonzero((size > 0) & (size <= UNIT_CHARS))
+        depth = 0
+        while len(live):
+            depth += 1
+            first = chars[end[live] - depth]
+            key[live] = key[live] * np.uint64(_BASE) + first.astype(np.uint64) + np.uint64(1)
+            spread = mixed(key[live] + np.uint64(depth)) | np.uint64(1)
+            now = self._known(spread)
+            new = np.flatnonzero(now < 0)
+            if len(new):
+                own, where, back = np.unique(spread[new], return_index=True, return_inverse=True)
+                ids = np.arange(self.n_states, self.n_states + len(own))
+                self.n_states += len(own)
+                at = new[where]
+                self.fresh.append((first[at].astype(np.int32), state[live[at]].astype(np.int32), np.full(len(own), depth, np.int32)))
+                self._store(own, ids)
+                now[new] = ids[back]
+            state[live] = now
+            live = live[size[live] > depth]
         return state
 
     def parts(self, line: str) -> Iterator[str]:
@@ -188,26 +212,36 @@ class Lattice:
             self.extra.append(tuple(self.of_byte[b] for b in raw))
         return self.extra_of[char]
 
-    def word(self, word: str) -> int:
-        """The state of a word with the space before it, or -1 - i for the i-th of ``several``: cut at line breaks and, if long, into ``parts``."""
-        if len(word) < UNIT_CHARS and "\n" not in word:
-            return self.state(SPACE, self.add(word), len(word) + 1)
-        states: list[int] = []
+    def cut(self, word: str) -> Iterator[str]:
+        """The units of a word with the space before it: cut at line breaks and, if long, into ``parts``."""
         for k, line in enumerate((SPACE + word).split("\n")):
             if k:
-                states.append(self.add("\n"))
+                yield "\n"
             if len(line) <= UNIT_CHARS:
-                states += [self.add(line)] if line else []
+                if line:
+                    yield line
             else:
-                states += [self.add(x) if len(x) <= UNIT_CHARS else self.chain(x) for x in self.parts(line)]
-        self.several.append(states)
-        return -len(self.several)
+                yield from self.parts(line)
+
+    def learn(self, words: Iterable[str]) -> dict[str, np.ndarray]:
+        """States for new words; the states of words of several units come back and are not kept."""
+        whole, several = [], {}
+        for word in words:
+            if len(word) < UNIT_CHARS and "\n" not in word:
+                whole.append(word)
+            else:
+                several[word] = list(self.cut(word))
+        states = self.states_of([SPACE + x for x in whole] + [u for x in several.values() for u in x])
+        self.units.update(zip(whole, states.tolist()))
+        ends = np.cumsum([len(whole), *map(len, several.values())])
+        return {word: states[lo:hi] for word, lo, hi in zip(several, ends, ends[1:])}
 
     def tables(self) -> tuple[np.ndarray, ...]:
         """upto (in shares of the state's mass), piece, next and begin, with the edges of all states added so far."""
-        first, rest, chars = (np.array(x, np.int32) for x in self.fresh)
-        for x in self.fresh:
-            del x[:]
+        if not self.fresh:
+            return tuple(self.arrays[:4])
+        first, rest, chars = (np.concatenate(x) for x in zip(*self.fresh, strict=True))
+        self.fresh.clear()
         for lo in range(0, len(first), 1 << 14):
             self._edges(first[lo : lo + (1 << 14)], rest[lo : lo + (1 << 14)], chars[lo : lo + (1 << 14)])
         return tuple(self.arrays[:4])
@@ -380,12 +414,15 @@ def sample_batch(lattice: Lattice, texts_units: list[np.ndarray], keys: list[int
     draw = lambda path: base(path)[text] + slot
     full = np.flatnonzero(size > 0)
     starts = bound[:-1][full]
+    edges = list(zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True))
     top = -np.log(-np.log(uniform(base(300), 10_001)))
 
     def frontier_of(logs: np.ndarray, g: np.ndarray, path: int) -> np.ndarray:
         """At each unit the maximum over the choices not taken there."""
-        sums = np.concatenate([[0.0], np.cumsum(logs)])
-        before = sums[:-1] - sums[bound[text]]
+        before = np.empty(len(logs))
+        for lo, hi in edges:  # sums of each text alone, so that a row's result does not depend on its neighbours
+            before[lo:hi] = np.cumsum(logs[lo:hi])
+        before -= logs
         with np.errstate(divide="ignore"):
             rest = np.where(logs > -1e-13, -np.inf, before + np.log(-np.expm1(np.minimum(logs, 0.0))))
         return truncated(rest, uniform(draw(100 + path), 10_002), g[text])
@@ -395,7 +432,7 @@ def sample_batch(lattice: Lattice, texts_units: list[np.ndarray], keys: list[int
     out = [[(ids[first[bound[i]] : first[bound[i + 1]]], 0.0, float(top[i]))] for i in range(m)]
     at = [[first[bound[i] : bound[i + 1] + 1] - first[bound[i]] for i in range(m)]]
     all_logs, frontiers = [logs], [frontier_of(logs, top, 0)]
-    total = lambda x: np.array([x[bound[i] : bound[i + 1]].sum() for i in range(m)])
+    total = lambda x: np.array([x[lo:hi].sum() for lo, hi in edges])
     sums = [total(logs)]
     made = [{0: 0} for _ in range(m)]  # round -> place in out
     banned: dict[tuple[int, int, int], tuple[list[list[int]], float]] = {}
@@ -481,20 +518,28 @@ def lattice_of(path: str) -> Lattice:
     return _workers[path]
 
 
+def states_of_texts(lattice: Lattice, texts: list[str]) -> list[np.ndarray]:
+    """The states of each text's units; all new words of the texts are learned together."""
+    words: list[list[str]] = []
+    for text in texts:
+        parts = text.split(" ") if text else []
+        if "" in parts or SPACE in text:
+            parts = [x[1:] for x in SPACES_WORD.findall(SPACE + text.replace(" ", SPACE))]
+        words.append(parts)
+    units = lattice.units
+    new = set().union(*words) - units.keys()
+    several = lattice.learn(new) if new else {}
+    out = []
+    for parts in words:
+        if several and not several.keys().isdisjoint(parts):
+            out.append(np.concatenate([several[w] if w in several else [units[w]] for w in parts]).astype(np.int64))
+        else:
+            out.append(np.fromiter(map(units.__getitem__, parts), np.int64, len(parts)))
+    return out
+
+
 def unit_states(lattice: Lattice, text: str) -> np.ndarray:
-    parts = text.split(" ")
-    if "" in parts or SPACE in text:
-        parts = [x[1:] for x in SPACES_WORD.findall(SPACE + text.replace(" ", SPACE))]
-    got = np.fromiter(map(lattice.units.__getitem__, parts), np.int64, len(parts))
-    if lattice.several:
-        size = np.ones(len(got), np.int64)
-        many = got < 0
-        size[many] = [len(lattice.several[-1 - x]) for x in got[many].tolist()]
-        flat = np.repeat(got, size)
-        flat[flat < 0] = [y for x in got[many].tolist() for y in lattice.several[-1 - x]]
-        lattice.several.clear()
-        return flat
-    return got
+    return states_of_texts(lattice, [text])[0]
 
 
 def decode_ids(ids: list[int], table: list[bytes]) -> str:
@@ -502,30 +547,23 @@ def decode_ids(ids: list[int], table: list[bytes]) -> str:
     return b"".join(map(table.__getitem__, ids))[1:].decode(errors="replace")
 
 
-def _rows(out: dict[str, list], flat: list[np.ndarray], with_ids: bool) -> pa.RecordBatch:
-    """The columns of found segmentations, with their ids or a hash of each list of ids."""
+def _rows(out: dict[str, list], flat: list[np.ndarray]) -> pa.RecordBatch:
+    """The columns of found segmentations with their ids."""
     types = {"doc_id": pa.int64(), "rank": pa.int32(), "n_pieces": pa.int64(), "round_trip": pa.bool_()}
     columns = {c: pa.array(x, types.get(c, pa.float64())) for c, x in out.items()}
     edge = np.concatenate([[0], np.cumsum(out["n_pieces"], dtype=np.int64)])
-    ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-    if with_ids:
-        columns["ids"] = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(ids))
-    else:
-        spot = np.arange(len(ids)) - np.repeat(edge[:-1], np.diff(edge))
-        term = mixed((ids.astype(np.uint64) + np.uint64(1)) * (spot.astype(np.uint64) * np.uint64(2) + np.uint64(1)))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(term, dtype=np.uint64)])
-        columns["ids_hash"] = pa.array((sums[edge[1:]] - sums[edge[:-1]]).view(np.int64))
+    columns["ids"] = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *flat])))
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str, k: int, seed: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, k: int, seed: int) -> Iterator[pa.RecordBatch]:
     gc.disable()  # no cycles arise here, and the automaton's tables are costly to walk
     for batch in batches:
         whole = [x or "" for x in batch.column("text").to_pylist()]
         doc_ids, keys = batch.column("doc_id").to_pylist(), [x ^ (seed * 0x9E3779B9) for x in batch.column("key").to_pylist()]
         for lo, hi in slices(np.concatenate([[0], np.cumsum([len(x) for x in whole])]), BATCH_CHARS):
             lattice = lattice_of(path)
-            units = [unit_states(lattice, x) if x else np.zeros(0, np.int64) for x in whole[lo:hi]]
+            units = states_of_texts(lattice, whole[lo:hi])
             found, kappas = sample_batch(lattice, units, keys[lo:hi], k)
             out: dict[str, list] = {c: [] for c in ("doc_id", "rank", "n_pieces", "log_p", "perturbed", "log_inclusion", "round_trip")}
             flat: list[np.ndarray] = []
@@ -539,29 +577,29 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, k: int, seed: int, wit
                     out["log_p"].append(log_p)
                     out["perturbed"].append(g)
                     out["log_inclusion"].append(x if x < -30 else math.log(-math.expm1(-math.exp(min(x, 30.0)))))
-                    out["round_trip"].append(decode_ids(ids.tolist(), lattice.bytes) == text)
+                    out["round_trip"].append(b"".join(map(lattice.bytes.__getitem__, ids.tolist()))[1:] == text.encode())
                     flat.append(ids)
-            yield _rows(out, flat, with_ids)
+            yield _rows(out, flat)
     lattice_of(path).reset()  # a worker that waits for its next task holds nothing
 
 
-def encode(docs: DataFrame, path: str, k: int = K, seed: int = SEED, with_ids: bool = True) -> DataFrame:
-    """A row for each document and sampled segmentation: rank (0 best perturbed), n_pieces, scores, round_trip and ids (or their hash)."""
+def encode(docs: DataFrame, path: str, k: int = K, seed: int = SEED) -> DataFrame:
+    """A row for each document and sampled segmentation: rank (0 best perturbed), n_pieces, scores, round_trip and ids."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("string").alias("text"))
-    last = "ids array<int>" if with_ids else "ids_hash long"
-    return rows.mapInArrow(lambda b: tidy(_encode(b, path, k, seed, with_ids)), f"doc_id long, rank int, n_pieces long, log_p double, perturbed double, log_inclusion double, round_trip boolean, {last}")
+    return rows.mapInArrow(lambda b: tidy(_encode(b, path, k, seed)), "doc_id long, rank int, n_pieces long, log_p double, perturbed double, log_inclusion double, round_trip boolean, ids array<int>")
 
 
-def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """The columns of ``rows`` with the ``text`` of each list of ids (null: null)."""
+def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
+    """The columns of ``rows`` with the text of each list of ids as ``out`` (null: null), which must be a new name."""
+    if out in rows.columns:
+        raise ValueError(f"column {out!r} exists")
     small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = vocabulary(path)[1]
         for batch in batches:
             text = [None if x is None else decode_ids(x, table) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], [*batch.schema.names, "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], [*batch.schema.names, out])
 
-    kept = rows.drop("text")
-    return kept.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in kept.dtypes) + ", text string")
+    return rows.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + f", `{out}` string")
