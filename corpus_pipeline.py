@@ -50,7 +50,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of each document."""
-    return encode(docs, tokenizer_file("piece_bpe_32k.model"), with_ids=False)
+    return encode(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
