@@ -16,19 +16,23 @@ a row's result does not depend on its place.
 
 No piece goes on with a space after another character, so a unit is a run of
 spaces with the word after it; runs of spaces are pieces too. The suffixes of
-units are the states of an automaton that each worker keeps, up to MAX_STATES; sampling walks it for all units of a batch at once. Words longer
-than UNIT_CHARS are cut where no piece spans the cut, so no edge is lost; what is
-still longer gets states of its own. Null texts count as empty; an empty text has one
-segmentation of no pieces. Fewer than k segmentations exist for some short
-texts: then all are returned. Repeated rows of one doc_id and text are equal.
+units are the states of an automaton that each worker keeps, up to MAX_STATES;
+sampling walks it for all units of a slice of texts at once. Words longer than
+UNIT_CHARS are cut where no piece spans the cut, so no edge is lost; what is still
+longer gets states of its own.
+
+Null texts count as empty; an empty text has one segmentation of no pieces. Fewer
+than k segmentations exist for some short texts: then all are returned. Repeated
+rows of one doc_id and text are equal, whatever rows are encoded with them; scores
+tie only by equal hashes. An empty table gives no rows. Columns besides doc_id and
+text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import gc
 import math
-import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -36,13 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mixed, slices, small_batches, tidy
+from .shared import Spans, Table, mixed, slices, small_batches, texts, tidy
 
 K, SEED, ALPHA, SHIFT = 2, 17, 2.0, 10.0
-UNIT_CHARS, MAX_STATES, BATCH_CHARS = 24, 800_000, 400_000
-_BASE, _SLOTS = 0x9E6C63D0876A9A47, 18
+UNIT_CHARS, MAX_STATES, BATCH_BYTES = 24, 800_000, 400_000
+_BASE = 0x9E6C63D0876A9A47
 SPACE = "▁"
-SPACES_WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
+_MARK = SPACE.encode()
 _GOLD, _SLOT, _PATH, _MASK = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, (1 << 64) - 1
 
 
@@ -82,34 +86,33 @@ class Lattice:
     def __init__(self, path: str):
         self.pieces, self.bytes, self.longest = vocabulary(path)
         self.of_byte = byte_ids(path)
+        self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.byte_size = np.array([len(x) for x in self.bytes], np.int64)
+        self.byte_at = np.cumsum(self.byte_size) - self.byte_size
         self.weigh()
         self.reset()
 
     def weigh(self) -> None:
-        """A hash table of the pieces by a polynomial of their code points: ids and log weights by slot."""
+        """A hash table of the pieces and their prefixes by a polynomial of their code points: ids and log weights, -inf for mere prefixes, by slot."""
         self.floor = -ALPHA * math.log(len(self.pieces) + SHIFT)
         self.starts = {p[:2] for p in self.pieces if len(p) > 1}
-        keys = [0] * len(self.pieces)
-        for i, p in enumerate(self.pieces):
-            for c in p:
-                keys[i] = (keys[i] * _BASE + ord(c) + 1) & _MASK
-        key = np.array(keys, np.uint64)
-        self.slot_key, self.slot_id, self.slot_log = np.zeros(1 << _SLOTS, np.uint64), np.zeros(1 << _SLOTS, np.int32), np.zeros(1 << _SLOTS)
-        at = (mixed(key) >> np.uint64(64 - _SLOTS)).astype(np.int64)
-        self.probes = 1
-        for slot, x, (piece, weight) in zip(at.tolist(), keys, self.pieces.values(), strict=True):
-            n = 0
-            while self.slot_key[(slot + n) % (1 << _SLOTS)]:
-                n += 1
-            self.probes = max(self.probes, n + 1)
-            cell = (slot + n) % (1 << _SLOTS)
-            self.slot_key[cell], self.slot_id[cell], self.slot_log[cell] = x, piece, math.log(weight)
+        found: dict[int, tuple[int, float]] = {}
+        for p, (piece, weight) in self.pieces.items():
+            key = 0
+            for i, c in enumerate(p, 1):
+                key = (key * _BASE + ord(c) + 1) & _MASK
+                if i == len(p):
+                    found[key] = piece, math.log(weight)
+                else:
+                    found.setdefault(key, (0, -math.inf))
+        self.prefixes = Table()
+        keys = np.array(list(found), np.uint64)
+        self.prefixes.store(mixed(keys) | np.uint64(1), np.arange(len(keys)))
+        self.of_prefix = tuple(np.array(x) for x in zip(*found.values(), strict=True))
 
     def reset(self) -> None:
-        self.units: dict[str, int] = {}  # states of words with the space before them
+        self.units, self.suffixes = Table(), Table()  # states of units and of their suffixes, by hashes
         self.n_states = 1
-        self.table_key, self.table_state = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)  # states by hash of their suffix
-        self.stored = 0
         self.fresh: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # first character, rest and chars of the states that have no edges yet
         # upto, piece, next by edge; begin, log mass, first, rest, chars by state
         self.arrays = [np.zeros(1 << 12, t) for t in (np.float64, np.int32, np.int32, np.int64, np.float64, np.int32, np.int32, np.int32)]
@@ -117,38 +120,8 @@ class Lattice:
         self.extra: list[tuple[int, ...]] = []
         self.extra_of: dict[str, int] = {}
 
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(65 - len(self.table_key).bit_length())).astype(np.int64)
-
-    def _known(self, keys: np.ndarray) -> np.ndarray:
-        """The stored states of the keys, -1 where there is none."""
-        out, at, todo = np.full(len(keys), -1, np.int64), self._slot(keys), np.arange(len(keys))
-        while len(todo):
-            have = self.table_key[at]
-            hit = have == keys[todo]
-            out[todo[hit]] = self.table_state[at[hit]]
-            more = ~hit & (have != 0)
-            todo, at = todo[more], (at[more] + 1) & (len(self.table_key) - 1)
-        return out
-
-    def _store(self, keys: np.ndarray, states: np.ndarray) -> None:
-        """Store distinct keys that are not there yet."""
-        self.stored += len(keys)
-        if 2 * self.stored > len(self.table_key):
-            full = self.table_key != 0
-            keys, states = np.concatenate([self.table_key[full], keys]), np.concatenate([self.table_state[full], states])
-            size = 1 << int(4 * self.stored).bit_length()
-            self.table_key, self.table_state = np.zeros(size, np.uint64), np.zeros(size, np.int32)
-        at, todo = self._slot(keys), np.arange(len(keys))
-        while len(todo):
-            free = self.table_key[at] == 0
-            self.table_key[at[free]] = keys[todo[free]]  # of several for one slot the last stays
-            own = self.table_key[at] == keys[todo]
-            self.table_state[at[own]] = states[todo[own]]
-            todo, at = todo[~own], (at[~own] + 1) & (len(self.table_key) - 1)
-
     def states_of(self, units: list[str]) -> np.ndarray:
-        """The states of units; suffixes that are new become states, the shortest first. Long units share none."""
+        """The states of units. Suffixes that are new become states, those of a unit side by side, the shortest first; long units share none."""
         size = np.fromiter(map(len, units), np.int64, len(units))
         chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
         end = np.cumsum(size)
@@ -160,24 +133,32 @@ class Lattice:
             self.n_states += n
             state[i] = ids[-1]
         live = np.flatnonzero((size > 0) & (size <= UNIT_CHARS))
-        depth = 0
+        depth, base = 0, self.n_states
+        made: list[tuple[np.ndarray, ...]] = []
         while len(live):
             depth += 1
             first = chars[end[live] - depth]
             key[live] = key[live] * np.uint64(_BASE) + first.astype(np.uint64) + np.uint64(1)
             spread = mixed(key[live] + np.uint64(depth)) | np.uint64(1)
-            now = self._known(spread)
+            now = self.suffixes(spread)
             new = np.flatnonzero(now < 0)
             if len(new):
                 own, where, back = np.unique(spread[new], return_index=True, return_inverse=True)
-                ids = np.arange(self.n_states, self.n_states + len(own))
-                self.n_states += len(own)
                 at = new[where]
-                self.fresh.append((first[at].astype(np.int32), state[live[at]].astype(np.int32), np.full(len(own), depth, np.int32)))
-                self._store(own, ids)
-                now[new] = ids[back]
+                made.append((own, live[at], np.full(len(own), depth), first[at].astype(np.int64), state[live[at]]))
+                now[new] = self.n_states + back
+                self.n_states += len(own)
             state[live] = now
             live = live[size[live] > depth]
+        if made:
+            keys, owner, chars_of, first, rest = (np.concatenate(x) for x in zip(*made, strict=True))
+            order = np.lexsort((chars_of, owner))  # a state's rest comes before it: its owner is no later one
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(base, base + len(order))
+            moved = lambda x: np.where(x >= base, place[np.clip(x - base, 0, len(place) - 1)], x)
+            self.fresh.append(tuple(x[order].astype(np.int32) for x in (first, moved(rest), chars_of)))
+            self.suffixes.store(keys, place)
+            state = np.where(size > UNIT_CHARS, state, moved(state))
         return state
 
     def parts(self, line: str) -> Iterator[str]:
@@ -212,92 +193,76 @@ class Lattice:
             self.extra.append(tuple(self.of_byte[b] for b in raw))
         return self.extra_of[char]
 
-    def cut(self, word: str) -> Iterator[str]:
-        """The units of a word with the space before it: cut at line breaks and, if long, into ``parts``."""
-        for k, line in enumerate((SPACE + word).split("\n")):
-            if k:
-                yield "\n"
-            if len(line) <= UNIT_CHARS:
-                if line:
-                    yield line
-            else:
-                yield from self.parts(line)
-
-    def learn(self, words: Iterable[str]) -> dict[str, np.ndarray]:
-        """States for new words; the states of words of several units come back and are not kept."""
-        whole, several = [], {}
-        for word in words:
-            if len(word) < UNIT_CHARS and "\n" not in word:
-                whole.append(word)
-            else:
-                several[word] = list(self.cut(word))
-        states = self.states_of([SPACE + x for x in whole] + [u for x in several.values() for u in x])
-        self.units.update(zip(whole, states.tolist()))
-        ends = np.cumsum([len(whole), *map(len, several.values())])
-        return {word: states[lo:hi] for word, lo, hi in zip(several, ends, ends[1:])}
-
     def tables(self) -> tuple[np.ndarray, ...]:
         """upto (in shares of the state's mass), piece, next and begin, with the edges of all states added so far."""
         if not self.fresh:
             return tuple(self.arrays[:4])
         first, rest, chars = (np.concatenate(x) for x in zip(*self.fresh, strict=True))
         self.fresh.clear()
-        for lo in range(0, len(first), 1 << 14):
-            self._edges(first[lo : lo + (1 << 14)], rest[lo : lo + (1 << 14)], chars[lo : lo + (1 << 14)])
+        self._edges(first, rest, chars)
         return tuple(self.arrays[:4])
 
     def _edges(self, first: np.ndarray, rest: np.ndarray, depth: np.ndarray) -> None:
         """Edges and log masses of new states; a state's rest always comes before it."""
         n, known = len(first), self.filled[4]
-        self._put(5, first)
-        self._put(6, rest)
-        self._put(7, depth)
-        self._put(4, np.zeros(n))
+        for k, x in ((5, first), (6, rest), (7, depth), (4, np.zeros(n))):
+            self._put(k, x)
         mass, firsts, rests = self.arrays[4:7]
-        own = np.arange(known, known + n)
-        width = self.longest
-        to, ids, weight = np.zeros((n, width), np.int32), np.zeros((n, width), np.int32), np.full((n, width), -np.inf)
-        key, at, live = np.zeros(n, np.uint64), own.copy(), np.arange(n)
-        for j in range(width):
+        ids, logs = self.of_prefix
+        order = np.argsort(depth, kind="stable")  # rows go by depth, so that masses are there when they are needed
+        live, at, key = np.arange(n), known + order, np.zeros(n, np.uint64)
+        count = np.zeros(n, np.int64)
+        found: list[tuple[np.ndarray, ...]] = []
+        for j in range(self.longest):
             key = key * np.uint64(_BASE) + firsts[at].astype(np.uint64) + np.uint64(1)
             at = rests[at].astype(np.int64)
-            to[live, j] = at
-            slot = (mixed(key) >> np.uint64(64 - _SLOTS)).astype(np.int64)
-            miss = np.arange(len(live))
-            for _ in range(self.probes):
-                hit = self.slot_key[slot] == key[miss]
-                ids[live[miss[hit]], j] = self.slot_id[slot[hit]]
-                weight[live[miss[hit]], j] = self.slot_log[slot[hit]]
-                more = ~hit & (self.slot_key[slot] != 0)
-                miss, slot = miss[more], (slot[more] + 1) % (1 << _SLOTS)
-                if not len(miss):
-                    break
-            keep = at > 0
+            place = self.prefixes(mixed(key) | np.uint64(1))
+            piece = (place >= 0) & (logs[place] > -np.inf)
+            row = live[piece]
+            found.append((row, count[row], ids[place[piece]], logs[place[piece]], at[piece]))
+            count[row] += 1
+            if j == 0 and not piece.all():  # characters without a piece
+                chars, back = np.unique(firsts[known + order[~piece]], return_inverse=True)
+                raw = [chr(c).encode("utf-8", "surrogatepass") for c in chars.tolist()]
+                spelled = np.array([self._bytes(chr(c), x) for c, x in zip(chars.tolist(), raw, strict=True)])
+                row = live[~piece]
+                found.append((row, count[row], spelled[back], self.floor * np.array([len(x) for x in raw])[back], at[~piece]))
+                count[row] += 1
+            keep = (place >= 0) & (at > 0)
             live, key, at = live[keep], key[keep], at[keep]
             if not len(live):
                 break
-        for i in np.flatnonzero(np.isneginf(weight[:, 0])).tolist():  # characters without a piece
-            char = chr(int(first[i]))
-            raw = char.encode("utf-8", "surrogatepass")
-            ids[i, 0], weight[i, 0] = self._bytes(char, raw), self.floor * len(raw)
-        used = weight[:, ::-1] > -np.inf  # long pieces first: they are the likely ones
-        order = np.argsort(depth, kind="stable")
-        for here in np.split(order, np.flatnonzero(np.diff(depth[order])) + 1):
-            w = weight[here] + mass[to[here]]
-            top = w.max(1)
-            weight[here] = w = np.exp(w - top[:, None])
-            mass[known + here] = top + np.log(w.sum(1))
-        upto = np.cumsum(weight[:, ::-1], 1)
-        upto /= upto[:, -1:]
-        row, column = np.nonzero(used)
-        share = upto[row, column]
-        degree = used.sum(1)
-        share[np.cumsum(degree) - 1] = 1.0
-        begin = self.filled[0] + np.cumsum(degree)
-        self._put(0, share)
-        self._put(1, ids[:, ::-1][row, column])
-        self._put(2, to[:, ::-1][row, column])
-        self._put(3, begin)
+        end = np.cumsum(count)
+        begin = end - count
+        row, rank, piece, log, to = (np.concatenate(x) for x in zip(*found, strict=True))
+        place = end[row] - 1 - rank  # long pieces first: they are the likely ones
+        edge_id, edge_to, share = np.empty(end[-1], np.int32), np.empty(end[-1], np.int32), np.empty(end[-1])
+        edge_id[place], edge_to[place], share[place] = piece, to, log
+        cuts = np.flatnonzero(np.diff(depth[order])) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), n], strict=True):
+            a, b = begin[lo], end[hi - 1]
+            w = share[a:b] + mass[edge_to[a:b]]
+            here = begin[lo:hi] - a
+            top = np.maximum.reduceat(w, here)
+            w = np.exp(w - np.repeat(top, count[lo:hi]))
+            total = np.add.reduceat(w, here)
+            mass[known + order[lo:hi]] = top + np.log(total)
+            share[a:b] = w / np.repeat(total, count[lo:hi])
+        some = np.flatnonzero(count > 1)
+        for k in range(1, int(count.max())):
+            some = some[count[some] > k]
+            share[begin[some] + k] += share[begin[some] + k - 1]
+        share[end - 1] = 1.0
+        own = np.empty(n, np.int64)
+        own[order] = np.arange(n)
+        degree = count[own]
+        upto = np.cumsum(degree)
+        take = np.repeat(begin[own] - upto + degree, degree) + np.arange(len(share))
+        start = self.filled[0]
+        self._put(0, share[take])
+        self._put(1, edge_id[take])
+        self._put(2, edge_to[take])
+        self._put(3, start + upto)
 
     def walk(self, states: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A path sampled from each state: pieces in order, how many each state got, log-probability of each."""
@@ -518,28 +483,60 @@ def lattice_of(path: str) -> Lattice:
     return _workers[path]
 
 
-def states_of_texts(lattice: Lattice, texts: list[str]) -> list[np.ndarray]:
-    """The states of each text's units; all new words of the texts are learned together."""
-    words: list[list[str]] = []
-    for text in texts:
-        parts = text.split(" ") if text else []
-        if "" in parts or SPACE in text:
-            parts = [x[1:] for x in SPACES_WORD.findall(SPACE + text.replace(" ", SPACE))]
-        words.append(parts)
-    units = lattice.units
-    new = set().union(*words) - units.keys()
-    several = lattice.learn(new) if new else {}
-    out = []
-    for parts in words:
-        if several and not several.keys().isdisjoint(parts):
-            out.append(np.concatenate([several[w] if w in several else [units[w]] for w in parts]).astype(np.int64))
-        else:
-            out.append(np.fromiter(map(units.__getitem__, parts), np.int64, len(parts)))
-    return out
+def states_of_texts(lattice: Lattice, raw: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The states of the units of each text: a text has a space before it, and a unit is a line break, or spaces with what follows up to the next of either.
+
+    Units are told apart by 64-bit hashes of their bytes; only new ones are looked at as text.
+    """
+    n, data = len(at) - 1, raw.tobytes()
+    if _MARK in data:  # the model's own sign for a space
+        own = [data[a:b].replace(_MARK, b" ") for a, b in zip(at.tolist(), at[1:].tolist())]
+        raw, at = np.frombuffer(b"".join(own), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in own])])
+    bound = at + np.arange(n + 1)
+    is_text = np.ones(bound[-1], bool)
+    is_text[bound[:-1]] = False
+    whole = np.full(bound[-1], 32, np.uint8)
+    whole[is_text] = raw
+    space, line = whole == 32, whole == 10
+    start = line.copy()
+    start[1:] |= (space[1:] & ~space[:-1]) | line[:-1]
+    start[bound[:-1]] = True
+    first = np.flatnonzero(start)
+    end = np.append(first[1:], len(whole))[: len(first)]
+    key = Spans(whole, fold=False)(first, end) | np.uint64(1)
+    state = lattice.units(key)
+    several: dict[int, np.ndarray] = {}
+    new = np.flatnonzero(state < 0)
+    if len(new):
+        own, where, back = np.unique(key[new], return_index=True, return_inverse=True)
+        data = whole.tobytes()
+        words = [data[a:b].decode().replace(" ", SPACE) for a, b in zip(first[new[where]].tolist(), end[new[where]].tolist(), strict=True)]
+        long = {i: list(lattice.parts(w)) for i, w in enumerate(words) if len(w) > UNIT_CHARS}
+        short = np.array([i for i in range(len(words)) if i not in long], np.int64)
+        got = lattice.states_of([words[i] for i in short.tolist()] + [x for parts in long.values() for x in parts])
+        lattice.units.store(own[short], got[: len(short)])
+        ends = np.cumsum([len(short), *map(len, long.values())])
+        of_new = np.empty(len(own), np.int64)
+        of_new[short] = got[: len(short)]
+        for i, lo, hi in zip(long, ends.tolist(), ends[1:].tolist()):
+            several[-1 - i], of_new[i] = got[lo:hi], -1 - i
+        state[new] = of_new[back]
+    cuts = np.searchsorted(first, bound)
+    if several:
+        size = np.ones(len(state), np.int64)
+        many = np.flatnonzero(state < 0)
+        size[many] = [len(several[x]) for x in state[many].tolist()]
+        sums = np.concatenate([[0], np.cumsum(size)])
+        flat = np.repeat(state, size)
+        flat[flat < 0] = np.concatenate([several[x] for x in state[many].tolist()])
+        state, cuts = flat, sums[cuts]
+    empty = np.diff(at) == 0
+    return [state[:0] if e else state[a:b] for e, a, b in zip(empty.tolist(), cuts.tolist(), cuts[1:].tolist())]
 
 
 def unit_states(lattice: Lattice, text: str) -> np.ndarray:
-    return states_of_texts(lattice, [text])[0]
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return states_of_texts(lattice, raw, np.array([0, len(raw)]))[0]
 
 
 def decode_ids(ids: list[int], table: list[bytes]) -> str:
@@ -547,6 +544,16 @@ def decode_ids(ids: list[int], table: list[bytes]) -> str:
     return b"".join(map(table.__getitem__, ids))[1:].decode(errors="replace")
 
 
+def spelled_alike(lattice: Lattice, flat: list[np.ndarray], raw: np.ndarray, spans: list[tuple[int, int]]) -> list[bool]:
+    """Whether each list of ids spells the bytes of its span, after the space before the first word."""
+    ids = np.concatenate([np.zeros(0, np.int32), *flat])
+    size = lattice.byte_size[ids]
+    end = np.cumsum(size)
+    got = lattice.blob[np.repeat(lattice.byte_at[ids] - end + size, size) + np.arange(size.sum())]
+    cuts = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum([len(x) for x in flat], dtype=np.int64)])].tolist()
+    return [hi == lo if a == b else hi - lo == b - a + 1 and got[lo] == 32 and np.array_equal(got[lo + 1 : hi], raw[a:b]) for (a, b), lo, hi in zip(spans, cuts, cuts[1:])]
+
+
 def _rows(out: dict[str, list], flat: list[np.ndarray]) -> pa.RecordBatch:
     """The columns of found segmentations with their ids."""
     types = {"doc_id": pa.int64(), "rank": pa.int32(), "n_pieces": pa.int64(), "round_trip": pa.bool_()}
@@ -559,15 +566,17 @@ def _rows(out: dict[str, list], flat: list[np.ndarray]) -> pa.RecordBatch:
 def _encode(batches: Iterator[pa.RecordBatch], path: str, k: int, seed: int) -> Iterator[pa.RecordBatch]:
     gc.disable()  # no cycles arise here, and the automaton's tables are costly to walk
     for batch in batches:
-        whole = [x or "" for x in batch.column("text").to_pylist()]
+        raw, at = texts(batch.column("text"))
         doc_ids, keys = batch.column("doc_id").to_pylist(), [x ^ (seed * 0x9E3779B9) for x in batch.column("key").to_pylist()]
-        for lo, hi in slices(np.concatenate([[0], np.cumsum([len(x) for x in whole])]), BATCH_CHARS):
+        for lo, hi in slices(at, BATCH_BYTES):
             lattice = lattice_of(path)
-            units = states_of_texts(lattice, whole[lo:hi])
+            mine, own = raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+            units = states_of_texts(lattice, mine, own)
             found, kappas = sample_batch(lattice, units, keys[lo:hi], k)
             out: dict[str, list] = {c: [] for c in ("doc_id", "rank", "n_pieces", "log_p", "perturbed", "log_inclusion", "round_trip")}
             flat: list[np.ndarray] = []
-            for doc_id, text, paths, kappa in zip(doc_ids[lo:hi], whole[lo:hi], found, kappas.tolist(), strict=True):
+            spans: list[tuple[int, int]] = []
+            for doc_id, a, b, paths, kappa in zip(doc_ids[lo:hi], own.tolist(), own[1:].tolist(), found, kappas.tolist()):
                 for rank, (ids, log_p, g) in enumerate(paths):
                     ids = lattice.spelled(ids)
                     x = log_p - kappa  # inclusion: 1 - exp(-exp(x))
@@ -577,8 +586,9 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, k: int, seed: int) ->
                     out["log_p"].append(log_p)
                     out["perturbed"].append(g)
                     out["log_inclusion"].append(x if x < -30 else math.log(-math.expm1(-math.exp(min(x, 30.0)))))
-                    out["round_trip"].append(b"".join(map(lattice.bytes.__getitem__, ids.tolist()))[1:] == text.encode())
                     flat.append(ids)
+                    spans.append((a, b))
+            out["round_trip"] = spelled_alike(lattice, flat, mine, spans)
             yield _rows(out, flat)
     lattice_of(path).reset()  # a worker that waits for its next task holds nothing
 

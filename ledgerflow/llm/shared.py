@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,29 +32,73 @@ _GOLD, _MIX1, _MIX2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, from spark.checkpoint.dir; set here only where it is unset."""
+    """The folder all executors see, from spark.checkpoint.dir.
+
+    Where it is unset a local session gets a temporary folder; on a cluster that
+    would scatter the rows over the hosts' own disks, so it is an error there.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = known.get() if known.isDefined() else "file://" + tempfile.mkdtemp(prefix="ledgerflow-")
+        if known.isDefined():
+            at = known.get()
+        elif re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            at = "file://" + tempfile.mkdtemp(prefix="ledgerflow-")
+        else:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
+_scratch: list[list[str]] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here and lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _scratch:
+        _scratch[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete ``saved`` tables that nothing unwritten reads any more."""
+    for df in frames:
+        _delete(df.sparkSession, df._saved_at)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables saved inside are deleted at the end; a result must be written within an inner-most call before that."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            _delete(spark, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application has saved; results of operators that have not been written yet become unreadable."""
+    _delete(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
 def attach(left: DataFrame, right: DataFrame, on: list[str], how: str, row_bytes: int) -> DataFrame:
     """Join, broadcasting ``right`` only if its counted rows times ``row_bytes`` stay under BROADCAST_BYTES.
 
-    Beyond that it is an ordinary shuffled join, whose hot keys adaptive execution splits.
+    Beyond that both sides are shuffled and sorted, which spills where memory is
+    short, and adaptive execution splits hot keys of ``left``.
     """
-    return left.join(F.broadcast(right) if right.count() * row_bytes <= BROADCAST_BYTES else right.hint("shuffle_hash"), on, how)
+    return left.join(F.broadcast(right) if right.count() * row_bytes <= BROADCAST_BYTES else right.hint("merge"), on, how)
 
 
 def folded(docs: DataFrame, own: list[str]) -> DataFrame:
@@ -144,6 +189,8 @@ def _power(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse, modulo 2**64; those of a slice are kept, more for one long text are not."""
     if len(_powers[0]) >= n:
         return _powers
+    if n <= SLICE_BYTES + 1:
+        n = min(1 << n.bit_length(), SLICE_BYTES + 1)
     out = []
     for base in (_BASE, pow(_BASE, -1, 1 << 64)):
         x = np.full(n, np.uint64(base & _MASK))
@@ -166,6 +213,48 @@ class Spans:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64) * _GOLD)
 
 
+class Table:
+    """A hash table of 64-bit keys (not 0) and small numbers, in arrays."""
+
+    def __init__(self):
+        self.keys, self.values, self.n = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32), 0
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(65 - len(self.keys).bit_length())).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The stored numbers of the keys, -1 where there is none."""
+        at = self._slot(keys)
+        have = self.keys[at]
+        out = np.where(have == keys, self.values[at], -1).astype(np.int64)
+        todo = np.flatnonzero((have != keys) & (have != 0))
+        at = at[todo]
+        while len(todo):
+            at = (at + 1) & (len(self.keys) - 1)
+            have = self.keys[at]
+            hit = have == keys[todo]
+            out[todo[hit]] = self.values[at[hit]]
+            more = ~hit & (have != 0)
+            todo, at = todo[more], at[more]
+        return out
+
+    def store(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Store distinct keys that are not there yet."""
+        self.n += len(keys)
+        if 2 * self.n > len(self.keys):
+            full = self.keys != 0
+            keys, values = np.concatenate([self.keys[full], keys]), np.concatenate([self.values[full], values])
+            size = 1 << int(4 * self.n).bit_length()
+            self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+        at, todo = self._slot(keys), np.arange(len(keys))
+        while len(todo):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[todo[free]]  # of several for one slot the last stays
+            own = self.keys[at] == keys[todo]
+            self.values[at[own]] = values[todo[own]]
+            todo, at = todo[~own], (at[~own] + 1) & (len(self.keys) - 1)
+
+
 def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and row numbers of the words ``[^\\x20\\x09-\\x0D]+`` of the rows bounded by ``at``."""
     solid = ~BLANKS[raw]
