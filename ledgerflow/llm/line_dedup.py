@@ -2,8 +2,9 @@
 
 Lines become 128-bit hashes with document and position. The hashes are
 range-partitioned with the document, so that one line's rows may fill many
-partitions, and each partition streams its sorted runs: one row per line and
-document goes on. Counting documents per line combines on the map side. What
+partitions, sorted within a partition by document and position, and streamed: of
+each run of a line in a document the first occurrence goes on, by its place in the
+sort. Counting documents per line combines on the map side. What
 comes back is one compressed keep bitmap per document that loses lines, as runs
 of kept positions; no text is moved for it.
 
@@ -11,14 +12,16 @@ A line's key is the line without blanks at both ends, A-Z lower-cased. Null and
 empty texts are one empty line. Rows with a null doc_id keep all lines and are
 not counted; rows that repeat a doc_id count as one document, each with its own
 bitmap. Ties cannot occur: the surviving document is the largest (or smallest) id.
+An empty table has no lines; other columns pass through ``with_bitmaps``, whose
+callers fold away names that clash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BLANK, ascii_lower, attach, row_key, saved
+from .shared import BLANK, ascii_lower, attach, discard, row_key, saved
 
 MIN_CHARS, MIN_DOCS = 40, 5
 
@@ -38,11 +41,21 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     return keyed.select("doc_id", "row_key", "position", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"))
 
 
+def first_occurrences(found: DataFrame) -> DataFrame:
+    """The first occurrence of each line in each document, in one stream over range partitions.
+
+    The window's keys are the ranges' own, so it needs no shuffle beyond theirs; its
+    sort is the secondary sort, and the rank limit lets no second row of a run pass.
+    """
+    run = Window.partitionBy("h1", "h2", "doc_id").orderBy("position", "row_key")
+    ranged = found.repartitionByRange("h1", "h2", "doc_id")
+    return ranged.withColumn("nth", F.row_number().over(run)).where("nth = 1").drop("nth")
+
+
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, keep: str = "last") -> DataFrame:
     """doc_id, row_key, n_dropped and ``dropped`` positions of each document that loses lines, with ``kept`` runs (start, length)."""
     found = saved(line_hashes(docs, min_chars), "lines")
-    ranged = found.repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "position")
-    once = ranged.groupBy("h1", "h2", "doc_id").agg(F.first("position").alias("position"))
+    once = first_occurrences(found)
     survivor = (F.max if keep == "last" else F.min)("doc_id").alias("survivor")
     common = once.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), survivor).where(F.col("n_docs") >= min_docs)
     common = saved(common.select("h1", "h2", "survivor"), "common-lines")
@@ -52,7 +65,10 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     # the last run is open: its length is cut where the text ends
     ends = F.concat("dropped", F.array(F.lit(2_147_483_647)))
     runs = F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), (b - a).alias("length"))), lambda r: r["length"] > 0)
-    return dropped.select("doc_id", "row_key", F.size("dropped").cast("long").alias("n_dropped"), runs.alias("kept"))
+    out = dropped.select("doc_id", "row_key", F.size("dropped").cast("long").alias("n_dropped"), runs.alias("kept"))
+    out = saved(out, "bitmaps")
+    discard(found, common)
+    return out
 
 
 def kept_text(text: str = "text") -> Column:
@@ -63,7 +79,7 @@ def kept_text(text: str = "text") -> Column:
 
 def with_bitmaps(docs: DataFrame, **options) -> DataFrame:
     """All rows of ``docs`` with n_dropped and kept, null where nothing is lost."""
-    bitmaps = saved(keep_bitmaps(docs, **options), "bitmaps")
+    bitmaps = keep_bitmaps(docs, **options)
     keyed = docs.withColumn("row_key", row_key())
     runs = bitmaps.agg(F.coalesce(F.sum(F.size("kept")), F.lit(0))).first()[0]
     n = max(1, bitmaps.count())
