@@ -7,11 +7,14 @@ mean, by priors fitted to how much the groups differ, so that sparse sites stay
 near the prior. A document's quality adds to the log odds of p those of its
 site, itself left out, over the global ones; below ``threshold`` it is rejected.
 
-The model is fitted on a documented sample of at most SAMPLE_ROWS labelled rows,
-chosen by a hash; everything else covers all rows. Without labels of both kinds
+The model is fitted on a documented sample: the SAMPLE_ROWS labels whose ids have
+the smallest hashes, and at most twice as many documents by the hash of id and
+text, should ids repeat; everything else covers all rows. Without labels of both kinds
 p is the labels' mean, or 1 without labels. A site value is a host, or a URL whose first path
 segment is the path. A null site is a site of its own. Null and empty texts have
-statistics of 0. Repeated rows count each.
+statistics of 0. Repeated rows count each, and get equal scores. Empty tables give
+no rows. ``with_quality`` passes other columns through; names that clash with its
+own are the caller's to fold away, as the pipeline does.
 """
 
 from __future__ import annotations
@@ -90,24 +93,27 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, at = texts(batch.column("text"))
         for lo, hi in slices(at):
             x = features(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
-            yield records(quality=batch.column("quality")[lo:hi], x=pa.array(x.tolist(), pa.list_(pa.float64())))
+            yield records(quality=batch.column("quality")[lo:hi], o=batch.column("o")[lo:hi], x=pa.array(x.tolist(), pa.list_(pa.float64())))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Broadcast, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model: Broadcast, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The columns ``names`` of the batches, the last of which is the evidence."""
     logistic: Logistic = model.value
     for batch in batches:
-        raw, at = texts(batch.column("_text"))
+        raw, at = texts(batch.column("text"))
         p = np.empty(len(at) - 1)
         for lo, hi in slices(at):
             p[lo:hi] = logistic(features(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]))
-        yield pa.RecordBatch.from_arrays([c for c, f in zip(batch.columns, batch.schema, strict=True) if f.name != "_text"] + [pa.array(p)], schema.names)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(p)], names)
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Logistic:
     rows = labels.where("quality is not null and doc_id is not null").select("doc_id", F.col("quality").cast("double").alias("quality"))
-    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    sample = rows.where(rank <= SAMPLE_ROWS / max(rows.count(), 1)).limit(2 * SAMPLE_ROWS)
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "quality").mapInArrow(_statistics, "quality double, x array<double>").limit(4 * SAMPLE_ROWS).toArrow()
+    order = [F.xxhash64("doc_id").alias("o"), "doc_id", "quality"]
+    part = F.xxhash64("doc_id") / float(1 << 63) <= 2.0 * (1.25 * SAMPLE_ROWS / max(rows.count(), 1)) - 1.0
+    sample = rows.where(part).select(*order).orderBy("o", "doc_id", "quality").limit(SAMPLE_ROWS)
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "quality", F.xxhash64("doc_id", "text").alias("o"))
+    found = found.orderBy("o", "quality").limit(2 * SAMPLE_ROWS).mapInArrow(_statistics, "quality double, o long, x array<double>").toArrow()
     y = found.column("quality").to_numpy()
     if len(np.unique(y > 0.5)) < 2:
         width = features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
@@ -126,12 +132,12 @@ def path_of(site: Column) -> Column:
     return F.regexp_extract(F.coalesce(site, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*/([^/?#]*)/", 1)
 
 
-def scored(docs: DataFrame, model: Broadcast, site: str) -> DataFrame:
-    """The columns of ``docs`` with the document's own evidence ``_p`` and its ``_host`` and ``_path``."""
-    keyed = docs.withColumns({"_host": host_of(F.col(site)), "_path": path_of(F.col(site)), "_text": F.col("text").cast("string")})
-    schema = T.StructType([*(f for f in keyed.schema if f.name != "_text"), T.StructField("_p", T.DoubleType())])
-    arrow = pa.schema([pa.field(f.name, pa.null()) for f in schema])
-    return keyed.mapInArrow(lambda batches: tidy(_scored(batches, model, arrow)), schema)
+def scored(docs: DataFrame, model: Broadcast, site: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with the document's own evidence ``_p`` and its ``_host`` and ``_path``."""
+    keyed = docs.withColumns({"_host": host_of(F.col(site)), "_path": path_of(F.col(site)), "text": F.col("text").cast("string")})
+    schema = T.StructType([*(keyed.schema[c] for c in (*keep, "_host", "_path")), T.StructField("_p", T.DoubleType())])
+    names = schema.names
+    return keyed.mapInArrow(lambda batches: tidy(_scored(batches, model, names)), schema)
 
 
 def _weight(squares: Column, mean: Column, n: Column, n2: Column, groups: Column) -> Column:
@@ -160,22 +166,23 @@ def site_table(evidence: DataFrame) -> DataFrame:
     return attach(paths, hosts.select("_host", "host_n", "host_sum"), ["_host"], "inner", 64).join(F.broadcast(priors))
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, site: str = "source") -> DataFrame:
-    """The columns of ``docs`` with p_doc, p_site and quality."""
+def with_quality(docs: DataFrame, labels: DataFrame, site: str = "source", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) with p_doc, p_site and quality_score. Texts are scored once and the rows written with their evidence."""
     spark = docs.sparkSession
     small_batches(spark)
+    keep = keep or docs.columns
     model = spark.sparkContext.broadcast(learn(docs, labels))
-    evidence = scored(docs.select("text", site), model, site).select("_host", "_path", "_p")
-    sites = saved(site_table(evidence), "sites")
-    rows = attach(scored(docs, model, site), sites, ["_host", "_path"], "left", 128)
+    rows = saved(scored(docs, model, site, keep), "evidence")
+    sites = saved(site_table(rows.select("_host", "_path", "_p")), "sites")
+    rows = attach(rows, sites, ["_host", "_path"], "left", 128)
     host = (F.col("host_sum") - F.col("_p") + F.col("host_weight") * F.col("mean")) / (F.col("host_n") - 1 + F.col("host_weight"))
     path = (F.col("path_sum") - F.col("_p") + F.col("path_weight") * host) / (F.col("path_n") - 1 + F.col("path_weight"))
     odds = lambda p: F.ln(F.greatest(p, F.lit(1e-6)) / F.greatest(1 - p, F.lit(1e-6)))
     both = odds(F.col("_p")) + odds(path) - odds(F.col("mean"))
-    return rows.select(*docs.columns, F.col("_p").alias("p_doc"), path.alias("p_site"), (1 / (1 + F.exp(-both))).alias("quality_score"))
+    return rows.select(*keep, F.col("_p").alias("p_doc"), path.alias("p_site"), (1 / (1 + F.exp(-both))).alias("quality_score"))
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, site: str = "source", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the site, p_doc, p_site, quality_score and kept of every document."""
-    rows = with_quality(docs.select(F.col("doc_id").cast("long"), "text", site), labels, site)
-    return rows.drop("text").withColumn("kept", F.col("quality_score") >= threshold)
+    rows = with_quality(docs.select(F.col("doc_id").cast("long"), "text", site), labels, site, ["doc_id", site])
+    return rows.withColumn("kept", F.col("quality_score") >= threshold)
