@@ -3,123 +3,182 @@
 For each language a tree of byte contexts of order 0 to ORDER holds how often
 each byte followed; a byte that never followed a context costs that context's
 escape (method C) and is predicted by the next shorter one, without the bytes
-already excluded there, down to the uniform order -1. The statistics are frozen
+already excluded there, down to the uniform order -1. A context of the longest
+order is in the tree only if it occurred MIN_COUNT times, and of those the
+CONTEXTS most frequent: the trees are of variable order. The statistics are frozen
 after the fit, so every context has a fixed code length for every byte and a
-text's exact code length under a language is a sum over its bytes. The contexts
-of all languages are the states of one automaton of at most MAX_STATES states;
-a state stands for the longest context in the tree, and scoring is two table
-lookups per byte, vectorised over the batch.
-
-The fit reads a documented sample: about SAMPLE_ROWS training rows of each of
-the MAX_LANGS most frequent languages, chosen by a hash of the row, of at most
-SAMPLE_BYTES each. Scoring covers every text whole, A-Z and other capitals
-lower-cased. A text that is null or has no letter is ``und`` with score 0. Equal
-code lengths go to the first language in order of names. With no training rows
-every text is ``und``. Repeated rows are scored each; columns besides doc_id,
-text and lang are not read.
+text's exact code length under a language is a sum over its bytes.
+
+Languages share no table: each contributes, for its contexts, the escape's length
+and, for the bytes it saw there, what they cost less than that escape and the
+shorter context together. So the model grows with what the languages saw, not with
+their number times all contexts. A worker keeps the summed lengths of the byte
+runs it has met, CACHE_BYTES at most, and scores a text by one lookup per byte.
+
+The fit reads a documented sample: of each language the SAMPLE_ROWS training rows
+with the smallest hashes, of each at most SAMPLE_CHARS successive characters from a
+place chosen by the hash. Every non-null language is learned. Scoring covers every
+text whole, capitals lower-cased. A text that is null or has no letter is ``und``
+with score 0. Equal code lengths go to the first language in order of names. With
+no training rows every text is ``und``. Repeated rows are scored each, alike; an
+empty table gives no rows; columns besides doc_id, text and lang are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import records, slices, small_batches, texts
+from .shared import Table, mixed, records, slices, small_batches, texts
 
 ORDER = 3
-SAMPLE_ROWS, SAMPLE_BYTES, MAX_LANGS = 300, 1 << 16, 64
-MAX_STATES, MIN_COUNT = 8192, 12
+SAMPLE_ROWS, SAMPLE_CHARS = 300, 4096
+CONTEXTS, MIN_COUNT = 1 << 14, 4
+CACHE_BYTES, SCORE_BYTES, BLOCK = 48 << 20, 1 << 18, 16
 UNKNOWN = "und"
 
 
 @dataclass
-class ContextTrees:
-    """langs; symbol of each byte; state after each run of ORDER symbols; code length in bits of each symbol in each state by language."""
+class Sparse:
+    """By key (of ``keys``, ascending) the languages that have it and a length for each."""
 
-    langs: list[str]
-    symbol: np.ndarray
-    state: np.ndarray
+    keys: np.ndarray
+    bound: np.ndarray
+    lang: np.ndarray
     bits: np.ndarray
 
+    @classmethod
+    def of(cls, parts: list[tuple[np.ndarray, np.ndarray]]) -> Sparse:
+        """From the keys and lengths of each language."""
+        key = np.concatenate([np.zeros(0, np.int64), *(k for k, _ in parts)])
+        lang = np.repeat(np.arange(len(parts)), [len(k) for k, _ in parts])
+        bits = np.concatenate([np.zeros(0), *(x for _, x in parts)])
+        order = np.argsort(key, kind="stable")
+        keys, first = np.unique(key[order], return_index=True)
+        return cls(keys, np.append(first, len(key)), lang[order].astype(np.int32), bits[order])
+
+    def add(self, out: np.ndarray, keys: np.ndarray) -> None:
+        """Add the lengths of each row's key to its languages."""
+        if not len(self.keys):
+            return
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        row = np.flatnonzero(self.keys[at] == keys)
+        at = at[row]
+        size = self.bound[at + 1] - self.bound[at]
+        end = np.cumsum(size)
+        place = np.repeat(self.bound[at] - end + size, size) + np.arange(size.sum())
+        out[np.repeat(row, size), self.lang[place]] += self.bits[place]
 
-def _step(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Probabilities in each context from its counts and those of the next shorter context (both [..., symbols])."""
-    total, kinds = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
-    rest = np.where(counts > 0, 0.0, lower)
-    rest_mass = rest.sum(-1, keepdims=True)
-    spare = rest_mass > 1e-12
-    escape = np.where(spare, kinds / np.maximum(total + kinds, 1), 0.0)
-    seen = counts / np.maximum(np.where(spare, total + kinds, total), 1)
-    return np.where(total > 0, seen + escape * rest / np.maximum(rest_mass, 1e-12), lower)
 
+@dataclass
+class ContextTrees:
+    """langs; code length of each byte by order 0; for the orders above the escapes by context and the savings by context and byte."""
 
-def fit(samples: dict[str, list[str]], max_states: int = MAX_STATES) -> ContextTrees:
+    langs: list[str]
+    base: np.ndarray
+    escapes: list[Sparse]
+    savings: list[Sparse]
+    cache: tuple[Table, np.ndarray] | None = field(default=None, repr=False)
+
+    def lengths(self, codes: np.ndarray) -> np.ndarray:
+        """Code lengths under each language of the last byte of runs of ORDER + 1 bytes."""
+        out = self.base[codes & 255]
+        for m, (escape, saving) in enumerate(zip(self.escapes, self.savings, strict=True), 1):
+            escape.add(out, codes >> 8 & (1 << 8 * m) - 1)
+            saving.add(out, codes & (1 << 8 * m + 8) - 1)
+        return out
+
+    def rows(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each run of bytes a row of the table of lengths, and that table."""
+        room = max(CACHE_BYTES // (4 * max(len(self.langs), 1)), 1)
+        table, bits = self.cache or (Table(), np.zeros((0, len(self.langs)), np.float32))
+        if table.n > room:
+            table, bits = Table(), np.zeros((0, len(self.langs)), np.float32)
+        key = mixed(codes.astype(np.uint64) + np.uint64(1))
+        at = table(key)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            own, where, back = np.unique(key[new], return_index=True, return_inverse=True)
+            first = table.n
+            if first + len(own) > len(bits):
+                wider = np.zeros((2 * (first + len(own)), bits.shape[1]), np.float32)
+                wider[:first] = bits[:first]
+                bits = wider
+            bits[first : first + len(own)] = self.lengths(codes[new[where]])
+            table.store(own, first + np.arange(len(own)))
+            at[new] = first + back
+        self.cache = table, bits
+        return at, bits
+
+
+def _codes(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The run of ORDER + 1 bytes that ends at each byte; a text starts after blanks."""
+    codes = np.zeros(len(raw), np.int64)
+    place = np.arange(len(raw)) - np.repeat(at[:-1], np.diff(at))
+    for d in range(ORDER + 1):
+        byte = np.full(len(raw), 32, np.int64)
+        byte[d:] = raw[: len(raw) - d]
+        codes |= np.where(place >= d, byte, 32) << 8 * d
+    return codes
+
+
+def _tree(codes: np.ndarray, contexts: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray]]]:
+    """Order 0 lengths of all bytes, and for each order above the escapes of the contexts and the savings of the bytes seen in them."""
+    count = np.bincount(codes & 255, minlength=256)
+    kinds = (count > 0).sum()
+    full = np.where(count > 0, count, kinds / max(256 - kinds, 1)) / (count.sum() + kinds * (kinds < 256))
+    base = -np.log2(np.maximum(full, 1e-300))
+    below, below_bits = np.arange(256), base
+    escapes, savings = [], []
+    for m in range(1, ORDER + 1):
+        seen, n = np.unique(codes & (1 << 8 * m + 8) - 1, return_counts=True)
+        context, first, kinds = np.unique(seen >> 8, return_index=True, return_counts=True)
+        total = np.add.reduceat(n, first) if len(first) else n
+        low = below_bits[np.searchsorted(below, seen & (1 << 8 * m) - 1)]
+        left = 1.0 - (np.add.reduceat(np.exp2(-low), first) if len(first) else low)
+        keep = np.ones(len(context), bool)
+        if m == ORDER:
+            rank = np.empty(len(context), np.int64)
+            rank[np.lexsort((context, -total))] = np.arange(len(context))
+            keep = (total >= MIN_COUNT) & (rank < contexts)
+        spare = left > 1e-9  # else every byte has followed, and nothing escapes
+        mass = np.where(spare, total + kinds, total)
+        escape = np.where(spare, np.log2(mass / kinds) + np.log2(np.maximum(left, 1e-9)), 0.0)
+        own = np.log2(np.repeat(mass, kinds) / n)
+        of = np.repeat(keep, kinds)
+        escapes.append((context[keep], escape[keep]))
+        savings.append((seen[of], (own - np.repeat(escape, kinds) - low)[of]))
+        below, below_bits = seen, np.where(of, own, low)
+    return base, escapes, savings
+
+
+def fit(samples: dict[str, list[str]], contexts: int = CONTEXTS) -> ContextTrees:
     """Context trees of the given texts by language."""
     langs = sorted(samples)
-    joined = {k: np.frombuffer("\n".join([" ", *samples[k], " "]).lower().encode(), np.uint8) for k in langs}
-    used = np.unique(np.concatenate([np.zeros(0, np.uint8), *joined.values()]))
-    n = len(used) + 1  # symbol 0: bytes the sample lacks
-    symbol = np.zeros(256, np.int32)
-    symbol[used] = np.arange(1, n)
-    streams = {k: symbol[v].astype(np.int64) for k, v in joined.items()}
-    third: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    seen = np.zeros(n**ORDER, np.int64)
-    for k, s in streams.items():
-        codes = ((s[:-3] * n + s[1:-2]) * n + s[2:-1]) * n + s[3:]
-        third[k] = np.unique(codes, return_counts=True)
-        np.add.at(seen, third[k][0] // n, third[k][1])
-    deep = np.flatnonzero(seen >= MIN_COUNT)
-    deep = deep[np.argsort(-seen[deep], kind="stable")][: max(0, max_states - n * n)]
-    # the first n*n states are the contexts of order 2, the others the kept ones of order 3
-    state = np.tile(np.arange(n * n, dtype=np.int32), n)
-    state[deep] = n * n + np.arange(len(deep), dtype=np.int32)
-    uniform = np.full(n, 1.0 / 256)
-    uniform[0] = max(1.0 - (n - 1) / 256, 1.0 / 256)
-    bits = np.zeros((n * n + len(deep), n, len(langs)), np.float32)
-    for j, k in enumerate(langs):
-        s = streams[k]
-        c1 = np.bincount(s, minlength=n)
-        c2 = np.bincount(s[:-1] * n + s[1:], minlength=n * n).reshape(n, n)
-        c3 = np.bincount((s[:-2] * n + s[1:-1]) * n + s[2:], minlength=n**3).reshape(n, n, n)
-        codes, counts = third[k]
-        c4 = np.zeros((len(deep), n))
-        at = np.full(n**ORDER, -1, np.int32)
-        at[deep] = np.arange(len(deep))
-        mine = at[codes // n] >= 0
-        c4[at[codes[mine] // n], codes[mine] % n] = counts[mine]
-        p1 = _step(c1, uniform)
-        p2 = _step(c2, np.broadcast_to(p1, (n, n)))
-        p3 = _step(c3, np.broadcast_to(p2, (n, n, n))).reshape(n * n, n)
-        p4 = _step(c4, p3[deep % (n * n)])
-        bits[:, :, j] = -np.log2(np.maximum(np.concatenate([p3, p4]), 1e-9))
-    # an unknown byte stands for each byte the sample lacks
-    bits[:, 0, :] += np.float32(np.log2(max(257 - n, 1)))
-    return ContextTrees(langs, symbol, state, np.ascontiguousarray(bits.reshape(bits.shape[0] * n, len(langs))))
+    trees = []
+    for k in langs:
+        own = [x.lower().encode() for x in samples[k]]
+        at = np.concatenate([[0], np.cumsum([len(x) for x in own], dtype=np.int64)])
+        trees.append(_tree(_codes(np.frombuffer(b"".join(own), np.uint8), at), contexts))
+    base = np.column_stack([t[0] for t in trees]) if trees else np.zeros((256, 0))
+    return ContextTrees(langs, base, *([Sparse.of([t[i][m] for t in trees]) for m in range(ORDER)] for i in (1, 2)))
 
 
 def code_lengths(trees: ContextTrees, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Code length in bits of each row under each language."""
-    n = round(len(trees.state) ** (1 / ORDER))
-    s = trees.symbol[raw]
-    blank = int(trees.symbol[32])
-    before = [np.concatenate([np.full(d, blank, np.int32), s[: len(s) - d]])[: len(s)] for d in (1, 2, 3)]
-    for d in (1, 2, 3):  # a text starts after blanks, not after the row before it
-        for e in range(d):
-            first = at[:-1] + e
-            before[d - 1][first[first < at[1:]]] = blank
-    cell = trees.state[(before[2] * n + before[1]) * n + before[0]] * n + s
-    out = np.empty((len(at) - 1, len(trees.langs)))
-    for j in range(len(trees.langs)):
-        sums = np.zeros(len(s) + 1)
-        np.cumsum(trees.bits[cell, j], out=sums[1:], dtype=np.float64)
-        out[:, j] = sums[at[1:]] - sums[at[:-1]]
+    out = np.zeros((len(at) - 1, len(trees.langs)))
+    some = np.flatnonzero(np.diff(at))
+    if len(some):
+        row, bits = trees.rows(_codes(raw, at))
+        for j in range(0, len(trees.langs), BLOCK):
+            out[some, j : j + BLOCK] = np.add.reduceat(bits[:, j : j + BLOCK][row], at[:-1][some], axis=0, dtype=np.float64)
     return out
 
 
@@ -130,7 +189,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa
         letters = pc.match_substring_regex(column, r"\p{L}").to_numpy(zero_copy_only=False).astype(bool)
         raw, at = texts(pc.utf8_lower(column))
         names, scores = np.full(len(column), UNKNOWN, object), np.zeros(len(column))
-        for lo, hi in slices(at) if trees.langs else ():
+        for lo, hi in slices(at, SCORE_BYTES) if trees.langs else ():
             bits = code_lengths(trees, raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
             best = bits.argmin(1)
             share = 1 / np.exp2(np.maximum(bits.min(1)[:, None] - bits, -1000)).sum(1)
@@ -148,14 +207,17 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def learn(docs: DataFrame) -> ContextTrees:
     """Fit on the documented sample of the rows that are not held out."""
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return fit({})
-    share = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, SAMPLE_ROWS / r["count"])))))
-    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    sample = rows.where((F.octet_length("text") <= SAMPLE_BYTES) & (rank <= F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(-1.0)))).select("lang", "text", F.xxhash64("doc_id", "text").alias("o"))
+    # most rows are passed over by their hash alone; the rank then is exact
+    share = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, (2 * SAMPLE_ROWS + 100) / r["count"])))))
+    near = rows.withColumn("o", F.xxhash64("doc_id", "text")).where(F.col("o") / float(1 << 63) <= 2.0 * share[F.col("lang")] - 1.0)
+    begin = F.pmod(F.col("o"), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    near = near.select("lang", "o", F.substring(F.col("text"), begin, F.lit(SAMPLE_CHARS)).alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("o", "text"))
     found: dict[str, list[str]] = {}
-    for r in sorted(sample.limit(2 * SAMPLE_ROWS * MAX_LANGS).collect(), key=lambda r: (r["lang"], r["o"])):
+    for r in sorted(near.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_ROWS).collect(), key=lambda r: (r["lang"], r["nth"])):
         found.setdefault(r["lang"], []).append(r["text"])
     return fit(found)
 
