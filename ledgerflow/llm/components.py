@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import discard, saved
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,7 +32,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = saved(links.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "edges")
     mark = None
     while True:
-        edges = saved(_star(_star(edges, True), False), "edges")
+        before, edges = edges, saved(_star(_star(edges, True), False), "edges")
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
         if now == mark or now[0] == 0:
             break

@@ -13,17 +13,23 @@ members of a group: first each class is verified against one leader of the
 prefix shingles it shares, the cleanest member; then, by the components so far,
 only members of different components that share a prefix shingle and pass the
 exact length and position bounds are counted, and those that share ``need`` are
-verified. Links inside a component cannot change it and are not looked for.
+verified. Long lists of a shingle are joined by bands of set sizes, and a pair
+whose parity sketches differ in more bits than the sets may differ in shingles is
+dropped in the join: sets that differ in d shingles differ in at most d such bits. Links inside a component cannot change it and are not looked for.
 
 Null texts and texts without words have empty sets and link with nothing; fewer
 words than a shingle are one shingle. Rows with a null doc_id take no part and
 have a null component. A repeated doc_id is one document that has all its rows' texts.
+Ties of leaders go to the smallest id and change no component. An empty table gives
+no rows; columns besides doc_id and text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import Spans, attach, mixed, records, saved, slices, small_batches, texts, tidy, windows, words
+from .shared import Spans, attach, discard, mixed, records, saved, slices, small_batches, texts, tidy, windows, words
 
 SIZE, PERCENT = 5, 80
 MAX_NEED = 4
@@ -40,6 +46,8 @@ SKETCH_BITS, BLOCK_BITS = 20, 14
 FILTER_BITS = 23
 #: Pairs of whole sets in a batch: both sets of a pair can be large.
 PAIR_ROWS = 64
+#: Longs of a parity sketch; lists of a shingle beyond this length are joined by bands.
+SKETCH_LONGS, BAND_FROM = 8, 32
 
 
 # -- shingles --------------------------------------------------------------------
@@ -140,7 +148,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], counts: Broadcast, size: int, p
     table = counts.value
     usual = float(table.mean())
     for batch in batches:
-        n, need, s1, s2, prefix, bound = [], [], [], [], [], [0]
+        n, need, s1, s2, prefix, bound, sketch = [], [], [], [], [], [0], []
         for own in row_sets(batch.column("text"), size):
             n.append(len(own))
             mix = mixed(own)
@@ -149,9 +157,11 @@ def _prefixes(batches: Iterator[pa.RecordBatch], counts: Broadcast, size: int, p
             head, least = prefix_of(own, table, usual, percent) if len(own) else (own, 0)
             need.append(least)
             prefix.append(head)
+            odd = np.bincount((mix >> np.uint64(1)).astype(np.int64) % (64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1
+            sketch.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             bound.append(bound[-1] + len(head))
         flat = np.concatenate(prefix) if prefix else np.zeros(0, np.uint64)
-        yield records(doc_id=batch.column("doc_id"), n=pa.array(n, pa.int64()), need=pa.array(need, pa.int32()), s1=pa.array(s1, pa.int64()), s2=pa.array(s2, pa.int64()), prefix=pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(flat.view(np.int64))))
+        yield records(doc_id=batch.column("doc_id"), n=pa.array(n, pa.int64()), need=pa.array(need, pa.int32()), s1=pa.array(s1, pa.int64()), s2=pa.array(s2, pa.int64()), prefix=pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(flat.view(np.int64))), sketch=pa.ListArray.from_arrays(pa.array(np.arange(0, SKETCH_LONGS * len(n) + 1, SKETCH_LONGS), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *sketch]))))
 
 
 # -- verification ----------------------------------------------------------------------
@@ -205,6 +215,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     both = pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("own").alias("own_x")), "x").join(sets.select(F.col("doc_id").alias("y"), F.col("own").alias("own_y")), "y")
     links = saved(both.select("x", "y", "own_x", "own_y").mapInArrow(lambda b: tidy(_overlaps(b, percent)), "x long, y long").distinct(), "links")
     small_batches(spark)
+    discard(sets)
     return links
 
 
@@ -223,13 +234,34 @@ def _may_link(percent: int, need: Column) -> Column:
     return (100 * small >= percent * large) & (F.col("px") <= F.col("nx") - o + need) & (F.col("py") <= F.col("ny") - o + need)
 
 
+def _sketches_allow(percent: int, x: str, y: str) -> Column:
+    """Whether sets with these parity sketches can differ in as few shingles as a link allows."""
+    bits = reduce(add, (F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH_LONGS)))
+    return bits <= F.col("nx") + F.col("ny") - 2 * _required(percent, "nx", "ny")
+
+
+def _sketches(heads: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and parity sketch of each of ``ids`` that has one set (a repeated id can have several)."""
+    some = attach(heads.where("n > 0").select(F.col("doc_id").alias("id"), "s1", "s2", "sketch"), saved(ids, "open-ids"), ["id"], "left_semi", 24)
+    one = some.groupBy("id").agg(F.first("sketch").alias("sketch"), F.min("s1").alias("a"), F.max("s1").alias("b"), F.min("s2").alias("c"), F.max("s2").alias("d"))
+    return saved(one.where("a = b and c = d").select("id", "sketch"), "sketches")
+
+
+def _banded(rows: DataFrame, percent: int, near: bool) -> DataFrame:
+    """Rows with a ``band`` of set sizes where their list is long; with ``near`` one row for each band whose sets can link."""
+    own = F.floor(F.ln("n") / F.ln(F.lit(100.0 / percent))).cast("long")
+    if near:
+        return rows.withColumn("band", F.explode(F.when(F.col("m") > BAND_FROM, F.array(own - 1, own, own + 1)).otherwise(F.array(F.lit(0).cast("long")))))
+    return rows.withColumn("band", F.when(F.col("m") > BAND_FROM, own).otherwise(F.lit(0).cast("long")))
+
+
 def near_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Members (doc_id, n, rep) of the classes of equal sets, and labels (id, label) of the representatives that link."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = spark.sparkContext.broadcast(shingle_counts(rows, size))
-    heads = saved(rows.mapInArrow(lambda b: tidy(_prefixes(b, counts, size, percent)), "doc_id long, n long, need int, s1 long, s2 long, prefix array<long>"), "prefixes")
+    heads = saved(rows.mapInArrow(lambda b: tidy(_prefixes(b, counts, size, percent)), "doc_id long, n long, need int, s1 long, s2 long, prefix array<long>, sketch array<long>"), "prefixes")
     sized = heads.select("doc_id", "n", "s1", "s2")
     classes = saved(sized.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
     members = saved(sized.join(classes, ["n", "s1", "s2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
@@ -240,6 +272,7 @@ def near_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     by_token = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct((F.col("pos") / F.col("n")).alias("rank"), "id", "n", "pos", "need")).alias("lead")).where("m > 1")
     by_token = saved(by_token.select("token", F.col("lead.id").alias("lead"), F.col("lead.n").alias("ny"), F.col("lead.pos").alias("py"), F.col("lead.need").alias("lead_need")), "lists")
     lists = saved(tokens.join(by_token.select("token", "lead", "ny", "py", "lead_need"), "token"), "postings")
+    discard(by_token, classes)
     led = lists.where("id <> lead").withColumnsRenamed({"n": "nx", "pos": "px"}).where(_may_link(percent, F.least("need", "lead_need")))
     shared = led.groupBy("id", "lead").agg(F.count(F.lit(1)).alias("shared"))
     best = shared.groupBy("id").agg(F.max(F.struct("shared", (-F.col("lead")).alias("o"), "lead")).alias("best"))
@@ -248,19 +281,24 @@ def near_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     labels = connected_components(links)
     now = lists.join(labels.withColumnRenamed("label", "c"), "id", "left").select("token", "id", F.col("n"), "need", "pos", F.coalesce("c", "id").alias("c"))
     now = saved(now, "labelled")
-    open_ = now.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least")).where("lo < hi").select("token", "least")
+    discard(lists)
+    open_ = now.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("token", "least", "m")
     left = now.join(open_, "token")
     # a shingle too far back for even the smallest partner in its list is left out
     small = F.greatest("least", F.ceil(F.col("n") * percent / 100.0))
     left = saved(left.where(F.col("pos") <= F.col("n") + F.floor(-(F.col("n") + small) * percent / (100.0 + percent) + 1e-9) + F.col("need")).drop("least"), "open")
-    x = left.select("token", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("need").alias("need_x"), F.col("c").alias("cx"))
-    y = left.select("token", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("need").alias("need_y"), F.col("c").alias("cy"))
+    left = attach(left, _sketches(heads, left.select("id").distinct()), ["id"], "left", 128)
+    x = _banded(left, percent, False).select("token", "band", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("need").alias("need_x"), F.col("c").alias("cx"), F.col("sketch").alias("sx"))
+    y = _banded(left, percent, True).select("token", "band", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("need").alias("need_y"), F.col("c").alias("cy"), F.col("sketch").alias("sy"))
     need = F.least("need_x", "need_y")
-    pairs = x.join(y, "token").where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & _may_link(percent, need))
+    may = (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & _may_link(percent, need) & F.coalesce(_sketches_allow(percent, "sx", "sy"), F.lit(True))
+    pairs = x.join(y, ["token", "band"]).where(may)
     pairs = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("k"), F.first(need).alias("need")).where("k >= need").select("x", "y")
     pairs = saved(pairs.join(first, ["x", "y"], "left_anti"), "candidates")
+    discard(heads, now, first)
     more = verified(pairs, rows, size, percent)
-    labels = connected_components(links.unionByName(more))
+    labels = saved(connected_components(links.unionByName(more)), "labels")
+    discard(pairs, links, more)
     return members, labels
 
 
