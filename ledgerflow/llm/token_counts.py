@@ -4,16 +4,20 @@ Tier one is a broadcast hash table of pre-token lengths. A byte-pair vocabulary
 lists its entries by how frequent they were, so the table holds every entry that
 is a pre-token, with the length the library gives it: at most the vocabulary's
 size, whatever the input's. Tier two is each Python worker's own cache of the
-lengths of all other pre-tokens, emptied when it reaches CACHE_ENTRIES. Texts
-with characters whose classes could differ between regular-expression engines,
-or with the text of a special token, go to the library whole.
+lengths of all other pre-tokens, emptied when it reaches CACHE_ENTRIES. Pre-tokens
+come from the rule below where a text has only characters that every engine of
+regular expressions classes alike, and else from the library's own pre-tokenizer,
+so both tiers serve every script. The text of a special token is one token and
+parts the text, as the library does it by default.
 
 Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each;
-columns other than doc_id and text are not read.
+ties cannot occur; an empty table gives no rows; columns other than doc_id and text
+are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -60,32 +64,52 @@ def frequent_lengths(path: str) -> dict[str, int]:
     t = tokenizer_of(path)
     special = {x.content for x in t.get_added_tokens_decoder().values()}
     whole = regex.compile(PRE_TOKEN)
-    pieces = [p for p in t.decode_batch([[i] for i in range(t.get_vocab_size())], skip_special_tokens=False) if p not in special and PLAIN.fullmatch(p) and (m := whole.match(p)) and m.end() == len(p)]
+    pieces = [p for p in t.decode_batch([[i] for i in range(t.get_vocab_size())], skip_special_tokens=False) if p and p not in special and "\ufffd" not in p]
+    pieces = [p for p in pieces if ((m := whole.match(p)) and m.end() == len(p) if PLAIN.fullmatch(p) else len(t.pre_tokenizer.pre_tokenize_str(p)) == 1)]
     return dict(zip(pieces, (len(e.ids) for e in t.encode_batch(pieces, add_special_tokens=False)), strict=True))
 
 
-_workers: dict[str, tuple[Lengths, tuple[str, ...]]] = {}
+def simple_specials(t) -> list[str] | None:
+    """The texts of special tokens, the longest first; None if one has rules of its own or the tokenizer rewrites texts first."""
+    added = t.get_added_tokens_decoder().values()
+    if t.normalizer is not None or t.pre_tokenizer is None or any(x.lstrip or x.rstrip or x.single_word for x in added):
+        return None
+    return sorted((x.content for x in added), key=len, reverse=True)
 
 
-def _lengths(path: str, frequent: dict[str, int]) -> tuple[Lengths, tuple[str, ...]]:
-    if path not in _workers:
-        t = tokenizer_of(path)
-        _workers[path] = Lengths(frequent, t), tuple(x.content for x in t.get_added_tokens_decoder().values())
-    return _workers[path]
+class Counter:
+    """Counts the tokens of texts by lookups of their pre-tokens."""
+
+    def __init__(self, path: str, frequent: dict[str, int]):
+        self.tokenizer = tokenizer_of(path)
+        self.lengths = Lengths(frequent, self.tokenizer)
+        self.pre_tokens, self.plain = regex.compile(PRE_TOKEN).findall, PLAIN.fullmatch
+        self.specials = simple_specials(self.tokenizer)
+        self.split = re.compile("|".join(map(re.escape, self.specials))).split if self.specials else None
+
+    def __call__(self, text: str) -> int:
+        if self.specials is None:
+            return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if self.split and any(s in text for s in self.specials):
+            parts = self.split(text)
+            return len(parts) - 1 + sum(map(self.part, parts))
+        return self.part(text)
+
+    def part(self, text: str) -> int:
+        if self.plain(text):
+            return sum(map(self.lengths.__getitem__, self.pre_tokens(text)))
+        return sum(self.lengths[text[a:b]] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+
+
+_workers: dict[str, Counter] = {}
 
 
 def count_batches(batches: Iterator[pa.RecordBatch], path: str, frequent: Broadcast) -> Iterator[pa.RecordBatch]:
-    lengths, special = _lengths(path, frequent.value)
-    pre_tokens, plain, one = regex.compile(PRE_TOKEN).findall, PLAIN.fullmatch, lengths.__getitem__
+    if path not in _workers:
+        _workers[path] = Counter(path, frequent.value)
+    count = _workers[path]
     for batch in batches:
-        counts = []
-        for text in batch.column("text").to_pylist():
-            if not text:
-                counts.append(0)
-            elif plain(text) and not any(s in text for s in special):
-                counts.append(sum(map(one, pre_tokens(text))))
-            else:
-                counts.append(len(lengths.tokenizer.encode(text, add_special_tokens=False).ids))
+        counts = [count(text) if text else 0 for text in batch.column("text").to_pylist()]
         yield records(doc_id=batch.column("doc_id"), n_bytes=batch.column("n_bytes"), n_tokens=pa.array(counts, pa.int64()))
 
 
