@@ -12,7 +12,10 @@ adverts, forms and comments in many spellings.
 The article's text comes out in blocks: character references decoded, white
 space inside a block one space, trimmed, blocks in page order joined by an empty
 line. Null and empty pages, and pages without article text, give an empty string.
-Repeated rows are extracted each. Whole pages are parsed, whatever their length.
+Repeated rows are extracted each, alike; sets of equal log-odds keep the smaller
+one. Whole pages are parsed, whatever their length, in time that grows with it. An
+empty table gives no rows; columns besides page_id, url and html are not read, so
+their names cannot clash.
 """
 
 from __future__ import annotations
@@ -32,11 +35,12 @@ from . import boosted_trees
 from .shared import records, small_batches
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute with its name and value, so that no name is looked for inside another name or a value.
+_ATTRIBUTE = re.compile(r"([^\s=/>\"'][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _SPACE = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea select canvas audio video xmp".split())
+RAW = frozenset("script style noscript template iframe textarea select xmp".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 #: What a start tag closes when it is open, up to the nearest of SCOPE.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
@@ -66,7 +70,7 @@ class Page:
                     hidden |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
                 elif name == "hidden" or name == "aria-hidden":
                     hidden |= name == "hidden" or value.lower() == "true"
-                else:
+                elif name in ("class", "id", "role", "itemprop"):
                     found += [x.lower() for x in _TOKEN.findall(value)]
             tokens = tuple(found)
         self.tag.append(tag)
@@ -77,6 +81,7 @@ class Page:
 
     def _parse(self, source: str) -> None:
         stack, at, n = [0], 0, len(source)
+        open_: dict[str, int] = {}  # how many of each tag are on the stack
         while at < n:
             m = _TAG.search(source, at)
             start = m.start() if m else n
@@ -92,32 +97,42 @@ class Page:
                 continue
             tag = tag.lower()
             if end:
-                open_ = [self.tag[i] for i in stack]
-                if tag in open_[1:]:
-                    while self.tag[stack.pop()] != tag:
+                if open_.get(tag):
+                    while self._pop(stack, open_) != tag:
                         pass
                 if tag in BLOCK:
                     self.block += 1
                 continue
             if tag in BLOCK:
                 self.block += 1
-                self._close(stack, {"p"}, within=SCOPE)
+                self._close(stack, open_, {"p"}, within=SCOPE)
             if tag in CLOSES:
-                self._close(stack, CLOSES[tag], within=SCOPE - CLOSES[tag])
+                self._close(stack, open_, CLOSES[tag], within=SCOPE - CLOSES[tag])
             if tag in RAW:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
                 if not attributes.endswith("/") or tag in ("script", "style"):
-                    at = close.end() if close else n
+                    inside, at = source[at : close.start() if close else n], close.end() if close else n
+                    if tag == "xmp":  # text that shows as it stands
+                        self.runs.append((stack[-1], self.block, html.escape(inside)))
                 self.runs.append((stack[-1], self.block, " "))
             elif tag in VOID:
                 self.runs.append((stack[-1], self.block, " "))
             elif not attributes.endswith("/"):
                 stack.append(self._open(tag, attributes, stack[-1]))
+                open_[tag] = open_.get(tag, 0) + 1
 
-    def _close(self, stack: list[int], tags: set[str], within: frozenset[str]) -> None:
+    def _pop(self, stack: list[int], open_: dict[str, int]) -> str:
+        tag = self.tag[stack.pop()]
+        open_[tag] -= 1
+        return tag
+
+    def _close(self, stack: list[int], open_: dict[str, int], tags: set[str], within: frozenset[str]) -> None:
+        if not any(open_.get(t) for t in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if self.tag[stack[k]] in tags:
-                del stack[k:]
+                while len(stack) > k:
+                    self._pop(stack, open_)
                 return
             if self.tag[stack[k]] in within:
                 return
@@ -131,7 +146,7 @@ class Page:
             if length:
                 runs[node] += 1
                 stops[node] += text.count(".") + text.count(",")
-                digits[node] += sum(map(str.isdigit, text)) if length < 200 else 0
+                digits[node] += sum(map(text.count, "0123456789"))
         parent = np.array(self.parent)
         kind = np.array([_KIND.get(t, 30) for t in self.tag])
         bad = np.array([sum(t in BAD for t in x) for x in self.tokens], float)
