@@ -215,15 +215,54 @@ def test_language(spark, docs, none):
 
 def test_context_trees_are_distributions():
     trees = language_id.fit({"a": ["abab abba " * 30, "xyz abx"], "b": ["zzz yyy ababz " * 20]})
-    n = len(trees.bits) and int(round(len(trees.state) ** (1 / 3)))
-    mass = np.exp2(-trees.bits.reshape(-1, n, 2).astype(float))
-    mass[:, 0, :] *= max(257 - n, 1)  # one unknown byte stands for all of them
-    assert np.allclose(mass.sum(1), 1, atol=1e-3)
+    for context in (b"   ", b"aba", b"zzz", b"qqq", b" ab", b"yyy", b"xyz", b"\xff\x00a"):  # seen by both, by one, by none
+        codes = np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)])
+        assert np.allclose(np.exp2(-trees.lengths(codes)).sum(0), 1, atol=1e-9)
     raw = np.frombuffer(b"abab abbazzz yyy ababz", np.uint8)
     bits = language_id.code_lengths(trees, raw, np.array([0, 9, 9, len(raw)]))
     assert bits[0, 0] < bits[0, 1] and bits[2, 1] < bits[2, 0] and not bits[1].any()
 
 
+def brute_bits(samples, text, order=3, least=4):
+    """Code length by method C with exclusion, byte by byte from counted contexts."""
+    seen = collections.defaultdict(collections.Counter)
+    pad = lambda t: b" " * order + t.lower().encode()
+    for t in map(pad, samples):
+        for i in range(order, len(t)):
+            for m in range(order + 1):
+                seen[t[i - m : i]][t[i]] += 1
+
+    def chance(context):
+        lower = dict.fromkeys(range(256), 1 / 256) if not context and not isinstance(context, bytes) else chance(context[1:] if context else None)
+        own = seen.get(context) if context is not None else None
+        if not own or len(context) == order and sum(own.values()) < least:
+            return lower
+        n, k = sum(own.values()), len(own)
+        rest = sum(p for b, p in lower.items() if b not in own)
+        return {b: own[b] / (n + k) if b in own else k / (n + k) * p / rest for b, p in lower.items()}
+
+    t = pad(text)
+    return -sum(math.log2(chance(t[i - order : i])[t[i]]) for i in range(order, len(t)))
+
+
+def test_code_lengths_against_brute_force():
+    samples = {"a": ["the cat sat on the mat and the hat"] * 3 + ["then this"], "b": ["le chat est sur la table, là où il était"] * 4}
+    trees = language_id.fit(samples)
+    for text in ("the chat on the tab", "été", "x", "this là"):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        got = language_id.code_lengths(trees, raw, np.array([0, len(raw)]))[0]
+        assert np.allclose(got, [brute_bits(samples[k], text) for k in "ab"], atol=1e-3)
+
+
+def test_seventy_languages(spark):
+    r = random.Random(4)
+    words = {f"l{k:02d}": ["".join(r.choice("abcdefghijklmnopqrstuvwxyzäöüéèñ") for _ in range(r.randint(3, 9))) for _ in range(30)] for k in range(70)}
+    rows = [(i, " ".join(r.choice(w) for _ in range(40)), k) for i, (k, w) in enumerate((k, w) for k, w in words.items() for _ in range(8))]
+    out = language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    want = {i: k for i, _, k in rows}
+    assert sum(r["lang_pred"] == want[r["doc_id"]] for r in out.collect()) >= 0.98 * len(rows)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the driver's tables")
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
