@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .shared import Spans, Table, mixed, slices, small_batches, texts, tidy
 
 K, SEED, ALPHA, SHIFT = 2, 17, 2.0, 10.0
-UNIT_CHARS, MAX_STATES, BATCH_BYTES = 24, 800_000, 400_000
+UNIT_CHARS, MAX_STATES, BATCH_BYTES = 24, 400_000, 200_000
 _BASE = 0x9E6C63D0876A9A47
 SPACE = "▁"
 _MARK = SPACE.encode()
