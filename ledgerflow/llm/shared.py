@@ -78,7 +78,7 @@ def discard(*frames: DataFrame) -> None:
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables saved inside are deleted at the end; a result must be written within an inner-most call before that."""
+    """Tables saved inside are deleted at the end, but for those saved under ``kept``."""
     _scratch.append([])
     try:
         yield
@@ -87,6 +87,16 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             _delete(spark, path)
 
 
+@contextlib.contextmanager
+def kept() -> Iterator[None]:
+    """Tables saved inside outlive the ``scratch`` around them."""
+    outer, _scratch[:] = _scratch[:], []
+    try:
+        yield
+    finally:
+        _scratch[:] = outer
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all tables that this application has saved; results of operators that have not been written yet become unreadable."""
     _delete(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
