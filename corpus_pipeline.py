@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.decontaminate import with_leaks
@@ -13,7 +13,7 @@ from ledgerflow.llm.near_join import near_components
 from ledgerflow.llm.quality_classifier import THRESHOLD, with_quality
 from ledgerflow.llm.queries import table, tokenizer_file
 from ledgerflow.llm.sentencepieces import encode
-from ledgerflow.llm.shared import attach, folded, saved, unfolded
+from ledgerflow.llm.shared import attach, discard, folded, kept, row_key, saved, scratch, unfolded
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,11 +34,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the smallest id."""
+    """One document of each group of near copies: the smallest id, and of its rows with one text one. Rows without an id or without words stay."""
     members, labels = near_components(docs)
     out = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("first"))
     copies = saved(out.where("doc_id <> first").select("doc_id").distinct(), "copies")
-    return attach(docs, copies, ["doc_id"], "left_anti", 24).select(docs.columns)
+    again = saved(members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("n")).where("rows > 1 and n > 0").select("doc_id"), "repeated")
+    one = attach(docs, copies, ["doc_id"], "left_anti", 24).select(docs.columns)
+    many = attach(one, again, ["doc_id"], "left_semi", 24).select(docs.columns)
+    nth = F.row_number().over(Window.partitionBy("doc_id", row_key()).orderBy(F.xxhash64(*docs.columns)))
+    return attach(one, again, ["doc_id"], "left_anti", 24).select(docs.columns).unionByName(many.withColumn("_nth", nth).where("_nth = 1").drop("_nth"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +69,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in order, each written and read again; what a stage saved on its way goes once its rows are written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+        with scratch(spark):
+            rows = stage(spark, docs, sf_dir)
+            with kept():
+                docs = saved(rows, "stage-" + name.split()[0].lower())
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
