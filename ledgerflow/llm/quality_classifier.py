@@ -113,7 +113,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Logistic:
     part = F.xxhash64("doc_id") / float(1 << 63) <= 2.0 * (1.25 * SAMPLE_ROWS / max(rows.count(), 1)) - 1.0
     sample = rows.where(part).select(*order).orderBy("o", "doc_id", "quality").limit(SAMPLE_ROWS)
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "quality", F.xxhash64("doc_id", "text").alias("o"))
-    found = found.orderBy("o", "quality").limit(2 * SAMPLE_ROWS).mapInArrow(_statistics, "quality double, o long, x array<double>").toArrow()
+    found = found.mapInArrow(_statistics, "quality double, o long, x array<double>").orderBy("o", "quality").limit(2 * SAMPLE_ROWS).toArrow()
     y = found.column("quality").to_numpy()
     if len(np.unique(y > 0.5)) < 2:
         width = features(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
