@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Days before the period end at which a reporting period's window opens.
+#: What counts as white space, in every script.
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+#: Days before the period end at which a reporting period's window opens.
 PERIOD_DAYS = {"FY": 365, "H1": 183, "Q1": 92, "Q2": 92, "Q3": 92, "Q4": 92}
 #: Words in a concept's name that mark a cash-flow item.
 CASH_FLOW_HINTS = ("cashflow", "netcashprovided", "netcashused", "proceedsfrom", "paymentsto", "paymentsfor", "paymentsofdividends", "cashandcashequivalentsperiod")
@@ -15,7 +17,7 @@ MONEY_SCALE = {"million": 1_000_000.0, "billion": 1_000_000_000.0}
 
 def strip(c: Column) -> Column:
     """White space of any kind off both ends."""
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+", ""), r"\s+$", "")
+    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -33,7 +35,7 @@ def digits(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
-    return strip(F.regexp_replace(c, r"\s+", " "))
+    return F.btrim(F.regexp_replace(c, rf"{SPACE}+", " "), F.lit(" "))
 
 
 # dates
@@ -74,7 +76,24 @@ def epoch_date(seconds: Column) -> Column:
 
 
 def month_day_year(c: Column) -> Column:
-    return F.date_format(F.coalesce(F.try_to_timestamp(c, F.lit("M/d/yyyy")).cast("date")), "yyyy-MM-dd")
+    return F.date_format(F.try_to_timestamp(c, F.lit("M/d/yyyy")).cast("date"), "yyyy-MM-dd")
+
+
+def day_first(c: Column) -> Column:
+    """dd/mm/yyyy with or without a time after it."""
+    return F.date_format(F.try_to_timestamp(F.get(F.split(c, " "), F.lit(0)), F.lit("d/M/yyyy")).cast("date"), "yyyy-MM-dd")
+
+
+def period_end(c: Column) -> Column:
+    """The end of a dotted day or of a range of two."""
+    return to_iso(F.translate(strip(F.element_at(F.split(strip(c), "~"), -1)), "./", "--"))
+
+
+def range_or_default(start: str | None, end: str | None, today: str, years: int = 5) -> tuple[str, str]:
+    """The bounds asked for; without a start so many years before today, without an end today. February 29 falls on 28."""
+    year, rest = int(today[:4]) - years, today[4:]
+    leap = year % 4 == 0 and (year % 100 != 0 or year % 400 == 0)
+    return start or f"{year:04d}{'-02-28' if rest == '-02-29' and not leap else rest}", end or today
 
 
 def quarter_of(c: Column) -> Column:
@@ -166,19 +185,57 @@ def split_csv(c: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), strip), lambda x: x != "")
 
 
+def without_scripts(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>", " ")
+
+
 def strip_html(c: Column) -> Column:
     """Tags out, white space to single spaces; scripts and styles first."""
-    bare = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>", " ")
-    return squeeze(F.regexp_replace(bare, r"<[^>]*>", " "))
+    return squeeze(F.regexp_replace(without_scripts(c), r"<[^>]*>", " "))
+
+
+def unescape(c: Column) -> Column:
+    """The common character references, the ampersand last."""
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("apos", "'"), ("nbsp", "\xa0"), ("amp", "&")):
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
+    return c
+
+
+def html_lines(c: Column) -> Column:
+    """The stretches of text between tags, one a line, none empty."""
+    parts = F.transform(F.split(without_scripts(c), r"<[^>]*>"), lambda x: strip(unescape(x)))
+    return F.array_join(F.filter(parts, lambda x: x != ""), "\n")
 
 
 def line_key(c: Column) -> Column:
     """What running heads have in common from page to page: numbers as #, lower case."""
-    return F.lower(squeeze(F.regexp_replace(c, r"\d+", "#")))
+    return F.lower(squeeze(F.regexp_replace(c, r"\p{Nd}+", "#")))
+
+
+#: Fixed value: lines that hold a page's number alone.
+PAGE_NUMBER = r"(?iu)^[\s\p{Z}\-–—]*(?:page|p\.?|페이지|第)?[\s\p{Z}]*\p{Nd}+[\s\p{Z}]*(?:(?:of|/|–|—|-)[\s\p{Z}]*\p{Nd}+)?[\s\p{Z}]*(?:쪽|페이지|页)?[\s\p{Z}\-–—]*$"
 
 
 def is_page_number(c: Column) -> Column:
-    return c.rlike(r"(?i)^[\s\-–—]*(?:page|p\.?|페이지|第)?\s*\d+\s*(?:(?:of|/|–|—|-)\s*\d+)?\s*(?:쪽|페이지|页)?[\s\-–—]*$")
+    return c.rlike(PAGE_NUMBER)
+
+
+#: Fixed value: a cell that holds a number.
+NUMERIC_CELL = r"^\(?-?\p{Nd}[\p{Nd},.\s\p{Z}]*\)?%?$"
+
+
+def is_numeric(c: Column) -> Column:
+    return strip(c).rlike(NUMERIC_CELL)
+
+
+def json_strings(c: Column) -> Column:
+    """The texts of a JSON array; none where it is not one."""
+    return F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>"))
+
+
+def reply_json(c: Column, schema: str) -> Column:
+    """The JSON object in a free reply: from its first brace to its last."""
+    return F.from_json(F.nullif(F.regexp_extract(c, r"(?s)\{.*\}", 0), F.lit("")), schema)
 
 
 def content_key(c: Column) -> Column:

@@ -151,7 +151,7 @@ def upsert_coalesce_rules(spark, d):
 
 @query("SELECT * FROM (VALUES ('x', 'h', 2), ('x', NULL, 1), ('x', NULL, 1)) t(company, holder, v)")
 def upsert_null_key(spark, d):
-    rows = lambda v: spark.createDataFrame([("x", "h", v), ("x", None, 1)], "company string, holder string, v int")
+    rows = lambda v: spark.createDataFrame([("x", "h", v, 1), ("x", None, 1, 2)], "company string, holder string, v int, _ord int")
     return upsert(rows(1), rows(2), ["company", "holder"], "replace")
 
 
@@ -168,7 +168,7 @@ def coverage_grain_company(spark, d):
 def peers_first_wins(spark, d):
     c = base(spark, d, "customer")
     pairs = c.alias("a").join(c.alias("b"), (F.col("b.c_custkey") == F.col("a.c_custkey") + 1) & (F.col("a.c_nationkey") == F.col("b.c_nationkey"))).select(F.least("a.c_custkey", "b.c_custkey").alias("company_id"), F.greatest("a.c_custkey", "b.c_custkey").alias("peer_company_id"))
-    return upsert(pairs.limit(0), pairs.where("company_id <> peer_company_id"), ["company_id", "peer_company_id"], "ignore")
+    return upsert(pairs.limit(0), pairs.where("company_id <> peer_company_id").withColumn("_ord", F.col("company_id")), ["company_id", "peer_company_id"], "ignore")
 
 
 # -- documents ---------------------------------------------------------------------------

@@ -35,13 +35,15 @@ def test_numbers(spark):
 
 def test_upsert_policies(spark):
     old = spark.createDataFrame([("a", 1, "x"), (None, 1, "n")], "k string, v int, w string")
-    new = spark.createDataFrame([("a", 2, None), ("b", 3, "y"), (None, 1, "n")], "k string, v int, w string")
+    new = spark.createDataFrame([("a", 2, None, 1), ("b", 3, "y", 2), (None, 1, "n", 3)], "k string, v int, w string, _ord int")
     rows = lambda *a: sorted(map(tuple, upsert(old, new, ["k"], *a).collect()), key=str)
     assert rows("update", {"w": "coalesce_new_old"}) == sorted([("a", 2, "x"), ("b", 3, "y"), (None, 1, "n"), (None, 1, "n")], key=str)
     assert ("a", 2, None) in rows("replace")
     assert ("a", 1, "x") in rows("ignore")
     with pytest.raises(ValueError):
         upsert(old, new, ["k"], "other")
+    with pytest.raises(ValueError):
+        upsert(old, new.drop("_ord"), ["k"])
 
 
 def test_replace_partition(spark):
