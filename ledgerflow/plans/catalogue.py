@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import geometry, signals
 from ..operators.upsert import upsert
 from . import views
 from .standins import base, standin, with_standins
@@ -87,7 +88,7 @@ def needed_currencies(spark, d):
     return one("prices").union(one("financials")).union(one("securities")).where("currency IS NOT NULL AND currency <> 'USD'").distinct()
 
 
-@query("""SELECT company_id, round(value, 2) AS value FROM (SELECT company_id, value, row_number() OVER (PARTITION BY company_id ORDER BY fiscal_year DESC, account, statement_type DESC, value DESC) AS r
+@query("""SELECT company_id, round(value, 2) AS value FROM (SELECT company_id, value, row_number() OVER (PARTITION BY company_id ORDER BY fiscal_year DESC, CASE account WHEN 'O' THEN 1 ELSE 2 END, statement_type DESC, value DESC) AS r
 FROM financials WHERE fiscal_period = 'FY' AND fs_scope = 'CFS' AND value IS NOT NULL AND account IN ('O', 'F')) WHERE r = 1""")
 def latest_metric_cfs_fy(spark, d):
     return views.latest_metric(standin(spark, d, "financials"), ["O", "F"], "value").withColumn("value", F.round("value", 2))
@@ -118,16 +119,21 @@ _KEY = ["security_id", "trade_date", "source"]
 
 def _halves(spark, d):
     p = standin(spark, d, "prices").withColumn("_ord", F.col("ord"))
-    return p.where("ord % 5 < 3"), p.where("ord % 5 > 1").withColumn("close", F.col("close") + 1)
+    once = p.groupBy(*_KEY).agg(F.max_by(F.struct([c for c in p.columns if c not in _KEY]), "ord").alias("r")).select(*_KEY, "r.*")
+    new = p.where("ord % 5 > 1").withColumns({"close": F.col("close") + 1, "currency": F.when(F.col("ord") % 3 > 0, F.col("currency"))})
+    return once.where("ord % 5 < 3").drop("_ord"), new
 
 
-_BOTH = "WITH r AS (SELECT 0 AS side, * FROM prices WHERE ord % 5 < 3 UNION ALL SELECT 1, * REPLACE (close + 1 AS close) FROM prices WHERE ord % 5 > 1), k AS (SELECT *, row_number() OVER (PARTITION BY security_id, trade_date, source ORDER BY side {0}, ord {0}) AS n FROM r)"
+_BOTH = "WITH o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY security_id, trade_date, source ORDER BY ord DESC) AS n FROM prices) WHERE n = 1 AND ord % 5 < 3), r AS (SELECT 0 AS side, * EXCLUDE (n) FROM o UNION ALL SELECT 1, * REPLACE (close + 1 AS close, CASE WHEN ord % 3 > 0 THEN currency END AS currency) FROM prices WHERE ord % 5 > 1), k AS (SELECT *, row_number() OVER (PARTITION BY security_id, trade_date, source ORDER BY side {0}, ord {0}) AS n FROM r)"
 _UPSERTED = "SELECT security_id, trade_date, source, close, currency, ord FROM k WHERE n = 1"
 
 
-@query(f"{_BOTH.format('DESC')} {_UPSERTED}")
+_FILLED = "SELECT security_id, trade_date, source, arg_max(close, (side, ord)) AS close, arg_max(currency, (side, ord)) FILTER (currency IS NOT NULL) AS currency, arg_max(ord, (side, ord)) AS ord FROM k GROUP BY 1, 2, 3"
+
+
+@query(f"{_BOTH.format('DESC')} {_FILLED}")
 def upsert_prices_update(spark, d):
-    return upsert(*_halves(spark, d), _KEY, "update")
+    return upsert(*_halves(spark, d), _KEY, "update", {"currency": "coalesce_new_old"})
 
 
 @query(f"{_BOTH.format('DESC')} {_UPSERTED}")
@@ -202,35 +208,12 @@ def missing_lei_candidates(spark, d):
     return standin(spark, d, "companies").where("lei IS NULL").join(standin(spark, d, "securities"), "company_id", "left_semi").select("company_id", "name")
 
 
-@query("""SELECT regexp_replace(upper(c_name), '[^A-Z0-9]+', '', 'g') AS issuer, o_orderkey AS accession, o_totalprice AS value FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'""")
-def institutional_13f_join(spark, d):
-    cover = base(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), S.normalize_issuer(F.col("c_name")).alias("issuer"))
-    return base(spark, d, "orders").where("o_orderstatus = 'F'").join(cover, "o_custkey").select("issuer", F.col("o_orderkey").alias("accession"), F.col("o_totalprice").alias("value"))
-
-
 @query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY (props IS NOT NULL)::INT DESC, ts DESC, value DESC, event_id) AS r FROM events) WHERE r = 1""")
 def xbrl_best_record(spark, d):
     order = F.struct(F.col("props").isNotNull().cast("int"), "ts", "value", -F.col("event_id"))
     return base(spark, d, "events").groupBy("user_id", "event_type").agg(F.max_by(F.struct("event_id", "value"), order).alias("r")).select("user_id", "event_type", "r.*")
 
 
-@query("SELECT p_partkey, account, value FROM (SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part) UNPIVOT (value FOR account IN (p_size, p_retailprice))")
-def statement_unpivot(spark, d):
-    return base(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice").unpivot("p_partkey", ["p_size", "p_retailprice"], "account", "value").where("value IS NOT NULL")
-
-
-@query("""SELECT l_suppkey, metric, round(value, 2) AS value FROM (SELECT l_suppkey, sum(l_extendedprice) AS revenue, avg(l_discount) AS discount, max(l_tax) AS tax FROM lineitem GROUP BY 1) UNPIVOT (value FOR metric IN (revenue, discount, tax))""")
-def analyst_stack(spark, d):
-    wide = base(spark, d, "lineitem").groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("revenue"), F.avg("l_discount").alias("discount"), F.max("l_tax").alias("tax"))
-    return wide.unpivot("l_suppkey", ["revenue", "discount", "tax"], "metric", "value").withColumn("value", F.round("value", 2))
-
-
-@query("""SELECT event_id, user_id, CASE WHEN value > 50 THEN 'buy' WHEN value < 20 THEN 'sell' ELSE 'hold' END AS txn_type, CAST(row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) - 1 AS INT) AS txn_seq FROM events""")
-def insider_txn_seq(spark, d):
-    w = Window.partitionBy("user_id", F.to_date("ts")).orderBy("event_id")
-    return base(spark, d, "events").select("event_id", "user_id", F.when(F.col("value") > 50, "buy").when(F.col("value") < 20, "sell").otherwise("hold").alias("txn_type"), (F.row_number().over(w) - 1).alias("txn_seq"))
-
-
 @query("SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r <= 15")
 def recent_filings_topn(spark, d):
     w = Window.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))
@@ -242,12 +225,6 @@ def status_limit(spark, d):
     return base(spark, d, "events").select("event_id", "event_type").orderBy(F.desc("event_id")).limit(20)
 
 
-@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE contains(lower(o_orderpriority), 'urgent') OR contains(lower(o_orderpriority), 'low')")
-def filing_type_filter(spark, d):
-    words = F.array(F.lit("urgent"), F.lit("low"))
-    return base(spark, d, "orders").where(F.exists(words, lambda w: F.contains(F.lower("o_orderpriority"), w))).select("o_orderkey", "o_orderpriority")
-
-
 @query("SELECT filing_id, filed_date FROM filings WHERE filed_date IS NULL OR filed_date BETWEEN '2023-03-01' AND '2023-06-30'")
 def undated_range_filter(spark, d):
     return standin(spark, d, "filings").where(F.col("filed_date").isNull() | F.col("filed_date").between("2023-03-01", "2023-06-30")).select("filing_id", "filed_date")
@@ -259,28 +236,10 @@ def null_safe_country(spark, d):
     return c.alias("a").join(c.alias("b"), (F.lower("a.name") == F.lower("b.name")) & F.col("a.country").eqNullSafe(F.col("b.country"))).select(F.col("a.company_id"), F.col("b.company_id").alias("other_id"))
 
 
-@query("""SELECT o_custkey, min(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'F')::VARCHAR AS first_draft, min(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'O')::VARCHAR AS first_public,
-CAST(date_diff('day', min(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'F'), min(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'O')) AS INT) AS gap_days, count(*) FILTER (o_orderstatus = 'F') AS drafts
-FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'F') > 0 AND count(*) FILTER (o_orderstatus = 'O') > 0""")
-def confidential_review_gap(spark, d):
-    at = lambda s: F.min(F.when(F.col("o_orderstatus") == s, F.date_format("o_orderdate", "yyyy-MM-dd")))
-    g = base(spark, d, "orders").groupBy("o_custkey").agg(at("F").alias("first_draft"), at("O").alias("first_public"), F.count_if(F.col("o_orderstatus") == "F").alias("drafts"))
-    return g.where("first_draft IS NOT NULL AND first_public IS NOT NULL").withColumn("gap_days", S.days_between(F.col("first_draft"), F.col("first_public")))
-
-
-@query("SELECT source, min(doc_id) AS doc_id FROM documents WHERE text ILIKE '%license%' GROUP BY 1")
-def first_match_in_order(spark, d):
-    return base(spark, d, "documents").where(F.contains(F.lower("text"), F.lit("license"))).groupBy("source").agg(F.min("doc_id").alias("doc_id"))
-
-
-@query("SELECT lower(substr(text, 1, 40)) AS name, min(doc_id) AS doc_id FROM documents GROUP BY 1")
+@query("SELECT sha256(lower(text)) AS name, min(doc_id) AS doc_id FROM documents GROUP BY 1")
 def first_occurrence_dedup(spark, d):
-    return base(spark, d, "documents").groupBy(F.lower(F.substring("text", 1, 40)).alias("name")).agg(F.min("doc_id").alias("doc_id"))
-
-
-@query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders WHERE o_orderpriority ILIKE '%high%' GROUP BY 1")
-def annual_report_recency(spark, d):
-    return base(spark, d, "orders").where(F.contains(F.upper("o_orderpriority"), F.lit("HIGH"))).groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"))
+    rows = base(spark, d, "documents").select(F.sha2(F.lower("text").cast("binary"), 256).alias("name"), "doc_id")
+    return signals.first_occurrences(rows, ["name"], ["doc_id"])
 
 
 # -- scalars --------------------------------------------------------------------------------
@@ -331,12 +290,6 @@ def html_to_text(spark, d):
     return base(spark, d, "pages").select("page_id", S.strip_html(F.col("html")).alias("text"))
 
 
-@query("SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, CASE WHEN ends_with(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '.html') THEN 'html' ELSE 'none' END AS format FROM pages")
-def host_headers(spark, d):
-    path = F.try_parse_url(F.col("url"), F.lit("PATH"))
-    return base(spark, d, "pages").select("page_id", F.try_parse_url(F.col("url"), F.lit("HOST")).alias("host"), F.when(path.endswith(".html"), "html").otherwise("none").alias("format"))
-
-
 _LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"
 
 
@@ -346,29 +299,19 @@ def recurring_lines(spark, d):
     return lines.groupBy(S.line_key(F.col("line")).alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n >= 3 AND key <> ''")
 
 
-@query("SELECT conv_id, turn, regexp_matches(CAST(turn AS VARCHAR), '^[0-9]+$') AS is_number, false AS text_is_number FROM conversations WHERE length(text) > 20")
+@query(r"""SELECT conv_id, turn, regexp_matches('- Page ' || turn || ' of 9 -', k) AS is_number, regexp_matches(text, k) AS text_is_number, regexp_matches(CASE WHEN turn % 2 = 0 THEN CAST(conv_id AS VARCHAR) ELSE role END, k) AS cell_is_number
+FROM conversations, (SELECT '(?i)^[\s\-–—]*(?:page|p\.?|페이지|第)?\s*\d+\s*(?:(?:of|/|–|—|-)\s*\d+)?\s*(?:쪽|페이지|页)?[\s\-–—]*$' AS k)""")
 def page_number_lines(spark, d):
-    return base(spark, d, "conversations").where(F.length("text") > 20).select("conv_id", "turn", S.is_page_number(F.concat(F.lit("- Page "), F.col("turn").cast("string"), F.lit(" of 9 -"))).alias("is_number"), S.is_page_number(F.col("text")).alias("text_is_number"))
+    cell = F.when(F.col("turn") % 2 == 0, F.col("conv_id").cast("string")).otherwise(F.col("role"))
+    return base(spark, d, "conversations").select("conv_id", "turn", S.is_page_number(F.concat(F.lit("- Page "), F.col("turn").cast("string"), F.lit(" of 9 -"))).alias("is_number"), S.is_page_number(F.col("text")).alias("text_is_number"), S.is_page_number(cell).alias("cell_is_number"))
 
 
 @query("""WITH l AS (SELECT doc_id, generate_subscripts(a, 1) AS pos, trim(unnest(a)) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)),
-p AS (SELECT *, coalesce(sum(CASE WHEN regexp_matches(line, '[.!?…)]$') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS para FROM l WHERE line <> '')
+p AS (SELECT *, coalesce(sum(CASE WHEN regexp_matches(line, '[.!?…。！？」』）)]$') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS para FROM l WHERE line <> '')
 SELECT doc_id, CAST(para AS BIGINT) AS para, string_agg(line, ' ' ORDER BY pos) AS text FROM p GROUP BY 1, 2""")
 def reflow_paragraphs(spark, d):
-    lines = base(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select("doc_id", "pos", F.trim("raw").alias("line")).where("line <> ''")
-    w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    para = F.coalesce(F.sum(F.col("line").rlike("[.!?…)]$").cast("long")).over(w), F.lit(0)).alias("para")
-    rows = lines.select("doc_id", "pos", "line", para)
-    return rows.groupBy("doc_id", "para").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("l")).select("doc_id", "para", F.array_join(F.transform("l", lambda x: x["line"]), " ").alias("text"))
-
-
-@query("""WITH g AS (SELECT item_id, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS needle FROM benchmark), t AS (SELECT trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS hay FROM documents)
-SELECT item_id, EXISTS (SELECT 1 FROM t WHERE contains(hay, needle)) AS found FROM g""")
-def paragraph_continuity(spark, d):
-    g = base(spark, d, "benchmark").select("item_id", F.lower(S.squeeze(F.col("text"))).alias("needle"))
-    t = base(spark, d, "documents").select(F.lower(S.squeeze(F.col("text"))).alias("hay"))
-    hits = t.join(F.broadcast(g), F.contains("hay", F.col("needle"))).select("item_id").distinct().withColumn("found", F.lit(True))
-    return g.join(hits, "item_id", "left").select("item_id", F.coalesce("found", F.lit(False)).alias("found"))
+    lines = base(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select("doc_id", "pos", F.trim("raw").alias("text")).where("text <> ''")
+    return geometry.paragraphs(lines, "doc_id", ["pos"])
 
 
 # -- evaluation ----------------------------------------------------------------------------------
@@ -382,87 +325,3 @@ def eval_rollup(spark, d):
 @query("SELECT count(*) FILTER (quality = 0) AS escalated, round(0.02 * count(*) FILTER (quality = 0), 2) AS est_cost FROM labels")
 def run_totals(spark, d):
     return base(spark, d, "labels").agg(F.count_if(F.col("quality") == 0).alias("escalated"), F.round(0.02 * F.count_if(F.col("quality") == 0), 2).alias("est_cost"))
-
-
-# -- payloads ----------------------------------------------------------------------------------------
-
-
-def _literal(spark: SparkSession, text: str) -> DataFrame:
-    return spark.sql("SELECT :t AS payload", args={"t": text})
-
-
-@query("SELECT * FROM (VALUES ('a1', '2024-01-02', '4'), ('a2', '2024-02-03', '10-K'), ('a3', NULL, NULL)) t(accession, filed_date, form)")
-def edgar_parallel_arrays(spark, d):
-    from ..sources.payloads import parallel_arrays
-
-    text = '{"filings":{"recent":{"accessionNumber":["a1","a2","a3"],"filingDate":["2024-01-02","2024-02-03"],"form":["4","10-K"]}}}'
-    return parallel_arrays(_literal(spark, text), "$.filings.recent", {"accession": "accessionNumber", "filed_date": "filingDate", "form": "form"})
-
-
-@query("SELECT * FROM (VALUES ('2024-01-02', 10.5, 'USD'), ('2024-01-04', 11.0, 'USD')) t(trade_date, close, currency)".replace("10.5", "CAST(10.5 AS DOUBLE)").replace("11.0", "CAST(11.0 AS DOUBLE)"))
-def yahoo_chart_zip(spark, d):
-    from ..sources.payloads import chart_prices
-
-    return chart_prices(_literal(spark, '{"chart":{"result":[{"meta":{"currency":"USD"},"timestamp":[1704153600,1704240000,1704326400],"indicators":{"quote":[{"close":[10.5,null,11.0]}]}}]}}'))
-
-
-@query("SELECT * FROM (VALUES ('us-gaap', 'Assets', 'USD', 2023, 'FY', '10-K', '2023-12-31', CAST(7 AS DOUBLE), 'BS'), ('us-gaap', 'Revenues', 'USD', 2023, 'FY', '10-K', '2023-12-31', CAST(5 AS DOUBLE), 'IS')) t(taxonomy, account, unit, fiscal_year, fiscal_period, form, period_end, value, statement_type)")
-def company_facts(spark, d):
-    from ..sources.payloads import company_facts as parse
-
-    text = '{"facts":{"us-gaap":{"Assets":{"units":{"USD":[{"end":"2023-12-31","val":6,"fy":2023,"fp":"FY","form":"10-K","filed":"2024-01-01"},{"end":"2023-12-31","val":7,"fy":2023,"fp":"FY","form":"10-K","filed":"2024-01-01","frame":"CY2023Q4I"}]}},"Revenues":{"units":{"USD":[{"start":"2023-01-01","end":"2023-12-31","val":5,"fy":2023,"fp":"FY","form":"10-K","filed":"2024-01-01"},{"start":"2023-01-01","end":"2023-12-31","val":9,"fy":2023,"fp":"FY","form":"8-K","filed":"2024-01-01"}]}}}}}'
-    return parse(_literal(spark, text)).select("taxonomy", "account", "unit", "fiscal_year", "fiscal_period", "form", "period_end", "value", "statement_type")
-
-
-@query("SELECT * FROM (VALUES ('1', 'old one', 'new one'), ('2', 'old two', NULL), ('10', NULL, 'new ten')) t(article_no, old_text, new_text)")
-def law_old_new_compare(spark, d):
-    from ..sources.payloads import old_new_articles
-
-    return old_new_articles(_literal(spark, '{"old":[{"no":"1","content":"old one"},{"no":"2","content":"old two"}],"new":[{"no":"1","content":"new one"},{"no":"10","content":"new ten"}]}'))
-
-
-@query("SELECT * FROM (VALUES ('2024-03-01', 'dividend', CAST(0.5 AS DOUBLE)), ('2024-04-01', 'split', CAST(2 AS DOUBLE)), ('2024-05-01', 'split', NULL)) t(ex_date, action_type, value)")
-def corporate_actions(spark, d):
-    from ..sources.payloads import corporate_actions as parse
-
-    return parse(_literal(spark, '{"dividends":{"a":{"date":1709251200,"amount":0.5}},"splits":{"b":{"date":1711929600,"numerator":2,"denominator":1},"c":{"date":1714521600,"numerator":0,"denominator":1}}}'))
-
-
-@query("SELECT * FROM (VALUES (CAST(14.00 AS DOUBLE), CAST(16.00 AS DOUBLE), CAST(18.00 AS DOUBLE), '+12')) t(low, high, final, change)")
-def price_band(spark, d):
-    from ..operators.signals import price_band as band
-
-    text = "We expect the initial public offering price will be between $14.00 and $16.00 per share. The initial public offering price is $18.00 per share."
-    return band(_literal(spark, text), "payload").select("low", "high", "final", "change")
-
-
-@query("SELECT * FROM (VALUES (1, 'pdf'), (2, 'zip'), (3, 'gzip'), (4, 'xml'), (5, 'html'), (6, NULL)) t(id, format)")
-def sniff_format(spark, d):
-    from ..sources.formats import sniff_column
-
-    rows = [(1, b"%PDF-1.7"), (2, b"PK\x03\x04aa"), (3, b"\x1f\x8b\x08"), (4, b"  <?xml version='1.0'?>"), (5, b"<!DOCTYPE html><html>"), (6, b"plain")]
-    return spark.createDataFrame(rows, "id int, content binary").select("id", sniff_column(F.col("content")).alias("format"))
-
-
-@query("SELECT * FROM (VALUES (1, CAST(1.0 AS DOUBLE)), (2, CAST(0.5 AS DOUBLE)), (3, CAST(1.0 AS DOUBLE))) t(id, grounding)")
-def ground_numbers(spark, d):
-    from ..operators.geometry import ground_numbers as ground
-
-    rows = [(1, [["Revenue", "1,234"], ["Cost", "56.7"]], "revenue 1234 and 567"), (2, [["a", "1,234"], ["b", "999"]], "1234"), (3, [["a", "b"]], "")]
-    return spark.createDataFrame(rows, "id int, rows array<array<string>>, raw string").select("id", ground(F.col("rows"), F.col("raw")).alias("grounding"))
-
-
-@query("SELECT * FROM (VALUES (1, true, false), (2, false, true), (3, false, false)) t(id, matches, empty)")
-def col_signature(spark, d):
-    from ..operators.geometry import same_columns, too_empty
-
-    rows = [(1, [10.0, 50.0, 90.0], [12.0, 51.0], [["a", "b"]]), (2, [10.0], [40.0], [["", ""], ["", "x"]]), (3, [], [1.0], [["a", "b"], ["c", ""]])]
-    return spark.createDataFrame(rows, "id int, a array<double>, b array<double>, rows array<array<string>>").select("id", same_columns(F.col("a"), F.col("b")).alias("matches"), too_empty(F.col("rows")).alias("empty"))
-
-
-@query("SELECT * FROM (VALUES (1, CAST(1.0 AS DOUBLE)), (2, CAST(0.5 AS DOUBLE)), (3, CAST(0.0 AS DOUBLE))) t(id, f1)")
-def numeric_exact_match(spark, d):
-    from ..operators.metrics import numeric_f1
-
-    rows = [(1, [["1,000", "x"]], [["1000"]]), (2, [["1", "2"]], [["2", "3"]]), (3, [["a"]], [["1"]])]
-    return spark.createDataFrame(rows, "id int, pred array<array<string>>, gold array<array<string>>").select("id", numeric_f1(F.col("pred"), F.col("gold")).alias("f1"))

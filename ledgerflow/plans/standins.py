@@ -20,7 +20,7 @@ STANDINS: dict[str, str] = {
     "prices": f"""SELECT o_custkey AS security_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)) AS trade_date, o_totalprice AS close, {_CCY} AS currency, o_orderpriority AS source, o_orderkey AS ord
         FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey""",
     "fx_rates": f"""SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)) AS rate_date, {_CCY} AS base_ccy, 'USD' AS quote_ccy, 'spot' AS rate_type, CAST(floor(max(o_totalprice)) AS DOUBLE) / CAST(100000 AS DOUBLE) AS rate, 'mid' AS source
-        FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey WHERE o_orderkey % 10 = 0 AND n_regionkey % 3 < 2 GROUP BY 1, 2""",
+        FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey WHERE n_regionkey % 3 < 2 GROUP BY 1, 2""",
     "financials": """SELECT l_suppkey AS company_id, CAST(year(l_shipdate) AS INT) AS fiscal_year, CASE WHEN quarter(l_shipdate) = 4 THEN 'FY' ELSE concat('Q', CAST(quarter(l_shipdate) AS VARCHAR(1))) END AS fiscal_period,
         CASE WHEN l_suppkey % 2 = 0 THEN 'CFS' ELSE 'OFS' END AS fs_scope, CASE l_returnflag WHEN 'A' THEN 'IS' WHEN 'R' THEN 'CF' ELSE 'BS' END AS statement_type, l_linestatus AS account, round(sum(l_extendedprice), 2) AS value,
         CASE l_suppkey % 4 WHEN 0 THEN 'KRW' WHEN 1 THEN 'HKD' WHEN 2 THEN 'USD' END AS currency, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE CAST(CAST(max(l_shipdate) AS DATE) AS VARCHAR(10)) END AS period_end

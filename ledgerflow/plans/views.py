@@ -58,9 +58,10 @@ def period_average_fx(financials: DataFrame, fx: DataFrame) -> DataFrame:
 
 
 def latest_metric(financials: DataFrame, accounts: list[str], out: str) -> DataFrame:
-    """The newest consolidated annual value of any of ``accounts`` per company."""
+    """The newest consolidated annual value of any of ``accounts`` per company; of one year the account that comes first in the list."""
     rows = financials.where((F.col("fiscal_period") == "FY") & (F.col("fs_scope") == "CFS") & F.col("value").isNotNull() & F.col("account").isin(accounts))
-    order = F.struct(F.col("fiscal_year"), (-F.ascii("account")).alias("a"), F.col("statement_type"), F.col("value"))
+    place = F.array_position(F.array(*map(F.lit, accounts)), F.col("account"))
+    order = F.struct(F.col("fiscal_year"), (-place).alias("a"), F.col("statement_type"), F.col("value"))
     return rows.groupBy("company_id").agg(F.max_by("value", order).alias(out))
 
 

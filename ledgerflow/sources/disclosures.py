@@ -57,7 +57,7 @@ def submissions(df: DataFrame, start: str | None = None, end: str | None = None)
     """Filings of the parallel arrays of a company's recent submissions, in order, with the URL of each; undated ones stay, short arrays give nulls."""
     schema = ", ".join(f"{c} array<string>" for c in ("accessionNumber", "filingDate", "form", "primaryDocument", "primaryDocDescription"))
     parsed = df.select("symbol", "cik", F.from_json(F.get_json_object("payload", "$.filings.recent"), schema).alias("p"))
-    rows = parsed.select("symbol", "cik", F.posexplode(F.arrays_zip(*(F.col(f"p.{c}").alias(c) for c in ("accessionNumber", "filingDate", "form", "primaryDocument", "primaryDocDescription")))).alias("ord", "r"))
+    rows = parsed.select("symbol", "cik", F.posexplode(F.arrays_zip(*(F.coalesce(f"p.{c}", F.array().cast("array<string>")).alias(c) for c in ("accessionNumber", "filingDate", "form", "primaryDocument", "primaryDocDescription")))).alias("ord", "r"))
     rows = rows.where("r.accessionNumber is not null").withColumn("filed_date", to_iso(F.col("r.filingDate"))).where(in_range(F.col("filed_date"), start, end))
     folder = F.concat_ws("/", F.lit(ARCHIVE), F.col("cik").try_cast("bigint").cast("string"), F.replace("r.accessionNumber", F.lit("-"), F.lit("")))
     doc = F.coalesce("r.primaryDocument", F.lit(""))

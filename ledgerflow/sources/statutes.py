@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import strip
 
@@ -83,12 +84,14 @@ def _raw(item: dict) -> dict:
     return {"key": str(key), "title": title, "payload": json.dumps(item, ensure_ascii=False)}
 
 
-SHAPES = {
-    "items": ("array<string>", lambda root: [json.dumps(x, ensure_ascii=False) for x in listed(root, ("law", "Law"))]),
-    "articles": ("array<struct<no: string, title: string, content: string>>", _articles),
-    "raw": ("array<struct<key: string, title: string, payload: string>>", lambda root: [_raw(x) for x in listed(root)]),
-    "one": ("struct<key: string, title: string, payload: string>", _raw),
-    "root": ("string", lambda root: json.dumps(root, ensure_ascii=False)),
+_RAW = T.StructType([T.StructField(n, T.StringType()) for n in ("key", "title", "payload")])
+_ARTICLE = T.StructType([T.StructField(n, T.StringType()) for n in ("no", "title", "content")])
+SHAPES: dict[str, tuple[T.DataType, Callable[[dict], object]]] = {
+    "items": (T.ArrayType(T.StringType()), lambda root: [json.dumps(x, ensure_ascii=False) for x in listed(root, ("law", "Law"))]),
+    "articles": (T.ArrayType(_ARTICLE), _articles),
+    "raw": (T.ArrayType(_RAW), lambda root: [_raw(x) for x in listed(root)]),
+    "one": (T.ArrayType(_RAW), lambda root: [_raw(root)]),
+    "root": (T.StringType(), lambda root: json.dumps(root, ensure_ascii=False)),
 }
 
 
@@ -96,12 +99,10 @@ def repaired(payload: Column, shape: str) -> Column:
     """A payload in one of SHAPES."""
     kind, get = SHAPES[shape]
 
-    @F.pandas_udf(kind)
-    def run(texts: pd.Series) -> pd.Series | pd.DataFrame:
-        found = [get(parsed(t)) for t in texts]
-        return pd.DataFrame(found, columns=["key", "title", "payload"]) if kind.startswith("struct") else pd.Series(found, dtype=object)
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([get(parsed(t)) for t in texts], dtype=object)
 
-    return run(payload)
+    return F.pandas_udf(run, kind)(payload)
 
 
 def _pick(*names: str) -> Column:
@@ -168,6 +169,6 @@ def raw_items(df: DataFrame, keep: list[str]) -> DataFrame:
 
 def raw_item(df: DataFrame, keep: list[str], hint: str | None = None) -> DataFrame:
     """The one item of each payload; its key is the id it was asked by, where there is one."""
-    rows = df.select(*keep, *([hint] if hint and hint not in keep else []), repaired(F.col("payload"), "one").alias("i"))
+    rows = df.select(*keep, *([hint] if hint and hint not in keep else []), F.get(repaired(F.col("payload"), "one"), F.lit(0)).alias("i"))
     key = F.coalesce(F.nullif(strip(F.col(hint).cast("string")), F.lit("")), "i.key") if hint else F.col("i.key")
     return rows.select(*keep, key.alias("item_key"), "i.title", F.col("i.payload").alias("payload_json"))
