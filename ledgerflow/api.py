@@ -70,6 +70,8 @@ def read_only(spark: SparkSession, sql: str) -> None:
         node, seen = todo.pop(), seen + 1
         if WRITES.match(node.nodeName().split(".")[-1]):
             raise ValueError(f"{node.nodeName()} writes")
+        if node.getClass().getSimpleName() == "ExplainCommand":
+            todo.append(node.logicalPlan())
         for group in (node.children(), node.innerChildren()):
             todo += [c for i in range(group.size()) if hasattr(c := group.apply(i), "nodeName")]
 
@@ -81,14 +83,22 @@ class Engine:
 
     def create(self) -> Engine:
         """Empty tables for all that are missing, and every table as a view of its name."""
-        self.tables = tables.create(self.spark) | self.tables
+        missing = [n for n in tables.TABLES if n not in self.tables]
+        self.tables = {**tables.create(self.spark, missing), **self.tables} if missing else self.tables
         for name, df in self.tables.items():
             df.createOrReplaceTempView(name)
         return self
 
+    def store(self, folder: str) -> Engine:
+        """All tables written under a folder and read from there, so that what made them is not run again."""
+        for name, df in self.tables.items():
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return Engine(self.spark, {name: self.spark.read.schema(df.schema).parquet(f"{folder}/{name}") for name, df in self.tables.items()}).create()
+
     def write(self, name: str, rows: DataFrame, ordinal: str = "_ord") -> Engine:
         self.tables[name] = tables.write(name, self.tables[name], rows, ordinal)
-        return self.create()
+        self.tables[name].createOrReplaceTempView(name)
+        return self
 
     def load_master(self, records: DataFrame, ordinal: str = "_ord", limit: int | None = None) -> Engine:
         """Records resolved to companies and written with their listings and identifiers; a limit takes the first records."""

@@ -4,11 +4,12 @@ import pytest
 
 from ledgerflow import api
 from ledgerflow.api import Engine
+from ledgerflow.plans import tables
 
 
-@pytest.fixture()
-def engine(spark):
-    e = Engine(spark).create()
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    e = Engine(spark, tables.create(spark, ["companies", "securities", "identifier_xref", "prices", "fx_rates", "financials", "filings", "filing_documents", "run_log", "daily_metrics"]))
     master = [("US", "aapl", "Apple", "COMMON", "USD", 1, None, 1), ("KR", "5930.KS", "Samsung", None, "KRW", 1, None, 2), ("US", "SMSN", "Samsung ADR", "ADR", "USD", 0, "KR:005930", 3)]
     e.load_master(spark.createDataFrame(master, "market string, symbol string, name string, security_type string, currency string, is_primary int, underlying_symbol string, _ord long"))
     ids = {r["symbol"]: r["security_id"] for r in e.tables["securities"].collect()}
@@ -17,7 +18,13 @@ def engine(spark):
     e.write("fx_rates", spark.createDataFrame([("2024-01-01", "KRW", "USD", "spot", 0.001, "s", 1)], "rate_date string, base_ccy string, quote_ccy string, rate_type string, rate double, source string, _ord long"))
     company = {r["name"]: r["company_id"] for r in e.tables["companies"].collect()}
     facts = [(company["Apple"], y, "FY", "CFS", "IS", a, v, "USD", "s", i) for i, (y, a, v) in enumerate([(2022, "Revenues", 1e9), (2023, "revenue", 5e9), (2023, "Revenues", 3e9), (2023, "NetIncomeLoss", 2e6)])]
-    return e.write("financials", spark.createDataFrame(facts, "company_id long, fiscal_year int, fiscal_period string, fs_scope string, statement_type string, account string, value double, currency string, source string, _ord long"))
+    e.write("financials", spark.createDataFrame(facts, "company_id long, fiscal_year int, fiscal_period string, fs_scope string, statement_type string, account string, value double, currency string, source string, _ord long"))
+    return e.store(str(tmp_path_factory.mktemp("tables")))
+
+
+@pytest.fixture()
+def engine(stored, spark):
+    return Engine(spark, dict(stored.tables)).create()
 
 
 def test_master(engine):

@@ -129,14 +129,14 @@ def test_borderless_tables():
         words += [right(x, edge, y) for cell, edge in ((b, 300), (c, 420)) for x, edge in ([(cell.split()[0], edge - 36), (cell.split()[1], edge)] if " " in cell else [(cell, edge)])]
     (table,) = columns.column_tables(words)
     assert table["rows"] == [["31 March", "31 March"], ["2024", "2023"], ["Revenue", "1,234", "987"], ["Cost", "(56)", "(43)"], ["Net", "1,178", "944"]]
-    assert table["structure_confidence"] == 1.0 and table["source_engine"] == "column-geometry"
+    assert table["structure_confidence"] == 0.6 and table["source_engine"] == "column-geometry"
     prose = [word(f"word{j}", 50 + 100 * j, 20 * i) for i in range(6) for j in range(4)]
     assert columns.column_tables(prose) == [] and columns.column_tables(words[:5]) == [] and columns.column_lines(words) is None
-    assert columns.column_tables([w for w in words if w["top"] < 100]) == []
+    assert columns.column_tables([w for w in words if w["top"] < 70]) == []
 
 
 def test_column_lines():
-    side = lambda name, x, y: [word(w, x + 32 * k, y, 28) for k, w in enumerate(f"{name} has some words".split())]
+    side = lambda name, x, y: [word(w, x + 32 * k, y, 28) for k, w in enumerate(f"{name} has some more words".split())]
     words = [word(w, 100 + 60 * k, 5, 50) for k, w in enumerate("one heading over all columns".split())]
     words += [w for i in range(5) for w in side(f"L{i}", 50, 30 + 20 * i) + side(f"R{i}", 300, 30 + 20 * i)]
     assert [x["text"].split()[0] for x in columns.column_lines(words)] == ["one", "L0", "L1", "L2", "L3", "L4", "R0", "R1", "R2", "R3", "R4"]
@@ -215,7 +215,7 @@ def test_word_files():
     header = lambda flags: b"HWP Document File".ljust(32, b"\0") + struct.pack("<II", 0x05000000, flags)
     plain = compound({"FileHeader": header(0), "BodyText": {k: v for k, v in sections.items() if k == "Section2"}})
     small = compound({"FileHeader": header(1), "BodyText": {k: packed(v) for k, v in sections.items()}})
-    assert formats.sniff(plain) == "hwp" and formats.text_of(plain) == "둘째" and formats.text_of(small) == "둘째\n열번째 " + "가" * 3000
+    assert formats.sniff(plain) == "hwp" and formats.text_of(plain) == "둘째" and formats.text_of(small) == "둘째\n\n열번째 " + "가" * 3000
     assert formats.text_of(compound({"FileHeader": header(2), "BodyText": sections})) is None
     assert formats.sniff(compound({"FileHeader": b"other".ljust(40), "BodyText": {"Section2": b"x"}})) == "ole" and formats.text_of(plain[:600]) is None
     out = io.BytesIO()
