@@ -16,6 +16,7 @@ from .near_join import near_join
 from .oracles import DECONTAMINATE_SQL, NEAR_JOIN_SQL, QUALITY_RULES_SQL
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
+from .rolling_median import ROLLING_MEDIAN_SQL, rolling_median
 from .sentencepieces import encode
 from .token_counts import token_counts
 
@@ -46,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": lambda s, d: token_counts(table(s, d, "documents"), tokenizer_file("byte_bpe_50k.json")),
     "op9_license_scan": lambda s, d: license_scan(table(s, d, "documents")),
     "op10_benchmark_decontamination": lambda s, d: leak_digest(decontaminate(table(s, d, "documents"), table(s, d, "benchmark"))),
+    "op13_rolling_median": lambda s, d: rolling_median(table(s, d, "clicks")),
 }
 
-SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL, "op5_quality_rules": QUALITY_RULES_SQL, "op6_ngram_jaccard_join": NEAR_JOIN_SQL, "op10_benchmark_decontamination": DECONTAMINATE_SQL}
+SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL, "op5_quality_rules": QUALITY_RULES_SQL, "op6_ngram_jaccard_join": NEAR_JOIN_SQL, "op10_benchmark_decontamination": DECONTAMINATE_SQL, "op13_rolling_median": ROLLING_MEDIAN_SQL}
