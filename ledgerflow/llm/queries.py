@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .html_extract import html_extract
+from .importance_resampling import IMPORTANCE_RESAMPLING_SQL, importance_resampling
 from .language_id import language_id
 from .license_scan import license_scan
 from .line_dedup import LINE_DEDUP_SQL, line_dedup
@@ -19,6 +20,7 @@ from .quality_rules import quality_rules
 from .rolling_median import ROLLING_MEDIAN_SQL, rolling_median
 from .sentencepieces import encode
 from .token_counts import token_counts
+from .token_output import token_output
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +49,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": lambda s, d: token_counts(table(s, d, "documents"), tokenizer_file("byte_bpe_50k.json")),
     "op9_license_scan": lambda s, d: license_scan(table(s, d, "documents")),
     "op10_benchmark_decontamination": lambda s, d: leak_digest(decontaminate(table(s, d, "documents"), table(s, d, "benchmark"))),
+    "op11_importance_resampling": lambda s, d: importance_resampling(table(s, d, "documents"), table(s, d, "benchmark")),
+    "op12_token_output": lambda s, d: token_output(table(s, d, "documents"), tokenizer_file("byte_bpe_50k.json")),
     "op13_rolling_median": lambda s, d: rolling_median(table(s, d, "clicks")),
 }
 
-SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL, "op5_quality_rules": QUALITY_RULES_SQL, "op6_ngram_jaccard_join": NEAR_JOIN_SQL, "op10_benchmark_decontamination": DECONTAMINATE_SQL, "op13_rolling_median": ROLLING_MEDIAN_SQL}
+SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL, "op5_quality_rules": QUALITY_RULES_SQL, "op6_ngram_jaccard_join": NEAR_JOIN_SQL, "op10_benchmark_decontamination": DECONTAMINATE_SQL, "op11_importance_resampling": IMPORTANCE_RESAMPLING_SQL, "op13_rolling_median": ROLLING_MEDIAN_SQL}
