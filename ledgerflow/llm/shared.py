@@ -53,11 +53,11 @@ def shared_dir(spark: SparkSession) -> str:
 _scratch: list[list[str]] = []
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here and lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     if _scratch:
         _scratch[-1].append(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tokenizers.models import BPE
 from tokenizers.pre_tokenizers import ByteLevel
 
-from .shared import Spans, Table, per_row, records, saved, shared_dir, slices, small_batches, texts, tidy
+from .shared import Spans, Table, discard, per_row, records, saved, shared_dir, slices, small_batches, texts, tidy
 from .token_counts import PLAIN, simple_specials, tokenizer_of
 
 END_ID = 0
@@ -402,7 +402,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID) -> TokenFiles
     size = max(tokenizer_of(path).get_vocab_size(), end_id + 1)
     kind = "<u2" if size <= 1 << 16 else "<u4"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    encoded = saved(rows.mapInArrow(lambda b: tidy(encode_batches(b, path, end_id, kind)), "doc_id long, ids binary, n long"), "token-ids")
+    encoded = saved(rows.mapInArrow(lambda b: tidy(encode_batches(b, path, end_id, kind)), "doc_id long, ids binary, n long"), "token-ids", "zstd")
     by_rank = ranked_ids(encoded, size, kind)
     rank_of = np.empty(size, np.uint32)
     rank_of[by_rank] = np.arange(size)
@@ -415,6 +415,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID) -> TokenFiles
     order = [F.col("doc_id"), F.xxhash64("ids")]
     ranged = encoded.repartitionByRange(max(1, -(-total // FILE_IDS)), *order).sortWithinPartitions(*order).select("doc_id", "ids")
     blocks = saved(ranged.mapInArrow(lambda b: tidy(write_batches(b, folder, rank_of, kind)), BLOCKS), "blocks")
+    discard(encoded)
     return TokenFiles(blocks, f"{folder}/by-rank.u32")
 
 
