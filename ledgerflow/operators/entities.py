@@ -7,21 +7,22 @@ registered, the first registration of each counting. A receipt goes by its under
 ISIN, then listing, then ticker, and never by name. Two companies that come to share
 an identifier later stay two: this is not a transitive closure.
 
-The order matters only between records that share an identifier, a name or a listing.
-So records and the companies they could meet are gathered into groups that share any
-such key, by label propagation over tables, and each group, small as a company's
-records are, is folded in order by itself; groups run in parallel.
+No record waits for another in turn. Who registers an identifier first is the least place
+among those that have it, so every record's predecessor by identifier, listing or name is a
+pointer to an earlier record, found by grouping and joins; its company is the root of the
+pointers. Only names depend on what is decided before: a company without name or
+country takes them from its later records. So the decisions by name are taken anew, from
+the companies as they then stand in time, until none changes. A decision depends on
+earlier records alone, so this ends, with the result of taking the records in turn.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_symbol, strip
+from .storage import roots, written
 from .upsert import with_ids
 
 #: Fixed value: identifiers in the order in which they decide.
@@ -29,128 +30,115 @@ PRIORITY = ("LEI", "CIK", "CORP_CODE", "ISIN")
 RECEIPTS = ("ADR", "GDR")
 FILLED = ("name", "local_name", "country", "sector", "industry", "lei", "cik", "corp_code", "isin", "website")
 RECORD = "market string, symbol string, security_type string, currency string, exchange string, listing_date string, is_primary int, underlying_isin string, underlying_symbol string, source string, " + ", ".join(f"{c} string" for c in FILLED)
-_KEY_SEP = "\x1f"
+#: Receipts are placed after all other records, companies that were there before them.
+_LATE, _EARLY = 1 << 61, 1 << 62
 
 
 def prepared(records: DataFrame, ordinal: str = "_ord") -> DataFrame:
-    """Records with every column of RECORD, symbols normalised, and ``_ord`` as the place at which each is resolved."""
+    """Records with every column of RECORD, symbols normalised, and ``at``, the place at which each is resolved."""
     have = set(records.columns)
     columns = [(F.col(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t in (x.split() for x in RECORD.split(", "))]
-    rows = records.select(*columns, F.col(ordinal).alias("_given")).withColumn("symbol", normalize_symbol(F.col("market"), F.col("symbol")))
-    receipt = F.coalesce("security_type", F.lit("COMMON")).isin(*RECEIPTS)
-    return rows.withColumn("_ord", F.struct(receipt.alias("receipt"), F.col("_given").cast("long").alias("given"))).withColumn("_receipt", receipt).drop("_given")
+    rows = records.select(*columns, F.col(ordinal).cast("long").alias("given")).withColumn("symbol", normalize_symbol(F.col("market"), F.col("symbol")))
+    rows = rows.withColumn("receipt", F.coalesce("security_type", F.lit("COMMON")).isin(*RECEIPTS))
+    return rows.withColumn("at", F.col("given") + F.when(F.col("receipt"), F.lit(_LATE)).otherwise(F.lit(0)))
+
+
+def _there(c: str) -> Column:
+    return F.coalesce(F.col(c) != "", F.lit(False))
+
+
+def _company(c: str | Column = "company_id") -> Column:
+    """A company that was there, as the node of a pointer: below all places, in the order of ids."""
+    return (F.col(c) if isinstance(c, str) else c).cast("long") - F.lit(_EARLY)
+
+
+def underlyings(rows: DataFrame, xref: DataFrame, listings: DataFrame) -> DataFrame:
+    """at and ``up``, whom a receipt follows: its underlying's ISIN as first registered, else that listing's last holder, else a ticker known before."""
+    receipts = rows.where("receipt").select("at", "underlying_isin", "underlying_symbol")
+    known = lambda kind, name: xref.where(F.col("id_type") == kind).select(F.col("id_value").alias(name), F.col("node").alias("known"))
+    isin_first = rows.where(_there("isin")).groupBy(F.col("isin").alias("underlying_isin")).agg(F.min("at").alias("first"))
+    by_isin = receipts.where(_there("underlying_isin")).join(known("ISIN", "underlying_isin"), "underlying_isin", "left").join(isin_first, "underlying_isin", "left")
+    by_isin = by_isin.select("at", F.coalesce("known", F.when(F.col("first") < F.col("at"), F.col("first"))).alias("isin"))
+    split = F.split("underlying_symbol", ":", 2)
+    asked = receipts.where(_there("underlying_symbol")).select("at", "underlying_symbol", F.when(F.size(split) == 2, F.get(split, F.lit(0))).alias("market"), F.get(split, F.lit(1)).alias("symbol"))
+    # receipts come after all others, so only among themselves it matters who held a listing when
+    held = rows.where("not receipt").groupBy("market", "symbol").agg(F.max("at").alias("last"))
+    late = rows.where("receipt").select("market", "symbol", "at", F.col("at").alias("holder"), F.lit(None).cast("string").alias("underlying_symbol"))
+    before = Window.partitionBy("market", "symbol").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    both = late.unionByName(asked.withColumn("holder", F.lit(None).cast("long"))).withColumn("late", F.last("holder", ignorenulls=True).over(before)).where("underlying_symbol is not null")
+    by_listing = both.join(held, ["market", "symbol"], "left").join(listings.select("market", "symbol", F.col("node").alias("listed")), ["market", "symbol"], "left")
+    by_listing = by_listing.join(known("TICKER", "underlying_symbol"), "underlying_symbol", "left").select("at", F.coalesce("late", "last", "listed", "known").alias("listing"))
+    return receipts.select("at").join(by_isin, "at", "left").join(by_listing, "at", "left").select("at", F.coalesce("isin", "listing").alias("up")).where("up is not null")
 
 
-def _key(kind: str, *parts: Column) -> Column:
-    """A text key; null where a part is null or empty."""
-    return F.concat(F.lit(kind + _KEY_SEP), *(x for p in parts for x in (F.nullif(p, F.lit("")), F.lit(_KEY_SEP))))
+def own_ids(rows: DataFrame) -> DataFrame:
+    """at, priority, id_type and id_value of the identifiers that each record registers; corporate codes of receipts are their underlyings'."""
+    pick = [F.when(_there(k.lower()) & ((F.lit(k) != "CORP_CODE") | F.col("up").isNull()), F.struct(F.lit(i).alias("priority"), F.lit(k).alias("id_type"), F.col(k.lower()).alias("id_value"))) for i, k in enumerate(PRIORITY)]
+    return rows.select("at", "up", F.explode(F.array_compact(F.array(*pick))).alias("i")).select("at", "up", "i.*")
 
 
-def record_keys() -> Column:
-    """All keys by which a record can meet a company; its names whatever the country, as a country can be filled in later."""
-    ids = [_key(k, F.col(k.lower())) for k in PRIORITY]
-    ticker = F.concat_ws(":", "market", "symbol")
-    name = F.concat(F.lit("NAME" + _KEY_SEP), F.nullif(F.lower(strip(F.col("name"))), F.lit("")))
-    return F.filter(F.array(*ids, _key("ISIN", F.col("underlying_isin")), _key("TICKER", ticker), _key("TICKER", F.col("underlying_symbol")), name), lambda k: k.isNotNull())
+def _key(name: Column, country: str) -> Column:
+    return F.struct(F.lower(F.coalesce(name, F.lit(""))).alias("name"), F.coalesce(F.concat(F.lit("="), country), F.lit("")).alias("country"))
 
 
-def groups(nodes: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """``nodes`` (node, keys) as (node, group): nodes that share a key, directly or through others, share a group.
+def phases(companies: DataFrame) -> DataFrame:
+    """node, key, after and until: when which name and country are a company's, as both may be filled in later.
 
-    Labels fall to the least node of each key and back, and every round also looks
-    up its label's own label, so the rounds grow with the logarithm of a chain.
-    Lineage is cut by a checkpoint where the session has a folder for it.
+    ``companies`` has node, born, name, country, and name_at, later_name, country_at and later_country of what fills them.
     """
-    spark = nodes.sparkSession
-    edges = nodes.select("node", F.explode("keys").alias("key")).distinct()
-    labels = nodes.select("node", F.col("node").alias("group"))
-    reliable = spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
-    keep = (lambda df: df.checkpoint()) if reliable else (lambda df: df.persist())
-    edges, labels = keep(edges), keep(labels)
+    filled = F.least("name_at", "country_at"), F.greatest("name_at", "country_at")
+    first = F.struct(F.col("born").alias("after"), filled[0].alias("until"), _key(F.col("name"), "country").alias("key"))
+    sooner = lambda a, b, new, old: F.when(F.col(a) < F.col(b), F.col(new)).otherwise(F.col(old))
+    between = F.struct(filled[0].alias("after"), filled[1].alias("until"), F.struct(
+        F.lower(F.coalesce(sooner("name_at", "country_at", "later_name", "name"), F.lit(""))).alias("name"),
+        F.coalesce(F.concat(F.lit("="), sooner("country_at", "name_at", "later_country", "country")), F.lit("")).alias("country"),
+    ).alias("key"))
+    last = F.struct(filled[1].alias("after"), F.lit(None).cast("long").alias("until"), F.struct(
+        F.lower(F.coalesce("name", "later_name", F.lit(""))).alias("name"), F.coalesce(F.concat(F.lit("="), F.coalesce("country", "later_country")), F.lit("")).alias("country"),
+    ).alias("key"))
+    parts = F.array(first, F.when(F.col("name_at") != F.col("country_at"), between), F.when(filled[1].isNotNull(), last))
+    return companies.select("node", "born", F.explode(F.array_compact(parts)).alias("p")).select("node", "born", "p.*")
+
+
+def by_name(asked: DataFrame, companies: DataFrame) -> DataFrame:
+    """at and the first company that has the asked key at that time."""
+    spans = phases(companies)
+    whole = F.col("until").isNull() & (F.col("after") == F.col("born"))
+    # of companies that keep a key from their birth the first is the one to find
+    first = spans.where(whole).groupBy("key").agg(F.min("node").alias("node"), F.min("born").alias("after")).withColumn("until", F.lit(None).cast("long"))
+    changing = spans.where(~whole).select("key", "node", "after", "until")
+    found = asked.join(first.unionByName(changing), "key").where("after < at and (until is null or at <= until)")
+    return found.groupBy("at").agg(F.min("node").alias("named"))
+
+
+def decided(rows: DataFrame, companies: DataFrame, xref: DataFrame, listings: DataFrame, max_rounds: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(at, root) of every record, a root being a record's place or a company that was there; and the identifiers registered."""
+    up = underlyings(rows, xref, listings)
+    led = rows.join(up, "at", "left")
+    ids = written(own_ids(led), "own-ids")
+    first = written(ids.groupBy("id_type", "id_value").agg(F.min("at").alias("first")).join(xref, ["id_type", "id_value"], "left"), "first-ids")
+    met = ids.where("up is null").join(first, ["id_type", "id_value"]).select("at", "priority", F.coalesce("node", F.when(F.col("first") < F.col("at"), F.col("first"))).alias("to")).where("to is not null")
+    base = led.join(met.groupBy("at").agg(F.min_by("to", "priority").alias("by_id")), "at", "left")
+    base = written(base.select("at", "receipt", "name", "country", F.coalesce("up", "by_id").alias("to")), "by-identifier")
+    asked = written(base.where(F.col("to").isNull() & ~F.col("receipt") & _there("name")).select("at", _key(strip(F.col("name")), "country").alias("key")), "by-name")
+    there = companies.select(_company().alias("node"), F.lit(-1).cast("long").alias("born"), "name", "country")
+    never = {c: F.lit(None).cast(t) for c, t in (("name_at", "long"), ("later_name", "string"), ("country_at", "long"), ("later_country", "string"))}
+    made = base.where("to is null").select(F.col("at").alias("node"), F.col("at").alias("born"), "name", "country")
+    named = written(by_name(asked, there.unionByName(made).withColumns(never)), "named")
     for _ in range(max_rounds):
-        least = edges.join(labels, "node").groupBy("key").agg(F.min("group").alias("group"))
-        near = edges.join(least, "key").groupBy("node").agg(F.min("group").alias("near"))
-        new = labels.join(near, "node", "left").select("node", "group", F.least("group", "near").alias("near"))
-        jump = labels.select(F.col("node").alias("near"), F.col("group").alias("far"))
-        new = keep(new.join(jump, "near", "left").select("node", F.coalesce(F.least("near", "far"), "group").alias("group"), (F.coalesce(F.least("near", "far"), "group") != F.col("group")).alias("moved")))
-        labels = new.select("node", "group")
-        if new.where("moved").isEmpty():
-            break
-    return labels
-
-
-class _State:
-    """Companies and registrations of one group while its records are folded."""
-
-    def __init__(self):
-        self.xref: dict[tuple[str, str], str] = {}
-        self.listings: dict[tuple[str, str], str] = {}
-        self.companies: dict[str, dict] = {}
-
-    def register(self, kind: str, value: str | None, company: str) -> None:
-        if value:
-            self.xref.setdefault((kind, value), company)
-
-    def by_name(self, name: str | None, country: str | None) -> str | None:
-        wanted = (name or "").strip().lower()
-        if not name:
-            return None
-        return next((c for c, row in self.companies.items() if (row["name"] or "").lower() == wanted and (row["country"] == country)), None)
-
-    def underlying(self, record: dict) -> str | None:
-        found = self.xref.get(("ISIN", record["underlying_isin"] or ""))
-        at = record["underlying_symbol"]
-        if found is None and at:
-            found = self.listings.get(tuple(at.split(":", 1))) if ":" in at else None
-            found = found or self.xref.get(("TICKER", at))
-        return found
-
-    def resolve(self, record: dict, new: str) -> str:
-        receipt = record["_receipt"]
-        company = self.underlying(record) if receipt else None
-        own = [(k, record[k.lower()]) for k in PRIORITY]
-        if company is not None:
-            own = [x for x in own if x[0] != "CORP_CODE"]
-        else:
-            company = next((self.xref[k, v] for k, v in own if v and (k, v) in self.xref), None)
-            if company is None and not receipt:
-                company = self.by_name(record["name"], record["country"])
-        if company is None:
-            company = new
-            self.companies[company] = {c: record[c] for c in FILLED}
-        else:
-            row = self.companies[company]
-            row.update({c: record[c] for c in FILLED if row[c] is None})
-        for kind, value in own:
-            self.register(kind, value, company)
-        return company
-
-
-def _fold(df: pd.DataFrame) -> pd.DataFrame:
-    """One group: what is there already first, then its records in order."""
-    df = df.astype(object).where(df.notna(), None)
-    state, out = _State(), []
-    for row in sorted(df[df["kind"] == "company"].to_dict("records"), key=lambda r: int(r["company_id"])):
-        state.companies[row["company_id"]] = {c: row[c] for c in FILLED}
-    for row in df[df["kind"] == "xref"].to_dict("records"):
-        state.xref[row["id_type"], row["id_value"]] = row["company_id"]
-    for row in df[df["kind"] == "listing"].to_dict("records"):
-        state.listings[row["market"], row["symbol"]] = row["company_id"]
-    known = set(state.listings)
-    for row in sorted(df[df["kind"] == "record"].to_dict("records"), key=lambda r: (r["_receipt"], int(r["_given"]))):
-        company = state.resolve(row, f"new{row['_given']}")
-        listing = row["market"], row["symbol"]
-        if listing not in known:
-            known.add(listing)
-            state.register("TICKER", ":".join(listing), company)
-        state.listings[listing] = company
-        state.register("ISIN", row["isin"], company)
-        out.append((row["_given"], company))
-    made = [(c, *(row[f] for f in FILLED)) for c, row in state.companies.items()]
-    rows = [("record", g, c, None, None, *[None] * len(FILLED)) for g, c in out]
-    rows += [("company", None, c, None, None, *fields) for c, *fields in made]
-    rows += [("xref", None, c, k, v, *[None] * len(FILLED)) for (k, v), c in state.xref.items()]
-    return pd.DataFrame(rows, columns=["kind", "given", "company", "id_type", "id_value", *FILLED])
+        whole = base.join(named, "at", "left").withColumn("to", F.coalesce("to", "named"))
+        root = written(roots(whole.select(F.col("at").alias("node"), F.col("to").alias("parent"))).withColumnRenamed("node", "at"), "roots")
+        members = root.join(base.select("at", "name", "country"), "at").groupBy(F.col("root").alias("node"))
+        at = lambda c: F.min(F.when(F.col(c).isNotNull(), F.col("at")))
+        value = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("at")))
+        fills = members.agg(at("name").alias("name_at"), value("name").alias("later_name"), at("country").alias("country_at"), value("country").alias("later_country"))
+        now = there.unionByName(whole.where("to is null").select(F.col("at").alias("node"), F.col("at").alias("born"), "name", "country")).join(fills, "node", "left")
+        now = now.withColumns({f"{c}_at": F.when(F.col(c).isNull(), F.col(f"{c}_at")) for c in ("name", "country")})
+        again = written(by_name(asked, now), "named")
+        if again.exceptAll(named).isEmpty() and named.exceptAll(again).isEmpty():
+            return root, first
+        named = again
+    raise RuntimeError(f"decisions by name still change after {max_rounds} rounds")
 
 
 def resolve(records: DataFrame, companies: DataFrame, xref: DataFrame, securities: DataFrame, ordinal: str = "_ord") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -158,55 +146,38 @@ def resolve(records: DataFrame, companies: DataFrame, xref: DataFrame, securitie
 
     New companies get the next free ids in the order of the records that made them.
     """
-    rows = prepared(records, ordinal)
-    own = rows.select(F.concat(F.lit("r"), F.col("_ord.given").cast("string")).alias("node"), record_keys().alias("keys"))
-    name = F.concat(F.lit("NAME" + _KEY_SEP), F.nullif(F.lower(strip(F.col("name"))), F.lit("")))
-    node = F.concat(F.lit("c"), F.col("company_id").cast("string")).alias("node")
-    there = [
-        companies.select(node, F.array_compact(F.array(name)).alias("keys")),
-        xref.select(node, F.array_compact(F.array(F.concat("id_type", F.lit(_KEY_SEP), "id_value", F.lit(_KEY_SEP)))).alias("keys")),
-        securities.select(node, F.array_compact(F.array(_key("TICKER", F.concat_ws(":", "market", "symbol")))).alias("keys")),
-    ]
-    nodes = reduce(DataFrame.unionByName, there, own).groupBy("node").agg(F.flatten(F.collect_set("keys")).alias("keys"))
-    group = groups(nodes)
-    wide = ["kind", "company_id", "id_type", "id_value", "market", "symbol", "underlying_isin", "underlying_symbol", "_receipt", "_given", *FILLED]
-
-    def side(df: DataFrame, kind: str, node_: Column) -> DataFrame:
-        types = {"_receipt": "boolean"}  # ids stay text: a column of numbers and nulls would turn to floats on its way
-        return df.select(node_.alias("node"), *((F.lit(kind) if c == "kind" else F.col(c) if c in df.columns else F.lit(None)).cast(types.get(c, "string")).alias(c) for c in wide))
-
-    at = F.concat(F.lit("c"), F.col("company_id").cast("string"))
-    all_ = side(rows.withColumn("_given", F.col("_ord.given")), "record", F.concat(F.lit("r"), F.col("_ord.given").cast("string")))
-    for df, kind in ((companies, "company"), (xref, "xref"), (securities.select("company_id", "market", "symbol"), "listing")):
-        all_ = all_.unionByName(side(df, kind, at))
-    folded = all_.join(group, "node").drop("node")
-    touched = folded.where("kind = 'record'").select("group").distinct()
-    out = "kind string, given string, company string, id_type string, id_value string, " + ", ".join(f"{c} string" for c in FILLED)
-    found = folded.join(touched, "group", "left_semi").groupBy("group").applyInPandas(lambda df: _fold(df.drop(columns="group")), out).persist()
-    return _numbered(found, rows, companies, xref)
-
-
-def _numbered(found: DataFrame, rows: DataFrame, companies: DataFrame, xref: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    made = found.where("kind = 'company' and company like 'new%'").select("company", F.expr("cast(substring(company, 4) as bigint)").alias("_place"))
-    place = rows.select(F.col("_ord.given").alias("_place"), "_receipt")
-    made = made.join(place, "_place").withColumn("_ord", (F.col("_receipt").cast("bigint") * (1 << 40)) + F.col("_place"))
-    old = companies.select(F.col("company_id").cast("string").alias("company"), "company_id")
-    ids = with_ids(old, made.select("company", "_ord"), ["company"], "company_id").select("company", "company_id").unionByName(old).dropDuplicates(["company"])
-    of = lambda kind: found.where(F.col("kind") == kind).join(ids, "company")
-    records = of("record").select(F.col("given").cast("bigint").alias("_ord"), "company_id").join(rows.select(F.col("_ord.given").alias("_ord"), "market", "symbol"), "_ord").select("market", "symbol", "_ord", "company_id")
-    after = of("company").select("company_id", *FILLED)
-    same = companies.select("company_id", *(F.col(c) if c in companies.columns else F.lit(None).cast("string").alias(c) for c in FILLED)).join(after, "company_id", "left_anti")
-    known = xref.select("id_type", "id_value", F.col("company_id").cast("bigint").alias("company_id"))
-    listed = of("xref").select("id_type", "id_value", "company_id")
-    return records, same.unionByName(after), known.unionByName(listed.join(known, ["id_type", "id_value"], "left_anti"))
+    rows = written(prepared(records, ordinal), "records")
+    have = set(companies.columns)
+    old = companies.select("company_id", *((F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in FILLED))
+    known = xref.select("id_type", "id_value", _company().alias("node")).dropDuplicates(["id_type", "id_value"])
+    listings = securities.select("market", "symbol", _company().alias("node"))
+    root, first = decided(rows, old, known, listings)
+    numbers = with_ids(old.select(_company().alias("node"), "company_id"), root.where("at = root").select(F.col("at").alias("node"), F.col("at").alias("_ord")), ["node"], "company_id").select("node", "company_id")
+    ids = written(numbers.unionByName(old.select(_company().alias("node"), F.col("company_id").cast("long").alias("company_id"))), "company-ids")
+    of = root.join(ids, root["root"] == ids["node"]).select("at", "company_id")
+    mine = written(rows.join(of, "at"), "resolved")
+
+    # fields: what was there, then the records in order
+    was = old.select(F.lit(-1).cast("long").alias("at"), "company_id", *FILLED)
+    touched = mine.select("at", "company_id", *FILLED).unionByName(was.join(mine.select("company_id").distinct(), "company_id", "left_semi").select("at", "company_id", *FILLED))
+    after = touched.groupBy("company_id").agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), F.col("at"))).alias(c) for c in FILLED))
+    after = after.unionByName(old.join(after.select("company_id"), "company_id", "left_anti").select("company_id", *FILLED))
+
+    tickers = mine.groupBy("market", "symbol").agg(F.min_by("company_id", "at").alias("company_id")).join(securities.select("market", "symbol"), ["market", "symbol"], "left_anti")
+    tickers = tickers.select(F.lit("TICKER").alias("id_type"), F.concat_ws(":", "market", "symbol").alias("id_value"), "company_id")
+    fresh = first.where("node is null").join(of, F.col("first") == of["at"]).select("id_type", "id_value", "company_id").unionByName(tickers)
+    listed = xref.select("id_type", "id_value", F.col("company_id").cast("long").alias("company_id"))
+    return mine.select("market", "symbol", F.col("given").alias("_ord"), "company_id"), after, listed.unionByName(fresh.join(listed, ["id_type", "id_value"], "left_anti"))
 
 
 # -- links set by hand ---------------------------------------------------------------------
 
 
 def read_overrides(spark, path: str) -> DataFrame:
-    """group, market and symbol of a curated file, in its order; rows that lack one go."""
-    rows = spark.read.csv(path, header=True).withColumn("_ord", F.monotonically_increasing_id())
+    """group, market and symbol of curated files, in the order of their names and bytes; rows that lack one go."""
+    rows = spark.read.csv(path, header=True, schema="group string, market string, symbol string", enforceSchema=False)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = written(rows.withColumn("_ord", place), "overrides")
     return overrides_of(rows)
 
 
@@ -225,34 +196,19 @@ def tokens(spark, texts: list[str]) -> DataFrame:
 def apply_overrides(members: DataFrame, securities: DataFrame, xref: DataFrame, source: str = "override") -> tuple[DataFrame, DataFrame, DataFrame]:
     """securities and identifiers after all listings of a group that exist go to the company of the first of them; and those links.
 
-    A listing in several groups goes with the last. Groups without a listing that
-    exists change nothing. A group sees the links of the groups before it, so groups
-    that share a listing are taken in order; they are few.
+    Groups are taken in the order of their first rows, and each sees the links of
+    those before it: its first listing has the company of the last earlier group that holds this
+    listing, else its own. That is a pointer from group to group, whose root tells.
+    A listing in several groups goes with the last. Groups without a listing that exists change nothing.
     """
-    there = members.join(securities.select("market", "symbol", "company_id"), ["market", "symbol"])
-    order = members.groupBy("group").agg(F.min("_ord").alias("_at"))
-    shared = there.groupBy("market", "symbol").agg(F.countDistinct("group").alias("n")).where("n > 1")
-    if not shared.isEmpty():
-        return _in_order(members, order, securities, xref, source)
-    target = there.groupBy("group").agg(F.min_by("company_id", "_ord").alias("target"))
-    links = there.join(target, "group").groupBy("market", "symbol").agg(F.max_by("target", "_ord").alias("target"))
-    return _relinked(links, securities, xref, source)
-
-
-def _in_order(members: DataFrame, order: DataFrame, securities: DataFrame, xref: DataFrame, source: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Groups that share listings, folded in one task: a curated file is small."""
-    there = members.join(securities.select("market", "symbol", "company_id"), ["market", "symbol"]).join(order, "group")
-
-    def fold(df: pd.DataFrame) -> pd.DataFrame:
-        now = {(r.market, r.symbol): r.company_id for r in df.itertuples()}
-        for _, own in df.sort_values(["_at", "_ord"]).groupby("_at", sort=True):
-            listings = [(r.market, r.symbol) for r in own.itertuples()]
-            target = now[listings[0]]
-            now.update(dict.fromkeys(listings, target))
-        return pd.DataFrame([(m, s, c) for (m, s), c in now.items()], columns=["market", "symbol", "target"])
-
-    links = there.groupBy(F.lit(0).alias("_all")).applyInPandas(fold, "market string, symbol string, target bigint")
-    return _relinked(links, securities, xref, source)
+    order = members.groupBy("group").agg(F.min("_ord").alias("node"))
+    there = written(members.join(securities.select("market", "symbol", "company_id"), ["market", "symbol"]).join(order, "group"), "members")
+    first = there.groupBy("node").agg(F.min_by(F.struct("market", "symbol", "company_id"), "_ord").alias("lead")).select("node", "lead.*")
+    held = there.select("market", "symbol", "node").distinct().withColumn("parent", F.lag("node").over(Window.partitionBy("market", "symbol").orderBy("node")))
+    leads = written(first.join(held, ["node", "market", "symbol"]).select("node", "parent", "company_id"), "leads")
+    target = roots(leads.select("node", "parent")).join(leads.select(F.col("node").alias("root"), F.col("company_id").alias("target")), "root").select("node", "target")
+    links = there.join(target, "node").groupBy("market", "symbol").agg(F.max_by("target", "node").alias("target"))
+    return _relinked(written(links, "links"), securities, xref, source)
 
 
 def _relinked(links: DataFrame, securities: DataFrame, xref: DataFrame, source: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -35,6 +35,10 @@ def by_number(names: Column) -> Column:
     return F.transform(F.array_sort(F.transform(names, lambda n: F.struct(key(n).alias("k"), n.alias("n")))), lambda x: x["n"])
 
 
+def stable_place(day: str, ordinal: str) -> Column:
+    """The place of a row by day, those without one first, then as they came: to sort by, within a group or over all."""
+    return F.struct(F.coalesce(F.col(day), F.lit("")).alias("day"), F.col(ordinal).alias(ordinal))
+
+
 def stable_order(df: DataFrame, day: str, ordinal: str) -> DataFrame:
-    """Rows by day, those without one first, then as they came."""
-    return df.orderBy(F.coalesce(F.col(day), F.lit("")), ordinal)
+    return df.orderBy(stable_place(day, ordinal))

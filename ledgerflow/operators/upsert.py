@@ -3,7 +3,7 @@
 ``update`` keeps a row per key with each column by its rule, ``replace`` the last
 whole row, ``ignore`` the first. What is written carries an explicit ordinal, never
 arrival order; columns with the plain rule are picked together, as one row. A row
-with a null in its key matches nothing and is always kept.
+with a null in its key matches nothing and is always kept, as often as it is there.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import written
+
 RULES = ("new", "coalesce_new_old", "coalesce_old_new", "keep")
 
 
@@ -38,13 +40,14 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], policy: str = "u
     rows = side(old, 0).unionByName(side(new, 1))
     values = [c for c in rows.columns if c not in (*keys, "_at")]
     whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
-    # rows without a whole key are groups of their own: one pass serves both kinds
-    rows = rows.withColumn("_solo", F.when(~whole, F.col("_at")))
+    # rows without a whole key are groups of their own, equal ones counted: one pass serves both kinds
+    rows = rows.withColumn("_solo", F.when(~whole, F.struct("_at", *values)))
     rules = {c: (rules or {}).get(c, "new") for c in values} if policy == "update" else dict.fromkeys(values, "new" if policy == "replace" else "keep")
     last, first = ([c for c in values if rules[c] == r] for r in ("new", "keep"))
     agg = [_column(c, r, F.col("_at")) for c, r in rules.items() if r.startswith("coalesce")]
     agg += [pick(F.struct(F.lit(0).alias("_"), *names), F.col("_at")).alias(name) for pick, names, name in ((F.max_by, last, "_last"), (F.min_by, first, "_first")) if names]
-    out = rows.groupBy(*keys, "_solo").agg(*(agg or [F.count(F.lit(1)).alias("_n")]))
+    out = rows.groupBy(*keys, "_solo").agg(*agg, F.count(F.lit(1)).alias("_n"))
+    out = out.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.when(F.col("_solo").isNull(), 1).otherwise(F.col("_n")).cast("int"))))
     return out.select(*keys, *((F.col(f"_last.{c}") if c in last else F.col(f"_first.{c}") if c in first else F.col(c)).alias(c) for c in values)).select([c for c in rows.columns if c not in ("_at", "_solo")])
 
 
@@ -54,17 +57,20 @@ def replace_partition(old: DataFrame, new: DataFrame, prefix: Sequence[str]) ->
 
 
 def with_ids(old: DataFrame, new: DataFrame, keys: Sequence[str], id_column: str, ordinal: str = "_ord") -> DataFrame:
-    """``new`` with the id its key has in ``old``, or the next free ones in the order of first appearance.
+    """``new`` with the id its key has in ``old``, or the next free ones in the order of first appearance; a null in a key gets none.
 
-    Only the distinct new keys are numbered. They are sorted in range partitions and
-    numbered by each partition's offset, so no task sees all of them.
+    Only the distinct new keys are numbered. They are sorted in range partitions and written
+    once: ranges are drawn from samples, so two plans of them would not agree. From
+    the written rows come both the sizes of the partitions and the places within.
     """
     known = old.select(*keys, F.col(id_column).alias("_known")).dropDuplicates(list(keys))
     joined = new.join(known, list(keys), "left")
-    fresh = joined.where("_known is null").groupBy(*keys).agg(F.min(ordinal).alias("_first"))
-    ranged = fresh.repartitionByRange(F.col("_first")).sortWithinPartitions("_first").withColumn("_m", F.monotonically_increasing_id())
-    ranged = ranged.withColumns({"_part": F.shiftright("_m", 33), "_row": F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))})
+    whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    fresh = joined.where(F.col("_known").isNull() & whole).groupBy(*keys).agg(F.min(ordinal).alias("_first"))
+    ranged = fresh.repartitionByRange("_first", *keys).sortWithinPartitions("_first", *keys).withColumn("_m", F.monotonically_increasing_id())
+    ranged = written(ranged.select(*keys, F.shiftright("_m", 33).alias("_part"), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row")), "new-keys")
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # a row for each partition, not for each key
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_offset")
     top = old.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("_top"))
     numbered = ranged.join(F.broadcast(offsets), "_part").join(F.broadcast(top)).select(*keys, (F.col("_top") + F.col("_offset") + F.col("_row") + 1).alias("_new"))

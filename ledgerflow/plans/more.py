@@ -91,14 +91,12 @@ def write_filing_cells(spark, d):
     return replace_partition(old, new, ["doc"])
 
 
-@query("""WITH k AS (SELECT DISTINCT o_orderpriority AS p, o_orderstatus AS s FROM orders), old AS (SELECT p, s, 10 * row_number() OVER (ORDER BY p, s) AS id FROM k WHERE p < '3'),
-f AS (SELECT o_orderpriority AS p, o_orderstatus AS s, min(o_orderkey) AS first FROM orders WHERE o_orderpriority >= '3' GROUP BY 1, 2)
-SELECT o_orderkey, CAST(coalesce(old.id, n.id) AS BIGINT) AS id FROM orders LEFT JOIN old ON old.p = o_orderpriority AND old.s = o_orderstatus LEFT JOIN (SELECT p, s, (SELECT coalesce(max(id), 0) FROM old) + row_number() OVER (ORDER BY first) AS id FROM f) n ON n.p = o_orderpriority AND n.s = o_orderstatus""")
+@query("""WITH f AS (SELECT o_orderkey, row_number() OVER (ORDER BY max(o_totalprice) DESC, o_orderkey) AS n FROM orders WHERE o_orderkey % 3 > 0 GROUP BY 1), t AS (SELECT coalesce(max(10 * o_orderkey), 0) AS top FROM orders WHERE o_orderkey % 3 = 0)
+SELECT o.o_orderkey, CAST(CASE WHEN o.o_orderkey % 3 = 0 THEN 10 * o.o_orderkey ELSE top + n END AS BIGINT) AS id FROM orders o LEFT JOIN f USING (o_orderkey), t""")
 def surrogate_ids(spark, d):
-    o = base(spark, d, "orders")
-    old = o.where("o_orderpriority < '3'").select("o_orderpriority", "o_orderstatus").distinct()
-    old = old.withColumn("id", 10 * F.row_number().over(Window.orderBy("o_orderpriority", "o_orderstatus")))
-    return with_ids(old, o.select("o_orderkey", "o_orderpriority", "o_orderstatus", F.col("o_orderkey").alias("_ord")), ["o_orderpriority", "o_orderstatus"], "id").select("o_orderkey", "id")
+    o = base(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    old = o.where("o_orderkey % 3 = 0").select("o_orderkey", (10 * F.col("o_orderkey")).alias("id")).distinct()
+    return with_ids(old, o.withColumn("_ord", -F.col("o_totalprice")), ["o_orderkey"], "id").select("o_orderkey", "id")
 
 
 @query("""WITH r AS (SELECT s.company_id, CAST(s.security_id AS BIGINT) AS security_id, strftime(e.ts, '%Y-%m-%d') AS metric_date, e.value AS market_cap, row_number() OVER (PARTITION BY s.security_id, CAST(e.ts AS DATE) ORDER BY e.event_id DESC) AS n, count(*) OVER () AS written FROM events e JOIN securities s ON s.symbol = CAST(e.user_id AS VARCHAR) AND s.market = 'US')
@@ -121,13 +119,13 @@ def statute_link(spark, d):
 _GROUP = "CASE WHEN {0} % 3 = 0 THEN 'L' || ({0} % 200) WHEN {0} % 3 = 1 THEN 'N' || ({0} % 90) || '|' || ({0} % 2) ELSE 'I' || {0} END"
 
 
-@query(f"""WITH r AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 0 THEN c_custkey - 1 ELSE c_custkey END AS own FROM customer WHERE c_custkey > 0), g AS (SELECT k, own, {_GROUP.format('own')} AS g FROM r),
-ids AS (SELECT g, row_number() OVER (ORDER BY min(own)) AS company_id FROM g WHERE k % 7 <> 0 GROUP BY g) SELECT 'S' || k AS symbol, CAST(company_id AS BIGINT) AS company_id FROM g JOIN ids USING (g)""")
+@query(f"""WITH r AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 0 AND c_custkey > 0 THEN c_custkey - 1 ELSE c_custkey END AS own FROM customer), g AS (SELECT k, own, CASE WHEN k = 0 THEN 'alone' ELSE {_GROUP.format('own')} END AS g FROM r),
+ids AS (SELECT g, row_number() OVER (ORDER BY g = 'alone', min(own)) AS company_id FROM g WHERE k % 7 <> 0 OR k = 0 GROUP BY g) SELECT 'S' || k AS symbol, CAST(company_id AS BIGINT) AS company_id FROM g JOIN ids USING (g)""")
 def entity_resolution(spark, d):
     k = F.col("c_custkey")
     receipt = k % 7 == 0
     text = lambda p, c: F.concat(F.lit(p), c.cast("string"))
-    rows = base(spark, d, "customer").where("c_custkey > 0").select(
+    rows = base(spark, d, "customer").select(
         F.lit("US").alias("market"), text("S", k).alias("symbol"), F.when(receipt, F.when(k % 2 == 0, "ADR").otherwise("GDR")).alias("security_type"),
         F.when(~receipt & (k % 3 == 0), text("L", k % 200)).alias("lei"), F.when(~receipt & (k % 3 == 2), text("I", k)).alias("isin"),
         F.when(k % 3 == 1, text("Name ", k % 90)).otherwise(text("Other ", k)).alias("name"), (k % 2).cast("string").alias("country"), F.when(receipt, text("US:S", k - 1)).alias("underlying_symbol"), k.alias("_ord"),
@@ -178,8 +176,8 @@ def listing_rank(spark, d):
 
 
 def _table_pages(spark, d):
-    """Pages of 60 documents, each with a table that may start high or end low; some pages have none, some an empty grid."""
-    o = base(spark, d, "orders").select((F.col("o_custkey") % 60).alias("doc_id"), "o_orderkey", "o_orderpriority")
+    """A document for each customer, with a page for each order and on it a table that may start high or end low; some pages have none, some an empty grid."""
+    o = base(spark, d, "orders").select(F.col("o_custkey").alias("doc_id"), "o_orderkey", "o_orderpriority")
     o = o.withColumn("page_no", F.row_number().over(Window.partitionBy("doc_id").orderBy("o_orderkey")))
     k = F.col("o_orderkey")
     rows = F.array(F.array(F.lit("head"), F.lit("value")), F.array(F.col("o_orderpriority"), k.cast("string")))
@@ -190,7 +188,7 @@ def _table_pages(spark, d):
     return o.select("doc_id", "page_no", F.lit(800.0).alias("height"), F.when(k % 13 == 0, none).otherwise(F.array(table)).alias("tables"))
 
 
-@query("""WITH p AS (SELECT o_custkey % 60 AS doc_id, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey % 60 ORDER BY o_orderkey) AS page_no, sum((o_orderkey % 13 = 0)::INT) OVER (PARTITION BY o_custkey % 60 ORDER BY o_orderkey) AS bare FROM orders),
+@query("""WITH p AS (SELECT o_custkey AS doc_id, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page_no, sum((o_orderkey % 13 = 0)::INT) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS bare FROM orders),
 t AS (SELECT *, lag(k % 5 > 0) OVER w AS low, lag(bare) OVER w AS was FROM p WHERE k % 13 <> 0 AND k % 11 <> 0 WINDOW w AS (PARTITION BY doc_id ORDER BY page_no)),
 r AS (SELECT *, sum(CASE WHEN k % 3 > 0 AND low AND was = bare THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY page_no) AS run FROM t)
 SELECT doc_id, CAST(run - 1 AS INT) AS table_seq, CAST(min(page_no) AS INT) AS page_start, CAST(max(page_no) AS INT) AS page_end, CAST(count(*) + 1 AS INT) AS n_rows, CASE WHEN arg_min(k, page_no) % 2 = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS structure_confidence FROM r GROUP BY doc_id, run""")
@@ -361,10 +359,10 @@ def evaluation_report(spark, d):
     return evaluation.roll_up(evaluation.score_cases(_cases(spark, d)))
 
 
-@query("""WITH t AS (SELECT conv_id, turn, list_transform(string_split_regex(text, '\\n\\s*\\n'), lambda x: lower(trim(regexp_replace(x, '\\s+', ' ', 'g')))) AS mine, lower(trim(regexp_replace(substr(text, 5, 20), '\\s+', ' ', 'g'))) AS a, 'absent here' AS b FROM conversations WHERE text IS NOT NULL)
+@query("""WITH t AS (SELECT conv_id, turn, list_transform(string_split_regex(text, '\\n\\s*\\n'), lambda x: lower(trim(regexp_replace(x, '\\s+', ' ', 'g')))) AS mine, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS a, 'absent here' AS b FROM conversations WHERE text IS NOT NULL)
 SELECT conv_id, turn, (len(list_filter(mine, lambda x: contains(x, a))) > 0)::INT / 2 + (len(list_filter(mine, lambda x: contains(x, b))) > 0)::INT / 2 AS share FROM t""")
 def paragraphs_recovered(spark, d):
-    gold = F.array(F.substring("text", 5, 20), F.lit("Absent  here"))
+    gold = F.array("text", F.lit("Absent  here"))
     return base(spark, d, "conversations").where("text is not null").select("conv_id", "turn", evaluation.continuity(F.col("text"), gold).alias("share"))
 
 
@@ -402,8 +400,7 @@ def numbered_sections(spark, d):
 @query("""SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY coalesce(CASE WHEN o_orderkey % 4 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') END, ''), o_orderkey) AS keys FROM orders GROUP BY 1""")
 def undated_first(spark, d):
     rows = base(spark, d, "orders").withColumn("day", F.when(F.col("o_orderkey") % 4 > 0, F.date_format("o_orderdate", "yyyy-MM-dd")))
-    ordered = stats.stable_order(rows, "day", "o_orderkey").withColumn("at", F.monotonically_increasing_id())
-    return ordered.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "o_orderkey"))), lambda x: x["o_orderkey"].cast("string")), ",").alias("keys"))
+    return rows.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(stats.stable_place("day", "o_orderkey"))), lambda x: x["o_orderkey"].cast("string")), ",").alias("keys"))
 
 
 @query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS slashed, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day_first, strftime(o_orderdate, '%Y-%m-%d') AS range_end, strftime(CAST(o_orderdate AS DATE) - INTERVAL 2 YEAR, '%Y-%m-%d') AS years_before, 1 / o_totalprice AS inverse FROM orders""")
