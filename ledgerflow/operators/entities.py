@@ -201,7 +201,7 @@ def apply_overrides(members: DataFrame, securities: DataFrame, xref: DataFrame,
     listing, else its own. That is a pointer from group to group, whose root tells.
     A listing in several groups goes with the last. Groups without a listing that exists change nothing.
     """
-    order = members.groupBy("group").agg(F.min("_ord").alias("node"))
+    order = members.groupBy("group").agg(F.min("_ord").alias("_at")).select("group", F.struct("_at", "group").alias("node"))
     there = written(members.join(securities.select("market", "symbol", "company_id"), ["market", "symbol"]).join(order, "group"), "members")
     first = there.groupBy("node").agg(F.min_by(F.struct("market", "symbol", "company_id"), "_ord").alias("lead")).select("node", "lead.*")
     held = there.select("market", "symbol", "node").distinct().withColumn("parent", F.lag("node").over(Window.partitionBy("market", "symbol").orderBy("node")))
