@@ -60,7 +60,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     common = once.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), survivor).where(F.col("n_docs") >= min_docs)
     common = saved(common.select("h1", "h2", "survivor"), "common-lines")
     lost = attach(found, common, ["h1", "h2"], "inner", 48).where("doc_id <> survivor")
-    dropped = lost.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_list("position")).alias("dropped"))
+    dropped = lost.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_set("position")).alias("dropped"))
     starts = F.concat(F.array(F.lit(0)), F.transform("dropped", lambda p: p + 1))
     # the last run is open: its length is cut where the text ends
     ends = F.concat("dropped", F.array(F.lit(2_147_483_647)))
