@@ -100,7 +100,7 @@ def features(column: pa.Array) -> Iterator[tuple[int, Features]]:
     """Features of slices of the rows, each with the number of its first row; a long text's slices follow each other."""
     raw, at = texts(column)
     raw = _LOWER[raw]
-    for lo, hi in slices(at):
+    for lo, hi in slices(at, SLICE_BYTES):
         own = raw[at[lo] : at[hi]]
         if len(own) <= 2 * SLICE_BYTES:
             yield lo, Features(own, at[lo : hi + 1] - at[lo])

@@ -31,7 +31,7 @@ def plain(x):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "clicks"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df, sql = QUERIES[name](spark, SF), con.sql(SQL[name])
     assert sorted(df.columns) == sorted(sql.columns)
