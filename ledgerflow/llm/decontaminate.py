@@ -149,8 +149,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COV
     likely = attach(reduce(DataFrame.unionByName, found), sizes, ["item_row"], "inner", 24).where("hits >= needed")
     likely = likely.groupBy(*KEYS, "item_row").agg(F.collect_list("shift").alias("shifts")).groupBy(*KEYS).agg(F.collect_list(F.struct("item_row", "shifts")).alias("on"))
     likely = saved(likely, "diagonals")
-    n_shifts = likely.agg(F.coalesce(F.sum(F.aggregate("on", F.lit(0), lambda x, y: x + F.size(y["shifts"]) + 8)), F.lit(0)), F.count(F.lit(1))).first()
-    texts = attach(docs.select(*KEYS, "text"), likely, KEYS, "inner", 64 + 8 * n_shifts[0] // max(1, n_shifts[1]))
+    # most documents of plain language have some diagonal, so this is a merge join at any size
+    texts = docs.select(*KEYS, "text").join(likely.hint("merge"), KEYS)
     on = texts.select(*KEYS, token_hashes().alias("h"), "on").select(*KEYS, "h", F.explode("on").alias("o")).select(*KEYS, "h", "o.item_row", "o.shifts")
     on_item = attach(on, items.select("item_row", "item_id", F.col("h").alias("item_h")), ["item_row"], "inner", item_bytes).select("*", F.explode("shifts").alias("shift"))
     equal = F.filter(F.sequence(F.lit(0), F.size("item_h") - 1), lambda t: (t + F.col("shift") >= 0) & F.coalesce(F.get(F.col("h"), t + F.col("shift")) == F.get(F.col("item_h"), t), F.lit(False)))
