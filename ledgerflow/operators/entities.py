@@ -242,6 +242,20 @@ def peer_edges(pairs: DataFrame, securities: DataFrame) -> DataFrame:
     return rows.where("company_id <> peer_company_id").select("company_id", "peer_company_id").distinct()
 
 
+def peers_with_companies(pairs: DataFrame, companies: DataFrame, xref: DataFrame, securities: DataFrame, ordinal: str = "_ord") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Edges (company_id, peer_company_id) of all pairs (market, symbol, peer), and companies, identifiers and new listings after them.
+
+    A peer that is not listed gets a company of its own, named by its symbol, or the one its name and country lead to.
+    """
+    wanted = pairs.select("market", F.col("peer").alias("symbol"), ordinal)
+    wanted = wanted.withColumn("symbol", normalize_symbol(F.col("market"), F.col("symbol"))).groupBy("market", "symbol").agg(F.min(ordinal).alias(ordinal))
+    records = written(missing_master(wanted, securities, ordinal), "unknown-peers")
+    found, after, known = resolve(records, companies, xref, securities, ordinal)
+    made = written(found.select("market", "symbol", "company_id"), "new-peers")
+    listed = securities.select("market", "symbol", "company_id").unionByName(made)
+    return peer_edges(pairs, listed), after, known, made
+
+
 def linked_rank(securities: DataFrame) -> DataFrame:
     """Listings of each company, the primary first."""
     w = Window.partitionBy("company_id").orderBy(F.desc("is_primary"), "security_id")

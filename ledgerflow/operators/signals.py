@@ -7,7 +7,7 @@ documents are taken by day, those without one first, in the order of ``ord``.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +21,8 @@ from ..sources.disclosures import REGISTRATION_FORMS
 RANGE = r"(?i)offering\s+price[^$]{0,100}between\s*\$\s*(\d{1,4}\.\d{2})\s*and\s*\$\s*(\d{1,4}\.\d{2})"
 FINAL = r"(?i)initial\s+public\s+offering\s+price\s+(?:is|of)\s*\$\s*(\d{1,4}\.\d{2})\s*per\s+share"
 ANCHOR = re.compile(r"([A-Z][^.]{0,150}?)\s+(?:have|has)\s+indicated\s+an\s+interest\s+in\s+purchasing[^$]{0,80}\$\s*([\d,]+(?:\.\d+)?)\s*(million|billion)?", re.I)
+#: Forms of confidential drafts.
+DRAFT_FORMS = ("DRS", "DRS/A")
 #: Characters of context beside a match.
 RADIUS = 500
 
@@ -106,11 +108,24 @@ def first_matches(df: DataFrame, keys: list[str], matches: Column, order: list[s
     return first_occurrences(df.where(matches), keys, order)
 
 
-def review_gaps(df: DataFrame, key: str, kind: Column, day: Column, draft: str, public: str) -> DataFrame:
-    """First draft, first public filing, days between and number of drafts of keys that have both."""
-    at = lambda k: F.min(F.when(kind == k, day))
-    rows = df.groupBy(key).agg(at(draft).alias("first_draft"), at(public).alias("first_public"), F.count_if(kind == draft).alias("drafts")).where("first_draft is not null and first_public is not null")
-    return rows.withColumn("gap_days", F.datediff(F.try_to_date("first_public"), F.try_to_date("first_draft")))
+def review_gaps(df: DataFrame, key: str, kind: Column, day: Column, drafts: Sequence[str], public: Sequence[str]) -> DataFrame:
+    """First draft, first public filing, days between and number of dated drafts of keys that have both, the draft no later."""
+    there = lambda kinds: kind.isin(*kinds) & day.isNotNull() & (day != "")
+    at = lambda kinds: F.min(F.when(there(kinds), day))
+    rows = df.groupBy(key).agg(at(drafts).alias("first_draft"), at(public).alias("first_public"), F.count_if(there(drafts)).alias("drafts"))
+    return rows.withColumn("gap_days", F.datediff(F.try_to_date("first_public"), F.try_to_date("first_draft"))).where("gap_days >= 0")
+
+
+def confidential_reviews(filings: DataFrame) -> DataFrame:
+    """A signal for each symbol whose first draft registration came before its first public one: how long the review took.
+
+    Of public filings of one day the first by ``ord`` counts.
+    """
+    gaps = review_gaps(filings, "symbol", F.col("filing_type"), F.col("filed_date"), DRAFT_FORMS, REGISTRATION_FORMS)
+    public = first_matches(filings, ["symbol"], F.col("filing_type").isin(*REGISTRATION_FORMS) & (F.col("filed_date") != ""), ["filed_date", "ord"])
+    both = gaps.join(public.select("symbol", "filing_type", "url"), "symbol")
+    detail = F.concat(F.lit("Confidential DRS review: first draft "), "first_draft", F.lit(" -> first public "), "filing_type", F.lit(" "), "first_public", F.lit(" ("), F.col("gap_days").cast("string"), F.lit(" days, "), F.col("drafts").cast("string"), F.lit(" draft submission(s) on file)"))
+    return both.select("symbol", F.col("first_public").alias("signal_date"), F.lit("confidential_review").alias("signal_type"), detail.alias("detail"), "url")
 
 
 def isolated(*branches: Callable[[], DataFrame]) -> tuple[DataFrame | None, list[Exception]]:

@@ -448,10 +448,10 @@ def first_disclosures(spark, d):
     return signals.first_occurrences(base(spark, d, "orders"), keys, ["o_orderdate", "o_orderkey"]).select("o_orderkey")
 
 
-@query("""SELECT o_custkey, min(strftime(o_orderdate, '%Y-%m-%d')) FILTER (o_orderstatus = 'F') AS first_draft, min(strftime(o_orderdate, '%Y-%m-%d')) FILTER (o_orderstatus = 'O') AS first_public, count(*) FILTER (o_orderstatus = 'F') AS drafts,
-date_diff('day', min(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'F'), min(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'O'))::INT AS gap_days FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'F') > 0 AND count(*) FILTER (o_orderstatus = 'O') > 0""")
+@query("""WITH g AS (SELECT o_custkey, min(strftime(o_orderdate, '%Y-%m-%d')) FILTER (o_orderstatus = 'F') AS first_draft, min(strftime(o_orderdate, '%Y-%m-%d')) FILTER (o_orderstatus <> 'F') AS first_public, count(*) FILTER (o_orderstatus = 'F') AS drafts FROM orders GROUP BY 1)
+SELECT *, date_diff('day', first_draft::DATE, first_public::DATE)::INT AS gap_days FROM g WHERE first_draft <= first_public""")
 def review_gaps(spark, d):
-    return signals.review_gaps(base(spark, d, "orders"), "o_custkey", F.col("o_orderstatus"), F.date_format("o_orderdate", "yyyy-MM-dd"), "F", "O")
+    return signals.review_gaps(base(spark, d, "orders"), "o_custkey", F.col("o_orderstatus"), F.date_format("o_orderdate", "yyyy-MM-dd"), ["F"], ["O", "P"])
 
 
 @query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 4 > 0 AND (contains(lower(o_orderpriority), 'urgent') OR contains(lower(o_orderpriority), 'low'))""")

@@ -71,3 +71,20 @@ def pending_filings(filings: DataFrame, documents: DataFrame, securities: DataFr
     have = documents.groupBy(*keys).agg(F.count(F.lit(1)).alias("have"))
     rows = filings.join(have, keys, "left").where(F.coalesce("have", F.lit(0)) < F.greatest(F.lit(1), F.col("n_urls")))
     return rows.join(securities.select("company_id"), "company_id", "left_semi")
+
+
+def bucketed(df: DataFrame, path: str, keys: list[str], buckets: int = 64) -> DataFrame:
+    """``df`` as a table bucketed and sorted by ``keys`` under ``path``: joins by them need not shuffle it again."""
+    spark = df.sparkSession
+    name = "bucketed_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def missing_documents(filings: DataFrame, documents: DataFrame, keys: list[str]) -> DataFrame:
+    """The document numbers of ``filings`` (keys, seqs) that ``documents`` has not.
+
+    With documents bucketed by keys and doc_seq only the filings asked for are shuffled, to the documents' buckets.
+    """
+    wanted = filings.select(*keys, F.explode(F.col("seqs").cast("array<int>")).alias("doc_seq"))
+    return wanted.join(documents.hint("merge"), [*keys, "doc_seq"], "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import catalogue, feeds, more  # noqa: F401  the last two register their queries
+from .plans import catalogue, feeds, more, pages  # noqa: F401  the last three register their queries
 
 
 def queries() -> dict[str, catalogue.Query]:
