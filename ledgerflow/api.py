@@ -14,60 +14,34 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions.scalars import compact_number, normalize_symbol, range_or_default, truncate
+from .functions.scalars import compact_number, normalize_symbol, range_or_default, truncate, window_start
 from .operators import entities, evaluation, signals
+from .operators.storage import written
 from .plans import tables, views
-from .sources import asia, disclosures, statutes, vendors
-
-MARKETS = ("KR", "HK", "US")
-#: Which source serves a market's data by default.
-DEFAULTS = {
-    ("KR", "master"): "krx", ("KR", "prices"): "krx", ("KR", "financials"): "dart", ("KR", "filings"): "dart",
-    ("HK", "master"): "hkexnews", ("HK", "prices"): "yfinance", ("HK", "financials"): "fmp", ("HK", "filings"): "hkexnews",
-    ("US", "master"): "edgar", ("US", "prices"): "yfinance", ("US", "financials"): "edgar", ("US", "filings"): "edgar",
-    **{(m, "actions"): "yfinance" for m in MARKETS}, **{(m, t): "fmp" for m in MARKETS for t in ("metrics", "ratios", "analyst", "earnings", "news", "esg")},
-    ("US", "insiders"): "edgar", ("US", "demand"): "edgar", ("US", "institutional"): "fmp", ("US", "index"): "fmp", ("US", "ownership"): "edgar",
-    ("KR", "insiders"): "dart", ("KR", "ownership"): "dart", ("KR", "metrics"): "krx", ("KR", "index"): "krx",
-}
-#: What each source's landed payloads are parsed by.
-PARSERS: dict[tuple[str, str], Callable[..., DataFrame]] = {
-    ("fmp", "master"): vendors.profiles, ("fmp", "prices"): vendors.daily_prices, ("fmp", "financials"): vendors.statements, ("fmp", "filings"): vendors.filings,
-    ("fmp", "metrics"): vendors.market_caps, ("fmp", "ratios"): vendors.ratios, ("fmp", "analyst"): vendors.estimates, ("fmp", "news"): vendors.news, ("fmp", "esg"): vendors.esg,
-    ("fmp", "institutional"): vendors.institutional, ("fmp", "earnings"): vendors.earnings, ("alphavantage", "master"): vendors.overviews, ("alphavantage", "prices"): vendors.daily_series,
-    ("alphavantage", "financials"): vendors.reports, ("alphavantage", "news"): vendors.scored_news, ("edgar", "master"): disclosures.ticker_map, ("edgar", "filings"): disclosures.submissions,
-    ("dart", "master"): asia.listed_companies, ("dart", "financials"): asia.statement_rows, ("dart", "filings"): asia.korean_filings, ("dart", "ownership"): asia.korean_holders, ("dart", "insiders"): asia.korean_insiders,
-    ("krx", "master"): asia.exchange_master, ("krx", "prices"): asia.korean_prices, ("hkexnews", "master"): asia.hk_stocks, ("hkexnews", "filings"): asia.hk_filings,
-}
+from .sources import routes, sinks, statutes
+from .sources.routes import MARKETS, default_source, parser  # noqa: F401  the last two are the user's
+
 #: Coverage types: their table and whether a range of days applies.
 COVERAGE = {"actions": ("corporate_actions", True), "metrics": ("daily_metrics", True), "ratios": ("ratios", False), "ownership": ("ownership", False), "insiders": ("insider_trades", True), "institutional": ("institutional_holdings", False), "analyst": ("analyst_estimates", False), "earnings": ("earnings_events", False), "news": ("news", False), "esg": ("esg_scores", False), "index": ("index_membership", False), "demand": ("demand_signals", False)}
 CORE = ("master", "prices", "financials", "filings")
 #: Accounts that name a company's revenue and net income, in order of preference.
 METRICS = {"revenue": ["Revenues", "RevenueFromContractWithCustomerExcludingAssessedTax", "revenue", "매출액", "Revenue", "totalRevenue"], "net_income": ["NetIncomeLoss", "netIncome", "당기순이익", "ProfitLoss"]}
+#: A statement with more nodes is refused.
+MOST_NODES = 10_000
 READS = re.compile(r"(?is)^\s*(?:select|with|explain|show|describe|desc|pragma)\b")
 WRITES = re.compile(r"(?i)(?:Insert|Create|Drop|Delete|Update|Merge|Alter|Truncate|Replace|Load|Set[A-Z]|Add[A-Z]|Rename|Overwrite|Append|Write|Refresh|Cache|Uncache|Repair|Analyze)")
 
 
-def default_source(market: str, data_type: str) -> str | None:
-    return DEFAULTS.get((market.upper(), data_type))
-
-
-def parser(source: str, data_type: str) -> Callable[..., DataFrame]:
-    """The parser of a source's data; NotImplementedError where it has none of that type."""
-    if source not in {s for s, _ in PARSERS} | set(DEFAULTS.values()):
-        raise ValueError(f"unknown source {source!r}")
-    if (source, data_type) not in PARSERS:
-        raise NotImplementedError(f"{source} has no {data_type}")
-    return PARSERS[source, data_type]
-
-
 def read_only(spark: SparkSession, sql: str) -> None:
     """ValueError unless the statement only reads: by its first word, and by the nodes of its parsed plan, wherever they stand."""
     if not READS.match(sql):
         raise ValueError("only statements that read are run")
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
     todo, seen = [plan], 0
-    while todo and seen < 10_000:
+    while todo:
         node, seen = todo.pop(), seen + 1
+        if seen > MOST_NODES:
+            raise ValueError(f"the statement has more than {MOST_NODES} nodes and cannot be judged")
         if WRITES.match(node.nodeName().split(".")[-1]):
             raise ValueError(f"{node.nodeName()} writes")
         if node.getClass().getSimpleName() == "ExplainCommand":
@@ -105,7 +79,7 @@ class Engine:
         rows = records.orderBy(ordinal).limit(limit) if limit is not None else records
         t = self.tables
         found, companies, xref = entities.resolve(rows, t["companies"], t["identifier_xref"], t["securities"], ordinal)
-        full = entities.prepared(rows, ordinal).select("market", "symbol", *(c for c in ("exchange", "security_type", "currency", "isin", "listing_date", "source")), F.coalesce("is_primary", F.lit(0)).alias("is_primary"), F.col("_ord.given").alias("_ord")).join(found.select("_ord", "company_id"), "_ord")
+        full = entities.prepared(rows, ordinal).select("market", "symbol", *(c for c in ("exchange", "security_type", "currency", "isin", "listing_date", "source")), F.coalesce("is_primary", F.lit(0)).alias("is_primary"), F.col("given").alias("_ord")).join(found.select("_ord", "company_id"), "_ord")
         from .operators.upsert import with_ids
 
         listed = with_ids(t["securities"].select("market", "symbol", "security_id"), full, ["market", "symbol"], "security_id")
@@ -118,16 +92,41 @@ class Engine:
         missing = entities.missing_master(wanted, self.tables["securities"])
         return self if missing.isEmpty() else self.load_master(missing)
 
-    def collect(self, data_type: str, landed: dict[tuple[str, str], DataFrame], markets: tuple[str, ...] = MARKETS, source: str | None = None) -> tuple[DataFrame | None, list[Exception]]:
+    def collect(self, data_type: str, landed: dict[tuple[str, str], routes.Landed], markets: tuple[str, ...] = MARKETS, source: str | None = None) -> tuple[DataFrame | None, list[Exception]]:
         """Rows parsed from landed payloads by (market, type), each market by its default source or the one given; ``all`` is the core types. Markets or types that fail are reported beside the rest."""
         types = CORE if data_type == "all" else (data_type,)
-        branches = []
-        for market in markets:
-            for t in types:
-                if (market, t) in landed:
-                    branches.append(lambda m=market, t=t: parser(source or default_source(m, t) or "", t)(landed[m, t]).withColumns({"market": F.lit(m), "data_type": F.lit(t)}))
+        branches = [lambda m=m, t=t: routes.parsed(m, t, landed[m, t], source).withColumn("data_type", F.lit(t)) for m in markets for t in types if (m, t) in landed]
         return signals.isolated(*branches)
 
+    def fx_wanted(self, today: str, start: str | None = None, end: str | None = None) -> DataFrame:
+        """Currency, first and last day of the rates to fetch: every currency of listings, prices and financials but the dollar, in order.
+
+        The range asked for, or else five years, is widened for currencies of financials to a year before their first period.
+        """
+        t = self.tables
+        used = [t[n].select("currency") for n in ("securities", "prices", "financials")]
+        needed = used[0].unionByName(used[1]).unionByName(used[2]).where("currency is not null and currency not in ('', 'USD')").distinct()
+        periods = t["financials"].where("period_end is not null").groupBy("currency").agg(F.min(window_start(F.lit("FY"), F.col("period_end"))).alias("_lo"), F.max("period_end").alias("_hi"))
+        lo, hi = range_or_default(start, end, today)
+        return needed.join(periods, "currency", "left").select("currency", F.least(F.lit(lo), "_lo").alias("start"), F.greatest(F.lit(hi), "_hi").alias("end")).orderBy("currency")
+
+    def collect_fx(self, charts: DataFrame, source: str = "yfinance") -> Engine:
+        """Spot rates from landed charts (base_ccy, payload) and, from all spot rates, the averages of the periods of financials, written."""
+        spot = routes.fx_rates(charts).withColumn("source", F.lit(source))
+        self.write("fx_rates", spot.withColumn("_ord", F.lit(0)))
+        average = views.period_average_fx(self.tables["financials"], self.tables["fx_rates"]).withColumn("source", F.lit("computed"))
+        return self.write("fx_rates", average.withColumn("_ord", F.lit(0)))
+
+    def collect_coverage(self, kind: str, landed: dict[str, routes.Landed], today: str, source: str | None = None, start: str | None = None, end: str | None = None) -> dict[str, int]:
+        """A coverage type parsed and written for each market that has landed; rows written by market. Listings that are not known get placeholders."""
+        out = {}
+        for market, what in landed.items():
+            rows = routes.parsed(market, kind, what, source).withColumn("symbol", normalize_symbol(F.col("market"), F.col("symbol")))
+            rows = written(rows.withColumn("_ord", F.monotonically_increasing_id()), f"coverage-{kind}")
+            self.ensure_master(rows.groupBy("market", "symbol").agg(F.min("_ord").alias("_ord")))
+            out[market] = self.coverage(kind, rows, start=start, end=end, today=today)
+        return out
+
     def coverage(self, kind: str, rows: DataFrame, ordinal: str = "_ord", start: str | None = None, end: str | None = None, today: str | None = None) -> int:
         """Rows of a coverage type (market, symbol, ...) written to its table; how many were of known listings."""
         name, dated = COVERAGE[kind]
@@ -196,5 +195,23 @@ class Engine:
             raise ValueError(f"unknown action {action!r}")
         return actions[action](landed, *args)
 
-    def evaluate(self, cases: DataFrame) -> DataFrame:
+    def law_detail(self, details: DataFrame, ordinal: str = "_ord") -> Engine:
+        """Details of statutes merged into what is known of them."""
+        self.tables["statutes"] = tables.write_detail(self.tables["statutes"], details, ordinal)
+        return self.create()
+
+    def evaluate(self, cases: DataFrame | str, read: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """Scores by category of cases, or of the gold cases of a folder read by ``read``, an engine for their documents."""
+        if isinstance(cases, str):
+            if read is None:
+                raise ValueError("gold cases of a folder need an engine that reads their documents")
+            cases = evaluation.read_cases(evaluation.gold_cases(self.spark, cases), read)
         return evaluation.roll_up(evaluation.score_cases(cases))
+
+    def save_documents(self, docs: DataFrame, root: str) -> DataFrame:
+        """Files of fetched documents (market, symbol, filing_id, name, content, doc_seq), each written once."""
+        return sinks.save_documents(docs, root)
+
+    def show(self, df: DataFrame, rows: int = 50) -> None:
+        """The first rows as a table of text."""
+        print(sinks.text_table(df, rows))

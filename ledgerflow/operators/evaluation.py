@@ -2,15 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import squeeze
 from .metrics import grits_column, numeric_f1, teds_column
 
+#: The files of a gold case.
+DOCUMENT, EXPECTED = "doc.pdf", "expected.json"
 MEASURES = ("teds", "grits", "numeric_em", "continuity")
 
 
+def gold_cases(spark: SparkSession, folder: str) -> DataFrame:
+    """name, category, content, paragraphs and gold tables of every subfolder that has both a document and what to expect of it.
+
+    One scan lists both kinds of files, and one grouping by folder pairs them. A case
+    without a category is one of its own; one whose expectations cannot be read has none.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    parts = F.split("path", "/")
+    files = files.select(F.element_at(parts, -1).alias("file"), F.element_at(parts, -2).alias("name"), F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/").alias("at"), "content").where(F.col("file").isin(DOCUMENT, EXPECTED))
+    pairs = files.groupBy("at", "name").agg(*(F.max(F.when(F.col("file") == f, F.struct("content"))).alias(c) for f, c in ((DOCUMENT, "doc"), (EXPECTED, "spec"))))
+    spec = F.from_json(F.decode("spec.content", "UTF-8"), "category string, tables array<array<array<string>>>, paragraphs array<string>")
+    rows = pairs.where("doc is not null and spec is not null").withColumn("s", spec)
+    return rows.select("name", F.coalesce("s.category", "name").alias("category"), F.col("doc.content").alias("content"), F.coalesce("s.paragraphs", F.array().cast("array<string>")).alias("paragraphs"), F.coalesce("s.tables", F.array().cast("array<array<array<string>>>")).alias("gold"))
+
+
+def read_cases(gold: DataFrame, read: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Gold cases with what an engine reads: ``read`` takes (name, content) and returns (name, text, tables)."""
+    found = read(gold.select("name", "content")).select("name", "text", F.col("tables").alias("pred"))
+    return gold.drop("content").join(found, "name", "left")
+
+
 def continuity(text: Column, paragraphs: Column) -> Column:
     """Share of gold paragraphs that lie whole within one paragraph of the text; 1 without any, whatever the wraps and case."""
     flat = lambda c: F.lower(squeeze(c))

@@ -57,7 +57,7 @@ TABLES: dict[str, Table] = {
     "earnings_events": _coverage("company_id bigint, event_date string, event_type string, fiscal_period string, eps_estimate double, eps_actual double, source string", "company_id event_date event_type source"),
     "news": _coverage("company_id bigint, published_at string, title string, url string, sentiment double, source string", "company_id published_at title source"),
     "esg_scores": _coverage("company_id bigint, period string, env double, soc double, gov double, total double, source string", "company_id period source"),
-    "index_membership": _coverage("security_id bigint, index_name string, added string, source string", "security_id index_name source"),
+    "index_membership": _coverage("company_id bigint, index_name string, added string, removed string, source string", "company_id index_name source"),
     "demand_signals": _coverage("company_id bigint, signal_date string, signal_type string, investor_name string, indicated_amount double, filed_amount double, priced_amount double, price double, shares double, detail string, url string, source string", "company_id signal_date signal_type detail source"),
     "run_log": Table("run_id bigint, started_at string, finished_at string, source string, market string, data_type string, symbols string, status string, rows_written bigint, message string", ["run_id"], "update", dict.fromkeys("started_at source market data_type symbols".split(), _KEEP_OLD)),
 }

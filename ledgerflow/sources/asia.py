@@ -99,9 +99,9 @@ def column_like(df: DataFrame, name: str) -> Column:
     return F.lit(None) if found is None else F.col(f"`{found}`")
 
 
-def foreign_ownership(df: DataFrame, day: str) -> DataFrame:
+def foreign_ownership(df: DataFrame, day: str | Column) -> DataFrame:
     """Listed shares and foreign share of a day's snapshot by ticker, whatever its labels are now."""
-    return df.select(F.col("ticker").alias("symbol"), F.lit(day).alias("metric_date"), number(column_like(df, "상장주식수")).alias("shares_outstanding"), number(column_like(df, "지분율")).alias("foreign_own_pct"), F.lit("KRW").alias("currency"))
+    return df.select(F.col("ticker").alias("symbol"), (day if isinstance(day, Column) else F.lit(day)).alias("metric_date"), number(column_like(df, "상장주식수")).alias("shares_outstanding"), number(column_like(df, "지분율")).alias("foreign_own_pct"), F.lit("KRW").alias("currency"))
 
 
 def korean_indices(members: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -120,17 +120,25 @@ def text_of(content: bytes, kind: str | None = None, depth: int = 0) -> str | No
     return None
 
 
+def whole(data: bytes, name: str) -> bytes:
+    """``data`` if it was read to its end; ValueError if there was more, so that no document is cut without a sign."""
+    if len(data) > MAX_BYTES:
+        raise ValueError(f"{name} has more than {MAX_BYTES} bytes")
+    return data
+
+
 def _archive(content: bytes, kind: str, depth: int) -> str | None:
     if kind == "gzip":
         with gzip.open(io.BytesIO(content)) as z:  # a small archive can hold any amount
-            return text_of(z.read(MAX_BYTES), None, depth + 1)
+            data = z.read(MAX_BYTES + 1)
+        return text_of(whole(data, "its content"), None, depth + 1)
     parts: list[str] = []
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         for info in z.infolist():
             if info.is_dir() or sum(map(len, parts)) >= MAX_CHARS:
                 continue
             with z.open(info) as member:
-                data = member.read(MAX_BYTES)
+                data = whole(member.read(MAX_BYTES + 1), info.filename)
             ending = next((k for e, k in ENDINGS.items() if info.filename.lower().endswith(e)), None)
             if (kind_of := sniff(data) or ending) and (text := text_of(data, kind_of, depth + 1)):
                 parts.append(text)
