@@ -134,6 +134,8 @@ def decided(rows: DataFrame, companies: DataFrame, xref: DataFrame, listings: Da
         fills = members.agg(at("name").alias("name_at"), value("name").alias("later_name"), at("country").alias("country_at"), value("country").alias("later_country"))
         now = there.unionByName(whole.where("to is null").select(F.col("at").alias("node"), F.col("at").alias("born"), "name", "country")).join(fills, "node", "left")
         now = now.withColumns({f"{c}_at": F.when(F.col(c).isNull(), F.col(f"{c}_at")) for c in ("name", "country")})
+        if now.where("name_at is not null or country_at is not null").isEmpty():
+            return root, first  # no company's key changes with time, so the first found are the ones
         again = written(by_name(asked, now), "named")
         if again.exceptAll(named).isEmpty() and named.exceptAll(again).isEmpty():
             return root, first

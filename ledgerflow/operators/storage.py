@@ -38,9 +38,10 @@ def roots(pointers: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, root) of every row of ``pointers`` (node, parent), where a node without a parent is its own root.
 
     Each round a node takes its pointer's pointer, so rounds grow with the logarithm of a
-    chain. Only nodes whose pointer moved go on; pointers in a circle raise.
+    chain. Only nodes whose pointer moved go on; pointers in a circle raise. ``pointers`` is
+    read more than once and should be cheap to read.
     """
-    going = written(pointers.where("parent is not null").select("node", F.col("parent").alias("at")), "pointers")
+    going = pointers.where("parent is not null").select("node", F.col("parent").alias("at"))
     alone = pointers.where("parent is null").select("node", F.col("node").alias("root"))
     done: list[DataFrame] = []
     for _ in range(max_rounds):
@@ -49,6 +50,6 @@ def roots(pointers: DataFrame, max_rounds: int = 64) -> DataFrame:
         step = written(going.join(up, "at", "left").select("node", F.coalesce("up", "at").alias("at"), F.col("up").isNotNull().alias("moved")), "pointers")
         done.append(step.where("not moved").select("node", "at"))
         going = step.where("moved").select("node", "at")
-        if going.isEmpty():
+        if step.where("moved").isEmpty():
             return reduce(DataFrame.unionByName, (d.select("node", F.col("at").alias("root")) for d in done), alone)
     raise RuntimeError(f"pointers did not end after {max_rounds} rounds")

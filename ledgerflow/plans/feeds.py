@@ -105,12 +105,12 @@ def vendor_market_caps(spark, d):
     return vendors.market_caps(rows, "1996-01-01", "1997-12-31").select("symbol", "metric_date", "market_cap", "currency")
 
 
-@query(f"""SELECT CAST(l_suppkey AS VARCHAR) AS symbol, {_DAY.format('l_shipdate')} AS ex_date, 'dividend' AS action_type, CASE WHEN l_discount <> 0 THEN l_discount ELSE l_tax END AS amount, CAST(NULL AS DOUBLE) AS ratio FROM lineitem WHERE l_returnflag = 'A'
+@query(f"""SELECT CAST(l_suppkey AS VARCHAR) AS symbol, {_DAY.format('l_shipdate')} AS ex_date, 'dividend' AS action_type, CASE WHEN l_discount <> 0 THEN l_discount ELSE l_tax END AS amount, CAST(NULL AS DOUBLE) AS ratio FROM lineitem WHERE l_returnflag <> 'R'
 UNION ALL SELECT CAST(l_suppkey AS VARCHAR), {_DAY.format('l_shipdate')}, 'split', NULL, l_quantity / nullif(l_linenumber - 1, 0) FROM lineitem WHERE l_returnflag = 'R'""")
 def vendor_actions(spark, d):
     li = base(spark, d, "lineitem")
     keep = [market("l_suppkey"), symbol("l_suppkey")]
-    div = listed(li.where("l_returnflag = 'A'"), keep, "l_orderkey", {"date": day("l_shipdate"), "dividend": F.col("l_discount"), "adjDividend": F.col("l_tax")}, F.concat(F.lit('{"historical":'), "payload", F.lit("}")))
+    div = listed(li.where("l_returnflag <> 'R'"), keep, "l_orderkey", {"date": day("l_shipdate"), "dividend": F.col("l_discount"), "adjDividend": F.col("l_tax")}, F.concat(F.lit('{"historical":'), "payload", F.lit("}")))
     cut = listed(li.where("l_returnflag = 'R'"), keep, "l_orderkey", {"date": day("l_shipdate"), "numerator": F.col("l_quantity"), "denominator": F.col("l_linenumber") - 1})
     return vendors.actions(div, cut).select("symbol", "ex_date", "action_type", "amount", "ratio")
 
@@ -222,12 +222,12 @@ def chart_prices(spark, d):
     return payloads.chart_prices(rows.select("market", "symbol", text.alias("payload"))).select("symbol", "trade_date", "close", "open", "volume", "currency")
 
 
-@query("""WITH p AS (SELECT l_suppkey, l_partkey % 6 AS c, CAST(2000 + l_quantity % 4 AS INT) AS fy, l_orderkey, l_linenumber, l_extendedprice AS val, l_returnflag, strftime(l_shipdate, '%Y-%m-%d') AS fin FROM lineitem WHERE l_linestatus = 'O' AND l_quantity % 4 > 0),
+@query("""WITH p AS (SELECT l_suppkey, l_partkey % 6 AS c, CAST(2000 + l_quantity % 4 AS INT) AS fy, l_orderkey, l_linenumber, l_extendedprice AS val, l_returnflag, strftime(l_shipdate, '%Y-%m-%d') AS fin FROM lineitem WHERE l_quantity % 4 > 0),
 k AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey, c, fy, l_returnflag <> 'N' ORDER BY (l_orderkey % 3 = 0) DESC, CASE WHEN l_orderkey % 2 = 0 THEN fin ELSE '' END DESC, fin DESC, l_orderkey, l_linenumber, val) AS n FROM p)
 SELECT CAST(l_suppkey AS VARCHAR) AS symbol, fy AS fiscal_year, 'Concept' || c AS account, CASE WHEN l_returnflag = 'N' THEN 'BS' ELSE 'IS' END AS statement_type, val AS value, fin AS period_end FROM k WHERE n = 1""")
 def company_fact_rows(spark, d):
     k = F.col("l_orderkey")
-    li = base(spark, d, "lineitem").where("l_linestatus = 'O'")
+    li = base(spark, d, "lineitem")
     point = F.struct("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("val"), day("l_shipdate").alias("end"), F.when(F.col("l_returnflag") != "N", "2000-01-01").alias("start"), F.when(F.col("l_quantity") % 4 > 0, (2000 + F.col("l_quantity") % 4).cast("int")).alias("fy"), F.lit("FY").alias("fp"), F.lit("10-K").alias("form"), F.when(k % 2 == 0, day("l_shipdate")).alias("filed"), F.when(k % 3 == 0, "CY").alias("frame"))
     points = li.groupBy(symbol("l_suppkey"), (F.col("l_partkey") % 6).alias("c")).agg(F.array_sort(F.collect_list(point)).alias("p"))
     junk = F.array(F.struct(F.lit(1.0).alias("val"), F.lit("2001-01-01").alias("end"), F.lit(2001).alias("fy"), F.lit("FY").alias("fp"), F.lit("8-K").alias("form")))
@@ -236,12 +236,12 @@ def company_fact_rows(spark, d):
     return payloads.company_facts(facts.select("symbol", text.alias("payload"))).select("symbol", "fiscal_year", "account", "statement_type", "value", "period_end")
 
 
-@query(f"""SELECT CAST(l_suppkey AS VARCHAR) AS symbol, {_DAY.format('l_shipdate')} AS ex_date, 'dividend' AS action_type, l_discount AS value FROM lineitem WHERE l_returnflag = 'A' UNION ALL SELECT CAST(l_suppkey AS VARCHAR), {_DAY.format('l_shipdate')}, 'split', nullif(l_quantity, 0) / nullif(l_linenumber - 1, 0) FROM lineitem WHERE l_returnflag = 'R'""")
+@query(f"""SELECT CAST(l_suppkey AS VARCHAR) AS symbol, {_DAY.format('l_shipdate')} AS ex_date, 'dividend' AS action_type, l_discount AS value FROM lineitem WHERE l_returnflag <> 'R' UNION ALL SELECT CAST(l_suppkey AS VARCHAR), {_DAY.format('l_shipdate')}, 'split', nullif(l_quantity, 0) / nullif(l_linenumber - 1, 0) FROM lineitem WHERE l_returnflag = 'R'""")
 def chart_actions(spark, d):
     li = base(spark, d, "lineitem")
     at = F.unix_timestamp("l_shipdate").alias("date")
     numbered = li.withColumn("id", F.monotonically_increasing_id().cast("string"))
-    entry = lambda flag, *fields: F.map_from_entries(F.collect_list(F.when(F.col("l_returnflag") == flag, F.struct(F.col("id"), F.struct(at, *fields)))))
+    entry = lambda flag, *fields: F.map_from_entries(F.collect_list(F.when((F.col("l_returnflag") == "R") == (flag == "R"), F.struct(F.col("id"), F.struct(at, *fields)))))
     rows = numbered.groupBy(symbol("l_suppkey")).agg(F.to_json(F.struct(entry("A", F.col("l_discount").alias("amount")).alias("dividends"), entry("R", F.col("l_quantity").alias("numerator"), (F.col("l_linenumber") - 1).alias("denominator")).alias("splits"))).alias("payload"))
     return payloads.corporate_actions(rows).select("symbol", "ex_date", "action_type", "value")
 
@@ -389,12 +389,12 @@ def korean_master(spark, d):
 
 
 @query("""SELECT CAST(l_suppkey AS VARCHAR) AS symbol, y.y AS fiscal_year, CASE r.r WHEN '11011' THEN 'FY' WHEN '11014' THEN 'Q3' WHEN '11012' THEN 'H1' ELSE 'Q1' END AS fiscal_period, s.s AS fs_scope, CASE l_returnflag WHEN 'A' THEN 'IS' WHEN 'R' THEN 'BS' END AS statement_type, l_shipmode_ AS account, CASE WHEN l_linenumber = 1 THEN NULL ELSE -floor(l_extendedprice) END AS value, y.y || '-12-31' AS period_end
-FROM (SELECT *, 'acct' || l_linenumber AS l_shipmode_ FROM lineitem WHERE l_linenumber < 4), (SELECT unnest([2022, 2023])::INT AS y) y, (SELECT unnest(['11011', '11014', '11012', '11013']) AS r) r, (SELECT unnest(['CFS', 'OFS']) AS s) s""")
+FROM (SELECT *, 'acct' || l_linenumber AS l_shipmode_ FROM lineitem WHERE l_linenumber <> 4), (SELECT unnest([2023])::INT AS y) y, (SELECT unnest(['11011', '11014', '11012', '11013']) AS r) r, (SELECT unnest(['CFS', 'OFS']) AS s) s""")
 def korean_statements(spark, d):
-    li = base(spark, d, "lineitem").where("l_linenumber < 5")
+    li = base(spark, d, "lineitem")
     amount = F.when(F.col("l_linenumber") == 1, "-").otherwise(F.concat(F.lit("-"), F.format_number(F.floor("l_extendedprice"), 0)))
-    wanted = asia.statement_requests(spark, [2022, 2023])
-    rows = listed(li, [symbol("l_suppkey")], "l_orderkey", {"account_nm": F.when(F.col("l_linenumber") < 4, F.concat(F.lit("acct"), F.col("l_linenumber").cast("string"))), "sj_div": F.when(F.col("l_returnflag") == "A", "cis").when(F.col("l_returnflag") == "R", "BS").otherwise("SCE"), "thstrm_amount": amount, "thstrm_dt": F.lit("YYYY.01.01 ~ YYYY.12.31")})
+    wanted = asia.statement_requests(spark, [2023])
+    rows = listed(li, [symbol("l_suppkey")], "l_orderkey", {"account_nm": F.when(F.col("l_linenumber") != 4, F.concat(F.lit("acct"), F.col("l_linenumber").cast("string"))), "sj_div": F.when(F.col("l_returnflag") == "A", "cis").when(F.col("l_returnflag") == "R", "BS").otherwise("SCE"), "thstrm_amount": amount, "thstrm_dt": F.lit("YYYY.01.01 ~ YYYY.12.31")})
     landed = rows.crossJoin(F.broadcast(wanted)).withColumn("payload", F.replace("payload", F.lit("YYYY"), F.col("fiscal_year").cast("string")))
     return asia.statement_rows(landed).select("symbol", "fiscal_year", "fiscal_period", "fs_scope", "statement_type", "account", "value", "period_end")
 
@@ -412,11 +412,11 @@ def korean_holders(spark, d):
     return asia.korean_holders(listed(base(spark, d, "orders"), [symbol("o_custkey")], "o_orderkey", item)).select("symbol", "as_of_date", "holder_name", "shares", "pct")
 
 
-@query("""SELECT CAST(user_id AS VARCHAR) AS symbol, strftime(ts, '%Y-%m-%d') AS filed_date, 'I' || event_id AS insider, CASE WHEN event_id % 4 = 0 THEN 'hold' WHEN event_id % 2 = 0 THEN 'buy' ELSE 'sell' END AS txn_type, CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) - 1 AS INT) AS txn_seq, CASE WHEN event_id % 4 = 0 THEN 7777.0 ELSE floor(value * 100) END AS shares, event_type AS filing_id
-FROM events WHERE event_id % 5 > 0 AND floor(value * 100) <> 0""")
+@query("""SELECT CAST(user_id AS VARCHAR) AS symbol, strftime(ts, '%Y-%m-%d') AS filed_date, 'I' || event_id AS insider, CASE WHEN event_id % 4 = 0 OR floor(value * 100) = 0 THEN 'hold' WHEN event_id % 2 = 0 THEN 'buy' ELSE 'sell' END AS txn_type, CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) - 1 AS INT) AS txn_seq, CASE WHEN event_id % 4 = 0 OR floor(value * 100) = 0 THEN 7777.0 ELSE floor(value * 100) END AS shares, event_type AS filing_id
+FROM events WHERE event_id % 5 > 0""")
 def korean_insiders(spark, d):
     k, n = F.col("event_id"), F.format_number(F.floor(F.col("value") * 100), 0)
-    e = base(spark, d, "events").where("floor(value * 100) <> 0")
+    e = base(spark, d, "events")
     item = {"rcept_no": F.col("event_type"), "rcept_dt": F.date_format("ts", "yyyy.MM.dd"), "repror": F.when(k % 5 > 0, F.concat(F.lit("I"), k.cast("string"))), "sp_stock_lmp_irds_cnt": F.when(k % 8 == 0, "-").when(k % 4 == 0, "0").when(k % 2 == 0, n).otherwise(F.concat(F.lit("-"), n)), "sp_stock_lmp_cnt": F.lit("7,777")}
     return asia.korean_insiders(listed(e, [symbol("user_id")], "event_id", item)).select("symbol", "filed_date", "insider", "txn_type", "txn_seq", "shares", "filing_id")
 
@@ -468,11 +468,11 @@ def latest_annual_reports(spark, d):
     return asia.latest_annual_report(rows).select("symbol", "filing_id", "filed_date")
 
 
-@query("""SELECT CAST(l_suppkey AS VARCHAR) AS symbol, y.y AS fiscal_year, s.t AS statement_type, 'Item no' || l_orderkey || 'x' AS account, (CASE WHEN y.y = 2023 THEN floor(l_extendedprice) ELSE -l_quantity END) * CASE l_suppkey % 2 WHEN 0 THEN 1e6 ELSE 1e3 END AS value, CASE l_suppkey % 2 WHEN 0 THEN 'HKD' ELSE 'RMB' END AS currency
-FROM lineitem, (SELECT unnest([2023, 2022])::INT AS y) y, (SELECT unnest(['IS', 'BS']) AS t) s WHERE l_linenumber = 1 AND l_orderkey % 2 = (s.t = 'IS')::INT""")
+@query("""SELECT CAST(l_suppkey AS VARCHAR) AS symbol, y.y AS fiscal_year, s.t AS statement_type, 'Item no' || l_orderkey || 'line' || l_linenumber || 'x' AS account, (CASE WHEN y.y = 2023 THEN floor(l_extendedprice) ELSE -l_quantity END) * CASE l_suppkey % 2 WHEN 0 THEN 1e6 ELSE 1e3 END AS value, CASE l_suppkey % 2 WHEN 0 THEN 'HKD' ELSE 'RMB' END AS currency
+FROM lineitem, (SELECT unnest([2023, 2022])::INT AS y) y, (SELECT unnest(['IS', 'BS']) AS t) s WHERE l_orderkey % 2 = (s.t = 'IS')::INT""")
 def annual_report_facts(spark, d):
-    li = base(spark, d, "lineitem").where("l_linenumber = 1").withColumn("bs", F.col("l_orderkey") % 2 == 0)
-    line = F.concat(F.lit("Item no"), F.col("l_orderkey").cast("string"), F.lit("x 12(a)  "), F.format_number(F.floor("l_extendedprice"), 0), F.lit(" ("), F.col("l_quantity").cast("bigint").cast("string"), F.lit(")"))
+    li = base(spark, d, "lineitem").withColumn("bs", F.col("l_orderkey") % 2 == 0)
+    line = F.concat(F.lit("Item no"), F.col("l_orderkey").cast("string"), F.lit("line"), F.col("l_linenumber").cast("string"), F.lit("x 12(a)  "), F.format_number(F.floor("l_extendedprice"), 0), F.lit(" ("), F.col("l_quantity").cast("bigint").cast("string"), F.lit(")"))
     pages = li.groupBy(symbol("l_suppkey"), "bs", (F.col("l_orderkey") % 3).cast("int").alias("part")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("rows"))
     unit = F.when(F.col("symbol").cast("bigint") % 2 == 0, "HK$ million").otherwise("RMB’000")
     w = F.row_number
