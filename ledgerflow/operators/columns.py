@@ -1,204 +1,196 @@
-"""Tables without rules and pages set in columns, from the places of words.
+"""Tables without rules and pages set in columns, from the places of words, as jobs over words.
 
-A page is one row with its ``words`` (text, x0, x1, top, bottom); every function is
-numpy over one page, run in Arrow batches of pages. Distances are in points.
+``words`` are rows: the columns that name a page (``keys``), ``ord`` (the word's place in the
+source), text, x0, x1, top and bottom, in points. Medians are grouped by page; baselines are a
+fold over a page's words in order; cells, grids and gutters are windows and running sums over rows
+and bins. A page is one group of each step, and no step leaves the JVM.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import is_numeric, strip
 from .geometry import LINE, TABLE
 
 #: The least words, rows and columns of a table; edges agree within X_TOL; so many rows hold numbers; so far up go headings.
 MIN_WORDS, MIN_ROWS, MIN_COLS, X_TOL, NUMERIC_SHARE, LOOK_BACK = 10, 3, 2, 8.0, 0.5, 4
-#: A gap between cells in characters, and the least one; rows agree within half a word's height, and the least tolerance.
-GAP_CHARS, MIN_GAP, ROW_SHARE, MIN_ROW_TOL = 2.2, 5.0, 0.5, 1.5
+#: A gap between cells in characters, and the least one; rows agree within half a word's height, and the least tolerance; a character's width where none has ink.
+GAP_CHARS, MIN_GAP, ROW_SHARE, MIN_ROW_TOL, CHAR = 2.2, 5.0, 0.5, 1.5, 3.0
 #: Pages in columns: the least words, bin width, share of rows that may cross a gutter, its least share of the width, the least share of words beside it, where it may lie.
 COLUMN_WORDS, BIN, CROSSING, GUTTER, SIDE, MIDDLE = 20, 2.0, 0.15, 0.04, 0.15, (0.2, 0.8)
 #: Running text: words a row, and the share of rows that may be all numbers.
 PROSE_WORDS, PROSE_NUMERIC = 4.0, 0.5
 
 
-class Words:
-    """Words of a page as arrays, in rows of one baseline, each from left to right."""
-
-    def __init__(self, words: list[dict]):
-        get = lambda name: np.array([float(w[name]) for w in words])
-        x0, top = get("x0"), get("top")
-        text = np.array([w["text"] for w in words], object)
-        height, x1 = get("bottom") - top, get("x1")
-        self.tolerance = max(MIN_ROW_TOL, float(np.median(height)) * ROW_SHARE)
-        inked = np.array([bool(t.strip()) for t in text])
-        width = (x1 - x0)[inked] / np.array([len(t) for t in text[inked]] or [1.0])[: inked.sum()]
-        self.gap = max(MIN_GAP, (float(np.median(width)) if inked.any() else 3.0) * GAP_CHARS)
-        order = np.lexsort((x0, np.round(top, 1)))
-        row, base = np.zeros(len(order), np.int64), None
-        for k, y in enumerate(top[order].tolist()):
-            fresh = base is not None and abs(y - base) > self.tolerance
-            row[k] = (row[k - 1] if k else 0) + fresh
-            base = y if base is None or fresh else base
-        order = order[np.lexsort((x0[order], row))]
-        self.row = np.sort(row)
-        self.text, self.x0, self.x1, self.top, self.bottom = text[order], x0[order], x1[order], top[order], get("bottom")[order]
-        self.numeric = pd.Series(self.text, dtype=object).map(is_number).to_numpy(bool)
-        self.bounds = np.concatenate([[0], np.flatnonzero(np.diff(self.row)) + 1, [len(order)]])
-
-    def line(self, at: np.ndarray) -> dict:
-        return {"text": " ".join(self.text[at]), "x0": float(self.x0[at].min()), "x1": float(self.x1[at].max()), "top": float(self.top[at].min()), "bottom": float(self.bottom[at].max())}
-
-    def cells(self) -> list[list[dict]]:
-        """For each row its cells: words nearer than the gap belong together."""
-        out = []
-        for a, b in zip(self.bounds, self.bounds[1:]):
-            cuts = np.flatnonzero(self.x0[a + 1 : b] - self.x1[a : b - 1] > self.gap) + 1
-            out.append([self.line(x) for x in np.split(np.arange(a, b), cuts)])
-        return out
-
-
-def is_number(text: str) -> bool:
-    """A number with separators, perhaps in parentheses or a percentage, and nothing else."""
-    t = text.strip().removesuffix("%").removesuffix(")").removeprefix("(").removeprefix("-")
-    return t[:1].isdecimal() and all(c.isdecimal() or c in ",." or c.isspace() for c in t)
-
-
-def aligned(a: list[dict], b: list[dict], tolerance: float = X_TOL) -> bool:
-    """Whether all but one of the cells, and two at least, share a left or a right edge."""
-    if not a or not b:
-        return False
-    edge = lambda name: np.abs(np.array([c[name] for c in b])[:, None] - np.array([c[name] for c in a])) <= tolerance
-    return int((edge("x0") | edge("x1")).any(1).sum()) >= max(2, min(len(a), len(b)) - 1)
-
-
-def runs(rows: list[list[dict]], min_rows: int = MIN_ROWS, min_cols: int = MIN_COLS, tolerance: float = X_TOL) -> list[tuple[int, int]]:
-    """Ranges of successive rows on one grid: islands of rows that line up with the row before."""
-    wide = np.array([len(r) >= min_cols for r in rows], bool)
-    goes_on = np.array([i > 0 and wide[i] and wide[i - 1] and aligned(rows[i - 1], rows[i], tolerance) for i in range(len(rows))], bool)
-    first = np.flatnonzero(wide & ~goes_on)
-    last = np.flatnonzero(wide & ~np.append(goes_on[1:], False)) + 1 if len(rows) else first
-    return [(int(a), int(b)) for a, b in zip(first, last, strict=True) if b - a >= min_rows]
-
-
-def headings(rows: list[list[dict]], start: int, taken: set[int], min_cols: int = MIN_COLS, tolerance: float = X_TOL) -> list[int]:
-    """Rows above a run that line up with it; narrow ones are stepped over, a taken or misaligned one ends the search."""
-    found = []
-    for i in range(start - 1, max(-1, start - 1 - LOOK_BACK), -1):
-        narrow = len(rows[i]) < min_cols
-        if i in taken or not (narrow or aligned(rows[start], rows[i], tolerance)):
-            break
-        if not narrow:
-            found.append(i)
-    return found[::-1]
-
-
-def column_tables(words: list[dict]) -> list[dict]:
-    """Tables whose columns are made by white space alone; half of the rows or more hold numbers beyond the first cell."""
-    if len(words) < MIN_WORDS:
-        return []
-    rows = Words(words).cells()
-    out, taken = [], set()
-    for a, b in runs(rows):
-        body = rows[a:b]
-        if sum(any(is_number(c["text"]) for c in r[1:]) for r in body) < NUMERIC_SHARE * len(body):
-            continue
-        head = headings(rows, a, taken)
-        taken.update(head, range(a, b))
-        table = [rows[i] for i in head] + body
-        cells = [c for r in table for c in r]
-        usual = Counter(len(r) for r in body).most_common(1)[0][1]
-        box = [min(c["x0"] for c in cells), min(c["top"] for c in cells), max(c["x1"] for c in cells), max(c["bottom"] for c in cells)]
-        out.append({"bbox": box, "col_x": [c["x0"] for c in table[0]], "rows": [[c["text"] for c in r] for r in table], "source_engine": "column-geometry", "structure_confidence": usual / len(body)})
-    return out
-
-
-def gutter(words: Words) -> float | None:
-    """The middle of the widest band near the page's middle that few rows cross, if it parts the words."""
-    left, right = float(words.x0.min()), float(words.x1.max())
-    span, n_rows = right - left, len(words.bounds) - 1
-    if span <= 0:
-        return None
-    bins = max(1, int(span / BIN))
-    place = lambda x: np.clip(((x - left) / span * bins).astype(np.int64), 0, bins - 1)
-    ink = np.zeros((n_rows, bins + 1), np.int64)
-    np.add.at(ink, (words.row, place(words.x0)), 1)
-    np.add.at(ink, (words.row, place(words.x1) + 1), -1)
-    blocked = (np.cumsum(ink, 1)[:, :bins] > 0).sum(0) > max(1.0, n_rows * CROSSING)
-    at = np.arange(bins)
-    free = at - np.maximum.accumulate(np.where(blocked, at, -1))
-    lo, hi = (int(bins * s) for s in MIDDLE)
-    end = lo + int(free[lo : hi + 1].argmax())
-    length = int(free[end])
-    if not length or length * BIN < span * GUTTER:
-        return None
-    middle = left + (end - length / 2 + 0.5) / bins * span
-    beside = min((words.x1 <= middle).sum(), (words.x0 > middle).sum())
-    return middle if beside >= len(words.text) * SIDE else None
-
-
-def both_prose(words: Words, middle: float) -> bool:
-    """Whether both sides of a gutter carry running text, unlike a table's labels and figures."""
-    for side in (words.x1 <= middle, words.x0 > middle):
-        rows, n = np.unique(words.row[side], return_counts=True)
-        if not len(rows) or n.mean() < PROSE_WORDS:
-            return False
-        numbers = np.bincount(words.row[side & words.numeric], minlength=int(words.row[-1]) + 1)[rows]
-        if (numbers == n).mean() > PROSE_NUMERIC:
-            return False
-    return True
-
-
-def column_lines(words: list[dict]) -> list[dict] | None:
-    """Lines of a page in two columns, the left before the right between rows that cross the gutter; null if it is not in columns."""
-    if len(words) < COLUMN_WORDS:
-        return None
-    page = Words(words)
-    middle = gutter(page)
-    if middle is None or not both_prose(page, middle):
-        return None
-    ids = np.arange(len(page.text))
-    crossed = np.isin(page.row, page.row[(page.x0 < middle) & (page.x1 > middle)])
-    crossing_rows = np.unique(page.row[crossed])
-    block = 2 * np.searchsorted(crossing_rows, page.row) + crossed  # even between crossing rows, odd on them
-    side = np.where(crossed, 0, np.where(page.x1 <= middle, 0, np.where(page.x0 > middle, 1, 2)))
-    key = np.stack([block, side, page.row])[:, side < 2]
-    _, first = np.unique(key, axis=1, return_index=True)
-    order = ids[side < 2][np.lexsort(key[::-1])]
-    sorted_key = key[:, np.lexsort(key[::-1])]
-    cuts = np.flatnonzero((np.diff(sorted_key, axis=1) != 0).any(0)) + 1
-    return [page.line(np.sort(x)) for x in np.split(order, cuts)] if len(first) else []
+def exploded_words(pages: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
+    """The words of pages that hold them as an array."""
+    rows = pages.select(*keys, F.posexplode(words).alias("ord", "w"))
+    return rows.select(*keys, "ord", F.coalesce("w.text", F.lit("")).alias("text"), *(F.col(f"w.{c}").cast("double").alias(c) for c in ("x0", "x1", "top", "bottom")))
 
 
-def nearest_column(x: Column, starts: Column) -> Column:
-    """The place of the column whose left edge is nearest; the first of equals."""
-    far = F.transform(starts, lambda s: F.abs(s - x))
-    return F.array_position(far, F.array_min(far)).cast("int") - 1
+# -- rows and cells -----------------------------------------------------------------
+
+
+def rows_of_words(words: DataFrame, keys: list[str]) -> DataFrame:
+    """Words with ``row``, their baseline's number, ``place`` within the page, and the page's ``gap`` and ``n_words``.
+
+    A row takes the words within a tolerance of its first word's top.
+    """
+    inked = strip(F.col("text")) != ""
+    width = F.when(inked, (F.col("x1") - F.col("x0")) / F.length("text"))
+    word = F.struct(F.bround("top", 1).alias("level"), "x0", "ord", "top", "x1", "bottom", "text")
+    page = words.groupBy(*keys).agg(F.median(F.col("bottom") - F.col("top")).alias("h"), F.median(width).alias("cw"), F.count(F.lit(1)).alias("n_words"), F.array_sort(F.collect_list(word)).alias("ws"))
+    tolerance = F.greatest(F.lit(MIN_ROW_TOL), F.col("h") * ROW_SHARE)
+    begin = F.struct(F.lit(None).cast("double").alias("base"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("rows"))
 
+    def step(a: Column, w: Column) -> Column:
+        fresh = F.coalesce(F.abs(w["top"] - a["base"]) > tolerance, F.lit(False))
+        n = a["n"] + fresh.cast("int")
+        return F.struct(F.when(a["base"].isNull() | fresh, w["top"]).otherwise(a["base"]).alias("base"), n.alias("n"), F.concat(a["rows"], F.array(n)).alias("rows"))
 
-def _rows(words) -> list[dict]:
-    return [] if words is None else [dict(w) for w in words]
+    rows = F.aggregate("ws", begin, step, lambda a: a["rows"])
+    gap = F.greatest(F.lit(MIN_GAP), F.coalesce("cw", F.lit(CHAR)) * GAP_CHARS)
+    placed = page.select(*keys, "n_words", gap.alias("gap"), F.posexplode(F.arrays_zip(F.col("ws").alias("w"), rows.alias("row"))).alias("place", "z"))
+    return placed.select(*keys, "n_words", "gap", "place", F.col("z.row").alias("row"), *(F.col(f"z.w.{c}").alias(c) for c in ("text", "x0", "x1", "top", "bottom")))
 
 
-@F.pandas_udf(T.ArrayType(TABLE))
-def tables_of_words(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: column_tables(_rows(w)))
+def _line(order: list[str]) -> list[Column]:
+    """Words joined to one stretch of text with its box."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "text"))), lambda w: w["text"]), " ")
+    return [text.alias("text"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("top").alias("top"), F.max("bottom").alias("bottom")]
 
 
-@F.pandas_udf(T.ArrayType(LINE))
-def lines_of_words(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: column_lines(_rows(w)))
+def cells_of_rows(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for each baseline: ``row``, ``n_words`` and ``cells`` from left to right; words nearer than the gap are one cell."""
+    along = Window.partitionBy(*keys, "row").orderBy("x0", "place")
+    apart = F.coalesce(F.col("x0") - F.lag("x1").over(along) > F.col("gap"), F.lit(False))
+    words = placed.withColumn("apart", apart).withColumn("cell", F.sum(F.col("apart").cast("int")).over(along))
+    cells = words.groupBy(*keys, "row", "cell").agg(F.first("n_words").alias("n_words"), *_line(["x0", "place"]))
+    cell = F.struct("cell", "text", "x0", "x1", "top", "bottom")
+    return cells.groupBy(*keys, "row").agg(F.first("n_words").alias("n_words"), F.array_sort(F.collect_list(cell)).alias("cells"))
+
+
+def aligned(a: Column, b: Column, tolerance: float = X_TOL) -> Column:
+    """Whether all but one of the cells, and two at least, share a left or a right edge."""
+    near = lambda x, y: F.abs(x - y) <= tolerance
+    hits = F.size(F.filter(b, lambda c: F.exists(a, lambda o: near(c["x0"], o["x0"]) | near(c["x1"], o["x1"]))))
+    return F.coalesce(hits >= F.greatest(F.lit(2), F.least(F.size(a), F.size(b)) - 1), F.lit(False))
+
+
+# -- tables ---------------------------------------------------------------------------
+
+
+def grid_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with ``wide``, ``numeric`` (a number beyond the first cell) and ``run``: successive wide rows on one grid share a run."""
+    down = Window.partitionBy(*keys).orderBy("row")
+    wide = F.size("cells") >= MIN_COLS
+    rows = rows.withColumns({"wide": wide, "before": F.lag("cells").over(down)})
+    goes_on = F.col("wide") & F.coalesce(F.size("before") >= MIN_COLS, F.lit(False)) & aligned(F.col("before"), F.col("cells"))
+    rows = rows.withColumn("fresh", (F.col("wide") & ~goes_on).cast("int")).withColumn("run", F.sum("fresh").over(down))
+    numeric = F.exists(F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(1))), lambda c: is_numeric(c["text"]))
+    return rows.withColumn("numeric", F.coalesce(numeric, F.lit(False))).drop("before", "fresh")
+
+
+def accepted_runs(grid: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, run, first row and confidence of the runs that are tables: long enough, on pages with enough words, half of their rows with numbers."""
+    sizes = grid.where("wide").groupBy(*keys, "run", F.size("cells").alias("size")).agg(F.count(F.lit(1)).alias("n"), F.count_if("numeric").alias("numbers"), F.min("row").alias("start"), F.max("n_words").alias("n_words"))
+    runs = sizes.groupBy(*keys, "run").agg(F.sum("n").alias("rows"), F.sum("numbers").alias("numbers"), F.min("start").alias("start"), F.max("n").alias("usual"), F.max("n_words").alias("n_words"))
+    runs = runs.where((F.col("rows") >= MIN_ROWS) & (F.col("n_words") >= MIN_WORDS) & (F.col("numbers") >= NUMERIC_SHARE * F.col("rows")))
+    return runs.select(*keys, "run", "start", (F.col("usual") / F.col("rows")).alias("structure_confidence"))
+
+
+def heading_rows(grid: DataFrame, runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows above a table that line up with it, LOOK_BACK at most: narrow ones are stepped over, another table's or a misaligned one ends the search."""
+    taken = grid.where("wide").join(runs.select(*keys, "run"), [*keys, "run"]).select(*keys, "row", F.lit(True).alias("taken"))
+    starts = runs.join(grid.select(*keys, F.col("row").alias("start"), F.col("cells").alias("first")), [*keys, "start"])
+    above = starts.select(*keys, "run", "first", F.col("start"), F.explode(F.sequence(F.lit(1), F.lit(LOOK_BACK))).alias("up")).withColumn("row", F.col("start") - F.col("up"))
+    seen = above.join(grid.select(*keys, "row", "cells", "wide"), [*keys, "row"]).join(taken, [*keys, "row"], "left")
+    ends = F.coalesce("taken", F.lit(False)) | (F.col("wide") & ~aligned(F.col("first"), F.col("cells")))
+    upwards = Window.partitionBy(*keys, "run").orderBy("up")
+    return seen.withColumn("ended", F.max(ends).over(upwards)).where("wide and not ended").select(*keys, "run", "row", "cells")
+
+
+def column_tables(words: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and ``tables`` of the pages that have tables whose columns are made by white space alone."""
+    grid = grid_rows(cells_of_rows(rows_of_words(words, keys), keys), keys)
+    runs = accepted_runs(grid, keys)
+    body = grid.where("wide").join(runs.select(*keys, "run"), [*keys, "run"]).select(*keys, "run", "row", "cells")
+    rows = body.unionByName(heading_rows(grid, runs, keys))
+    box = lambda f, pick, side: pick(F.transform("cells", lambda c: c[side]))
+    found = rows.groupBy(*keys, "run").agg(F.array_sort(F.collect_list(F.struct("row", "cells"))).alias("rs"), *(f(box(f, pick, side)).alias(name) for name, f, pick, side in (("b0", F.min, F.array_min, "x0"), ("b1", F.min, F.array_min, "top"), ("b2", F.max, F.array_max, "x1"), ("b3", F.max, F.array_max, "bottom"))))
+    table = F.struct(F.array("b0", "b1", "b2", "b3").alias("bbox"), F.transform(F.get("rs", F.lit(0))["cells"], lambda c: c["x0"]).alias("col_x"), F.transform("rs", lambda r: F.transform(r["cells"], lambda c: c["text"])).alias("rows"), F.lit("column-geometry").alias("source_engine"), "structure_confidence")
+    whole = found.join(runs, [*keys, "run"]).select(*keys, F.struct("run", table.cast(TABLE).alias("t")).alias("t"))
+    return whole.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list("t")), lambda x: x["t"]).alias("tables"))
+
+
+# -- pages in columns --------------------------------------------------------------------
+
+
+def gutters(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and ``middle`` of the pages in columns: the middle of the widest band near the page's middle that few rows cross, if it parts the words."""
+    page = placed.where(F.col("n_words") >= COLUMN_WORDS).groupBy(*keys).agg(F.min("x0").alias("left"), F.max("x1").alias("right"), (F.max("row") + 1).alias("rows"), F.count(F.lit(1)).alias("n"))
+    page = page.withColumn("span", F.greatest(F.col("right"), F.lit(0.0) + F.col("left")) - F.col("left")).where("span > 0").withColumn("bins", F.greatest(F.lit(1), F.floor(F.col("span") / BIN).cast("int")))
+    bin_of = lambda x: F.least(F.greatest(F.floor((F.col(x) - F.col("left")) / F.col("span") * F.col("bins")).cast("int"), F.lit(0)), F.col("bins") - 1)
+    on = placed.select(*keys, "row", "x0", "x1").join(page, keys)
+    inked = on.select(*keys, "row", F.explode(F.sequence(bin_of("x0"), F.greatest(bin_of("x0"), bin_of("x1")))).alias("at")).distinct().groupBy(*keys, "at").agg(F.count(F.lit(1)).alias("crossed"))
+    bins = page.select(*keys, "left", "span", "bins", "rows", "n", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("at")).join(inked, [*keys, "at"], "left")
+    blocked = F.coalesce("crossed", F.lit(0)) > F.greatest(F.lit(1.0), F.col("rows") * CROSSING)
+    across = Window.partitionBy(*keys).orderBy("at")
+    bins = bins.withColumn("free", F.col("at") - F.coalesce(F.max(F.when(blocked, F.col("at"))).over(across), F.lit(-1)))
+    lo, hi = (F.floor(F.col("bins") * s).cast("int") for s in MIDDLE)
+    best = bins.where(F.col("at").between(lo, hi)).groupBy(*keys).agg(F.max_by(F.struct("at", "free", "left", "span", "bins", "n"), F.struct("free", -F.col("at"))).alias("b")).select(*keys, "b.*")
+    best = best.where((F.col("free") > 0) & (F.col("free") * BIN >= F.col("span") * GUTTER))
+    best = best.select(*keys, "n", (F.col("left") + (F.col("at") - F.col("free") / 2 + 0.5) / F.col("bins") * F.col("span")).alias("middle"))
+    sides = placed.join(best, keys).groupBy(*keys, "middle", "n").agg(F.count_if(F.col("x1") <= F.col("middle")).alias("a"), F.count_if(F.col("x0") > F.col("middle")).alias("b"))
+    return sides.where(F.least("a", "b") >= F.col("n") * SIDE).select(*keys, "middle")
+
+
+def prose_pages(placed: DataFrame, middles: DataFrame, keys: list[str]) -> DataFrame:
+    """The pages both of whose sides carry running text, unlike a table's labels and figures."""
+    side = F.when(F.col("x1") <= F.col("middle"), 0).when(F.col("x0") > F.col("middle"), 1)
+    rows = placed.join(middles, keys).withColumn("side", side).where("side is not null").groupBy(*keys, "middle", "side", "row").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_numeric(F.col("text"))).alias("numbers"))
+    sides = rows.groupBy(*keys, "middle", "side").agg(F.avg("n").alias("n"), F.avg((F.col("n") == F.col("numbers")).cast("double")).alias("numbers"))
+    return sides.where((F.col("n") >= PROSE_WORDS) & (F.col("numbers") <= PROSE_NUMERIC)).groupBy(*keys, "middle").agg(F.count(F.lit(1)).alias("sides")).where("sides = 2").select(*keys, "middle")
+
+
+def column_lines(words: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and ``lines`` of the pages in two columns: the left before the right, between rows that cross the gutter."""
+    placed = rows_of_words(words, keys)
+    middles = prose_pages(placed, gutters(placed, keys), keys)
+    on = placed.join(middles, keys)
+    whole_row = Window.partitionBy(*keys, "row")
+    on = on.withColumn("crossed", F.max((F.col("x0") < F.col("middle")) & (F.col("x1") > F.col("middle"))).over(whole_row))
+    side = F.when(F.col("crossed") | (F.col("x1") <= F.col("middle")), 0).when(F.col("x0") > F.col("middle"), 1)
+    lines = on.withColumn("side", side).where("side is not null").groupBy(*keys, "row", "crossed", "side").agg(*_line(["x0", "place"]))
+    # rows between two that cross are one block, whose left side is read first; a crossing row is a block of its own
+    crossings = on.select(*keys, "row", "crossed").distinct()
+    down = Window.partitionBy(*keys).orderBy("row")
+    block = 2 * F.coalesce(F.sum(F.col("crossed").cast("int")).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("crossed").cast("int")
+    blocks = crossings.withColumn("block", block).drop("crossed")
+    line = F.struct(F.struct("block", "side", "row").alias("at"), F.struct(*LINE.names).cast(LINE).alias("line"))
+    return lines.join(blocks, [*keys, "row"]).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]).alias("lines"))
+
+
+def nearest_column(x: Column, starts: Column) -> Column:
+    """The place of the column whose left edge is nearest; the first of equals."""
+    far = F.transform(starts, lambda s: F.abs(s - x))
+    return F.array_position(far, F.array_min(far)).cast("int") - 1
 
 
-def parsed_pages(pages: DataFrame) -> DataFrame:
+def parsed_pages(pages: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Pages with their ruled tables, or else those of their words, and with lines by column where a page has no table."""
-    found = F.when(F.coalesce(F.size("tables"), F.lit(0)) > 0, F.col("tables")).otherwise(tables_of_words("words"))
-    by_column = F.when(F.size("_t") == 0, lines_of_words("words"))
-    return pages.withColumn("_t", found).withColumn("lines", F.coalesce(by_column, "lines")).withColumn("tables", F.col("_t")).drop("_t")
+    keys = keys or ["doc_id", "page_no"]
+    ruled = F.coalesce(F.size("tables"), F.lit(0)) > 0
+    words = exploded_words(pages.where(~ruled), keys)
+    found = column_tables(words, keys).withColumnRenamed("tables", "_t")
+    set_ = column_lines(words, keys).withColumnRenamed("lines", "_l")
+    out = pages.join(found, keys, "left").join(set_, keys, "left")
+    none = F.array().cast(T.ArrayType(TABLE))
+    out = out.withColumn("tables", F.when(ruled, F.col("tables")).otherwise(F.coalesce("_t", none)))
+    return out.withColumn("lines", F.when(F.size("tables") == 0, F.coalesce("_l", "lines")).otherwise(F.col("lines"))).drop("_t", "_l")
 
 
 def filled_tables(pages: DataFrame, others: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -222,33 +222,50 @@ def running_heads(spark, d):
     return geometry.furniture(lines, "doc_id")
 
 
-@query("""SELECT r_regionkey AS page, row_idx, c.c AS col_idx, CASE c.c WHEN 0 THEN n_name WHEN 1 THEN CAST(n_nationkey AS VARCHAR) ELSE CAST(n_nationkey * 7 AS VARCHAR) END AS text
-FROM (SELECT *, n_regionkey AS r_regionkey, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INT) AS row_idx FROM nation), (SELECT unnest([0, 1, 2])::INT AS c) c""".replace("THEN n_name", "THEN replace(n_name, ' ', '_')"))
+def _customer_rows(spark, d):
+    """Customers as rows of pages of twenty keys: page, key, and place on the page from 1."""
+    page = F.floor(F.col("c_custkey") / 20).alias("page")
+    return base(spark, d, "customer").select(page, F.col("c_custkey").alias("k"), "c_name").withColumn("r", F.row_number().over(Window.partitionBy("page").orderBy("k")))
+
+
+_CUSTOMER_ROWS = "w AS (SELECT c_custkey // 20 AS page, c_custkey AS k, c_name AS name, row_number() OVER (PARTITION BY c_custkey // 20 ORDER BY c_custkey) AS r, count(*) OVER (PARTITION BY c_custkey // 20) AS n FROM customer)"
+_WORDS = ["page", "ord", "text", "x0", "x1", "top", "bottom"]
+
+
+def _words(rows, at: int, text, x: float, step: float, width: float, y):
+    """Rows' words (page, ord, text and box) from ``x`` on, ``step`` apart; the place of a row's words begins at ``at``."""
+    split = rows.select("page", y.alias("top"), F.posexplode(F.split(text, " ")).alias("i", "text"))
+    left = x + step * F.col("i")
+    return split.select("page", (at + F.col("top") * 100 + F.col("i")).cast("int").alias("ord"), "text", left.alias("x0"), (left + (F.lit(width) if width else 6.0 * F.length("text"))).alias("x1"), "top", (F.col("top") + 10).alias("bottom"))
+
+
+@query(f"""WITH {_CUSTOMER_ROWS} SELECT page, CAST(r - 1 AS INT) AS row_idx, c.c AS col_idx, CASE c.c WHEN 0 THEN replace(name, ' ', '_') WHEN 1 THEN CAST(k AS VARCHAR) ELSE CAST(k * 7 AS VARCHAR) END AS text FROM w, (SELECT unnest([0, 1, 2])::INT AS c) c WHERE n >= 4""")
 def borderless_tables(spark, d):
-    n = base(spark, d, "nation").withColumn("r", F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")))
-    cell = lambda c, text: F.struct(text.alias("text"), F.lit(50.0 + 200 * c).alias("x0"), (F.lit(50.0 + 200 * c) + 6.0 * F.length(text)).alias("x1"), (20.0 * F.col("r")).alias("top"), (20.0 * F.col("r") + 10).alias("bottom"))
-    k = F.col("n_nationkey")
-    one = F.array(cell(0, F.replace("n_name", F.lit(" "), F.lit("_"))), cell(1, k.cast("string")), cell(2, (k * 7).cast("string")))
-    pages = n.groupBy(F.col("n_regionkey").alias("page")).agg(F.flatten(F.collect_list(one)).alias("words"))
-    found = pages.select("page", F.explode(columns.tables_of_words("words")).alias("t"))
-    return geometry.table_cells(found.select("page", F.col("t.rows").alias("rows")))
+    rows, y = _customer_rows(spark, d), 20.0 * F.col("r")
+    cells = [_words(rows, 10 * i, text, 50.0 + 200 * i, 0.0, 0.0, y) for i, text in enumerate((F.replace("c_name", F.lit(" "), F.lit("_")), F.col("k").cast("string"), (F.col("k") * 7).cast("string")))]
+    found = columns.column_tables(cells[0].unionByName(cells[1]).unionByName(cells[2]), ["page"])
+    return geometry.table_cells(found.select("page", F.explode("tables").alias("t")).select("page", F.col("t.rows").alias("rows")))
 
 
-@query("""WITH w AS (SELECT n_regionkey AS page, n_nationkey AS k, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS r, count(*) OVER (PARTITION BY n_regionkey) AS n FROM nation)
-SELECT page, CAST(0 AS INT) AS at, 'a heading over both columns of page ' || page AS text FROM (SELECT DISTINCT page FROM w) UNION ALL SELECT page, CAST(r AS INT), 'left words of row ' || k FROM w UNION ALL SELECT page, CAST(n + r AS INT), 'right words of row ' || k FROM w""")
+@query(f"""WITH {_CUSTOMER_ROWS} SELECT page, CAST(0 AS INT) AS at, 'a heading over both columns of page ' || page AS text FROM (SELECT DISTINCT page FROM w WHERE n >= 2) UNION ALL SELECT page, CAST(r AS INT), 'left words of row ' || k FROM w WHERE n >= 2 UNION ALL SELECT page, CAST(n + r AS INT), 'right words of row ' || k FROM w WHERE n >= 2""")
 def two_column_lines(spark, d):
-    n = base(spark, d, "nation").withColumn("r", F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")))
-
-    def words(text, x, y):
-        parts = F.split(text, " ")
-        return F.transform(parts, lambda w, i: F.struct(w.alias("text"), (x + 30.0 * i).alias("x0"), (x + 30.0 * i + 28.0).alias("x1"), y.alias("top"), (y + 10).alias("bottom")))
-
-    y = F.col("r") * 20.0
-    k = F.col("n_nationkey").cast("string")
-    body = n.select(F.col("n_regionkey").alias("page"), F.concat(words(F.concat(F.lit("left words of row "), k), F.lit(50.0), y), words(F.concat(F.lit("right words of row "), k), F.lit(300.0), y)).alias("w"))
-    head = n.select(F.col("n_regionkey").alias("page")).distinct().select("page", words(F.concat(F.lit("a heading over both columns of page "), F.col("page").cast("string")), F.lit(120.0), F.lit(5.0)).alias("w"))
-    pages = body.unionByName(head).groupBy("page").agg(F.flatten(F.collect_list("w")).alias("words"))
-    return pages.select("page", F.posexplode(columns.lines_of_words("words")).alias("at", "l")).select("page", "at", F.col("l.text").alias("text"))
+    rows, k = _customer_rows(spark, d), F.col("k").cast("string")
+    text = lambda side: F.concat(F.lit(f"{side} words of row "), k)
+    body = _words(rows, 0, text("left"), 50.0, 30.0, 28.0, 20.0 * F.col("r")).unionByName(_words(rows, 50, text("right"), 300.0, 30.0, 28.0, 20.0 * F.col("r")))
+    head = _words(rows.select("page").distinct(), 0, F.concat(F.lit("a heading over both columns of page "), F.col("page").cast("string")), 120.0, 30.0, 28.0, F.lit(5.0))
+    out = columns.column_lines(body.unionByName(head), ["page"])
+    return out.select("page", F.posexplode("lines").alias("at", "l")).select("page", "at", F.col("l.text").alias("text"))
+
+
+@query(f"""WITH {_CUSTOMER_ROWS}, l AS (SELECT page, n, 0 AS r, 0 AS side, 'head' AS text FROM w WHERE r = 1 UNION ALL SELECT page, n, r, 1, 'left ' || k FROM w UNION ALL SELECT page, n, r, 2, 'right ' || k FROM w)
+SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY r > 0, CASE WHEN n >= 3 THEN side ELSE r END, CASE WHEN n >= 3 THEN r ELSE side END) - 1 AS INT) AS at, text FROM l""")
+def column_reading_order(spark, d):
+    rows = _customer_rows(spark, d)
+    line = lambda text, x0, x1, y: F.struct(text.alias("text"), F.lit(x0).alias("x0"), F.lit(x1).alias("x1"), y.alias("top"), (y + 10.0).alias("bottom"))
+    y, k = 20.0 * F.col("r"), F.col("k").cast("string")
+    both = F.array(line(F.concat(F.lit("left "), k), 0.0, 200.0, y), line(F.concat(F.lit("right "), k), 300.0, 500.0, y))
+    pages = rows.groupBy("page").agg(F.flatten(F.collect_list(both)).alias("body")).select("page", F.concat("body", F.array(line(F.lit("head"), 0.0, 500.0, F.lit(2.0)))).alias("lines"))
+    return pages.select("page", "lines", F.posexplode(geometry.reading_order("lines")).alias("at", "i")).select("page", "at", F.get("lines", F.col("i"))["text"].alias("text"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN abs(o_totalprice - 1000) <= abs(o_totalprice - 100000) AND abs(o_totalprice - 1000) <= abs(o_totalprice - 300000) THEN 0 WHEN abs(o_totalprice - 100000) <= abs(o_totalprice - 300000) THEN 1 ELSE 2 END::INT AS column_at FROM orders""")

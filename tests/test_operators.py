@@ -115,38 +115,9 @@ def test_structured(spark):
     assert (better["tables"][0]["confidence"], better["tables"][0]["needs_review"], better["est_cost"]) == (1.0, False, 0.5)
 
 
-def word(text, x, y, width=None):
-    return {"text": text, "x0": float(x), "x1": float(x) + (width or 6.0 * len(text)), "top": float(y), "bottom": y + 10.0}
-
-
-def test_borderless_tables():
-    grid = [("", "31 March", "31 March"), ("", "2024", "2023"), ("Revenue", "1,234", "987"), ("Cost", "(56)", "(43)"), ("Net", "1,178", "944")]
-    right = lambda text, edge, y: word(text, edge - 6.0 * len(text), y)
-    words = [word("(RMB", 50, 20), word("million)", 80, 20)]
-    for i, (a, b, c) in enumerate(grid):
-        y = 40 + 20 * i
-        words += [word(a, 50, y)] if a else []
-        words += [right(x, edge, y) for cell, edge in ((b, 300), (c, 420)) for x, edge in ([(cell.split()[0], edge - 36), (cell.split()[1], edge)] if " " in cell else [(cell, edge)])]
-    (table,) = columns.column_tables(words)
-    assert table["rows"] == [["31 March", "31 March"], ["2024", "2023"], ["Revenue", "1,234", "987"], ["Cost", "(56)", "(43)"], ["Net", "1,178", "944"]]
-    assert table["structure_confidence"] == 0.6 and table["source_engine"] == "column-geometry"
-    prose = [word(f"word{j}", 50 + 100 * j, 20 * i) for i in range(6) for j in range(4)]
-    assert columns.column_tables(prose) == [] and columns.column_tables(words[:5]) == [] and columns.column_lines(words) is None
-    assert columns.column_tables([w for w in words if w["top"] < 70]) == []
-
-
-def test_column_lines():
-    side = lambda name, x, y: [word(w, x + 32 * k, y, 28) for k, w in enumerate(f"{name} has some more words".split())]
-    words = [word(w, 100 + 60 * k, 5, 50) for k, w in enumerate("one heading over all columns".split())]
-    words += [w for i in range(5) for w in side(f"L{i}", 50, 30 + 20 * i) + side(f"R{i}", 300, 30 + 20 * i)]
-    assert [x["text"].split()[0] for x in columns.column_lines(words)] == ["one", "L0", "L1", "L2", "L3", "L4", "R0", "R1", "R2", "R3", "R4"]
-    figures = [w for i in range(8) for w in side(f"L{i}", 50, 30 + 20 * i) + [word(str(i * 1000), 300, 30 + 20 * i)]]
-    assert columns.column_lines(figures) is None
-
-
 @pytest.mark.parametrize("text, want", [("1,234.5", True), ("(12)", True), ("-3%", True), ("12 000", True), ("", False), ("()", False), ("1a", False), ("12-13", False)])
 def test_number_cells(spark, text, want):
-    assert columns.is_number(text) == want and one(spark, S.is_numeric(F.lit(text))) == want
+    assert one(spark, S.is_numeric(F.lit(text))) == want
 
 
 def test_unicode_space(spark):
