@@ -155,10 +155,11 @@ def upsert_coalesce_rules(spark, d):
     return upsert(rows.limit(0), rows, ["k"], "update", {"a": "coalesce_new_old", "b": "coalesce_old_new"})
 
 
-@query("SELECT * FROM (VALUES ('x', 'h', 2), ('x', NULL, 1), ('x', NULL, 1)) t(company, holder, v)")
+@query("""SELECT o_custkey AS company, o_orderstatus AS holder, arg_max(o_totalprice, o_orderkey) AS v FROM orders WHERE o_orderkey % 3 > 0 GROUP BY 1, 2 UNION ALL SELECT o_custkey, NULL, o_totalprice FROM orders WHERE o_orderkey % 3 = 0""")
 def upsert_null_key(spark, d):
-    rows = lambda v: spark.createDataFrame([("x", "h", v, 1), ("x", None, 1, 2)], "company string, holder string, v int, _ord int")
-    return upsert(rows(1), rows(2), ["company", "holder"], "replace")
+    rows = base(spark, d, "orders").select(F.col("o_custkey").alias("company"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus")).alias("holder"), F.col("o_totalprice").alias("v"), F.col("o_orderkey").alias("_ord"))
+    first = upsert(rows.limit(0).drop("_ord"), rows.where("_ord % 2 = 0"), ["company", "holder"], "replace")
+    return upsert(first, rows.where("_ord % 2 = 1"), ["company", "holder"], "replace").where("holder is null").unionByName(upsert(rows.limit(0).drop("_ord"), rows, ["company", "holder"], "replace").where("holder is not null"))
 
 
 @query("""WITH r AS (SELECT s.company_id, CAST(CAST(e.ts AS DATE) AS VARCHAR) AS day, e.event_type, e.value, row_number() OVER (PARTITION BY s.company_id, CAST(e.ts AS DATE), e.event_type ORDER BY e.event_id DESC) AS n
