@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from .functions.scalars import compact_number, normalize_symbol, range_or_default, truncate, window_start
 from .operators import entities, evaluation, signals
 from .operators.storage import written
+from .operators.upsert import replace_partition
 from .plans import tables, views
-from .sources import routes, sinks, statutes
+from .sources import documents, routes, sinks, statutes
 from .sources.routes import MARKETS, default_source, parser  # noqa: F401  the last two are the user's
 
 #: Coverage types: their table and whether a range of days applies.
@@ -148,6 +149,24 @@ class Engine:
         wanted = pending.select(*keys, F.posexplode(F.coalesce(F.nullif(urls, F.array().cast("array<string>")), F.array("url"))).alias("doc_seq", "doc_url"))
         return wanted.join(t["filing_documents"].select(*keys, "doc_seq"), [*keys, "doc_seq"], "left_anti")
 
+    def backfill(self, fetch: Callable[[DataFrame], DataFrame], root: str, **options) -> dict[str, int]:
+        """Documents that are missing fetched, saved, read and written; how many came, and how many of them without text.
+
+        ``fetch`` is a job over the wanted documents (company_id, filing_id, source, doc_seq, doc_url, market, symbol) that adds
+        content_type and content; what it leaves out is wanted again the next time. Options are those of ``documents.stored``.
+        """
+        first = Window.partitionBy("company_id").orderBy(F.desc(F.coalesce("is_primary", F.lit(0))), "security_id")
+        at = self.tables["securities"].withColumn("_n", F.row_number().over(first)).where("_n = 1").select("company_id", "market", "symbol")
+        wanted = self.documents_to_fetch().where("doc_url <> ''").join(at, "company_id", "left")
+        wanted = wanted.withColumns({"market": F.coalesce("market", F.lit("NA")), "symbol": F.coalesce("symbol", F.col("company_id").cast("string"))})
+        rows, cells = documents.stored(fetch(written(wanted, "wanted")), root, **options)
+        rows = written(rows.withColumn("_ord", F.lit(0)), "documents")
+        if cells is not None:
+            cells = written(cells, "cells")
+            self.tables["filing_tables"] = replace_partition(self.tables["filing_tables"], tables.shaped("filing_tables", cells), documents.KEYS)
+        self.write("filing_documents", rows)
+        return rows.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("text_chars") == 0).alias("empty")).first().asDict()
+
     def link(self, members: DataFrame | list[str]) -> int:
         """Listings of a group put on one company: a frame of overrides or MARKET:SYMBOL texts; how many were linked."""
         by_hand = isinstance(members, list)

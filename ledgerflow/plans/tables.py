@@ -68,6 +68,12 @@ def create(spark: SparkSession, names: Sequence[str] | None = None) -> dict[str,
     return {n: spark.createDataFrame([], TABLES[n].columns) for n in names or TABLES}
 
 
+def shaped(name: str, rows: DataFrame) -> DataFrame:
+    """``rows`` with the table's columns in their types; those it lacks are null."""
+    types = dict(x.rsplit(" ", 1) for x in TABLES[name].columns.split(", "))
+    return rows.select(*((F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()))
+
+
 def write(name: str, old: DataFrame, new: DataFrame, ordinal: str = "_ord") -> DataFrame:
     """``new`` written into the table as its keys and rules say; columns it lacks are null, a peer of itself goes."""
     t = TABLES[name]

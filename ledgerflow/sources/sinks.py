@@ -21,7 +21,7 @@ from .archives import opened
 #: Longest part of a path in bytes, as file systems allow 255.
 NAME_BYTES = 200
 PARTS = ("market", "symbol", "filing_id", "name")
-SAVED = "market string, symbol string, filing_id string, name string, path string, size long, status string"
+SAVED = "market string, symbol string, filing_id string, name string, doc_seq long, digest string, path string, size long, status string"
 
 
 def safe_name(c: Column) -> Column:
@@ -34,6 +34,10 @@ def safe_name(c: Column) -> Column:
     return F.when(short.eqNullSafe(c) & (short != ""), short).otherwise(F.concat(stem, F.lit("~"), F.substring(F.sha1(F.coalesce(c, F.lit("")).cast("binary")), 1, 8), ending))
 
 
+def content_digest(c: str) -> Column:
+    return F.sha1(F.coalesce(F.col(c), F.lit(b"")))
+
+
 def _move_batches(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -57,20 +61,20 @@ def _move_batches(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.R
                     with contextlib.suppress(OSError):
                         system.delete_file(part)
                     raise
-            rows.append({**{p: r[p] for p in PARTS}, "path": target, "size": len(content), "status": status})
-        yield pa.RecordBatch.from_pylist(rows, pa.schema([*((p, pa.string()) for p in PARTS), ("path", pa.string()), ("size", pa.int64()), ("status", pa.string())]))
+            rows.append({**{p: r[p] for p in PARTS}, "doc_seq": r["_ord"], "digest": r["_digest"], "path": target, "size": len(content), "status": status})
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([*((p, pa.string()) for p in PARTS), ("doc_seq", pa.int64()), ("digest", pa.string()), ("path", pa.string()), ("size", pa.int64()), ("status", pa.string())]))
 
 
 def save_documents(docs: DataFrame, root: str, ordinal: str = "doc_seq") -> DataFrame:
     """Write the files of ``docs`` (market, symbol, filing_id, name, content and an ordinal); what was done with each, once it is read.
 
-    Names that meet within a filing are told apart by their ordinal; rows whose path and ordinal are the same are one file.
+    Names that meet within a filing are told apart by their ordinal, then content; rows alike in path, ordinal and content are one file.
     """
-    safe = docs.select(*(safe_name(F.col(p)).alias(p) for p in PARTS), "content", F.col(ordinal).cast("long").alias("_ord"))
-    nth = F.row_number().over(Window.partitionBy(*PARTS).orderBy("_ord"))
-    safe = safe.dropDuplicates([*PARTS, "_ord"]).withColumn("_nth", nth)
+    safe = docs.select(*(safe_name(F.col(p)).alias(p) for p in PARTS), "content", F.col(ordinal).cast("long").alias("_ord"), content_digest("content").alias("_digest"))
+    nth = F.row_number().over(Window.partitionBy(*PARTS).orderBy("_ord", "_digest"))
+    safe = safe.dropDuplicates([*PARTS, "_ord", "_digest"]).withColumn("_nth", nth)
     safe = safe.withColumn("name", F.when(F.col("_nth") > 1, F.concat(F.col("_nth").cast("string"), F.lit("~"), "name")).otherwise(F.col("name")))
-    return safe.select(*PARTS, "content").mapInArrow(lambda b: _move_batches(b, root.rstrip("/")), SAVED)
+    return safe.select(*PARTS, "content", "_ord", "_digest").mapInArrow(lambda b: _move_batches(b, root.rstrip("/")), SAVED)
 
 
 def save_csv(df: DataFrame, folder: str, mode: str = "overwrite") -> None:
