@@ -437,4 +437,4 @@ def test_pipeline(spark, docs, labels, tmp_path):
 
 
 def test_registered():
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14))
