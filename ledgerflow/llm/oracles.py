@@ -7,7 +7,7 @@ _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwx
 
 QUALITY_RULES_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+  SELECT doc_id, CASE WHEN source IS NOT NULL THEN lower(regexp_extract(source, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/@]*@)?([^/?#]*)', 1)) END AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
 ), win AS (
   SELECT doc_id, i, list_slice(w, i, i + 4) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
 ), twice AS (

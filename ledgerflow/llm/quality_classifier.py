@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .quality_rules import base_counts
+from .quality_rules import base_counts, host_of
 from .shared import BLANKS, Spans, attach, per_row, records, repeated, saved, slices, small_batches, texts, tidy, words
 
 SAMPLE_ROWS = 20_000
@@ -124,10 +124,6 @@ def learn(docs: DataFrame, labels: DataFrame) -> Logistic:
     return fit_logistic(x[order], y[order])
 
 
-def host_of(site: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(site, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/@]*@)?([^/?#]*)", 1))
-
-
 def path_of(site: Column) -> Column:
     return F.regexp_extract(F.coalesce(site, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*/([^/?#]*)/", 1)
 

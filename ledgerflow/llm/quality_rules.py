@@ -1,7 +1,7 @@
 """Quality rules judged by host.
 
-Each document's failure of the base rules is counted by host; the host's rate is
-shrunk towards all hosts by a beta prior fitted to their rates (moments), and a
+Each document's failure of the base rules is counted by host, the domain of its
+source where that is a URL; the host's rate is shrunk towards all hosts by a beta prior fitted to their rates (moments), and a
 host whose shrunken rate exceeds ``max_rate`` takes all its documents with it.
 
 Null and empty texts have no words and fail. A null host is a host of its own.
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import BLANKS, Spans, attach, per_row, records, repeated, saved, slices, small_batches, texts, windows, words
@@ -53,6 +53,10 @@ def base_counts(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     )
 
 
+def host_of(site: Column) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(site, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/@]*@)?([^/?#]*)", 1))
+
+
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -67,7 +71,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def base_rules(docs: DataFrame, host: str = "source") -> DataFrame:
     """The base counts of every document and whether it fails."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col(host).cast("string").alias("host"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.when(F.col(host).isNotNull(), host_of(F.col(host).cast("string"))).alias("host"), F.col("text").cast("string").alias("text"))
     counted = rows.mapInArrow(_count, "doc_id long, host string, " + ", ".join(f"{k} long" for k in NAMES))
     return counted.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 

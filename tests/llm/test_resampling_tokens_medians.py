@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontaminate, importance_resampling as IR, line_dedup, rolling_median as RM, token_output as TO
+from ledgerflow.llm import decontaminate, importance_resampling as IR, line_dedup, quality_rules, rolling_median as RM, token_output as TO
 from ledgerflow.llm.queries import QUERIES, tokenizer_file
 from ledgerflow.llm.token_counts import tokenizer_of
 
@@ -269,3 +269,12 @@ def test_repeated_row_that_loses_a_line(spark):
     assert got == [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 2, 1), (5, 2, 0)]
     kept = line_dedup.with_bitmaps(docs).where(F.col("doc_id") == 1).collect()
     assert [r["n_dropped"] for r in kept] == [1, 1]
+
+
+def test_hosts_of_urls_are_judged_together(spark):
+    """Pages of one domain share its rate, whatever their path, user or case; a null source is a host of its own."""
+    good = "one two three four five six seven eight nine ten eleven twelve"
+    docs = [(i, "too short", f"https://Bad.example/p{i}?q={i}") for i in range(60)] + [(100, good, "http://u@bad.example/x"), (101, good, "good.example"), (102, good, None)] + [(200 + i, good, f"https://good.example/{i}") for i in range(60)]
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    assert {got[i]["host"] for i in (0, 59, 100)} == {"bad.example"} and {got[i]["host"] for i in (101, 200)} == {"good.example"} and got[102]["host"] is None
+    assert not got[100]["kept"] and not got[100]["base_failed"] and got[101]["kept"]
