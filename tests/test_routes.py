@@ -69,11 +69,16 @@ def test_exchange_and_vendor_routes(spark):
     assert [(r["index_name"], r["added"], r["source"]) for r in routes.parsed("US", "index", {"wanted": wanted, "lists": lists}).collect()] == [("S&P500", "1982-11-30", "fmp")]
 
 
-@pytest.fixture()
-def engine(spark):
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
     e = Engine(spark).create()
     master = [("KR", "5930", "Samsung", "KRW", 1), ("US", "AAPL", "Apple", "USD", 2), ("HK", "700", "Tencent", "HKD", 3)]
-    return e.load_master(spark.createDataFrame(master, "market string, symbol string, name string, currency string, _ord long"))
+    return e.load_master(spark.createDataFrame(master, "market string, symbol string, name string, currency string, _ord long")).store(str(tmp_path_factory.mktemp("tables")))
+
+
+@pytest.fixture()
+def engine(stored, spark):
+    return Engine(spark, dict(stored.tables)).create()
 
 
 def test_fx_job(spark, engine):
