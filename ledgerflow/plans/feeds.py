@@ -389,11 +389,11 @@ def korean_master(spark, d):
 
 
 @query("""SELECT CAST(l_suppkey AS VARCHAR) AS symbol, y.y AS fiscal_year, CASE r.r WHEN '11011' THEN 'FY' WHEN '11014' THEN 'Q3' WHEN '11012' THEN 'H1' ELSE 'Q1' END AS fiscal_period, s.s AS fs_scope, CASE l_returnflag WHEN 'A' THEN 'IS' WHEN 'R' THEN 'BS' END AS statement_type, l_shipmode_ AS account, CASE WHEN l_linenumber = 1 THEN NULL ELSE -floor(l_extendedprice) END AS value, y.y || '-12-31' AS period_end
-FROM (SELECT *, 'acct' || l_linenumber AS l_shipmode_ FROM lineitem WHERE l_linenumber <> 4), (SELECT unnest([2023])::INT AS y) y, (SELECT unnest(['11011', '11014', '11012', '11013']) AS r) r, (SELECT unnest(['CFS', 'OFS']) AS s) s""")
+FROM (SELECT *, 'acct' || l_linenumber AS l_shipmode_ FROM lineitem WHERE l_linenumber <> 4), (SELECT unnest([2022, 2023])::INT AS y) y, (SELECT unnest(['11011', '11014', '11012', '11013']) AS r) r, (SELECT unnest(['CFS', 'OFS']) AS s) s""")
 def korean_statements(spark, d):
     li = base(spark, d, "lineitem")
     amount = F.when(F.col("l_linenumber") == 1, "-").otherwise(F.concat(F.lit("-"), F.format_number(F.floor("l_extendedprice"), 0)))
-    wanted = asia.statement_requests(spark, [2023])
+    wanted = asia.statement_requests(spark, [2022, 2023])
     rows = listed(li, [symbol("l_suppkey")], "l_orderkey", {"account_nm": F.when(F.col("l_linenumber") != 4, F.concat(F.lit("acct"), F.col("l_linenumber").cast("string"))), "sj_div": F.when(F.col("l_returnflag") == "A", "cis").when(F.col("l_returnflag") == "R", "BS").otherwise("SCE"), "thstrm_amount": amount, "thstrm_dt": F.lit("YYYY.01.01 ~ YYYY.12.31")})
     landed = rows.crossJoin(F.broadcast(wanted)).withColumn("payload", F.replace("payload", F.lit("YYYY"), F.col("fiscal_year").cast("string")))
     return asia.statement_rows(landed).select("symbol", "fiscal_year", "fiscal_period", "fs_scope", "statement_type", "account", "value", "period_end")
