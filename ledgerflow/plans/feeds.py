@@ -393,7 +393,8 @@ FROM (SELECT *, 'acct' || l_linenumber AS l_shipmode_ FROM lineitem WHERE l_line
 def korean_statements(spark, d):
     li = base(spark, d, "lineitem")
     amount = F.when(F.col("l_linenumber") == 1, "-").otherwise(F.concat(F.lit("-"), F.format_number(F.floor("l_extendedprice"), 0)))
-    wanted = asia.statement_requests(spark, [2022, 2023])
+    # the feed answers a year's requests with one text
+    wanted = asia.statement_requests(spark, [2022, 2023]).groupBy("fiscal_year").agg(F.collect_list(F.struct("reprt_code", "fs_scope")).alias("requests"))
     rows = listed(li, [symbol("l_suppkey")], "l_orderkey", {"account_nm": F.when(F.col("l_linenumber") != 4, F.concat(F.lit("acct"), F.col("l_linenumber").cast("string"))), "sj_div": F.when(F.col("l_returnflag") == "A", "cis").when(F.col("l_returnflag") == "R", "BS").otherwise("SCE"), "thstrm_amount": amount, "thstrm_dt": F.lit("YYYY.01.01 ~ YYYY.12.31")})
     landed = rows.crossJoin(F.broadcast(wanted)).withColumn("payload", F.replace("payload", F.lit("YYYY"), F.col("fiscal_year").cast("string")))
     return asia.statement_rows(landed).select("symbol", "fiscal_year", "fiscal_period", "fs_scope", "statement_type", "account", "value", "period_end")

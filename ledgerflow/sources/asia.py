@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import day_first, normalize_symbol, parse_signed, period_end, strip, strip_html, to_iso, zero_fill
-from .landing import in_range, number, records, whole
+from .landing import in_range, listed_fields, number, records, whole
 
 #: Report codes and their periods, statement codes and their types, Korean price columns, index codes.
 REPORTS = {"11011": "FY", "11014": "Q3", "11012": "H1", "11013": "Q1"}
@@ -46,11 +46,18 @@ def statement_requests(spark: SparkSession, years: list[int]) -> DataFrame:
 
 
 def statement_rows(df: DataFrame) -> DataFrame:
-    """Facts of landed statements (symbol, fiscal_year, reprt_code, fs_scope, payload); a row without an account goes, an unknown statement has no type."""
-    keep = ["symbol", "fiscal_year", "reprt_code", "fs_scope"]
-    rows = records(df, keep, ["account_nm", "sj_div", "thstrm_amount", "thstrm_dt"]).where("account_nm is not null")
+    """Facts of landed statements (symbol, fiscal_year, reprt_code, fs_scope, payload); a row without an account goes, an unknown statement has no type.
+
+    Where one payload answers several requests, ``requests`` may hold their (reprt_code, fs_scope) instead: it is parsed once.
+    """
     of = lambda table, c: F.try_element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), c)
-    return rows.select("symbol", "fiscal_year", of(REPORTS, F.col("reprt_code")).alias("fiscal_period"), "fs_scope", of(STATEMENTS, F.upper("sj_div")).alias("statement_type"), F.col("account_nm").alias("account"), F.col("account_nm").alias("account_local"), amount(F.col("thstrm_amount")).alias("value"), F.lit("KRW").alias("currency"), period_end(F.col("thstrm_dt")).alias("period_end"))
+    asked = F.col("requests") if "requests" in df.columns else F.array(F.struct("reprt_code", "fs_scope"))
+    asked = F.transform(asked, lambda r: F.struct(of(REPORTS, r["reprt_code"]).alias("fiscal_period"), r["fs_scope"].alias("fs_scope")))
+    landed = df.select("symbol", "fiscal_year", asked.alias("asked"), "payload")
+    rows = listed_fields(landed, ["symbol", "fiscal_year", "asked"], ["account_nm", "sj_div", "thstrm_amount", "thstrm_dt"]).where("r.account_nm is not null")
+    facts = rows.select("symbol", "fiscal_year", "asked", of(STATEMENTS, F.upper("r.sj_div")).alias("statement_type"), F.col("r.account_nm").alias("account"), amount(F.col("r.thstrm_amount")).alias("value"), period_end(F.col("r.thstrm_dt")).alias("period_end"))
+    facts = facts.select("symbol", "fiscal_year", "statement_type", "account", "value", "period_end", F.explode_outer("asked").alias("q")).where("q is not null")
+    return facts.select("symbol", "fiscal_year", "q.fiscal_period", "q.fs_scope", "statement_type", "account", F.col("account").alias("account_local"), "value", F.lit("KRW").alias("currency"), "period_end")
 
 
 def korean_filings(df: DataFrame, key: str = "") -> DataFrame:

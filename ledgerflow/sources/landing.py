@@ -40,10 +40,21 @@ def records(df: DataFrame, keep: Sequence[str], fields: Sequence[str], *paths: s
     return rows.select(*keep, "ord", "item", F.from_json("item", schema).alias("r")).select(*keep, "ord", "item", "r.*")
 
 
+def listed_fields(df: DataFrame, keep: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """The ``keep`` columns and, as ``r``, the ``fields`` as text of each object of payloads that are lists; without ``ord`` and ``item`` a list is parsed once.
+
+    A list that holds anything else goes item by item. The outer explode, whose empty row goes, keeps Spark from parsing again for a filter on the size.
+    """
+    schema = ", ".join(f"`{f}` string" for f in fields)
+    read = df.select(*keep, "payload", F.when(F.trim("payload").startswith("["), F.from_json("payload", f"array<struct<{schema}>>")).alias("_read"))
+    each = F.transform(items(F.col("payload"), "$"), lambda x: F.from_json(x, schema))
+    return read.select(*keep, F.explode_outer(F.when(F.forall("_read", lambda x: x.isNotNull()), F.col("_read")).otherwise(each)).alias("r")).where("r is not null")
+
+
 def number(c: Column | str) -> Column:
     """A finite or infinite number; blanks, dashes and NaN are null."""
     x = (F.col(f"`{c}`") if isinstance(c, str) else c).try_cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.nanvl(x, F.lit(None).cast("double"))
 
 
 def whole(c: Column | str) -> Column:

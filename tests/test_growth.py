@@ -1,8 +1,33 @@
 """Steps whose work must grow with the input alone: what is parsed once, carried once, or handed on in small pieces."""
 
+import json
+
+from pyspark.sql import functions as F
+
 from ledgerflow import registry
+from ledgerflow.sources import asia, landing
+
+LANDED = "symbol string, fiscal_year int, reprt_code string, fs_scope string, payload string"
 
 
 def test_statements_of_every_year(spark):
     found = registry.queries()["korean_statements"](spark, "/root/testdata/sf0.001").groupBy("fiscal_year").count().collect()
     assert {r["fiscal_year"] for r in found} == {2022, 2023} and len({r["count"] for r in found}) == 1
+
+
+def test_a_payload_that_answers_several_requests(spark):
+    items = [{"account_nm": f"a{i}", "sj_div": "cis", "thstrm_amount": "-" if i == 1 else "-1,000", "thstrm_dt": "2023.01.01 ~ 2023.12.31"} for i in range(3)]
+    texts = [json.dumps(items), json.dumps([1, None, items[0], {}]), "{}", "[", None]
+    each = spark.createDataFrame([("A", 2023, c, s, t) for t in texts for c in asia.REPORTS for s in asia.SCOPES], LANDED)
+    asked = each.groupBy("symbol", "fiscal_year", "payload").agg(F.collect_list(F.struct("reprt_code", "fs_scope")).alias("requests"))
+    rows = lambda df: sorted(map(str, asia.statement_rows(df).collect()))
+    assert rows(each) == rows(asked) and len(rows(each)) == 8 * 4
+    plan = asia.statement_rows(asked)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(ArrayType(StructType") == 1
+
+
+def test_fields_of_lists(spark):
+    df = spark.createDataFrame([(1, '[{"a":"x","b":{"c":[1]}},{"a":2}]'), (2, '[{"a":"y"},null,"z",[{"a":"n"}]]'), (3, '{"a":"w"}'), (4, "[]"), (5, "no")], "k int, payload string")
+    got = landing.listed_fields(df, ["k"], ["a", "b"]).select("k", "r.a", "r.b")
+    want = landing.records(df, ["k"], ["a", "b"]).select("k", "a", "b")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 3
