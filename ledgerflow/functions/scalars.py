@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: What counts as white space, in every script.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+#: The same, one by one: cutting them off by the character costs a fraction of a pattern that is tried at every place of a text.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Days before the period end at which a reporting period's window opens.
 PERIOD_DAYS = {"FY": 365, "H1": 183, "Q1": 92, "Q2": 92, "Q3": 92, "Q4": 92}
 #: Words in a concept's name that mark a cash-flow item.
@@ -17,7 +19,7 @@ MONEY_SCALE = {"million": 1_000_000.0, "billion": 1_000_000_000.0}
 
 def strip(c: Column) -> Column:
     """White space of any kind off both ends."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def blank_to_null(c: Column) -> Column:

@@ -194,11 +194,15 @@ def annual_report_facts(pages: DataFrame) -> DataFrame:
     blocks = statement_pages(pages).groupBy("symbol", "statement_type").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]), "\n").alias("text"))
     currency, scale = unit_of(F.col("text"))
     year = lambda k: F.regexp_extract("text", YEAR_PAIR, k).try_cast("int")
-    rows = blocks.select("symbol", "statement_type", currency.alias("currency"), scale.alias("scale"), year(1).alias("now"), year(2).alias("before"), F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("ord", "line")).where("now is not null")
+    # what a text says of itself is read in a step of its own: beside the lines' explode it would be read anew for each line
+    blocks = blocks.select("symbol", "statement_type", currency.alias("currency"), scale.alias("scale"), year(1).alias("now"), year(2).alias("before"), F.split("text", r"\r\n|\r|\n").alias("lines")).where("now is not null")
+    rows = blocks.select("symbol", "statement_type", "currency", "scale", "now", "before", F.posexplode_outer("lines").alias("ord", "line"))
     rows = rows.withColumn("line", strip(F.col("line"))).where(F.col("line").rlike(DATA_ROW))
-    part = lambda k: F.regexp_extract("line", DATA_ROW, k)
-    both = F.array(*(F.struct(F.col(y).alias("fiscal_year"), parse_signed(part(k)).alias("raw")) for y, k in (("now", 2), ("before", 3))))
-    rows = rows.withColumn("account", row_label(part(1))).where("account is not null").select("symbol", "statement_type", "ord", "account", "currency", "scale", F.explode(both).alias("v"))
+    # one match a line: the numbers hold no mark, so what stands before their marks is the label
+    parts = F.split(F.regexp_replace("line", DATA_ROW, "$1\x01$2\x01$3"), "\x01")
+    rows = rows.withColumn("p", parts).select("symbol", "statement_type", "ord", "currency", "scale", "now", "before", F.array_join(F.slice("p", F.lit(1), F.size("p") - 2), "\x01").alias("label"), F.element_at("p", -2).alias("new"), F.element_at("p", -1).alias("old"))
+    both = F.array(*(F.struct(F.col(y).alias("fiscal_year"), parse_signed(F.col(c)).alias("raw")) for y, c in (("now", "new"), ("before", "old"))))
+    rows = rows.withColumn("account", row_label(F.col("label"))).where("account is not null").select("symbol", "statement_type", "ord", "account", "currency", "scale", F.explode(both).alias("v"))
     return rows.where("v.raw is not null").select("symbol", "v.fiscal_year", F.lit("FY").alias("fiscal_period"), "statement_type", "account", (F.col("v.raw") * F.col("scale")).alias("value"), "currency", F.format_string("%d-12-31", F.col("v.fiscal_year")).alias("period_end"))
 
 

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from ledgerflow import registry
+from ledgerflow.functions.scalars import SPACE, strip
 from ledgerflow.sources import asia, landing
 
 LANDED = "symbol string, fiscal_year int, reprt_code string, fs_scope string, payload string"
@@ -31,3 +32,20 @@ def test_fields_of_lists(spark):
     got = landing.listed_fields(df, ["k"], ["a", "b"]).select("k", "r.a", "r.b")
     want = landing.records(df, ["k"], ["a", "b"]).select("k", "a", "b")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 3
+
+
+def test_stripping_is_that_of_the_pattern(spark):
+    chars = [*(chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000), "\ufeff", "\u200b", "가"]
+    texts = [a + b for c in chars for a, b in ((c, "x"), ("x", c), (c + "x" + c, "y " + c), (c, c))]
+    df = spark.createDataFrame([(t,) for t in [*texts, "", None]], "t string")
+    assert df.where(~strip(F.col("t")).eqNullSafe(F.regexp_replace("t", rf"^{SPACE}+|{SPACE}+$", ""))).count() == 0
+
+
+def test_what_a_report_says_of_itself_is_read_once(spark):
+    lines = [f"Item {i}\x01\u3000x 12(a)  1,{i:03d} ({i})" for i in range(4)]
+    text = "Balance sheet\n2023 and 2022 in HK$ million\n" + "\n".join([*lines, "Item 5", "12 1 2", "Annual Report 1 2"])
+    facts = asia.annual_report_facts(spark.createDataFrame([("A", 3, text)], "symbol string, page_no int, text string"))
+    assert sorted((r["account"], r["fiscal_year"], r["value"], r["currency"]) for r in facts.collect()) == sorted((f"Item {i}\x01\u3000x", y, v * 1e6, "HKD") for i in range(4) for y, v in ((2023, 1000.0 + i), (2022, -float(i))))
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate posexplode")]
+    assert "RMB" not in above and "20\\d{2}" not in above
