@@ -490,6 +490,11 @@ def annual_report_facts(spark, d):
 # -- statutes ------------------------------------------------------------------------------------------
 
 
+def _page(key: str) -> Column:
+    """The page of a search's answer: a service answers in pages, never with all it has at once."""
+    return F.floor(F.col(key) / 100).alias("page_of")
+
+
 def _wrapped(c: Column) -> Column:
     return F.concat(F.lit('{"LawSearch":'), c, F.lit("}"))
 
@@ -498,7 +503,7 @@ def _wrapped(c: Column) -> Column:
 def statute_search(spark, d):
     k = F.col("c_custkey")
     item = {"법령ID": F.when(k % 5 > 0, k.cast("string")), "법령일련번호": F.concat(F.lit("M"), k.cast("string")), "법령명한글": F.col("c_name"), "법령상세링크": F.when(k % 2 == 0, F.concat(F.lit("/x/"), k.cast("string"))).otherwise("http://y")}
-    rows = listed(base(spark, d, "customer"), [F.col("c_mktsegment").alias("query")], "c_custkey", item, _wrapped(F.concat(F.lit('{"totalCnt":"9","law":'), "payload", F.lit("}"))))
+    rows = listed(base(spark, d, "customer"), [F.col("c_mktsegment").alias("query"), _page("c_custkey")], "c_custkey", item, _wrapped(F.concat(F.lit('{"totalCnt":"9","law":'), "payload", F.lit("}"))))
     return statutes.statutes(rows, ["query"]).select("query", "law_id", "law_serial_no", "name", "detail_url")
 
 
@@ -515,7 +520,7 @@ def statute_articles(spark, d):
 def statute_history(spark, d):
     c, k = base(spark, d, "customer"), F.col("c_custkey")
     item = {"법령ID": k.cast("string"), "법령일련번호": F.concat(F.lit("M"), k.cast("string")), "현행연혁코드": F.when(k % 2 == 0, "현행")}
-    rows = listed(c, [F.col("c_mktsegment").alias("query")], "c_custkey", item, _wrapped(F.concat(F.lit('{"law":'), "payload", F.lit("}"))))
+    rows = listed(c, [F.col("c_mktsegment").alias("query"), _page("c_custkey")], "c_custkey", item, _wrapped(F.concat(F.lit('{"law":'), "payload", F.lit("}"))))
     asked = c.where("c_mktsegment = 'BUILDING'").agg(F.min("c_custkey").cast("string").alias("law_id"))
     rows = rows.join(F.broadcast(asked.withColumn("query", F.lit("BUILDING"))), "query", "left")
     return statutes.history(rows).select("query", "law_id", "law_serial_no", "status")
@@ -550,5 +555,5 @@ def legal_raw_items(spark, d):
     k = F.col("c_custkey")
     text = k.cast("string")
     item = {"사건번호": F.when(k % 3 == 2, F.concat(F.lit("N"), text)), "문서ID": F.when(k % 3 == 1, F.concat(F.lit("I"), text)), "판례일련번호": F.when(k % 3 == 0, F.concat(F.lit("S"), text)), "사건명": F.when(k % 2 == 0, F.col("c_name")), "부서명": F.lit("dept"), "별칭제목": F.lit("a much longer title"), "x": F.lit(1)}
-    rows = listed(base(spark, d, "customer"), [F.col("c_nationkey").alias("page")], "c_custkey", item, _wrapped(F.concat(F.lit('{"page":"1","prec":'), "payload", F.lit("}"))))
+    rows = listed(base(spark, d, "customer"), [F.col("c_nationkey").alias("page"), _page("c_custkey")], "c_custkey", item, _wrapped(F.concat(F.lit('{"page":"1","prec":'), "payload", F.lit("}"))))
     return statutes.raw_items(rows, ["page"]).select("page", "item_key", "title")

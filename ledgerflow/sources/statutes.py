@@ -12,9 +12,11 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.scalars import strip
 
@@ -23,6 +25,8 @@ HOST = "https://www.law.go.kr"
 TITLE_KEYS = ("사건명", "법령명한글", "법령명", "행정규칙명", "자치법규명", "조약명", "별표명", "서식명", "제목")
 TITLE_ENDS = ("명", "제목")
 KEY_PARTS = ("일련번호", "ID", "번호")
+#: Rows that leave Python at once.
+SLICE = 1000
 
 
 def objects(value: object) -> list[dict]:
@@ -87,9 +91,9 @@ def _raw(item: dict) -> dict:
 _RAW = T.StructType([T.StructField(n, T.StringType()) for n in ("key", "title", "payload")])
 _ARTICLE = T.StructType([T.StructField(n, T.StringType()) for n in ("no", "title", "content")])
 SHAPES: dict[str, tuple[T.DataType, Callable[[dict], object]]] = {
-    "items": (T.ArrayType(T.StringType()), lambda root: [json.dumps(x, ensure_ascii=False) for x in listed(root, ("law", "Law"))]),
+    "items": (T.ArrayType(T.StringType()), lambda root: (json.dumps(x, ensure_ascii=False) for x in listed(root, ("law", "Law")))),
     "articles": (T.ArrayType(_ARTICLE), _articles),
-    "raw": (T.ArrayType(_RAW), lambda root: [_raw(x) for x in listed(root)]),
+    "raw": (T.ArrayType(_RAW), lambda root: (_raw(x) for x in listed(root))),
     "one": (T.ArrayType(_RAW), lambda root: [_raw(root)]),
     "root": (T.StringType(), lambda root: json.dumps(root, ensure_ascii=False)),
 }
@@ -100,17 +104,44 @@ def repaired(payload: Column, shape: str) -> Column:
     kind, get = SHAPES[shape]
 
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([get(parsed(t)) for t in texts], dtype=object)
+        found = (get(parsed(t)) for t in texts)
+        return pd.Series([x if isinstance(x, str) else list(x) for x in found], dtype=object)
 
     return F.pandas_udf(run, kind)(payload)
 
 
+def unfolded(df: DataFrame, keep: list[str], shape: str) -> DataFrame:
+    """A row for each element of payloads in one of the SHAPES that are lists: ``keep``, ``ord`` and ``x``; one payload is open at a time, and rows leave in slices."""
+    kind, get = SHAPES[shape]
+    rows = df.select(*keep, "payload")
+    schema = T.StructType([*(rows.schema[k] for k in keep), T.StructField("ord", T.IntegerType()), T.StructField("x", kind.elementType)])
+    element = to_arrow_type(kind.elementType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, ords, found = [], [], []
+            for i, text in enumerate(batch.column("payload")):
+                for n, x in enumerate(get(parsed(text.as_py()))):
+                    at.append(i), ords.append(n), found.append(x)
+                    if len(at) == SLICE:
+                        yield _slice(batch, at, ords, found)
+                        at, ords, found = [], [], []
+            if at:
+                yield _slice(batch, at, ords, found)
+
+    def _slice(batch: pa.RecordBatch, at: list[int], ords: list[int], found: list) -> pa.RecordBatch:
+        kept = batch.select(keep).take(pa.array(at, pa.int32()))
+        return pa.RecordBatch.from_arrays([*kept.columns, pa.array(ords, pa.int32()), pa.array(found, element)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def _pick(*names: str) -> Column:
     return F.coalesce(*(F.nullif(F.get_json_object("item", f"$['{n}']"), F.lit("")) for n in names))
 
 
 def _entries(df: DataFrame, keep: list[str]) -> DataFrame:
-    rows = df.select(*keep, F.posexplode(repaired(F.col("payload"), "items")).alias("ord", "item"))
+    rows = unfolded(df, keep, "items").withColumnRenamed("x", "item")
     return rows.select(*keep, "ord", "item", _pick("법령ID").alias("law_id"), _pick("법령일련번호").alias("law_serial_no")).where("law_id is not null and law_serial_no is not null")
 
 
@@ -122,7 +153,7 @@ def statutes(df: DataFrame, keep: list[str]) -> DataFrame:
 
 def articles(df: DataFrame, keep: list[str]) -> DataFrame:
     """Articles of a statute's text in order, without headings of parts; an article's text is its own with that of its clauses."""
-    return df.select(*keep, F.posexplode(repaired(F.col("payload"), "articles")).alias("ord", "a")).select(*keep, "ord", F.col("a.no").alias("article_no"), F.col("a.title").alias("article_title"), F.col("a.content").alias("content"))
+    return unfolded(df, keep, "articles").withColumnRenamed("x", "a").select(*keep, "ord", F.col("a.no").alias("article_no"), F.col("a.title").alias("article_title"), F.col("a.content").alias("content"))
 
 
 def exact_names(queries: DataFrame, found: DataFrame) -> DataFrame:
@@ -164,7 +195,7 @@ def comparison(df: DataFrame, keep: list[str]) -> DataFrame:
 
 def raw_items(df: DataFrame, keep: list[str]) -> DataFrame:
     """Items of any category by key and title, their JSON kept."""
-    return df.select(*keep, F.posexplode(repaired(F.col("payload"), "raw")).alias("ord", "i")).select(*keep, "ord", F.col("i.key").alias("item_key"), "i.title", F.col("i.payload").alias("payload_json"))
+    return unfolded(df, keep, "raw").withColumnRenamed("x", "i").select(*keep, "ord", F.col("i.key").alias("item_key"), "i.title", F.col("i.payload").alias("payload_json"))
 
 
 def raw_item(df: DataFrame, keep: list[str], hint: str | None = None) -> DataFrame:

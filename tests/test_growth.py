@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow import registry
 from ledgerflow.functions.scalars import SPACE, strip
-from ledgerflow.sources import asia, landing
+from ledgerflow.sources import asia, landing, statutes
 
 LANDED = "symbol string, fiscal_year int, reprt_code string, fs_scope string, payload string"
 
@@ -49,3 +49,18 @@ def test_what_a_report_says_of_itself_is_read_once(spark):
     plan = facts._jdf.queryExecution().optimizedPlan().toString()
     above = plan[: plan.index("Generate posexplode")]
     assert "RMB" not in above and "20\\d{2}" not in above
+
+
+def test_items_leave_in_slices(spark):
+    n = 2 * statutes.SLICE + 7
+    laws = [{"법령ID": str(i), "법령일련번호": f"M{i}"} for i in range(n)]
+    texts = [json.dumps({"LawSearch": {"law": laws, "x": 1}}), "no", None, json.dumps({"LawSearch": {"law": laws[0], "x": 1}}), json.dumps({"LawSearch": {"law": []}})]
+    df = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(texts)], "query string, payload string").coalesce(1)
+    got = statutes.unfolded(df, ["query"], "items")
+    assert sorted((r["query"], r["ord"], json.loads(r["x"])["법령ID"]) for r in got.collect()) == sorted([("q0", i, str(i)) for i in range(n)] + [("q3", 0, "0")])
+    assert statutes.statutes(df, ["query"]).count() == n + 1 and statutes.raw_items(df, ["query"]).count() == n
+
+
+def test_a_page_of_a_search_is_small(spark):
+    plan = registry.queries()["statute_search"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "page_of" in plan
