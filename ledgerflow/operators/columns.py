@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import is_numeric, strip
 from .geometry import LINE, TABLE
+from .storage import written
 
 #: The least words, rows and columns of a table; edges agree within X_TOL; so many rows hold numbers; so far up go headings.
 MIN_WORDS, MIN_ROWS, MIN_COLS, X_TOL, NUMERIC_SHARE, LOOK_BACK = 10, 3, 2, 8.0, 0.5, 4
@@ -135,10 +136,17 @@ def gutters(placed: DataFrame, keys: list[str]) -> DataFrame:
     page = page.withColumn("span", F.greatest(F.col("right"), F.lit(0.0) + F.col("left")) - F.col("left")).where("span > 0").withColumn("bins", F.greatest(F.lit(1), F.floor(F.col("span") / BIN).cast("int")))
     bin_of = lambda x: F.least(F.greatest(F.floor((F.col(x) - F.col("left")) / F.col("span") * F.col("bins")).cast("int"), F.lit(0)), F.col("bins") - 1)
     on = placed.select(*keys, "row", "x0", "x1").join(page, keys)
-    inked = on.select(*keys, "row", F.explode(F.sequence(bin_of("x0"), F.greatest(bin_of("x0"), bin_of("x1")))).alias("at")).distinct().groupBy(*keys, "at").agg(F.count(F.lit(1)).alias("crossed"))
-    bins = page.select(*keys, "left", "span", "bins", "rows", "n", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("at")).join(inked, [*keys, "at"], "left")
-    blocked = F.coalesce("crossed", F.lit(0)) > F.greatest(F.lit(1.0), F.col("rows") * CROSSING)
+    # a row's words as stretches of bins that do not touch; a bin's count is what has begun before it less what has ended
+    stretch = Window.partitionBy(*keys, "row").orderBy("from", "to")
+    ink = on.select(*keys, "row", bin_of("x0").alias("from"), F.greatest(bin_of("x0"), bin_of("x1")).alias("to"))
+    reach = F.max("to").over(stretch.rowsBetween(Window.unboundedPreceding, -1))
+    ink = ink.withColumn("from", F.greatest(F.col("from"), F.coalesce(reach + 1, F.lit(0)))).where("from <= to")
+    edges = F.array(F.struct(F.col("from").alias("at"), F.lit(1).alias("d")), F.struct((F.col("to") + 1).alias("at"), F.lit(-1).alias("d")))
+    steps = ink.select(*keys, F.inline(edges)).groupBy(*keys, "at").agg(F.sum("d").alias("d"))
+    bins = page.select(*keys, "left", "span", "bins", "rows", "n", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("at")).join(steps, [*keys, "at"], "left")
     across = Window.partitionBy(*keys).orderBy("at")
+    bins = bins.withColumn("crossed", F.sum(F.coalesce("d", F.lit(0))).over(across))
+    blocked = F.col("crossed") > F.greatest(F.lit(1.0), F.col("rows") * CROSSING)
     bins = bins.withColumn("free", F.col("at") - F.coalesce(F.max(F.when(blocked, F.col("at"))).over(across), F.lit(-1)))
     lo, hi = (F.floor(F.col("bins") * s).cast("int") for s in MIDDLE)
     best = bins.where(F.col("at").between(lo, hi)).groupBy(*keys).agg(F.max_by(F.struct("at", "free", "left", "span", "bins", "n"), F.struct("free", -F.col("at"))).alias("b")).select(*keys, "b.*")
@@ -158,7 +166,7 @@ def prose_pages(placed: DataFrame, middles: DataFrame, keys: list[str]) -> DataF
 
 def column_lines(words: DataFrame, keys: list[str]) -> DataFrame:
     """keys and ``lines`` of the pages in two columns: the left before the right, between rows that cross the gutter."""
-    placed = rows_of_words(words, keys)
+    placed = written(rows_of_words(words, keys), "placed")  # five steps read it
     middles = prose_pages(placed, gutters(placed, keys), keys)
     on = placed.join(middles, keys)
     whole_row = Window.partitionBy(*keys, "row")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow import registry
 from ledgerflow.functions.scalars import SPACE, strip
-from ledgerflow.operators import geometry
+from ledgerflow.operators import columns, geometry
 from ledgerflow.sources import asia, landing, statutes
 
 LANDED = "symbol string, fiscal_year int, reprt_code string, fs_scope string, payload string"
@@ -76,3 +76,12 @@ def test_reading_order_gets_edges_alone(spark):
     assert {r["page"]: r["o"] for r in got.collect()} == {1: [0, 2, 4, 6, 1, 3, 5, 7], 2: [], 3: [], 4: [0, 1], 5: [1, 0]}
     assert {r["page"]: r["o"] for r in got.where("page > 3").collect()} == {4: [0, 1], 5: [1, 0]}
     assert "ArrowEvalPython [_orders(transform(" in got._jdf.queryExecution().optimizedPlan().toString() and "bottom" not in got._jdf.queryExecution().optimizedPlan().toString().split("ArrowEvalPython")[1].splitlines()[0]
+
+
+def test_words_are_dealt_into_rows_once(spark):
+    word = "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double"
+    rows = [(1, 1, 20 * r + i, "words", 50.0 + 30 * i + (100 if i > 4 else 0), 78.0 + 30 * i + (100 if i > 4 else 0), 20.0 * r, 20.0 * r + 9) for r in range(5) for i in range(10)]
+    plan = columns.column_lines(spark.createDataFrame(rows, word), ["doc_id", "page_no"])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in text and "median(" not in text
+    assert [len(r["lines"]) for r in plan.collect()] == [10]
