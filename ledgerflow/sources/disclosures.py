@@ -90,13 +90,15 @@ def insider_trades(filings: DataFrame, documents: DataFrame) -> DataFrame:
     forms = first_of_each(forms, "symbol", "ord", INSIDER_LIMIT).join(documents.withColumnRenamed("url", "xml_url"), "xml_url")
     doc = lambda path: F.get(F.xpath("content", F.lit(path)), F.lit(0))
     plain = F.regexp_replace("content", r"^\s*(<\?xml[^>]*\?>)?", "")
-    text = lambda tag: strip(F.nullif(doc(f"//{tag}//text()[normalize-space()]"), F.lit("")))
+    # every path parses the document anew, so a tag is looked for where its name occurs at all
+    text = lambda tag: F.when(F.contains("content", F.lit(tag)), strip(doc(f"//{tag}//text()[normalize-space()]")))
     yes = lambda tag: text(tag).isin("1", "true")
-    rows = forms.withColumn("content", plain).withColumns({"insider": F.coalesce(text("rptOwnerName"), F.lit("unknown")), "relation": F.coalesce(text("officerTitle"), F.when(yes("isDirector"), "director").when(yes("isOfficer"), "officer"))})
-    n = F.size(F.xpath("content", F.lit("//nonDerivativeTransaction/transactionAmounts | //nonDerivativeTransaction[not(transactionAmounts)]")))
+    rows = forms.withColumn("content", plain).withColumns({"insider": F.coalesce(text("rptOwnerName"), F.lit("unknown")), "_title": text("officerTitle")})
+    relation = F.coalesce("_title", F.when(yes("isDirector"), "director").when(yes("isOfficer"), "officer"))
+    rows = rows.withColumn("relation", relation).drop("_title")
     value = lambda i, tag: strip(F.nullif(F.regexp_replace(F.regexp_extract(i, rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>", 1), r"<[^>]*>", ""), F.lit("")))
     blocks = F.regexp_extract_all("content", F.lit(r"(?s)<nonDerivativeTransaction\b[^>]*>.*?</nonDerivativeTransaction>"), F.lit(0))
-    rows = rows.withColumn("_n", n).select("symbol", "filed_date", "filing_id", "insider", "relation", F.posexplode_outer(blocks).alias("seq", "b"))
+    rows = rows.select("symbol", "filed_date", "filing_id", "insider", "relation", F.posexplode_outer(blocks).alias("seq", "b"))
     code = value(F.col("b"), "transactionAcquiredDisposedCode")
     kind = F.when(F.col("b").isNull(), "hold").when(code == "A", "buy").when(code == "D", "sell").otherwise(F.coalesce(code, F.lit("hold")))
     return rows.select("symbol", F.coalesce("filed_date", F.lit("")).alias("filed_date"), "filing_id", "insider", "relation", kind.alias("txn_type"), F.coalesce("seq", F.lit(0)).alias("txn_seq"), number(value(F.col("b"), "transactionShares")).alias("shares"), number(value(F.col("b"), "transactionPricePerShare")).alias("price"))

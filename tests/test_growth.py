@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerflow import registry
 from ledgerflow.functions.scalars import SPACE, strip
 from ledgerflow.operators import columns, geometry
-from ledgerflow.sources import asia, landing, statutes
+from ledgerflow.sources import asia, disclosures, landing, statutes
 
 LANDED = "symbol string, fiscal_year int, reprt_code string, fs_scope string, payload string"
 
@@ -85,3 +85,10 @@ def test_words_are_dealt_into_rows_once(spark):
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "aggregate(" not in text and "median(" not in text
     assert [len(r["lines"]) for r in plan.collect()] == [10]
+
+
+def test_a_form_is_parsed_for_the_tags_it_has(spark):
+    docs = ["<d><rptOwnerName>A &amp; B</rptOwnerName><officerTitle> CEO </officerTitle></d>", "<d><x><rptOwnerName>\n</rptOwnerName></x><isDirector><value>true</value></isDirector></d>", "<d><isDirector>0</isDirector><isOfficer>1</isOfficer></d>", "<d><officerTitle/></d>", "not a form"]
+    forms = spark.createDataFrame([("S", "2024-01-02", "4", str(i), i, f"u{i}") for i in range(len(docs))], "symbol string, filed_date string, filing_type string, filing_id string, ord int, xml_url string")
+    got = disclosures.insider_trades(forms, spark.createDataFrame([(f"u{i}", d) for i, d in enumerate(docs)], "url string, content string"))
+    assert {r["filing_id"]: (r["insider"], r["relation"]) for r in got.collect()} == {"0": ("A & B", "CEO"), "1": ("unknown", "director"), "2": ("unknown", "officer"), "3": ("unknown", None), "4": ("unknown", None)}
