@@ -41,7 +41,8 @@ def content_digest(c: str) -> Column:
 def _move_batches(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for r in batch.to_pylist():
+        for one in (batch.slice(i, 1) for i in range(batch.num_rows)):  # one document's content is open at a time
+            r = one.to_pylist()[0]
             target = "/".join([root, *(r[p] for p in PARTS)])
             system, at = opened(target)
             content, status = r["content"] or b"", "written"

@@ -1,13 +1,15 @@
 """Steps whose work must grow with the input alone: what is parsed once, carried once, or handed on in small pieces."""
 
 import json
+import tracemalloc
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerflow import registry
 from ledgerflow.functions.scalars import SPACE, strip
 from ledgerflow.operators import columns, geometry
-from ledgerflow.sources import asia, disclosures, landing, statutes
+from ledgerflow.sources import asia, disclosures, landing, sinks, statutes
 
 LANDED = "symbol string, fiscal_year int, reprt_code string, fs_scope string, payload string"
 
@@ -92,3 +94,15 @@ def test_a_form_is_parsed_for_the_tags_it_has(spark):
     forms = spark.createDataFrame([("S", "2024-01-02", "4", str(i), i, f"u{i}") for i in range(len(docs))], "symbol string, filed_date string, filing_type string, filing_id string, ord int, xml_url string")
     got = disclosures.insider_trades(forms, spark.createDataFrame([(f"u{i}", d) for i, d in enumerate(docs)], "url string, content string"))
     assert {r["filing_id"]: (r["insider"], r["relation"]) for r in got.collect()} == {"0": ("A & B", "CEO"), "1": ("unknown", "director"), "2": ("unknown", "officer"), "3": ("unknown", None), "4": ("unknown", None)}
+
+
+def test_one_document_is_open_at_a_time(tmp_path):
+    n, size = 40, 1 << 20
+    batch = pa.RecordBatch.from_pylist([{"market": "US", "symbol": "A", "filing_id": "f", "name": f"{i}.txt", "content": bytes([i]) * size, "_ord": i, "_digest": str(i)} for i in range(n)])
+    for want in ("written", "kept"):
+        tracemalloc.start()
+        (out,) = sinks._move_batches(iter([batch]), str(tmp_path))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert out.column("status").to_pylist() == [want] * n and out.column("size").to_pylist() == [size] * n
+        assert peak < 6 * size
