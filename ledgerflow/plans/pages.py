@@ -42,7 +42,9 @@ SELECT doc_id, CAST(n - 1 AS INT) AS row_idx, p || ' x' || k AS label, CASE WHEN
 def filled_grids(spark, d):
     k = F.col("o_orderkey")
     nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    o = base(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", nth.alias("r"))
+    # dealt in a number that stays: a page's words take many times the room of its orders, by which partitions would be merged
+    orders = base(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_custkey")
+    o = orders.withColumn("r", nth)
     # an image at twice the page's size; rows of 15 points every 20, columns at 50-150, 250-300 and 400-450
     box = F.array(*map(F.lit, (100.0, 200.0, 1000.0, 100000.0)))
     row = F.array(F.lit(0.0), 40.0 * F.col("r"), F.lit(900.0), 40.0 * F.col("r") + 30)

@@ -1,6 +1,7 @@
 """Steps whose work must grow with the input alone: what is parsed once, carried once, or handed on in small pieces."""
 
 import json
+import random
 import tracemalloc
 
 import pyarrow as pa
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow import registry
 from ledgerflow.functions.scalars import SPACE, strip
-from ledgerflow.operators import columns, geometry
+from ledgerflow.operators import columns, geometry, grid
 from ledgerflow.sources import asia, disclosures, landing, sinks, statutes
 
 LANDED = "symbol string, fiscal_year int, reprt_code string, fs_scope string, payload string"
@@ -106,3 +107,46 @@ def test_one_document_is_open_at_a_time(tmp_path):
         tracemalloc.stop()
         assert out.column("status").to_pylist() == [want] * n and out.column("size").to_pylist() == [size] * n
         assert peak < 6 * size
+
+
+WORDS = "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double"
+GRIDS = "doc_id int, page_no int, table_no int, box array<double>, rows array<array<double>>, cols array<array<double>>, scale double"
+
+
+def test_words_and_grids_are_shuffled_once(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (grid.filled_grids(spark.createDataFrame([], WORDS), spark.createDataFrame([], GRIDS)), registry.queries()["filled_grids"](spark, "/root/testdata/sf0.001")):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 2 and plan.count("SortMergeJoin") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_words_find_all_rows_that_hold_them(spark):
+    rng = random.Random(5)
+    words, tables, want = [], [], {}
+    for page in range(40):
+        ws = [(page, 1, i, rng.choice(["a", "b c", " ", "", None]), x - 1.0, x + 1.0, y - 2.0, y + 2.0) for i in range(60) for x, y in [(rng.uniform(-20, 320), rng.choice([rng.uniform(-60, 400), 10.0 * rng.randrange(40)]))]]
+        ws += [(page, 1, 60, "far", 0.0, 2.0, 1e300, float("inf")), (page, 1, 61, "none", 0.0, 2.0, None, 1.0)]
+        words += ws
+        for no in range(rng.randrange(4)):
+            # rows that meet, lie in one another, repeat, are upside down or far off, in no order
+            edges = [(y, y + rng.choice([0.0, 10.0, 25.0, 300.0, -5.0])) for y in (rng.choice([10.0 * rng.randrange(-5, 40), 1e5]) for _ in range(rng.randrange(30)))]
+            rows, cols = [[0.0, 2 * a, 9.0, 2 * b] for a, b in edges] + [None], [[20.0 * c, 0.0, 20.0 * c + 15, 9.0] for c in rng.sample(range(30), rng.randrange(6))]
+            tables.append((page, 1, no, [10.0, 6.0, 500.0, 500.0], rows, cols, 2.0))
+            filled = []
+            for a, b in edges if cols else []:
+                cells = [[] for _ in cols]
+                for _, _, _, text, x0, x1, top, bottom in ws:
+                    if top is not None and a + 3 <= (top + bottom) / 2 <= b + 3:
+                        far = [max((10 + c[0]) / 2 - (x0 + x1) / 2, (x0 + x1) / 2 - (10 + c[2]) / 2, 0.0) for c in cols]
+                        cells[far.index(min(far))] += [text] if text is not None else []
+                filled += [[" ".join(c) for c in cells]] if any(" ".join(c).strip() for c in cells) else []
+            want |= {(page, no, i): r for i, r in enumerate(filled)}
+    tables.append((0, 1, 9, [0.0] * 4, None, [[0.0] * 4], 1.0))
+    w, t = spark.createDataFrame(words, WORDS), spark.createDataFrame(tables, GRIDS)
+    for band in (3.0, grid.BAND, 1e4):
+        assert {(r["doc_id"], r["table_no"], r["row_idx"]): r["cells"] for r in grid.filled_grids(w, t, band).collect()} == want
+    assert len(want) > 100
