@@ -130,56 +130,69 @@ def column_tables(words: DataFrame, keys: list[str]) -> DataFrame:
 # -- pages in columns --------------------------------------------------------------------
 
 
+def _times(condition: Column) -> Column:
+    return F.count(F.when(condition, 1))
+
+
 def gutters(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and ``middle`` of the pages in columns: the middle of the widest band near the page's middle that few rows cross, if it parts the words."""
-    page = placed.where(F.col("n_words") >= COLUMN_WORDS).groupBy(*keys).agg(F.min("x0").alias("left"), F.max("x1").alias("right"), (F.max("row") + 1).alias("rows"), F.count(F.lit(1)).alias("n"))
-    page = page.withColumn("span", F.greatest(F.col("right"), F.lit(0.0) + F.col("left")) - F.col("left")).where("span > 0").withColumn("bins", F.greatest(F.lit(1), F.floor(F.col("span") / BIN).cast("int")))
+    """The words of the pages in columns with ``middle``: the middle of the widest band near the page's middle that few rows cross, if it parts the words."""
+    page = Window.partitionBy(*keys)
+    words = placed.where(F.col("n_words") >= COLUMN_WORDS).withColumns({"left": F.min("x0").over(page), "right": F.max("x1").over(page), "rows": F.max("row").over(page) + 1})
+    words = words.withColumn("span", F.greatest(F.col("right"), F.lit(0.0) + F.col("left")) - F.col("left")).where("span > 0").withColumn("bins", F.greatest(F.lit(1), F.floor(F.col("span") / BIN).cast("int")))
     bin_of = lambda x: F.least(F.greatest(F.floor((F.col(x) - F.col("left")) / F.col("span") * F.col("bins")).cast("int"), F.lit(0)), F.col("bins") - 1)
-    on = placed.select(*keys, "row", "x0", "x1").join(page, keys)
-    # a row's words as stretches of bins that do not touch; a bin's count is what has begun before it less what has ended
-    stretch = Window.partitionBy(*keys, "row").orderBy("from", "to")
-    ink = on.select(*keys, "row", bin_of("x0").alias("from"), F.greatest(bin_of("x0"), bin_of("x1")).alias("to"))
+    # a row's words as stretches of bins that do not touch: each begins one and ends it, or neither if those before it reach as far
+    stretch = Window.partitionBy(*keys, "row").orderBy("from", "to", "place")
+    words = words.withColumns({"from": bin_of("x0"), "to": F.greatest(bin_of("x0"), bin_of("x1"))})
     reach = F.max("to").over(stretch.rowsBetween(Window.unboundedPreceding, -1))
-    ink = ink.withColumn("from", F.greatest(F.col("from"), F.coalesce(reach + 1, F.lit(0)))).where("from <= to")
-    edges = F.array(F.struct(F.col("from").alias("at"), F.lit(1).alias("d")), F.struct((F.col("to") + 1).alias("at"), F.lit(-1).alias("d")))
-    steps = ink.select(*keys, F.inline(edges)).groupBy(*keys, "at").agg(F.sum("d").alias("d"))
-    bins = page.select(*keys, "left", "span", "bins", "rows", "n", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("at")).join(steps, [*keys, "at"], "left")
-    across = Window.partitionBy(*keys).orderBy("at")
-    bins = bins.withColumn("crossed", F.sum(F.coalesce("d", F.lit(0))).over(across))
+    words = words.withColumn("from", F.greatest(F.col("from"), F.coalesce(reach + 1, F.lit(0)))).withColumn("ink", (F.col("from") <= F.col("to")).cast("int"))
+    edges = F.array(F.struct(F.col("from").alias("at"), F.col("ink").alias("d"), F.lit(True).alias("begins")), F.struct((F.col("to") + 1).alias("at"), (-F.col("ink")).alias("d"), F.lit(False).alias("begins")))
+    steps = words.select(*keys, "n_words", "left", "span", "bins", "rows", "row", "place", "text", "x0", "x1", "top", "bottom", F.inline(edges))
+    # the bins from an edge to the next are crossed alike; of those that are free, the last near the middle has the widest band before it
+    across = Window.partitionBy(*keys).orderBy("at", "place", "begins")
+    so_far = across.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = steps.withColumns({"crossed": F.sum("d").over(so_far), "next": F.coalesce(F.lead("at").over(across), F.col("bins"))})
     blocked = F.col("crossed") > F.greatest(F.lit(1.0), F.col("rows") * CROSSING)
-    bins = bins.withColumn("free", F.col("at") - F.coalesce(F.max(F.when(blocked, F.col("at"))).over(across), F.lit(-1)))
+    steps = steps.withColumn("shut", F.coalesce(F.max(F.when(blocked & (F.col("at") < F.col("next")), F.col("next") - 1)).over(so_far), F.lit(-1)))
     lo, hi = (F.floor(F.col("bins") * s).cast("int") for s in MIDDLE)
-    best = bins.where(F.col("at").between(lo, hi)).groupBy(*keys).agg(F.max_by(F.struct("at", "free", "left", "span", "bins", "n"), F.struct("free", -F.col("at"))).alias("b")).select(*keys, "b.*")
+    last = F.least(F.col("next") - 1, hi)
+    band = F.when(last >= F.greatest(F.col("at"), lo), F.struct((last - F.col("shut")).alias("free"), (-last).alias("before")))
+    best = steps.withColumn("band", F.max(band).over(page)).where("begins").withColumns({"free": F.col("band.free"), "at": -F.col("band.before")})
     best = best.where((F.col("free") > 0) & (F.col("free") * BIN >= F.col("span") * GUTTER))
-    best = best.select(*keys, "n", (F.col("left") + (F.col("at") - F.col("free") / 2 + 0.5) / F.col("bins") * F.col("span")).alias("middle"))
-    sides = placed.join(best, keys).groupBy(*keys, "middle", "n").agg(F.count_if(F.col("x1") <= F.col("middle")).alias("a"), F.count_if(F.col("x0") > F.col("middle")).alias("b"))
-    return sides.where(F.least("a", "b") >= F.col("n") * SIDE).select(*keys, "middle")
-
-
-def prose_pages(placed: DataFrame, middles: DataFrame, keys: list[str]) -> DataFrame:
-    """The pages both of whose sides carry running text, unlike a table's labels and figures."""
-    side = F.when(F.col("x1") <= F.col("middle"), 0).when(F.col("x0") > F.col("middle"), 1)
-    rows = placed.join(middles, keys).withColumn("side", side).where("side is not null").groupBy(*keys, "middle", "side", "row").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_numeric(F.col("text"))).alias("numbers"))
-    sides = rows.groupBy(*keys, "middle", "side").agg(F.avg("n").alias("n"), F.avg((F.col("n") == F.col("numbers")).cast("double")).alias("numbers"))
-    return sides.where((F.col("n") >= PROSE_WORDS) & (F.col("numbers") <= PROSE_NUMERIC)).groupBy(*keys, "middle").agg(F.count(F.lit(1)).alias("sides")).where("sides = 2").select(*keys, "middle")
+    best = best.withColumn("middle", F.col("left") + (F.col("at") - F.col("free") / 2 + 0.5) / F.col("bins") * F.col("span"))
+    sides = best.withColumns({"a": _times(F.col("x1") <= F.col("middle")).over(page), "b": _times(F.col("x0") > F.col("middle")).over(page)})
+    return sides.where(F.least("a", "b") >= F.col("n_words") * SIDE).select(*keys, "middle", "row", "place", "text", "x0", "x1", "top", "bottom")
+
+
+def prose_pages(words: DataFrame, keys: list[str]) -> DataFrame:
+    """The words, with ``crossed`` of their rows, of the pages both of whose sides carry running text, unlike a table's labels and figures."""
+    page, row = Window.partitionBy(*keys), Window.partitionBy(*keys, "row")
+    words = words.withColumn("side", F.when(F.col("x1") <= F.col("middle"), 0).when(F.col("x0") > F.col("middle"), 1))
+    words = words.withColumns({"first": F.row_number().over(row.orderBy("place")) == 1, "crossed": F.max((F.col("x0") < F.col("middle")) & (F.col("x1") > F.col("middle"))).over(row)})
+    both = F.lit(True)
+    for side in (0, 1):
+        on = F.col("side") == side
+        words = words.withColumns({f"n{side}": _times(on).over(row), f"numbers{side}": _times(on & is_numeric(F.col("text"))).over(row)})
+        n, speaks = F.col(f"n{side}"), F.col("first") & (F.col(f"n{side}") > 0)  # a row's first word speaks for it
+        numbers = (n == F.col(f"numbers{side}")).cast("double")
+        both &= (F.avg(F.when(speaks, n)).over(page) >= PROSE_WORDS) & (F.avg(F.when(speaks, numbers)).over(page) <= PROSE_NUMERIC)
+    return words.withColumn("prose", both).where("prose").select(*keys, "middle", "row", "place", "crossed", "text", "x0", "x1", "top", "bottom")
 
 
 def column_lines(words: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and ``lines`` of the pages in two columns: the left before the right, between rows that cross the gutter."""
-    placed = written(rows_of_words(words, keys), "placed")  # five steps read it
-    middles = prose_pages(placed, gutters(placed, keys), keys)
-    on = placed.join(middles, keys)
-    whole_row = Window.partitionBy(*keys, "row")
-    on = on.withColumn("crossed", F.max((F.col("x0") < F.col("middle")) & (F.col("x1") > F.col("middle"))).over(whole_row))
+    """keys and ``lines`` of the pages in two columns: the left before the right, between rows that cross the gutter.
+
+    A page's words stay together from step to step and no step is joined to them: words take few
+    bytes as Parquet, so the planner would send them all through the driver as the small side.
+    """
+    placed = written(rows_of_words(words, keys), "placed")
+    on = prose_pages(gutters(placed, keys), keys)
     side = F.when(F.col("crossed") | (F.col("x1") <= F.col("middle")), 0).when(F.col("x0") > F.col("middle"), 1)
     lines = on.withColumn("side", side).where("side is not null").groupBy(*keys, "row", "crossed", "side").agg(*_line(["x0", "place"]))
-    # rows between two that cross are one block, whose left side is read first; a crossing row is a block of its own
-    crossings = on.select(*keys, "row", "crossed").distinct()
-    down = Window.partitionBy(*keys).orderBy("row")
+    # rows between two that cross are one block, whose left side is read first; a crossing row is one line, and a block of its own
+    down = Window.partitionBy(*keys).orderBy("row", "side")
     block = 2 * F.coalesce(F.sum(F.col("crossed").cast("int")).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("crossed").cast("int")
-    blocks = crossings.withColumn("block", block).drop("crossed")
     line = F.struct(F.struct("block", "side", "row").alias("at"), F.struct(*LINE.names).cast(LINE).alias("line"))
-    return lines.join(blocks, [*keys, "row"]).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]).alias("lines"))
+    return lines.withColumn("block", block).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]).alias("lines"))
 
 
 def nearest_column(x: Column, starts: Column) -> Column:
